@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one vectorised step works on; memory per task is a small multiple of it.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def steps(batches, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

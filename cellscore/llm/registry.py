@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from cellscore.llm import op1_language
+from cellscore.llm import op1_language, op4_toxicity, op5_secrets, op8_quality
 
 
 def queries() -> dict:
-    return {"op1_language_filters": op1_language.query}
+    return {
+        "op1_language_filters": op1_language.query,
+        "op4_toxicity_pu": op4_toxicity.query,
+        "op5_secret_layers": op5_secrets.query,
+        "op8_host_quality": op8_quality.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
