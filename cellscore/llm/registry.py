@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from cellscore.llm import op1_language, op4_toxicity, op5_secrets, op8_quality
+from cellscore.llm import op1_language, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op8_quality, op9_simhash
 
 
 def queries() -> dict:
     return {
         "op1_language_filters": op1_language.query,
+        "op2_benchmark_windows": op2_decontaminate.query,
+        "op3_kd_shards": op3_shards.query,
         "op4_toxicity_pu": op4_toxicity.query,
         "op5_secret_layers": op5_secrets.query,
         "op8_host_quality": op8_quality.query,
+        "op9_simhash_bktrees": op9_simhash.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_benchmark_windows": op2_decontaminate.ORACLE_SQL}
