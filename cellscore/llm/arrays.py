@@ -28,8 +28,19 @@ def steps(batches, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.
 
 
 def plain(texts: pa.Array) -> pa.Array:
-    """Texts with null as the empty string, with 64-bit offsets."""
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    """Texts with null as the empty string, with 64-bit offsets from 0 (some kernels misread others)."""
+    return recoded(pc.fill_null(texts.cast(pa.large_string()), ""))
+
+
+def recoded(texts: pa.Array, table: np.ndarray | None = None) -> pa.Array:
+    """texts in buffers of their own, each byte replaced by its entry in table."""
+    data, offsets = utf8(texts)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data if table is None else table[data]))
+
+
+#: Byte table that puts A-Z in lower case and leaves every other byte.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

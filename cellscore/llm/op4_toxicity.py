@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import plain, steps, utf8, words
+from cellscore.llm.arrays import plain, recoded, steps, words
 from cellscore.llm.op1_language import held_out
 
 #: Word hashes; a model is so many weights and an intercept.
@@ -32,13 +32,11 @@ WIDTH = 1 << 18
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashed words of each text: text index, hash, log(1 + times). ASCII is folded to letters and digits."""
-    data, offsets = utf8(texts)
     fold = np.full(256, 32, dtype=np.uint8)
     for first, last in ((48, 57), (97, 122), (128, 255)):
         fold[first : last + 1] = np.arange(first, last + 1)
     fold[65:91] = np.arange(97, 123)
-    folded = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(fold[data]))
-    flat, by = words(folded)
+    flat, by = words(recoded(texts, fold))
     coded = pc.dictionary_encode(flat)
     hashes = np.array([zlib.crc32(w.encode()) & (WIDTH - 1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
     text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(by))

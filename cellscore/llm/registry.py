@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellscore.llm import op1_language, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op8_quality, op9_simhash
+from cellscore.llm import op1_language, op10_hmm, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op8_quality, op9_simhash
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_secret_layers": op5_secrets.query,
         "op8_host_quality": op8_quality.query,
         "op9_simhash_bktrees": op9_simhash.query,
+        "op10_hidden_markov": op10_hmm.query,
     }
 
 
