@@ -1 +1,178 @@
+"""Sources and sinks. A run is a folder; tables of many runs carry run_id."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cellscore.functions import first_column, nullable_text
+
+ONTOLOGY_RESOURCE = "cl_names array<string>, cell_ontology_term_id_to_cell_type map<string,string>, children_dictionary map<string,array<string>>, shortest_path_lengths_from_cell_root map<string,int>, longest_path_lengths_from_cell_root map<string,int>"
+ONTOLOGY_RESPONSE = "query_cell_id string, matches array<struct<score double, cell_type_ontology_term_id string, cell_type string>>, total_weight double, total_neighbors int, total_neighbors_unrecognized int"
+REQUIRED = ("query_cell_id", "matches", "total_weight", "total_neighbors", "total_neighbors_unrecognized")
+RUN_METADATA = "input_path string, model_name string, n_cells long, ontology_resource_name string"
+
+
+def _numbered(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines of the files of a folder with their number, from 1, in the order of the files' names.
+
+    Gzipped files are not split, so the lines of a file are numbered where it is read; just a count a file is gathered.
+    """
+    marked = lines.select(line, "file", F.monotonically_increasing_id().alias("at"))
+    files = marked.groupBy("file").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = files.select("file", "first", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))  # a row a file
+    return marked.join(F.broadcast(before), "file").select(line, (F.col("before") + F.col("at") - F.col("first") + 1).alias("number"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def write_10x_mex(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame) -> None:
+    """matrix, barcodes and features as gzipped text folders; rows of the matrix are features, columns are cells.
+
+    The id of a feature is its gene_id, feature_id or gene_ids, its name feature_name, gene_symbol or gene_symbols;
+    what stands for null is empty, and an empty id becomes the name. pos gives the order of cells and features.
+    """
+    ids, names = (first_column(features.columns, c) for c in (("gene_id", "feature_id", "gene_ids"), ("feature_name", "gene_symbol", "gene_symbols")))
+    gene = F.coalesce(nullable_text(F.col(ids)) if ids else F.lit(None), F.lit(""))
+    symbol = F.coalesce(nullable_text(F.col(names)) if names else F.lit(None), F.lit(""))
+    rows = features.select("feature_id", "pos", F.when(gene == "", symbol).otherwise(gene).alias("gene"), symbol.alias("symbol"))
+    rows.orderBy("pos").select(F.concat_ws("\t", "gene", "symbol", F.lit("Gene Expression")).alias("value")).write.text(f"{folder}/features.tsv.gz", compression="gzip")
+    cells.orderBy("pos").select(F.col("cell_id").cast("string").alias("value")).write.text(f"{folder}/barcodes.tsv.gz", compression="gzip")
+    order = lambda df, key: df.select(key, F.col("pos").alias("p"))
+    numbered = counts.join(order(features, "feature_id").withColumnRenamed("p", "row"), "feature_id").join(order(cells, "cell_id").withColumnRenamed("p", "column"), "cell_id")
+    entry = F.concat_ws(" ", (F.col("row") + 1).cast("string"), (F.col("column") + 1).cast("string"), F.col("value").cast("string"))
+    sizes = features.agg(F.count("*").alias("f")).crossJoin(cells.agg(F.count("*").alias("c"))).crossJoin(numbered.agg(F.count("*").alias("n")))
+    head = sizes.select(F.explode(F.array(F.lit("%%MatrixMarket matrix coordinate real general"), F.concat_ws(" ", "f", "c", "n"))).alias("value"))
+    head.unionByName(numbered.select(entry.alias("value"))).write.text(f"{folder}/matrix.mtx.gz", compression="gzip")
+
+
+def read_10x_mex(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """counts (cell_id, feature_id, value), cells (cell_id, pos) and features (feature_id, feature_name, pos). Positions are from 0."""
+    barcodes = _numbered(_lines(spark, f"{folder}/barcodes.tsv.gz"))
+    cells = barcodes.select(F.col("value").alias("cell_id"), (F.col("number") - 1).alias("pos"))
+    parts = F.split("value", "\t")
+    features = _numbered(_lines(spark, f"{folder}/features.tsv.gz")).select(parts[0].alias("feature_id"), parts[1].alias("feature_name"), (F.col("number") - 1).alias("pos"))
+    # the line of sizes comes first and looks like an entry
+    fields = F.split("value", " ")
+    lines = _numbered(_lines(spark, f"{folder}/matrix.mtx.gz").where(~F.col("value").startswith("%"))).where("number > 1")
+    entries = lines.select(fields[0].cast("long").alias("row"), fields[1].cast("long").alias("column"), fields[2].cast("double").alias("value"))
+    counts = entries.join(features.select("feature_id", (F.col("pos") + 1).alias("row")), "row").join(cells.select("cell_id", (F.col("pos") + 1).alias("column")), "column")
+    return counts.select("cell_id", "feature_id", "value"), cells, features
+
+
+def write_counts(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame) -> None:
+    """An annotated matrix as three Parquet tables."""
+    for name, df in (("counts", counts), ("cells", cells), ("features", features)):
+        df.write.parquet(f"{folder}/{name}.parquet")
+
+
+def read_counts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(spark.read.parquet(f"{folder}/{name}.parquet") for name in ("counts", "cells", "features"))
+
+
+def read_matrix(spark: SparkSession, folder: str, kind: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """read_10x_mex or read_counts, by kind or by the end of the path: .mex or .parquet."""
+    kind = kind or folder.rstrip("/").rpartition(".")[2]
+    readers = {"mex": read_10x_mex, "parquet": read_counts}
+    if kind not in readers:
+        raise ValueError(f"{folder} is of no known kind: {', '.join(readers)}")
+    return readers[kind](spark, folder)
+
+
+def write_ontology_resource(path: str, terms: DataFrame, edges: DataFrame) -> None:
+    """The ontology as one JSON record: ordered names, labels, children and depths."""
+    pairs = lambda key, value: F.map_from_entries(F.collect_list(F.struct(key, value)))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("idx", "term_id"))), lambda x: x["term_id"])
+    record = terms.agg(
+        ordered.alias("cl_names"), pairs("term_id", "label").alias("cell_ontology_term_id_to_cell_type"),
+        pairs("term_id", "depth_short").alias("shortest_path_lengths_from_cell_root"), pairs("term_id", "depth_long").alias("longest_path_lengths_from_cell_root"),
+    )
+    lists = edges.groupBy("parent").agg(F.transform(F.array_sort(F.collect_list(F.struct("child_ord", "child"))), lambda x: x["child"]).alias("children"))
+    record.crossJoin(lists.agg(pairs("parent", "children").alias("children_dictionary"))).write.json(path)
+
+
+def read_ontology_resource(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """terms (term_id, idx, label, depth_short, depth_long) and edges (parent, child, child_ord)."""
+    record = spark.read.schema(ONTOLOGY_RESOURCE).option("multiLine", True).json(path)
+    names = record.select(F.posexplode("cl_names").alias("idx", "term_id"), *record.columns[1:])
+    at = lambda c: F.try_element_at(F.col(c), F.col("term_id"))
+    terms = names.select("term_id", "idx", at("cell_ontology_term_id_to_cell_type").alias("label"), at("shortest_path_lengths_from_cell_root").alias("depth_short"), at("longest_path_lengths_from_cell_root").alias("depth_long"))
+    edges = record.select(F.explode("children_dictionary").alias("parent", "children")).select("parent", F.posexplode("children").alias("child_ord", "child"))
+    return terms, edges.select("parent", "child", "child_ord")
+
+
+def write_ontology_response(path: str, response: DataFrame) -> None:
+    response.write.json(path, ignoreNullFields=False)
+
+
+def read_ontology_response(spark: SparkSession, path: str) -> DataFrame:
+    """The nested response; a record that does not parse, or lacks a required field, is an error."""
+    read = spark.read.schema(ONTOLOGY_RESPONSE).option("mode", "FAILFAST").json(path)
+    kinds = {f.name: f.dataType for f in read.schema}
+    return read.select(*(F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"missing {c}")).cast(kinds[c])).alias(c) for c in REQUIRED))
+
+
+def write_inferred_labels(path: str, labels: DataFrame) -> None:
+    labels.write.option("header", True).csv(path)
+
+
+def read_inferred_labels(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Labels from CSV, scores as doubles and the rest as text; an absent column is an error that lists those there are."""
+    read = spark.read.option("header", True).csv(path)
+    absent = [c for c in columns or [] if c not in read.columns]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)}; there are {', '.join(read.columns)}")
+    chosen = columns or read.columns
+    return read.select(*(F.col(c).cast("double") if "_score_" in c else F.col(c) for c in chosen))
+
+
+def write_run_metadata(path: str, metadata: DataFrame) -> None:
+    metadata.write.json(path)
+
+
+def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_METADATA).json(path)
+
+
+def run_files(spark: SparkSession, parent: str) -> DataFrame:
+    """run_id and name of every file or table right below the runs of a folder."""
+    name = parent.rstrip("/").rpartition("/")[2]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(parent).select("path")
+    below = F.split(F.substring_index("path", f"/{name}/", -1), "/")
+    return listed.select(below[0].alias("run_id"), below[1].alias("name")).distinct()
+
+
+def collect_runs(files: DataFrame, required: list[str]) -> DataFrame:
+    """run_id of every run, sorted. No run at all, or one that lacks a required file, is an error. Runs two small jobs."""
+    runs = files.select("run_id").distinct()
+    wanted = runs.crossJoin(F.broadcast(files.sparkSession.createDataFrame([(n,) for n in required], "name string")))  # runs times the few names
+    absent = wanted.join(files, ["run_id", "name"], "left_anti").orderBy("run_id", "name").limit(5).collect()
+    if absent:
+        raise ValueError("missing: " + ", ".join(f"{r['run_id']}/{r['name']}" for r in absent))
+    if runs.isEmpty():
+        raise ValueError("no run is there")
+    return runs.orderBy("run_id")
+
+
+def write_confusion(path: str, confusion: DataFrame) -> None:
+    """Confusion matrices, partitioned by k and model."""
+    confusion.write.partitionBy("k", "model_name").parquet(path)
+
+
+def read_confusion(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("model_name", F.col("model_name").cast("string"))
+
+
+def write_metrics(folder: str, tables: dict[str, DataFrame]) -> None:
+    """Each table as a CSV folder."""
+    for name, df in tables.items():
+        df.write.option("header", True).csv(f"{folder}/{name}.csv")
+
+
+def read_predictions_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """A prediction or crosswalk table with a header; the first column of predictions is the barcode."""
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema else reader).csv(path)
