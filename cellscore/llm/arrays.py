@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of text that one vectorised step works on; memory per task is a small multiple of it.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
+
+#: Rows of an Arrow batch between Spark and Python; Spark's own 10,000 long texts would be a lot for a task.
+BATCH_ROWS = 1000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, after holding its session's Arrow batches to BATCH_ROWS rows; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def steps(batches, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -27,6 +41,14 @@ def steps(batches, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.
             start = stop
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold for reuse; a Python worker lives longer than its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """Texts with null as the empty string, with 64-bit offsets from 0 (some kernels misread others)."""
     return recoded(pc.fill_null(texts.cast(pa.large_string()), ""))
@@ -51,6 +73,12 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0]
 
 
+def cut_binary(data: bytes, ends: np.ndarray) -> pa.Array:
+    """data cut at ends (ascending, the last one its length) as a binary array, without a copy."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of values within each [offsets[i], offsets[i + 1])."""
     total = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(values, dtype=np.int64)])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscore.llm.arrays import LOWER, plain, recoded, steps, words
+from cellscore.llm.arrays import LOWER, bounded, plain, recoded, steps, words
 from cellscore.llm.op1_language import held_out
 from cellscore.plans.lineage import checkpoint_folder, cut_lineage
 
@@ -50,7 +50,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             found = pc.value_counts(tokens(batch)[0])
             yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return bounded(docs).select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -133,7 +133,7 @@ def encode(docs: DataFrame, model: Unigram, keep: list[str]) -> DataFrame:
             binary = pa.array([ids[a : b + 1].tobytes() for a, b in zip(starts, where)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(by) + 1), binary, rest], names=[*keep, "n_tokens", "ids", "rest"])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return bounded(docs).select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)

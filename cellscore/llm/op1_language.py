@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import plain, steps, sums, utf8
+from cellscore.llm.arrays import bounded, plain, steps, sums, utf8
 
 UND = "und"
 #: Lengths in UTF-8 bytes of the n-grams; lower case, runs of ASCII non-letters as one space.
@@ -128,7 +128,7 @@ def fit(labelled: DataFrame, per_language: int = 3000, least: int = 3, share: fl
             both, n = np.unique(keys | (language << np.uint64(48)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array((both >> np.uint64(48)).astype(np.int32)), pa.array((both & np.uint64((1 << 48) - 1)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["k", "gram", "n"])
 
-    found = sample.mapInArrow(tally, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n"))
+    found = bounded(sample).mapInArrow(tally, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n"))
     found = found.groupBy("gram").agg(F.collect_list(F.struct("k", "n")).alias("by"))
     totals = {r["k"]: r["n"] for r in sample.mapInArrow(_lengths, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
     rate = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, float(max(n, 1)))]) if totals else F.create_map(F.lit(0), F.lit(1.0))
@@ -185,7 +185,7 @@ def identify(docs: DataFrame, filters: Filters, keep: list[str] | None = None) -
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score", "coverage"])
 
     columns = keep if "text" in keep else [*keep, "text"]
-    return docs.select(*columns).mapInArrow(score, schema)
+    return bounded(docs).select(*columns).mapInArrow(score, schema)
 
 
 def held_out(mod: int, rest: int):

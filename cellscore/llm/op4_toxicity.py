@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import plain, recoded, steps, words
+from cellscore.llm.arrays import bounded, plain, recoded, steps, words
 from cellscore.llm.op1_language import held_out
 
 #: Word hashes; a model is so many weights and an intercept.
@@ -132,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 30
         weights = train(owner, np.concatenate(ids), np.concatenate(values).astype(float), positive, prior)
         return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary())})
 
-    rows = sample.mapInArrow(extract, "model int, positive boolean, ids binary, values binary").repartition(models, "model").groupBy("model").applyInArrow(learn, "weights binary").collect()
+    rows = bounded(sample).mapInArrow(extract, "model int, positive boolean, ids binary, values binary").repartitionByRange(models, "model").groupBy("model").applyInArrow(learn, "weights binary").collect()
     if not rows:
         flat[-1] = np.log(prior / (1 - prior))
         return flat
@@ -153,7 +153,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None) -
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(value)], names=[*keep, "score"])
 
     columns = keep if "text" in keep else [*keep, "text"]
-    return docs.select(*columns).mapInArrow(run, docs.select(*keep).schema.add("score", "double"))
+    return bounded(docs).select(*columns).mapInArrow(run, docs.select(*keep).schema.add("score", "double"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscore.llm.arrays import plain, steps
+from cellscore.llm.arrays import bounded, plain, steps
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -210,7 +210,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None, redacted: bool = False)
             yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(spans, inner)], names=[*keep, "secrets"])
 
     columns = keep if "text" in keep else [*keep, "text"]
-    return docs.select(*columns).mapInArrow(run, schema)
+    return bounded(docs).select(*columns).mapInArrow(run, schema)
 
 
 def redact(text: str, spans: list[dict], mark: str = "[REDACTED]") -> str:
