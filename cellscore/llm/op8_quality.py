@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import plain, steps, sums, utf8, words
+from cellscore.llm.arrays import bounded, plain, steps, sums, utf8, words
 from cellscore.plans import cut_lineage, small_enough
 
 #: Characters that count as symbols.
@@ -81,7 +81,7 @@ def metrics(docs: DataFrame, keep: list[str]) -> DataFrame:
     schema = docs.select(*keep).schema
     for m in METRICS:
         schema = schema.add(m, "long")
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return bounded(docs).select(*keep, "text").mapInArrow(run, schema)
 
 
 #: Rule -> SQL that is true of a text that fails it.
@@ -131,4 +131,37 @@ def judge(docs: DataFrame, host: str = "source", limit: float = 0.5) -> DataFram
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: metrics and verdict of every whole text of documents; the host is the source."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host", "host_failed")
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host", F.array_join("host_failed", ",").alias("host_failed"))
+
+
+def _oracle() -> str:
+    conditions = {r: f"({c})" for r, c in RULES.items()}
+    counts = ", ".join(f"count(*) filter (where {c}) as f_{r}" for r, c in conditions.items())
+    totals = ", ".join(f"sum(f_{r}) / sum(n) as m_{r}, var_pop(f_{r} / n) as v_{r}" for r in RULES)
+    beyond = lambda r: f"greatest(v_{r} - m_{r} * (1 - m_{r}) * inv, 0)"
+    strength = ", ".join(f"least(greatest(case when {beyond(r)} > 0 then m_{r} * (1 - m_{r}) / {beyond(r)} - 1 else 10000 end, 1), 10000) as s_{r}" for r in RULES)
+    means = ", ".join(f"(f_{r} + s_{r} * m_{r}) / (n + s_{r}) as e_{r}" for r in RULES)
+    failed = ", ".join(f"case when e_{r} - 2 * sqrt(e_{r} * (1 - e_{r}) / (n + s_{r} + 1)) > 0.5 then '{r}' end" for r in RULES)
+    return rf"""
+with d as (
+  select doc_id, source as host, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from documents
+), tri as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
+rep as (select doc_id, i from tri qualify count(*) over (partition by doc_id, a, b, c) > 1),
+pos as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from rep) group by 1),
+x as (
+  select doc_id, host, cast(len(w) as bigint) as n_words, cast(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
+    cast(coalesce(pos.n, 0) as bigint) as n_repeat_words, len(l) as n_lines from d left join pos using (doc_id)
+), h as (select host, count(*) as n, {counts} from x group by 1),
+t as (select avg(1 / n) as inv, {totals} from h),
+s as (select h.*, t.*, {strength} from h cross join t),
+e as (select s.*, {means} from s),
+v as (select host, concat_ws(',', {failed}) as host_failed from e)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {conditions["short"]} or {conditions["repetitive"]} as base_failed,
+  not ({conditions["short"]} or {conditions["repetitive"]}) and host_failed = '' as kept, x.host, host_failed
+from x join v on x.host is not distinct from v.host
+"""
+
+
+ORACLE_SQL = _oracle()
