@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.plans import small_enough
+from cellscore.plans import cut_lineage, small_enough
 
 #: What separates words once A-Z is in lower case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -107,7 +107,8 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """docs without those that hold a benchmark window."""
-    dirty = match(docs, benchmark, size).where(F.size("spans") > 0).select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_key")).distinct()
+    found = match(docs, benchmark, size).where(F.size("spans") > 0)
+    dirty = cut_lineage(found.select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_key")).distinct())  # else its count would match all texts once more
     same = F.col("doc_id").eqNullSafe(F.col("dirty_id")) & (F.xxhash64("text") == F.col("dirty_key"))
     return docs.join(small_enough(dirty, MOST_DROPPED), same, "left_anti")
 
