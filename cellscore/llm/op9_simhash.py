@@ -13,6 +13,12 @@ shard's queries, so no task holds more and no link is lost.
 A search reports just a spanning forest of its shard, never all pairs; components
 then spread over shards by minimum labels with pointer jumping.
 
+`groups` links fingerprints of shingles at a few bits, which is exact. Texts of a
+given similarity may differ in many more bits, out of reach of an exact shard
+key. So `deduplicate`, which goes by similarity, takes fingerprints of 256 bits
+over the distinct words, with 16 blocks of 16 bits as shard keys and a wide radius, and
+then checks the candidates' similarity by their shingles.
+
 Defined results: null, empty or blank text has fingerprint zero, and is linked
 like any other; repeated rows share a fingerprint; the component is the least
 doc_id, null ids left out (a component of null ids has a null id); an empty table
@@ -23,16 +29,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cellscore.llm.arrays import plain, steps
-from cellscore.plans import cut_lineage
+from cellscore.llm.arrays import LOWER, bounded, plain, recoded, steps, words
+from cellscore.plans import cut_lineage, small_enough
 
 SEED = 42
 #: Fingerprints of one tree.
-MOST_IN_TREE = 8192
+MOST_IN_TREE = 4096
+#: Shard keys of a 256-bit fingerprint, bins of a sketch, and pairs of sketches compared at once.
+BANDS, BINS, CHECKED = 16, 256, 20_000
+#: Ids of removed documents that are broadcast for the anti-join (8 bytes each); more are shuffled.
+MOST_GONE = 2_000_000
 #: Pairs of query and node that one search step looks at.
 FRONTIER = 1 << 20
 
@@ -69,14 +81,53 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             found = fold([shingle_hashes(t.encode(), shingle) for t in texts.to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "long"))
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "long"))
+
+
+def word_fingerprints(texts: pa.Array) -> np.ndarray:
+    """256-bit SimHash (four words a row) of the distinct words of each text, A-Z in lower case."""
+    flat, by = words(recoded(texts, LOWER))
+    coded = pc.dictionary_encode(flat)
+    names = [w.encode() for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+    table = np.array([[xxhash.xxh64_intdigest(w, seed) for seed in range(4)] for w in names], dtype="<u8").reshape(-1, 4)
+    bits = np.unpackbits(table.view(np.uint8).reshape(-1, 32), axis=1, bitorder="little")
+    width = max(1, len(names))
+    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(by)) * width + coded.indices.to_numpy())
+    n = np.bincount(pairs // width, minlength=len(texts))
+    out = np.zeros((len(texts), 4), dtype=np.uint64)
+    full = np.flatnonzero(n)
+    if len(full):
+        ones = np.add.reduceat(bits[pairs % width], (np.cumsum(n) - n)[full], axis=0, dtype=np.int32)
+        out[full] = np.packbits(2 * ones > n[full][:, None], axis=1, bitorder="little").view("<u8")
+    return out
+
+
+def sketch(hashes: list[int]) -> bytes:
+    """The least hash of each of BINS bins, in 16 bits; 0 is an empty bin. Equal bins estimate the Jaccard similarity."""
+    out = np.zeros(BINS, dtype=np.uint16)
+    if hashes:
+        h = np.unique(np.array(hashes, dtype=np.uint64))
+        bins, first = np.unique(h & np.uint64(BINS - 1), return_index=True)  # h ascends, so the first of a bin is its least
+        out[bins.astype(np.int64)] = (h[first] >> np.uint64(16)).astype(np.uint16) | 1
+    return out.tobytes()
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated similarity of sketches, row by row; two of empty texts are alike."""
+    either = ((a > 0) | (b > 0)).sum(axis=1)
+    return np.where(either > 0, ((a == b) & (a > 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
+
+
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, row by row."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
 class Forest:
-    """BK-trees, one for each shard, over distinct fingerprints."""
+    """BK-trees, one for each shard, over distinct fingerprints (a row of 64-bit words each)."""
 
     def __init__(self, values: np.ndarray, shards: np.ndarray):
-        self.values = values
+        self.values, self.step = values, 64 * values.shape[1] + 1
         order = np.argsort(shards, kind="stable")
         self.shards, first = np.unique(shards[order], return_index=True)
         self.roots = order[first]
@@ -84,7 +135,7 @@ class Forest:
         rest = np.setdiff1d(np.arange(len(values)), self.roots)
         keys, children = [], []
         while len(rest):
-            key = node[rest] * 65 + np.bitwise_count(values[rest] ^ values[node[rest]]).astype(np.int64)
+            key = node[rest] * self.step + distance(values[rest], values[node[rest]])
             slots, first, which = np.unique(key, return_index=True, return_inverse=True)
             child = rest[first]
             keys.append(slots)
@@ -109,12 +160,12 @@ class Forest:
                 half = len(q) // 2
                 stack += [(q[:half], node[:half]), (q[half:], node[half:])]
                 continue
-            d = np.bitwise_count(queries[q] ^ self.values[node]).astype(np.int64)
+            d = distance(queries[q], self.values[node])
             near = d <= radius
             if near.any():
                 yield q[near], node[near]
-            low = np.searchsorted(self.keys, node * 65 + np.maximum(d - radius, 0), side="left")
-            n = np.searchsorted(self.keys, node * 65 + np.minimum(d + radius, 64), side="right") - low
+            low = np.searchsorted(self.keys, node * self.step + np.maximum(d - radius, 0), side="left")
+            n = np.searchsorted(self.keys, node * self.step + np.minimum(d + radius, self.step - 1), side="right") - low
             total = int(n.sum())
             if total:
                 offset = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
@@ -137,28 +188,36 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = jumped
 
 
-def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
-    """Edges a, b (ids, a > b) of spanning forests of all shards, from distinct (fp, id)."""
-    blocks = radius + 1
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    value = F.array(*(F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(blocks)))
-    dealt = distinct.select("fp", "id", F.posexplode(value).alias("block", "value")).withColumn("shard", F.col("value") * blocks + F.col("block"))
+def links(distinct: DataFrame, radius: int = 3, blocks: int | None = None, similarity: float | None = None) -> DataFrame:
+    """Edges a, b (ids, a > b) of spanning forests of all shards, from fp (an array of words) and id.
+
+    fingerprints meet in a shard if one of `blocks` equal runs of their bits is the same; by
+    default there are radius + 1, so that none within the radius is missed. With similarity, a
+    link holds only if the column sketch estimates so much.
+    """
+    size = len(distinct.select("fp").first()["fp"]) if not distinct.isEmpty() else 1
+    blocks = blocks or radius + 1
+    edges = [round(64 * size * i / blocks) for i in range(blocks + 1)]
+    run_of = lambda i: F.shiftrightunsigned(F.col("fp")[edges[i] // 64], edges[i] % 64).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
+    more = ["sketch"] if similarity is not None else []
+    dealt = distinct.select("fp", "id", *more, F.posexplode(F.array(*map(run_of, range(blocks)))).alias("block", "value")).withColumn("shard", F.col("value") * blocks + F.col("block"))
     sizes = dealt.groupBy("shard").agg(F.count("*").alias("n"))
     # shards with one fingerprint have no link; those over a tree's size are cut into parts
     sized = dealt.join(sizes.where("n > 1").withColumn("parts", F.ceil(F.col("n") / MOST_IN_TREE).cast("long")), "shard")
     own = F.pmod(F.xxhash64("fp"), F.col("parts"))
     other = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
     # a task for each pair (i, j), i <= j, of parts: tree i, searched by part j
-    sized = sized.select("shard", "fp", "id", own.alias("own"), F.explode(other).alias("other"))
+    sized = sized.select("shard", "fp", "id", *more, own.alias("own"), F.explode(other).alias("other"))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    sized = sized.select("fp", "id", "shard", low.alias("tree"), high.alias("part"), (F.col("own") == low).alias("in_tree"), (F.col("own") == high).alias("asks"))
+    sized = sized.select("fp", "id", *more, "shard", low.alias("tree"), high.alias("part"), (F.col("own") == low).alias("in_tree"), (F.col("own") == high).alias("asks"))
     together = sized.repartition("shard", "tree", "part")
 
     def run(batches):
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+        batches = list(batches)
+        table = pa.Table.from_batches(batches) if batches else None
         if table is None or not table.num_rows:
             return
-        fp, ids = table.column("fp").to_numpy().view(np.uint64), table.column("id").to_numpy()
+        fp, ids = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1), table.column("id").to_numpy()
         cells = np.stack([table.column(c).to_numpy() for c in ("shard", "tree", "part")])
         _, cell = np.unique(cells, axis=1, return_inverse=True)
         cell = np.ravel(cell)
@@ -166,17 +225,26 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
         t, q = np.flatnonzero(in_tree), np.flatnonzero(asks)
         order = np.argsort(ids, kind="stable")
         rank = np.empty(len(ids), dtype=np.int64)
-        rank[order] = np.arange(len(ids))  # labels are ranks of ids, so that a root is the least id
+        # labels are the first ranks of ids, so that a root is the least id and an id has one label in all shards
+        rank[order] = np.searchsorted(ids[order], ids[order], side="left")
         label = np.arange(len(ids))
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(ids), BINS) if more else None
         forest = Forest(fp[t], cell[t])
         for a, b in forest.search(fp[q], cell[q], radius):
-            label = merge(label, rank[q[a]], rank[t[b]])
+            a, b = q[a], t[b]
+            for i in range(0, len(a), CHECKED):
+                x, y = a[i : i + CHECKED], b[i : i + CHECKED]
+                apart = label[rank[x]] != label[rank[y]]
+                x, y = x[apart], y[apart]
+                if sketches is not None and len(x):
+                    close = alike(sketches[x], sketches[y]) >= similarity
+                    x, y = x[close], y[close]
+                label = merge(label, rank[x], rank[y])
         moved = np.flatnonzero(label != np.arange(len(ids)))
         a, b = ids[order[moved]], ids[order[label[moved]]]
-        different = a != b
-        yield pa.RecordBatch.from_arrays([pa.array(a[different]), pa.array(b[different])], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return together.mapInArrow(run, "a long, b long").distinct()
+    return bounded(together).mapInArrow(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -199,16 +267,50 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fp and component_id of every row of docs (doc_id, text)."""
     marked = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    found = components(links(distinct.where(F.col("id").isNotNull()), radius))
+    found = components(links(distinct.where(F.col("id").isNotNull()).select(F.array("fp").alias("fp"), "id"), radius))
     of = distinct.join(found, "id", "left").select("fp", F.coalesce("label", "id").alias("component_id"))
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """docs with one document, the one with the least doc_id, of each component; rows with null ids stay."""
-    found = groups(docs, shingle, radius)
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 32, margin: float = 0.03) -> DataFrame:
+    """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard).
+
+    Equal texts are one from the start. Then 256-bit fingerprints of distinct words find candidates (two texts
+    at 0.8 differ in some 16 bits of 256, unrelated ones in some 120); just those get sketches of
+    their shingles, and meet once more, now with a check of similarity less margin for the sketch's error.
+    """
+
+    def mark(batches):
+        for batch in steps(batches):
+            found = word_fingerprints(plain(batch.column("text"))).view(np.int64)
+            fp = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(found) + 1, 4, dtype=np.int32)), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), batch.column("size"), fp], names=["doc_id", "same", "size", "fp"])
+
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("same"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"))
+    marked = cut_lineage(bounded(keyed).mapInArrow(mark, docs.select("doc_id").schema.add("same", "long").add("size", "integer").add("fp", T.ArrayType(T.LongType()))))
+    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp")))
+    known = texts.where(F.col("id").isNotNull())
+    near = components(links(known, radius, BANDS))
+    members = cut_lineage(known.join(near, "id", "left_semi"))
+
+    def outline(batches):
+        for batch in steps(batches):
+            found = [sketch(shingle_hashes(t.encode(), shingle)) for t in plain(batch.column("text")).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("fp"), pa.array(found, pa.binary())], names=["id", "fp", "sketch"])
+
+    some = small_enough(members.select("id", "same", "size", "fp"), MOST_GONE)
+    chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "fp", "text")
+    sketched = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, fp array<bigint>, sketch binary"))
+    found = components(links(sketched.dropDuplicates(["id"]), radius, BANDS, similarity - margin))
+    of = texts.join(found, "id", "left").select("same", "size", F.coalesce("label", "id").alias("component_id"))
+    return marked.join(of, ["same", "size"]).select("doc_id", "component_id")
+
+
+def deduplicate(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """docs with one document, the one with the least doc_id, of each group of similar texts; rows with null ids stay."""
+    found = cut_lineage(similar_groups(docs, similarity, shingle))
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    kept = docs.join(small_enough(gone, MOST_GONE), F.col("doc_id") == F.col("gone_id"), "left_anti")
     if found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull()))
