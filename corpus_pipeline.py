@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least doc_id, of each SimHash component."""
+    """One document, that with the least doc_id, of each group of similar texts (five-word shingles, 0.8)."""
     return op9_simhash.deduplicate(docs)
 
 
