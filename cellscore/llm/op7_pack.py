@@ -24,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import plain, steps
+from cellscore.llm.arrays import bounded, cut_binary, give_back, plain, steps
 from cellscore.llm.tokens import encoder
 
 #: Ids of one dynamic program.
-SPAN = 1 << 19
+SPAN = 1 << 18
 
 
 def public_tokenizer(name: str) -> str:
@@ -136,11 +136,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
             edges = np.union1d(ends, cuts)
             a = np.concatenate([[0], edges[:-1]])
             doc, sequence = np.searchsorted(ends, a, side="right"), np.searchsorted(cuts, a, side="right")
-            raw = memoryview(flat.astype("<u4").tobytes())
             out = pa.RecordBatch.from_arrays(
                 [
                     names.take(pa.array(doc)), pa.array(a - (ends - sizes)[doc] + skipped[doc]), pa.array(edges - a),
-                    pa.array([raw[4 * x : 4 * y] for x, y in zip(a.tolist(), edges.tolist())], pa.binary()),
+                    cut_binary(flat.astype("<u4").tobytes(), 4 * edges),
                     pa.array(whole[doc]), pa.array(sequences + sequence), pa.array(a - begins[sequence]),
                 ],
                 names=schema.names,
@@ -149,8 +148,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
             return out
 
         held, room = [], SPAN
-        for batch in steps(batches):
-            ids, offsets = coder.encode(plain(batch.column("text")).to_pylist())
+        for batch in steps(batches, size=1 << 20):
+            ids, offsets = coder.encode(plain(batch.column("text")))
             n = batch.num_rows
             ids = np.insert(ids, offsets[1:], end_id)
             offsets = offsets + np.arange(n + 1)
@@ -168,8 +167,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
                     held, room = [], SPAN
         if held:
             yield close(held)
+        give_back()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

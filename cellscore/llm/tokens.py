@@ -8,106 +8,107 @@ encodes each distinct part once, and texts are put together from the cache.
 
 from __future__ import annotations
 
+import os
 import re
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from cellscore.llm.arrays import give_back
 
 #: A cut: a space with something other than white space behind it.
 CUT = re.compile(r" (?=\S)")
-#: Texts that need the slower cut: a space before white space or at the end.
-UNUSUAL = re.compile(r" (?:\s|$)")
-#: A part ending in one full stop or comma; the letters before it are a piece of their own.
-STOPPED = re.compile(r"( ?)([^\W\d_]+)([.,])")
+#: The sign put at cuts.
+SIGN = "\x01"
+#: Texts (in RE2) that need the slower cut: white space next to white space or at an end, or the sign itself.
+UNUSUAL = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}][\s\p{Z}\x{1C}-\x{1F}\x{85}]|^\n|[ \n]$|\x{01}"
+#: Pieces also end between a small letter and a full stop or comma: many words share their letters.
+STOP = r"(\p{Ll})([.,])"
 
 
 class Encoder:
     """Encodes texts with one tokenizer file.
 
-    most_parts bounds the cache (some 150 bytes a part); it is emptied when full,
-    which costs time but changes no id.
+    most_parts bounds the cache (some 200 bytes a part). When it is full, the half
+    that was used most stays; that costs time but changes no id.
     """
 
-    def __init__(self, path: str, most_parts: int = 500_000):
+    def __init__(self, path: str, most_parts: int = 200_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would take others' and hold memory
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.most_parts = most_parts
-        self._clear()
-
-    def _clear(self) -> None:
         self.codes: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-        self.starts, self.lengths, self.parts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    def _add(self, part: str, ids) -> None:
-        n = len(ids)
-        while self.used + n > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        if self.parts == len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : self.used + n] = ids
-        self.starts[self.parts], self.lengths[self.parts] = self.used, n
-        self.codes[part] = self.parts
-        self.used, self.parts = self.used + n, self.parts + 1
-
-    def _of(self, part: str) -> np.ndarray:
-        code = self.codes[part]
-        return self.ids[self.starts[code] : self.starts[code] + self.lengths[code]]
-
-    def _learn(self, missing: set[str]) -> None:
-        """Take up parts that are not in the cache: first the smaller ones that they consist of."""
-        whole, made = set(), []
-        for part in missing:
-            if part.count("\n") == 1 and not re.search(r"\s\n|\n\s|^\n|\n$", part):
-                pieces = re.split("(\n)", part)
-            else:
-                pieces = [part]
-            split = []
-            for piece in pieces:
-                m = STOPPED.fullmatch(piece)
-                split += [m[1] + m[2], m[3]] if m and m[2].isalpha() and m[2].lower().isalpha() else [piece]
-            if len(split) > 1:
-                made.append((part, split))
-                whole.update(p for p in split if p not in self.codes)
-            else:
-                whole.add(part)
-        parts = list(whole)
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self._add(part, found.ids)
-        for part, pieces in made:
-            if part not in self.codes:
-                self._add(part, np.concatenate([self._of(p) for p in pieces]))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the offsets of each text."""
-        if self.parts > self.most_parts:
-            self._clear()
-        every: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if UNUSUAL.search(text):
-                at = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
-                parts = [text[a:b] for a, b in zip(at, at[1:]) if a < b]
-            else:
-                first, *rest = text.split(" ")
-                parts = [" " + p for p in rest]
-                if first:
-                    parts.insert(0, first)
-            counts[i] = len(parts)
-            every += parts
-        missing = set(every).difference(self.codes)
-        if missing:
-            self._learn(missing)
-        code = np.fromiter(map(self.codes.__getitem__, every), np.int64, len(every))
+        self.ids, self.starts, self.lengths, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _append(self, parts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.codes)
+        self.codes.update(zip(parts, range(n, n + len(parts))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(parts), np.int64)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _gather(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts in a row, and the end of each part."""
         n = self.lengths[code]
         ends = np.cumsum(n)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n, n) + np.repeat(self.starts[code], n)
-        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.ids[at], offsets.astype(np.int64)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[code] - (ends - n), n)
+        return self.ids[at], ends
+
+    def _shrink(self) -> None:
+        order = np.argsort(-self.uses, kind="stable")[: self.most_parts // 2]
+        kept = np.zeros(len(self.uses), bool)
+        kept[order] = True
+        parts = [p for p, k in zip(self.codes, kept.tolist()) if k]  # the dictionary is in the order of codes
+        code = np.flatnonzero(kept)
+        ids, _ = self._gather(code)
+        lengths, uses = self.lengths[code], self.uses[code] // 2
+        self.codes, self.ids, self.starts, self.lengths, self.uses = {}, ids[:0], code[:0], lengths[:0], uses[:0]
+        self._append(parts, ids, lengths)
+        self.uses = uses
+        give_back()
+
+    def _codes(self, parts: list[str]) -> np.ndarray:
+        missing = [p for p in parts if p not in self.codes]
+        if missing:
+            missing = list(dict.fromkeys(missing))
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
+            lengths = np.array(list(map(len, found)), np.int64)
+            self._append(missing, np.array(list(chain.from_iterable(found)), np.int32), lengths)
+        return np.array([self.codes[p] for p in parts], np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (large strings without null) in a row, and the offsets of each text."""
+        if len(self.codes) > self.most_parts:
+            self._shrink()
+        unusual = pc.match_substring_regex(texts, UNUSUAL)
+        marked = pc.if_else(unusual, pa.scalar("", pa.large_string()), texts)
+        marked = pc.replace_substring(marked, " ", SIGN + " ")
+        marked = pc.replace_substring(marked, "\n", SIGN + "\n" + SIGN)
+        marked = pc.replace_substring_regex(marked, STOP, "\\1" + SIGN + "\\2")
+        lists = pc.split_pattern(marked, SIGN)
+        coded = pc.dictionary_encode(lists.flatten())
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        code = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        slow = {}
+        for i in np.flatnonzero(unusual.to_numpy(zero_copy_only=False)).tolist():
+            text = texts[i].as_py()
+            at = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
+            slow[i] = self._codes([text[a:b] for a, b in zip(at, at[1:]) if a < b])
+        if slow:
+            pieces = np.split(code, (np.cumsum(counts) - counts)[1:])
+            pieces = [slow.get(i, p) for i, p in enumerate(pieces)]
+            counts = np.array([len(p) for p in pieces], np.int64)
+            code = np.concatenate(pieces)
+        self.uses += np.bincount(code, minlength=len(self.uses))
+        ids, ends = self._gather(code)
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}
