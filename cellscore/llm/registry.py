@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellscore.llm import op1_language, op10_hmm, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op7_pack, op8_quality, op9_simhash
+from cellscore.llm import op1_language, op10_hmm, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op6_binary, op7_pack, op8_quality, op9_simhash
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_kd_shards": op3_shards.query,
         "op4_toxicity_pu": op4_toxicity.query,
         "op5_secret_layers": op5_secrets.query,
+        "op6_context_mixing": op6_binary.query,
         "op7_dynamic_packing": op7_pack.query,
         "op8_host_quality": op8_quality.query,
         "op9_simhash_bktrees": op9_simhash.query,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_windows": op2_decontaminate.ORACLE_SQL}
+    return {"op2_benchmark_windows": op2_decontaminate.ORACLE_SQL, "op8_host_quality": op8_quality.ORACLE_SQL}
