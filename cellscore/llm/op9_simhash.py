@@ -248,8 +248,14 @@ def links(distinct: DataFrame, radius: int = 3, blocks: int | None = None, simil
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id and label (the least id of its component) of every id in edges (a, b)."""
-    edges = cut_lineage(edges)
+    """id and label (the least id of its component) of every id in edges (a, b), a > b.
+
+    First each id's edges are turned to its least neighbour, which joins the same ids: an id has an
+    edge for each shard it was linked in, and most of those lead to a few roots.
+    """
+    least = F.array_min("bs")
+    turned = F.transform(F.array_append(F.array_remove("bs", least), F.col("a")), lambda x: F.struct(x.alias("a"), least.alias("b")))
+    edges = cut_lineage(edges.groupBy("a").agg(F.collect_set("b").alias("bs")).select(F.inline(turned)).distinct())
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     while True:
