@@ -14,10 +14,10 @@ A search reports just a spanning forest of its shard, never all pairs; component
 then spread over shards by minimum labels with pointer jumping.
 
 `groups` links fingerprints of shingles at a few bits, which is exact. Texts of a
-given similarity may differ in many more bits, out of reach of an exact shard
-key. So `deduplicate`, which goes by similarity, takes fingerprints of 256 bits
-over the distinct words, with 16 blocks of 16 bits as shard keys and a wide radius, and
-then checks the candidates' similarity by their shingles.
+given similarity may differ in many more bits (a trimmed or extended copy at 0.8 in some
+38 of 256), out of reach of an exact shard key. So `deduplicate`, which goes by the
+similarity of shingle sets, takes MinHash bands of the shingles as shard keys, and then
+compares all their values.
 
 Defined results: null, empty or blank text has fingerprint zero, and is linked
 like any other; repeated rows share a fingerprint; the component is the least
@@ -41,8 +41,15 @@ from cellscore.plans import cut_lineage, small_enough
 SEED = 42
 #: Fingerprints of one tree.
 MOST_IN_TREE = 4096
-#: Shard keys of a 256-bit fingerprint, bins of a sketch, and pairs of sketches compared at once.
-BANDS, BINS, CHECKED = 16, 256, 20_000
+#: Bands of MinHash values and values of a band: two texts at 0.8 share no band once in 300,000 times, unrelated ones hardly any.
+BANDS, ROWS = 32, 5
+#: Pairs of texts compared at once.
+CHECKED = 20_000
+#: Bytes of text whose shingle sets one part of a group holds.
+MOST_BYTES = 1 << 24
+#: Multipliers of the MinHash functions, and of mixing.
+MULTIPLIERS = np.random.default_rng(SEED).integers(1 << 31, size=BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Ids of removed documents that are broadcast for the anti-join (8 bytes each); more are shuffled.
 MOST_GONE = 2_000_000
 #: Pairs of query and node that one search step looks at.
@@ -84,38 +91,51 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return bounded(docs).select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "long"))
 
 
-def word_fingerprints(texts: pa.Array) -> np.ndarray:
-    """256-bit SimHash (four words a row) of the distinct words of each text, A-Z in lower case."""
+def mixed(state: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """64-bit hashes of state with value taken in."""
+    state = (state ^ value) * MIX
+    state ^= state >> np.uint64(32)
+    state *= MIX
+    return state ^ (state >> np.uint64(29))
+
+
+def shingle_rows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts in a row (repeats included, A-Z in lower case), and offsets by text.
+
+    A text of fewer than size words is one shingle; so is one of no word, which is like others of no word.
+    """
     flat, by = words(recoded(texts, LOWER))
     coded = pc.dictionary_encode(flat)
-    names = [w.encode() for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-    table = np.array([[xxhash.xxh64_intdigest(w, seed) for seed in range(4)] for w in names], dtype="<u8").reshape(-1, 4)
-    bits = np.unpackbits(table.view(np.uint8).reshape(-1, 32), axis=1, bitorder="little")
-    width = max(1, len(names))
-    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(by)) * width + coded.indices.to_numpy())
-    n = np.bincount(pairs // width, minlength=len(texts))
-    out = np.zeros((len(texts), 4), dtype=np.uint64)
-    full = np.flatnonzero(n)
-    if len(full):
-        ones = np.add.reduceat(bits[pairs % width], (np.cumsum(n) - n)[full], axis=0, dtype=np.int32)
-        out[full] = np.packbits(2 * ones > n[full][:, None], axis=1, bitorder="little").view("<u8")
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    table = np.array([xxhash.xxh64_intdigest(w.encode(), SEED) for w in names], dtype=np.uint64)
+    hashes = np.concatenate([table[coded.indices.to_numpy()], np.zeros(size, np.uint64)])
+    count = np.maximum(np.diff(by) - size + 1, 1)
+    offsets = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(offsets[-1]) + np.repeat(by[:-1] - offsets[:-1], count)
+    end = np.repeat(by[1:], count)
+    out = np.zeros(len(at), dtype=np.uint64)
+    for i in range(size):
+        out = mixed(out, np.where(at + i < end, hashes[at + i], np.uint64(0)))
+    return out, offsets
+
+
+def minhashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A row of BANDS * ROWS MinHash values for each text."""
+    x = (hashes >> np.uint64(32)).astype(np.uint32)
+    out, product = np.empty((len(offsets) - 1, len(MULTIPLIERS)), dtype=np.uint32), np.empty_like(x)
+    for i, a in enumerate(MULTIPLIERS):
+        np.multiply(x, a, out=product)
+        out[:, i] = np.minimum.reduceat(product, offsets[:-1])
     return out
 
 
-def sketch(hashes: list[int]) -> bytes:
-    """The least hash of each of BINS bins, in 16 bits; 0 is an empty bin. Equal bins estimate the Jaccard similarity."""
-    out = np.zeros(BINS, dtype=np.uint16)
-    if hashes:
-        h = np.unique(np.array(hashes, dtype=np.uint64))
-        bins, first = np.unique(h & np.uint64(BINS - 1), return_index=True)  # h ascends, so the first of a bin is its least
-        out[bins.astype(np.int64)] = (h[first] >> np.uint64(16)).astype(np.uint16) | 1
-    return out.tobytes()
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity of sketches, row by row; two of empty texts are alike."""
-    either = ((a > 0) | (b > 0)).sum(axis=1)
-    return np.where(either > 0, ((a == b) & (a > 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """A key for each band of each row of MinHash values."""
+    parts = values.reshape(len(values), BANDS, ROWS).astype(np.uint64)
+    key = np.tile(np.arange(BANDS, dtype=np.uint64), (len(values), 1))
+    for i in range(ROWS):
+        key = mixed(key, parts[:, :, i])
+    return key.view(np.int64)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -188,61 +208,109 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = jumped
 
 
-def links(distinct: DataFrame, radius: int = 3, blocks: int | None = None, similarity: float | None = None) -> DataFrame:
+def deal(rows: DataFrame) -> DataFrame:
+    """rows (id, shard, weight) dealt to tasks: shard, tree, part, id, in_tree and asks.
+
+    Shards of one row have no link and go. Those over MOST_IN_TREE rows, or MOST_BYTES of weight, are cut
+    into parts, with a task for each pair (i, j), i <= j, of parts: tree i, asked by part j.
+    """
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).where("n > 1")
+    parts = F.greatest(F.ceil(F.col("n") / MOST_IN_TREE), F.ceil(F.col("weight") / MOST_BYTES)).cast("long")
+    sized = rows.drop("weight").join(sizes.select("shard", parts.alias("parts")), "shard")
+    own = F.pmod(F.xxhash64("id"), F.col("parts"))
+    other = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    sized = sized.withColumn("own", own).withColumn("other", F.explode(other))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return sized.withColumns({"tree": low, "part": high, "in_tree": F.col("own") == low, "asks": F.col("own") == high}).drop("own", "other", "parts")
+
+
+class Task:
+    """Rows of dealt shards in one task, with labels that start at each id's own."""
+
+    def __init__(self, table: pa.Table):
+        self.ids = table.column("id").to_numpy()
+        cells = np.stack([table.column(c).to_numpy() for c in ("shard", "tree", "part")])
+        self.cell = np.ravel(np.unique(cells, axis=1, return_inverse=True)[1])
+        self.t, self.q = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False).astype(bool)) for c in ("in_tree", "asks"))
+        self.order = np.argsort(self.ids, kind="stable")
+        self.rank = np.empty(len(self.ids), dtype=np.int64)
+        # labels are the first ranks of ids, so that a root is the least id and an id has one label in all shards
+        self.rank[self.order] = np.searchsorted(self.ids[self.order], self.ids[self.order], side="left")
+        self.label = np.arange(len(self.ids))
+
+    def apart(self, x, y) -> np.ndarray:
+        return self.label[self.rank[x]] != self.label[self.rank[y]]
+
+    def join(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.label = merge(self.label, self.rank[x], self.rank[y])
+
+    def edges(self) -> dict[str, np.ndarray]:
+        moved = np.flatnonzero(self.label != np.arange(len(self.ids)))
+        return {"a": self.ids[self.order[moved]], "b": self.ids[self.order[self.label[moved]]]}
+
+
+def tabled(batches) -> pa.Table | None:
+    """All batches of a task as a table in one piece, if there is a row."""
+    batches = list(batches)
+    table = pa.Table.from_batches(batches).combine_chunks() if batches else None
+    return table if table is not None and table.num_rows else None
+
+
+def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """Edges a, b (ids, a > b) of spanning forests of all shards, from fp (an array of words) and id.
 
-    fingerprints meet in a shard if one of `blocks` equal runs of their bits is the same; by
-    default there are radius + 1, so that none within the radius is missed. With similarity, a
-    link holds only if the column sketch estimates so much.
+    fingerprints meet in a shard if one of radius + 1 equal runs of their bits is the same, so that none
+    within the radius is missed.
     """
     size = len(distinct.select("fp").first()["fp"]) if not distinct.isEmpty() else 1
-    blocks = blocks or radius + 1
+    blocks = radius + 1
     edges = [round(64 * size * i / blocks) for i in range(blocks + 1)]
     run_of = lambda i: F.shiftrightunsigned(F.col("fp")[edges[i] // 64], edges[i] % 64).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    more = ["sketch"] if similarity is not None else []
-    dealt = distinct.select("fp", "id", *more, F.posexplode(F.array(*map(run_of, range(blocks)))).alias("block", "value")).withColumn("shard", F.col("value") * blocks + F.col("block"))
-    sizes = dealt.groupBy("shard").agg(F.count("*").alias("n"))
-    # shards with one fingerprint have no link; those over a tree's size are cut into parts
-    sized = dealt.join(sizes.where("n > 1").withColumn("parts", F.ceil(F.col("n") / MOST_IN_TREE).cast("long")), "shard")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    other = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
-    # a task for each pair (i, j), i <= j, of parts: tree i, searched by part j
-    sized = sized.select("shard", "fp", "id", *more, own.alias("own"), F.explode(other).alias("other"))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    sized = sized.select("fp", "id", *more, "shard", low.alias("tree"), high.alias("part"), (F.col("own") == low).alias("in_tree"), (F.col("own") == high).alias("asks"))
-    together = sized.repartition("shard", "tree", "part")
+    dealt = distinct.select("fp", "id", F.lit(0).alias("weight"), F.posexplode(F.array(*map(run_of, range(blocks)))).alias("block", "value"))
+    together = deal(dealt.withColumn("shard", F.col("value") * blocks + F.col("block")).drop("block", "value")).repartition("shard", "tree", "part")
 
     def run(batches):
-        batches = list(batches)
-        table = pa.Table.from_batches(batches) if batches else None
-        if table is None or not table.num_rows:
+        table = tabled(batches)
+        if table is None:
             return
-        fp, ids = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1), table.column("id").to_numpy()
-        cells = np.stack([table.column(c).to_numpy() for c in ("shard", "tree", "part")])
-        _, cell = np.unique(cells, axis=1, return_inverse=True)
-        cell = np.ravel(cell)
-        in_tree, asks = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("in_tree", "asks"))
-        t, q = np.flatnonzero(in_tree), np.flatnonzero(asks)
-        order = np.argsort(ids, kind="stable")
-        rank = np.empty(len(ids), dtype=np.int64)
-        # labels are the first ranks of ids, so that a root is the least id and an id has one label in all shards
-        rank[order] = np.searchsorted(ids[order], ids[order], side="left")
-        label = np.arange(len(ids))
-        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(ids), BINS) if more else None
-        forest = Forest(fp[t], cell[t])
-        for a, b in forest.search(fp[q], cell[q], radius):
+        task = Task(table)
+        fp = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
+        t, q = task.t, task.q
+        for a, b in Forest(fp[t], task.cell[t]).search(fp[q], task.cell[q], radius):
             a, b = q[a], t[b]
             for i in range(0, len(a), CHECKED):
                 x, y = a[i : i + CHECKED], b[i : i + CHECKED]
-                apart = label[rank[x]] != label[rank[y]]
-                x, y = x[apart], y[apart]
-                if sketches is not None and len(x):
-                    close = alike(sketches[x], sketches[y]) >= similarity
-                    x, y = x[close], y[close]
-                label = merge(label, rank[x], rank[y])
-        moved = np.flatnonzero(label != np.arange(len(ids)))
-        a, b = ids[order[moved]], ids[order[label[moved]]]
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                apart = task.apart(x, y)
+                task.join(x[apart], y[apart])
+        yield pa.RecordBatch.from_pydict(task.edges())
+
+    return bounded(together).mapInArrow(run, "a long, b long").distinct()
+
+
+def likely_links(together: DataFrame, least: float) -> DataFrame:
+    """Edges a, b of spanning forests of all shards, of pairs whose MinHash values (a byte of each in marks) agree in a share of least."""
+
+    def run(batches):
+        table = tabled(batches)
+        if table is None:
+            return
+        task = Task(table)
+        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        t = task.t[np.argsort(task.cell[task.t], kind="stable")]
+        low = np.searchsorted(task.cell[t], task.cell[task.q], side="left")
+        n = np.searchsorted(task.cell[t], task.cell[task.q], side="right") - low
+        before = np.concatenate([[0], np.cumsum(n)])
+        start = 0
+        while start < len(n):
+            stop = max(start + 1, int(np.searchsorted(before, before[start] + CHECKED, side="right")) - 1)
+            x = np.repeat(task.q[start:stop], n[start:stop])
+            y = t[np.arange(len(x)) + np.repeat(low[start:stop] - before[start:stop] + before[start], n[start:stop])]
+            apart = task.apart(x, y)
+            x, y = x[apart], y[apart]
+            agree = (marks[x] == marks[y]).mean(axis=1) >= least
+            task.join(x[agree], y[agree])
+            start = stop
+        yield pa.RecordBatch.from_pydict(task.edges())
 
     return bounded(together).mapInArrow(run, "a long, b long").distinct()
 
@@ -278,36 +346,36 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 32, margin: float = 0.03) -> DataFrame:
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.03) -> DataFrame:
     """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard).
 
-    Equal texts are one from the start. Then 256-bit fingerprints of distinct words find candidates (two texts
-    at 0.8 differ in some 16 bits of 256, unrelated ones in some 120); just those get sketches of
-    their shingles, and meet once more, now with a check of similarity less margin for the sketch's error.
+    Equal texts are one from the start. Texts that share a band of MinHash values are candidates. Those whose values
+    agree in a share of similarity less margin, for the estimate's error, are linked.
     """
 
     def mark(batches):
         for batch in steps(batches):
-            found = word_fingerprints(plain(batch.column("text"))).view(np.int64)
-            fp = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(found) + 1, 4, dtype=np.int32)), pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), batch.column("size"), fp], names=["doc_id", "same", "size", "fp"])
+            found = band_keys(minhashes(*shingle_rows(plain(batch.column("text")), shingle)))
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(found) + 1, BANDS, dtype=np.int32)), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), batch.column("size"), keys], names=["doc_id", "same", "size", "keys"])
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("same"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"))
-    marked = cut_lineage(bounded(keyed).mapInArrow(mark, docs.select("doc_id").schema.add("same", "long").add("size", "integer").add("fp", T.ArrayType(T.LongType()))))
-    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp")))
+    marked = cut_lineage(bounded(keyed).mapInArrow(mark, docs.select("doc_id").schema.add("same", "long").add("size", "integer").add("keys", T.ArrayType(T.LongType()))))
+    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys")))
     known = texts.where(F.col("id").isNotNull())
-    near = components(links(known, radius, BANDS))
-    members = cut_lineage(known.join(near, "id", "left_semi"))
+    shared = cut_lineage(deal(known.select("id", F.explode("keys").alias("shard"), F.lit(0).alias("weight"))))
+    members = cut_lineage(known.select("id", "same", "size").join(shared.select("id").distinct(), "id", "left_semi"))
 
     def outline(batches):
         for batch in steps(batches):
-            found = [sketch(shingle_hashes(t.encode(), shingle)) for t in plain(batch.column("text")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("fp"), pa.array(found, pa.binary())], names=["id", "fp", "sketch"])
-
-    some = small_enough(members.select("id", "same", "size", "fp"), MOST_GONE)
-    chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "fp", "text")
-    sketched = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, fp array<bigint>, sketch binary"))
-    found = components(links(sketched.dropDuplicates(["id"]), radius, BANDS, similarity - margin))
+            hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
+            marks = minhashes(hashes, offsets).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([m.tobytes() for m in marks], pa.binary())], names=["id", "marks"])
+
+    some = small_enough(members, MOST_GONE)
+    chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "text")
+    outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary").dropDuplicates(["id"]))
+    found = components(likely_links(shared.join(outlined, "id").repartition("shard", "tree", "part"), similarity - margin))
     of = texts.join(found, "id", "left").select("same", "size", F.coalesce("label", "id").alias("component_id"))
     return marked.join(of, ["same", "size"]).select("doc_id", "component_id")
 

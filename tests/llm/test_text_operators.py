@@ -527,3 +527,17 @@ def test_emissions_are_a_distribution():
 
 def test_sha_of_no_spans(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.sql("select sha2('', 256)").first()[0]
+
+
+def test_trimmed_and_extended_copies_are_candidates():
+    """Of 300 texts, each with a copy cut or lengthened to a similarity of some 0.8, all pairs share a band."""
+    rng = random.Random(9)
+    passage = lambda n: [f"{rng.choice('abcdefgh')}{int(rng.paretovariate(0.5)) % 5000}" for _ in range(n)]
+    texts = []
+    for i in range(300):
+        words = passage(rng.randint(60, 600))
+        n = round(len(words) * 0.82)
+        texts += [" ".join(words), " ".join(words[:n] if i % 2 else words + passage(len(words) - n))]
+    keys = op9_simhash.band_keys(op9_simhash.minhashes(*op9_simhash.shingle_rows(pa.array(texts, pa.large_string()), 5)))
+    assert (keys[::2] == keys[1::2]).any(axis=1).all()
+    assert (keys[::2] == np.roll(keys[::2], 1, axis=0)).sum() == 0
