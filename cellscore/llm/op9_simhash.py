@@ -17,7 +17,7 @@ then spread over shards by minimum labels with pointer jumping.
 given similarity may differ in many more bits (a trimmed or extended copy at 0.8 in some
 38 of 256), out of reach of an exact shard key. So `deduplicate`, which goes by the
 similarity of shingle sets, takes MinHash bands of the shingles as shard keys, and then
-compares all their values.
+compares the sets themselves.
 
 Defined results: null, empty or blank text has fingerprint zero, and is linked
 like any other; repeated rows share a fingerprint; the component is the least
@@ -315,6 +315,32 @@ def likely_links(together: DataFrame, least: float) -> DataFrame:
     return bounded(together).mapInArrow(run, "a long, b long").distinct()
 
 
+def exact_links(table: pa.Table, similarity: float, least: float) -> dict[str, np.ndarray]:
+    """Edges a, b of a spanning forest of the rows of one task of one shard whose sets (64-bit hashes in grams) have the similarity.
+
+    All pairs count, save those joined before and those that the sizes of their sets or their marks rule out.
+    """
+    task = Task(table)
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    grams = table.column("grams").to_pylist()
+    n = np.array([len(g) // 8 for g in grams])
+    first = np.cumsum(n) - n
+    known, code = np.unique(np.frombuffer(b"".join(grams), np.uint64), return_inverse=True)
+    for y in task.q:
+        x = task.t[task.apart(task.t, y)]
+        x = x[np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6]
+        x = x[(marks[x] == marks[y]).mean(axis=1) >= least]
+        if not len(x):
+            continue
+        held = np.zeros(len(known), dtype=bool)
+        held[code[first[y] : first[y] + n[y]]] = True
+        begin = np.cumsum(n[x]) - n[x]
+        both = np.add.reduceat(held[code[np.arange(n[x].sum()) + np.repeat(first[x] - begin, n[x])]], begin, dtype=np.int64)
+        alike = x[both / (n[x] + n[y] - both) >= similarity]
+        task.join(alike, np.full(len(alike), y))
+    return task.edges()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id and label (the least id of its component) of every id in edges (a, b), a > b.
 
@@ -346,11 +372,12 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.03) -> DataFrame:
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.15) -> DataFrame:
     """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard).
 
     Equal texts are one from the start. Texts that share a band of MinHash values are candidates. Those whose values
-    agree in a share of similarity less margin, for the estimate's error, are linked.
+    agree in a share of similarity less margin (over four standard deviations) form likely groups, and
+    in each of these the sets of shingles themselves decide.
     """
 
     def mark(batches):
@@ -370,12 +397,17 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
         for batch in steps(batches):
             hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
             marks = minhashes(hashes, offsets).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([m.tobytes() for m in marks], pa.binary())], names=["id", "marks"])
+            grams = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(grams, pa.binary())], names=["id", "marks", "grams"])
 
     some = small_enough(members, MOST_GONE)
     chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "text")
-    outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary").dropDuplicates(["id"]))
-    found = components(likely_links(shared.join(outlined, "id").repartition("shard", "tree", "part"), similarity - margin))
+    outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary, grams binary").dropDuplicates(["id"]))
+    likely = components(likely_links(shared.join(outlined.select("id", "marks"), "id").repartition("shard", "tree", "part"), similarity - margin))
+    weighed = likely.join(outlined.select("id", F.octet_length("grams").alias("weight")), "id").select("id", F.col("label").alias("shard"), "weight")
+    cells = deal(weighed).join(outlined, "id").groupBy("shard", "tree", "part")
+    decide = lambda table: pa.Table.from_pydict(exact_links(table, similarity, similarity - margin))
+    found = components(cells.applyInArrow(decide, "a long, b long").distinct())
     of = texts.join(found, "id", "left").select("same", "size", F.coalesce("label", "id").alias("component_id"))
     return marked.join(of, ["same", "size"]).select("doc_id", "component_id")
 

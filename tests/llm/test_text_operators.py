@@ -541,3 +541,20 @@ def test_trimmed_and_extended_copies_are_candidates():
     keys = op9_simhash.band_keys(op9_simhash.minhashes(*op9_simhash.shingle_rows(pa.array(texts, pa.large_string()), 5)))
     assert (keys[::2] == keys[1::2]).any(axis=1).all()
     assert (keys[::2] == np.roll(keys[::2], 1, axis=0)).sum() == 0
+
+
+def test_trimmed_and_extended_copies_go_and_those_below_stay(spark):
+    """Copies cut or lengthened to a similarity of 0.80 to 0.85 go, those at 0.75 to 0.79 stay."""
+    rng = random.Random(9)
+    passage = lambda n: [f"{rng.choice('abcdefgh')}{int(rng.paretovariate(0.5)) % 5000}" for _ in range(n)]
+    rows, near = [], {}
+    for base in range(120):
+        words = passage(rng.randint(100, 600))
+        share = rng.uniform(0.802, 0.85) if base % 2 else rng.uniform(0.75, 0.79)
+        n = round(len(words) * share)
+        other = words[:n] if base % 3 else words + passage(round(len(words) / share) - len(words))
+        rows += [(2 * base, " ".join(words)), (2 * base + 1, " ".join(other))]
+        near[2 * base + 1] = jaccard(rows[-2][1], rows[-1][1]) >= 0.8
+    assert 40 < sum(near.values()) < 80
+    kept = {r["doc_id"] for r in op9_simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert {i for i, _ in rows} - kept == {i for i, close in near.items() if close}
