@@ -9,21 +9,24 @@ from, so that spans of any layer are reported in the text's own code points.
 
 Defined results: null text is empty and has no span; spans are a set, so that
 one found on several layers counts once; base spans (first layer) always stay;
-a base64 run that decodes to neither text nor a known compressed form is not a
-layer; rows are independent, so repeated rows repeat their spans; other columns
-are kept as they are, whatever their names. Decompression stops a payload at
-most_bytes (a guard against bombs; far above what a document's text can hold).
+a base64 run may go over line breaks, and counts line by line as well; if it does not decode
+to text as a whole, then its readable stretches and compressed payloads are layers, whatever is
+glued on before or after them; rows are independent, so repeated rows repeat their spans; other columns
+are kept as they are, whatever their names. All members of a payload are decompressed to
+the end, and are scanned in pieces of most_bytes that overlap (a guard of memory against bombs).
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +44,20 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run over line breaks, the lines indented or not.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BLANK = str.maketrans("", "", "\r\n\t ")
+#: Where a compressed payload may start, and readable UTF-8 as long as the shortest secret.
+MAGIC = re.compile(rb"\x1f\x8b|x[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00")
+STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
+#: Bytes that a decompressor gives at once, and characters that two pieces of a payload share.
+CHUNK, OVERLAP = 1 << 16, 1 << 20
 
 #: What a text must match (in RE2) to be looked at row by row.
 CANDIDATE = (
     r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
     r"|%[0-9A-Fa-f]{2}|\\u\{|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{16}"
+    r"|[A-Za-z0-9+/_-]\r?\n[\x20\t]*[A-Za-z0-9+/_-]"
 )
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("depth", T.IntegerType())]))
@@ -62,22 +74,59 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def unpack(raw: bytes, most_bytes: int) -> bytes | None:
-    """raw decompressed if it starts as gzip, zlib, bzip2 or xz do; None otherwise or if it is broken."""
+def _opened(raw):
+    """A decompressor if raw starts as gzip, zlib, bzip2 or xz do."""
     if raw[:2] == b"\x1f\x8b":
-        worker = zlib.decompressobj(31)
-    elif len(raw) > 2 and raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0:
-        worker = zlib.decompressobj(15)
-    elif raw[:3] == b"BZh":
-        worker = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        worker = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        return worker.decompress(raw, most_bytes)
-    except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
-        return None
+        return zlib.decompressobj(31)
+    if len(raw) > 2 and raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0:
+        return zlib.decompressobj(15)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def unpack(raw) -> Iterator[bytes]:
+    """What raw holds decompressed, in chunks, member by member; it ends where the data are broken or at their end."""
+    while (worker := _opened(raw)) is not None:
+        try:
+            chunk = worker.decompress(raw, CHUNK)
+            while True:
+                if chunk:
+                    yield chunk
+                if worker.eof:
+                    break
+                rest = getattr(worker, "unconsumed_tail", b"")
+                if not chunk and not rest:
+                    return
+                chunk = worker.decompress(rest, CHUNK) if rest or not getattr(worker, "needs_input", False) else b""
+        except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+            return
+        raw = worker.unused_data
+
+
+def pieces(chunks: Iterator[bytes], most_bytes: int) -> Iterator[str]:
+    """Text of chunks in pieces of some most_bytes, each with the end of the one before; those that are not readable are left out."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    overlap = min(OVERLAP, most_bytes // 2)
+    tail, held, size = "", [], 0
+    for chunk in chunks:
+        held.append(decoder.decode(chunk))
+        size += len(chunk)
+        if size >= most_bytes:
+            text = tail + "".join(held)
+            if mostly_shown(text):
+                yield text
+            tail, held, size = text[-overlap:], [], 0
+    last = "".join(held) + decoder.decode(b"", True)
+    if last and mostly_shown(tail + last):
+        yield tail + last
+
+
+def mostly_shown(text: str) -> bool:
+    """Whether text is nearly all printable; what is not UTF-8 (U+FFFD) is not."""
+    return sum((c.isprintable() and c != "\ufffd") or c in "\n\r\t" for c in text) >= 0.95 * len(text)
 
 
 def readable(raw: bytes) -> str | None:
@@ -142,23 +191,39 @@ def layers(text: str, most_bytes: int):
     if "\\" in text and (x := _whole(text, ESCAPE, _escape)):
         yield x
     for m in BASE64.finditer(text):
-        run = m.group()
-        if run[1:].islower() or run.isdigit():
-            continue
-        core = run.rstrip("=").replace("-", "+").replace("_", "/")
-        core = core[:-1] if len(core) % 4 == 1 else core
-        raw = base64.b64decode(core + "=" * (-len(core) % 4))
-        unpacked = unpack(raw, most_bytes)
-        inner = readable(raw if unpacked is None else unpacked)
-        if inner is None:
-            continue
-        if unpacked is None:
-            widths = np.array([len(c.encode("utf-8")) for c in inner])
-            last = np.cumsum(widths)
-            first = last - widths
-            yield inner, m.start() + first // 3 * 4 + first % 3, m.start() + np.minimum((last - 1) // 3 * 4 + (last - 1) % 3 + 2, len(core))
-        else:
-            yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end())
+        yield from _base64(m, most_bytes)
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            yield from _base64(m, most_bytes)
+
+
+def _base64(m: re.Match, most_bytes: int):
+    """Layers of a base64 run: its text as a whole, or else the payloads and readable stretches at each of the four alignments."""
+    run = m.group().translate(BLANK)
+    if len(run.rstrip("=")) < 16 or run[1:].islower() or run.isdigit():
+        return
+    core = run.rstrip("=").replace("-", "+").replace("_", "/")
+    at = np.arange(m.start(), m.end()) if len(run) == m.end() - m.start() else m.start() + np.flatnonzero([c not in "\r\n\t " for c in m.group()])
+
+    def mapped(inner: str, skipped: int, start: int):
+        widths = np.array([len(c.encode("utf-8")) for c in inner])
+        last = start + np.cumsum(widths)
+        first = last - widths
+        return inner, at[skipped + first // 3 * 4 + first % 3], at[np.minimum(skipped + (last - 1) // 3 * 4 + (last - 1) % 3 + 2, len(core)) - 1] + 1
+
+    for skipped in range(4):
+        part = core[skipped:]
+        part = part[:-1] if len(part) % 4 == 1 else part
+        raw = base64.b64decode(part + "=" * (-len(part) % 4))
+        if skipped == 0 and _opened(raw) is None and (inner := readable(raw)) is not None:
+            yield mapped(inner, 0, 0)
+            return
+        for x in MAGIC.finditer(raw):
+            begin = at[skipped + x.start() // 3 * 4 + x.start() % 3]
+            for inner in pieces(unpack(raw[x.start() :]), most_bytes):
+                yield inner, np.broadcast_to(begin, len(inner)), np.broadcast_to(np.int64(m.end()), len(inner))
+        for x in STRETCH.finditer(raw):
+            yield mapped(x.group().decode("utf-8"), skipped, x.start())
 
 
 def scan_text(text: str, most_bytes: int = 1 << 26) -> list[tuple[str, int, int, int]]:

@@ -233,6 +233,26 @@ def test_worklist_ends_on_cycles_and_bombs():
     assert op5_secrets.scan_text(base64.b64encode(b"\x78\x9cbroken stream").decode()) == []
 
 
+def test_wrapped_and_glued_layers_and_payloads_of_any_length():
+    """Base64 in lines, with words glued on, and payloads of several members or beyond a piece."""
+    line = lambda s, n: "\n".join(s[i : i + n] for i in range(0, len(s), n))
+    filler = " ".join(f"w{i * 7919 % 10007}" for i in range(300))
+    plain = base64.b64encode(f"{'x ' * 26}{PLANTED}".encode()).decode()
+    packed = base64.b64encode(gzip.compress(f"{filler} {PLANTED} {filler}".encode(), mtime=0)).decode()
+    members = base64.b64encode(gzip.compress(filler.encode(), mtime=0) + gzip.compress(PLANTED.encode(), mtime=0)).decode()
+    long = base64.b64encode(zlib.compress(("é" * 3001 + " " + "z " * 40000 + PLANTED).encode())).decode()
+    coded = base64.b64encode(PLANTED.encode()).decode().rstrip("=")
+    wrapped = [line(plain, 76), line(plain, 10), line(packed, 64), line(packed, 76).replace("\n", "\r\n  "), members, long]
+    wrapped += [f"https://h/cb/{coded}", f"id-{coded}", f"A_{coded}/download", f"KeyX{coded}", f"Ke{packed}"]
+    for inner in wrapped:
+        found = op5_secrets.scan_text(f"été {inner} fin", most_bytes=4001)
+        assert {"assign", "access"} <= {s[0] for s in found if s[3]}, inner[:40]
+        assert all(4 <= a < b <= 4 + len(inner) for _, a, b, _ in found), inner[:40]
+    text = f"go {line(plain, 76)} on"
+    a, b = next((a, b) for kind, a, b, _ in op5_secrets.scan_text(text) if kind == "access" and base64.b64decode(text[3 : b + 9].replace("\n", "")[: (b - 3) // 4 * 4]).find(b"AKIA") > 0)
+    assert text[a:b].count("\n") <= 1 and op5_secrets._candidates(pa.array([line(plain, 10)], pa.large_string())).tolist() == [0]
+
+
 def test_secret_query_rows(spark, docs, empty):
     rows = [(1, None), (2, ""), (3, f"{PLANTED} 0123456789abcdef01234567"), (3, f"{PLANTED} 0123456789abcdef01234567"), (4, "Token='abc' API_KEY:abcdef ſecret=abcdef"), (5, "AKIA" + "A" * 15), (6, "x " * 20000 + "passwd: Zz9999")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as kind", "'q' as secrets")
