@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscore.plans import small_enough
+from cellscore.plans import cut_lineage, small_enough
 
 #: Vectors of one block; a block is a row.
 BLOCK = 2048
@@ -76,7 +76,10 @@ def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: s
 
 
 def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, reach: float = 1.35, bucket: float = 2.0, tables: int = 8) -> DataFrame:
-    """Approximate neighbours by random projections: those within reach that share a bucket in one of the tables."""
+    """Approximate neighbours by random projections: those within reach that share a bucket in one of the tables.
+
+    Cells with fewer than k of these (outliers, or vectors of other norms) go to the exact search.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
@@ -85,7 +88,10 @@ def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, re
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=7).fit(r)
     pairs = model.approxSimilarityJoin(q, r, reach, "distance").select("datasetA.cell_id", "datasetB.cas_cell_index", "distance")
     rank = F.row_number().over(Window.partitionBy("cell_id").orderBy("distance", "cas_cell_index"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+    near = cut_lineage(pairs.withColumn("rank", rank).where(F.col("rank") <= k))
+    full = near.where(F.col("rank") == k).select("cell_id")
+    rest = queries.join(full, "cell_id", "left_anti")
+    return near.join(full, "cell_id", "left_semi").unionByName(knn_search(rest, references, k))
 
 
 def neighbor_summary_stats(neighbors: DataFrame) -> DataFrame:

@@ -141,3 +141,14 @@ def test_sources_round_trip_and_guards(spark, tmp_path):
         io.collect_runs(files, ["a", "b"])
     with pytest.raises(ValueError):
         nb.query_cells_by_ids(cells, cells, ["no such"])
+
+
+def test_approximate_search_gives_outliers_their_neighbours(spark):
+    """Cells far from all references, beyond reach or in buckets of their own, get k rows, and the exact ones."""
+    rng = np.random.default_rng(3)
+    refs = [(i, [float(v) for v in rng.normal(size=8) * 0.1]) for i in range(40)]
+    cells = [(0, refs[0][1]), (1, [30.0] * 8), (2, [-1.0, 1.0] * 4)]
+    q, r = spark.createDataFrame(cells, "cell_id long, embedding array<double>"), spark.createDataFrame(refs, "cas_cell_index long, embedding array<double>")
+    found = {(x["cell_id"], x["rank"]): x["cas_cell_index"] for x in nb.knn_search_approx(q, r, 5).collect()}
+    exact = {(x["cell_id"], x["rank"]): x["cas_cell_index"] for x in nb.knn_search(q, r, 5).collect()}
+    assert len(found) == 15 and all(found[c, n] == exact[c, n] for c in (1, 2) for n in range(1, 6))
