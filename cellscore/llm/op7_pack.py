@@ -6,17 +6,27 @@ longer than a window, anywhere), so that padding plus penalties for cut
 documents is least. The cost of a window that needs padding is linear in its
 start, so the best start is kept in a monotone queue of cut points; a window
 whose length is a power of two needs no padding, and its few possible starts
-are looked up. The stream is worked off in spans of SPAN ids, each closed by a cut.
+are looked up.
 
-Defined results: null text is empty and is just its end id; repeated rows are
+The stream is worked off in spans of some SPAN ids. A window that lies over the
+end of a span starts less than a window before it, so the program is run up to
+the span's last cut point, and only the cuts that all possible starts have in common
+are kept; the ids behind them go to the next span. The cuts of a partition
+thus cost as little as those of one program over all of it.
+
+Defined results: null text is empty and is just its end id; a null doc_id is packed
+like any other; repeated rows are
 packed each; an empty table gives no row; ids of a sequence are unique over
 partitions, and gaps between them are allowed; other columns are ignored,
-whatever their names.
+whatever their names. A task holds a span and the longest run of ids without an
+agreed cut, which is some windows, or a document of a single sentence.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import deque
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +37,7 @@ from pyspark.sql import functions as F
 from cellscore.llm.arrays import bounded, cut_binary, give_back, plain, steps
 from cellscore.llm.tokens import encoder
 
-#: Ids of one dynamic program.
+#: Ids that are taken up at once.
 SPAN = 1 << 18
 
 
@@ -53,8 +63,8 @@ def cut_points(length: int, documents: np.ndarray, sentences: np.ndarray, window
     return points[1:], cost[points[1:]]
 
 
-def plan(points: np.ndarray, penalty: np.ndarray, window: int) -> np.ndarray:
-    """The cuts (ascending, without 0, with the last point) of least padding plus penalties.
+def solve(points: np.ndarray, penalty: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """Places (0, then points) and, for each, the index of the cut before it on the best way there.
 
     best[j] = penalty[j] + min over i of best[i] + padding(points[j] - points[i]):
     with padding, window - length is linear in points[i], so candidates wait in a
@@ -95,60 +105,111 @@ def plan(points: np.ndarray, penalty: np.ndarray, window: int) -> np.ndarray:
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, end, j))
-    cuts, j = [], len(ends) - 1
+    return ends, back
+
+
+def way(ends: list[int], back: list[int], j: int) -> np.ndarray:
+    """The cuts on the best way to the place j, ascending."""
+    cuts = []
     while j:
         cuts.append(ends[j])
         j = back[j]
     return np.array(cuts[::-1], dtype=np.int64)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = 1024, penalties: tuple[float, float] = (2.0, 32.0)) -> DataFrame:
-    """Pieces of docs (doc_id, text): doc_id, start, length, ids (uint32, little-endian), doc_tokens, sequence_id, offset.
+def plan(points: np.ndarray, penalty: np.ndarray, window: int) -> np.ndarray:
+    """The cuts (ascending, without 0, with the last point) of least padding plus penalties."""
+    ends, back = solve(points, penalty, window)
+    return way(ends, back, len(ends) - 1)
+
+
+def agreed(length: int, documents: np.ndarray, sentences: np.ndarray, window: int, penalties: tuple[float, float]) -> np.ndarray:
+    """The first cuts of a stream of which just the first length ids are known: those that hold whatever follows.
+
+    Ids behind the last end of a document or sentence may be cut in another way once the next
+    end is known, so the program stops there. The cut before the first one behind that
+    place is less than a window away; what the best ways to all such cuts have in common is settled.
+    """
+    natural = np.union1d(documents, sentences)
+    last = int(natural[-1]) if len(natural) else 0
+    if last == 0:
+        return np.zeros(0, np.int64)
+    points, penalty = cut_points(last, documents[documents <= last], sentences, window, penalties)
+    ends, back = solve(points, penalty, window)
+    open_ = [-j for j in range(int(np.searchsorted(ends, last - window, side="right")), len(ends))]
+    heapify(open_)
+    while len(open_) > 1:  # the latest of the places gives way to the cut before it, until one is left
+        j = -heappop(open_)
+        if not open_ or -open_[0] != j:
+            heappush(open_, -back[j])
+    j = -open_[0]
+    ends_of = set(natural.tolist())
+    while j and ends[j] not in ends_of:  # cuts inside a long sentence are worked out anew from its start
+        j = back[j]
+    return way(ends, back, j)
+
+
+def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = 1024, penalties: tuple[float, float] = (2.0, 32.0), with_ids: bool = True) -> DataFrame:
+    """Pieces of docs (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with_ids, ids (uint32, little-endian).
 
     tokenizer is a file of the tokenizers library that executors can read (by
     default the public byte-level one). A sentence ends after an id whose text
     ends in a full stop, exclamation or question mark, or holds a line end.
     """
     path = tokenizer or public_tokenizer("byte_bpe_50k.json")
-    schema = docs.select("doc_id").schema.add("start", "long").add("length", "long").add("ids", "binary").add("doc_tokens", "long").add("sequence_id", "long").add("offset", "long")
+    schema = docs.select("doc_id").schema
+    for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"):
+        schema = schema.add(name, "long")
+    schema = schema.add("ids", "binary") if with_ids else schema
 
     def run(batches):
         coder = encoder(path)
-        vocabulary = coder.tokenizer.get_vocab()
-        closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for token, i in vocabulary.items():
+        closing = np.zeros(max(coder.vocabulary.values()) + 1, dtype=bool)
+        for token, i in coder.vocabulary.items():
             closing[i] = token[-1:] in (".", "!", "?") or "Ċ" in token  # the byte-level sign of a line end
         closing[end_id] = True
         task = TaskContext.get()
         sequences = (task.partitionId() if task else 0) << 40
 
-        def close(held: list) -> pa.RecordBatch:
+        def close(held: list, final: bool) -> tuple[pa.RecordBatch | None, list]:
+            """The pieces of the settled windows of what is held, and the rest."""
             nonlocal sequences
             names = pa.concat_arrays([x[0] for x in held])
-            sizes = np.concatenate([x[1] for x in held])
-            skipped = np.concatenate([x[2] for x in held])  # ids of the document in earlier spans
-            whole = np.concatenate([x[3] for x in held])
-            flat = np.concatenate([x[4] for x in held])
+            sizes, skipped, whole, flat = (np.concatenate([x[i] for x in held]) for i in range(1, 5))  # skipped: ids of the document that are settled
+            first = np.flatnonzero(np.concatenate([[True], skipped[:-1] + sizes[:-1] == whole[:-1]]))  # else the row goes on with the document before it
+            names, sizes, skipped, whole = names.take(pa.array(first)), np.add.reduceat(sizes, first), skipped[first], whole[first]
             ends = np.cumsum(sizes)
-            points, penalty = cut_points(len(flat), ends, np.flatnonzero(closing[flat]) + 1, window, penalties)
-            cuts = plan(points, penalty, window)
+            # the last document of what is held may go on behind it
+            done = ends if skipped[-1] + sizes[-1] == whole[-1] else ends[:-1]
+            sentences = np.flatnonzero(closing[flat]) + 1
+            if final:
+                cuts = plan(*cut_points(len(flat), ends, sentences, window, penalties), window)
+            else:
+                cuts = agreed(len(flat), done, sentences, window, penalties)
+            if not len(cuts):
+                return None, [(names, sizes, skipped, whole, flat)]
+            upto = int(cuts[-1])
             begins = np.concatenate([[0], cuts[:-1]])
-            edges = np.union1d(ends, cuts)
+            edges = np.union1d(ends[ends < upto], cuts)
             a = np.concatenate([[0], edges[:-1]])
             doc, sequence = np.searchsorted(ends, a, side="right"), np.searchsorted(cuts, a, side="right")
-            out = pa.RecordBatch.from_arrays(
-                [
-                    names.take(pa.array(doc)), pa.array(a - (ends - sizes)[doc] + skipped[doc]), pa.array(edges - a),
-                    cut_binary(flat.astype("<u4").tobytes(), 4 * edges),
-                    pa.array(whole[doc]), pa.array(sequences + sequence), pa.array(a - begins[sequence]),
-                ],
-                names=schema.names,
-            )
+            raw = flat[:upto].astype("<u4").tobytes()
+            view = memoryview(raw)
+            sums = [zlib.crc32(view[4 * x : 4 * y]) for x, y in zip(a.tolist(), edges.tolist())]
+            columns = [
+                names.take(pa.array(doc)), pa.array(a - (ends - sizes)[doc] + skipped[doc]), pa.array(edges - a), pa.array(sums, pa.int64()),
+                pa.array(whole[doc]), pa.array(sequences + sequence), pa.array(a - begins[sequence]),
+            ]
+            out = pa.RecordBatch.from_arrays([*columns, cut_binary(raw, 4 * edges)] if with_ids else columns, names=schema.names)
             sequences += len(cuts)
-            return out
+            left = int(np.searchsorted(ends, upto, side="right"))  # the first document with ids left
+            if left == len(ends):
+                return out, []
+            used = np.maximum(upto - (ends - sizes)[left:], 0)
+            return out, [(names.slice(left), sizes[left:] - used, skipped[left:] + used, whole[left:], flat[upto:])]
 
         held, room = [], SPAN
-        for batch in steps(batches, size=1 << 20):
+        for batch in steps(batches, size=2 << 20):
             ids, offsets = coder.encode(plain(batch.column("text")))
             n = batch.num_rows
             ids = np.insert(ids, offsets[1:], end_id)
@@ -163,10 +224,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
                 room -= stop - at
                 at = stop
                 if room == 0:
-                    yield close(held)
-                    held, room = [], SPAN
+                    out, held = close(held, False)
+                    room = max(SPAN, sum(len(x[4]) for x in held))  # twice as much is looked at if little was settled
+                    if out is not None:
+                        yield out
         if held:
-            yield close(held)
+            yield close(held, True)[0]
         give_back()
 
     return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
@@ -174,5 +237,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: pieces of all documents in windows of 1024 ids."""
-    pieces = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)

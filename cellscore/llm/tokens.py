@@ -4,6 +4,8 @@ The library splits a text into pieces before it merges bytes, and no merge
 crosses a piece. A space before anything but white space always starts a piece, so
 the text may be cut there and each part encoded by itself; the library then
 encodes each distinct part once, and texts are put together from the cache.
+New words go to the library many at a time, one after another in a text, as each call
+costs as much as several words; the ids' own lengths or ends tell where each word ends.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ SIGN = "\x01"
 UNUSUAL = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}][\s\p{Z}\x{1C}-\x{1F}\x{85}]|^\n|[ \n]$|\x{01}"
 #: Pieces also end between a small letter and a full stop or comma: many words share their letters.
 STOP = r"(\p{Ll})([.,])"
+#: Words that go to the library as one text.
+TOGETHER = 256
 
 
 class Encoder:
@@ -35,7 +39,7 @@ class Encoder:
     that was used most stays; that costs time but changes no id.
     """
 
-    def __init__(self, path: str, most_parts: int = 200_000):
+    def __init__(self, path: str, most_parts: int = 400_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would take others' and hold memory
@@ -43,6 +47,13 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.most_parts = most_parts
+        self.vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: bytes of each token, and whether it ends a piece; the one or the other tells words in a row apart
+        self.sizes, self.closing = np.zeros(1 + max(self.vocabulary.values()), np.int64), np.zeros(1 + max(self.vocabulary.values()), bool)
+        for token, i in self.vocabulary.items():
+            self.sizes[i], self.closing[i] = len(token), bool(suffix) and token.endswith(suffix)
+        self.by_end, self.by_size = bool(suffix), not suffix and self.tokenizer.normalizer is None
         self.codes: dict[str, int] = {}
         self.ids, self.starts, self.lengths, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -74,13 +85,38 @@ class Encoder:
         self.uses = uses
         give_back()
 
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in a row, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(found)), np.int32), np.array(list(map(len, found)), np.int64)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """As _library, for a space and letters each, many in a text; none if the ids don't tell them apart."""
+        if not words or not (self.by_end or self.by_size):
+            return None
+        ids, _ = self._library(["".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)])
+        if self.by_end:  # each word is a piece at least, so as many ends as words are one each
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) != len(words):
+                return None
+        else:
+            upto = np.cumsum(self.sizes[ids])
+            wanted = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+            ends = np.searchsorted(upto, wanted) + 1
+            if upto[-1] != wanted[-1] or (upto[ends - 1] != wanted).any():
+                return None
+        return ids, np.diff(ends, prepend=0)
+
     def _codes(self, parts: list[str]) -> np.ndarray:
         missing = [p for p in parts if p not in self.codes]
         if missing:
             missing = list(dict.fromkeys(missing))
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
-            lengths = np.array(list(map(len, found)), np.int64)
-            self._append(missing, np.array(list(chain.from_iterable(found)), np.int32), lengths)
+            words = [p for p in missing if p[:1] == " " and p[1:].isalpha()]
+            coded = self._words(words)
+            if coded is not None:
+                self._append(words, *coded)
+                missing = [p for p in missing if p not in self.codes]
+            self._append(missing, *self._library(missing))
         return np.array([self.codes[p] for p in parts], np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

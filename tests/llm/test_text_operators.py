@@ -337,7 +337,33 @@ def test_cuts_are_optimal():
         assert total == pytest.approx(brute_plan(points.tolist(), penalty.tolist(), window))
 
 
-def test_packing(docs, empty, monkeypatch):
+def test_settled_cuts_cost_what_one_program_costs():
+    """A stream taken up span by span, only agreed cuts kept, against one program over all of it."""
+    rng = random.Random(12)
+    for _ in range(150):
+        n, window, penalties = rng.randint(40, 400), rng.choice([8, 16]), (2.0, 9.0)
+        documents = np.array(sorted({n, *rng.sample(range(1, n + 1), rng.randint(0, 6))}))
+        sentences = np.array(sorted(rng.sample(range(1, n + 1), n // rng.choice([5, 40, 200]))), dtype=np.int64)
+        at, known, cuts = 0, 0, []
+        while known < n:
+            known = min(n, known + rng.randint(1, 60))
+            inside = lambda x: x[(x > at) & (x <= known)] - at  # noqa: B023, E731
+            if known == n:
+                found = op7_pack.plan(*op7_pack.cut_points(n - at, inside(documents), inside(sentences), window, penalties), window)
+            else:
+                found = op7_pack.agreed(known - at, inside(documents), inside(sentences), window, penalties)
+            cuts += (at + found).tolist()
+            at = cuts[-1] if cuts else 0
+        points, penalty = op7_pack.cut_points(n, documents, sentences, window, penalties)
+        cost, lengths = dict(zip(points.tolist(), penalty.tolist())), np.diff([0, *cuts])
+        assert cuts[-1] == n and 0 < lengths.min() and lengths.max() <= window
+        total = sum(cost.get(c, penalties[1]) for c in cuts) + sum(0 if k & (k - 1) == 0 else window - k for k in lengths.tolist())
+        assert total == pytest.approx(brute_plan(points.tolist(), penalty.tolist(), window))
+
+
+@pytest.mark.parametrize("span", [1 << 18, 700])
+def test_packing(docs, empty, monkeypatch, span):
+    monkeypatch.setattr(op7_pack, "SPAN", span)
     pieces = op7_pack.pack(docs).collect()
     library = Encoder(op7_pack.public_tokenizer("byte_bpe_50k.json")).tokenizer
     rows = collections.Counter(i for i, _, _, _ in fixture_rows())
@@ -345,7 +371,7 @@ def test_packing(docs, empty, monkeypatch):
     got = collections.defaultdict(list)
     for p in pieces:
         ids = np.frombuffer(bytes(p["ids"]), "<u4").tolist()
-        assert p["length"] == len(ids) > 0 and ids == expected[p["doc_id"]][p["start"] : p["start"] + len(ids)] and p["doc_tokens"] == len(expected[p["doc_id"]])
+        assert p["ids_crc32"] == zlib.crc32(bytes(p["ids"])) and p["length"] == len(ids) > 0 and ids == expected[p["doc_id"]][p["start"] : p["start"] + len(ids)] and p["doc_tokens"] == len(expected[p["doc_id"]])
         got[p["doc_id"]].append((p["start"], p["length"]))
     assert {i: sum(n for _, n in v) for i, v in got.items()} == {i: k * len(expected[i]) for i, k in rows.items()}
     windows = collections.defaultdict(list)
