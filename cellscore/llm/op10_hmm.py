@@ -1,25 +1,31 @@
 """A hidden Markov language model trained by Baum-Welch over the whole corpus.
 
-Words are counted over all training texts. The commonest words (the head, a
-bounded table) are symbols of their own; all others, known or not, share one
-symbol, inside which a word has its smoothed unigram share. So what is broadcast
-is bounded, while each rare word still gets its exact probability by a join
+Words are counted over all training texts. The commonest (the head, up to
+most_head words) are symbols of their own; every other word, known or not, belongs by its hash to
+one of CLASSES classes, which are symbols too, and inside which a word has its smoothed
+share of the counts. So each word's emission depends on the state, what is broadcast
+is bounded, and each rare word still gets its exact count by a join
 that has no hot key. Texts are written once as symbol ids to the shared
 checkpoint folder; each Baum-Welch round reads them, adds up the expected counts of
-its tasks in Spark, and sends the driver one row for each symbol. A score is
-the exact likelihood: the scaled forward recursion is run on segments as
-products of matrices, so that a long text takes no longer chain of steps than a
-short one, and joined over the segments of a text.
+its tasks in Spark, and sends the driver one row for each symbol. Rounds end when the
+likelihood of the training texts gains less than a tolerance, or after a number of them.
+
+A long text is cut into segments, so that it takes no longer chain of steps than a
+short one, but it stays one sequence: the products of a segment's matrices carry
+the forward messages into it and the backward messages out of it, in training as in scoring.
+Counts and scores are thus those of the whole text, by scaled recursions.
 
 Defined results: null text is empty and has the end token alone; without a
 training text every probability is 1 and every score 0; repeated rows are scored
-alike, and count each time in training; an empty table gives no row; other columns
-are ignored, whatever their names.
+alike, and count each time in training; a null doc_id is a row like any other; an
+empty table gives no row; other columns are ignored, whatever their names. The written
+texts stay in the checkpoint folder, whose owner clears it, as the result is read from them.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +41,10 @@ from cellscore.plans.lineage import checkpoint_folder, cut_lineage
 
 #: Tokens of a segment; lock-step arrays are as long as this.
 SEGMENT = 256
+#: Classes of the words outside of the head (a power of two).
+CLASSES = 1 << 15
+#: Tasks of a training round for each core of the cluster, at most.
+TASKS_A_CORE = 6
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
@@ -55,10 +65,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Unigram:
-    """Counts of the corpus: head words (commonest first), their counts, and totals. Symbols: the head, then the rest, then the end."""
+    """Counts of the corpus: head words (commonest first) and their counts, words and counts by class, and totals.
+
+    Symbols: the head, then the classes, then the end.
+    """
 
     head: pa.Array
     counts: np.ndarray
+    class_words: np.ndarray
+    class_counts: np.ndarray
     total: int
     distinct: int
     texts: int
@@ -69,40 +84,44 @@ class Unigram:
 
     @property
     def shares(self) -> np.ndarray:
-        """Smoothed probability of each symbol; that of the rest holds all other known words and one unknown."""
-        known = self.distinct - len(self.head) - (self.texts > 0)
-        rest = self.total - self.texts - self.counts.sum() + 0.5 * known + 0.5
-        return np.concatenate([self.counts + 0.5, [rest, self.texts + 0.5]]) / self.size
+        """Smoothed share of each symbol; that of a class holds its known words and one unknown."""
+        return np.concatenate([self.counts + 0.5, self.class_counts + 0.5 * self.class_words + 0.5, [self.texts + 0.5]]) / self.size
 
     @property
     def kept(self) -> np.ndarray:
         """Share of each symbol's counts that a state keeps; a discount by word type goes to the back-off."""
-        known = self.distinct - len(self.head) - (self.texts > 0)
-        types = np.concatenate([np.ones(len(self.head)), [known, self.texts > 0]])
-        counts = np.concatenate([self.counts, [self.total - self.texts - self.counts.sum(), self.texts]])
-        return 1 - 0.75 * types / np.maximum(counts, 1)
+        types = np.concatenate([np.ones(len(self.head)), self.class_words, [self.texts > 0]])
+        return 1 - 0.75 * types / np.maximum(np.concatenate([self.counts, self.class_counts, [self.texts]]), 1)
 
     @property
     def backoff(self) -> np.ndarray:
-        """Probability of each symbol by word types alone: an unknown word weighs a third of a known one."""
-        known = self.distinct - len(self.head) - (self.texts > 0)
-        weights = np.concatenate([np.full(len(self.head), 1.5), [1.5 * known + 0.5, 1.5]])
+        """Probability of each symbol by word types alone: a class's unknown word weighs a third of a known one."""
+        weights = np.concatenate([np.full(len(self.head), 1.5), 1.5 * self.class_words + 0.5, [1.5]])
         return weights / weights.sum()
 
 
-def unigram(counts: DataFrame, texts: int, most_head: int) -> Unigram:
-    """The unigram model with at most most_head head words: those of a count at or over the least power of 2^(1/8) that leaves no more."""
+def unigram(counts: DataFrame, texts: int, most_head: int) -> tuple[Unigram, int]:
+    """The unigram model with at most most_head head words, and the least count of these.
+
+    The head is all words of at least that count: the smallest that leaves no more than most_head. What
+    comes to the driver is a row for each 2^(1/8) of counts, the head and a row a class.
+    """
     level = F.floor(F.log2("n") * 8).cast("long")
-    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("n").alias("n"), F.min("n").alias("least")).collect()
     total, distinct = sum(r["n"] for r in levels), sum(r["words"] for r in levels)
-    bound, held = None, 0
+    least, held = None, 0
     for r in sorted(levels, key=lambda r: -r["level"]):
         if held + r["words"] > most_head:
             break
-        held, bound = held + r["words"], r["level"]
-    head = counts.where(level >= bound).toArrow() if bound is not None else pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
-    head = head.sort_by([("n", "descending"), ("word", "ascending")])
-    return Unigram(pc.cast(head.column("word").combine_chunks(), pa.large_string()), head.column("n").to_numpy().astype(float), total + texts, distinct + (texts > 0), texts)
+        held, least = held + r["words"], r["least"]
+    if least is None:  # no level fits, or there is no word
+        least = max((r["n"] for r in levels), default=0) + 1
+    head = counts.where(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    by = np.zeros((2, CLASSES))
+    for r in counts.where(F.col("n") < least).groupBy((F.crc32(F.col("word").cast("binary")) % CLASSES).alias("class")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():
+        by[:, r["class"]] = r["words"], r["n"]
+    words_model = Unigram(pc.cast(head.column("word").combine_chunks(), pa.large_string()), head.column("n").to_numpy().astype(float), by[0], by[1], total + texts, distinct + (texts > 0), texts)
+    return words_model, least
 
 
 def encode(docs: DataFrame, model: Unigram, keep: list[str]) -> DataFrame:
@@ -118,11 +137,13 @@ def encode(docs: DataFrame, model: Unigram, keep: list[str]) -> DataFrame:
             symbols = pc.fill_null(found, len(head)).to_numpy().astype(np.int32)
             n = len(by) - 1
             where = by[1:] + np.arange(n)
-            ids = np.insert(symbols, by[1:], len(head) + 1) if n else symbols
             starts = by[:-1] + np.arange(n)
             # distinct rest words by text
             at = np.flatnonzero(symbols == len(head))
             coded = pc.dictionary_encode(flat.take(pa.array(at)))
+            classes = np.array([zlib.crc32(w.encode()) % CLASSES for w in coded.dictionary.to_pylist()], np.int32)
+            symbols[at] += classes[coded.indices.to_numpy()] if len(at) else 0
+            ids = np.insert(symbols, by[1:], len(head) + CLASSES) if n else symbols
             owner = np.searchsorted(by, at, side="right") - 1
             width = max(1, len(coded.dictionary))
             key, times = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
@@ -157,16 +178,56 @@ def segments(batch: pa.RecordBatch):
     return flat, text, number, first, np.minimum(SEGMENT, lengths[text] - number * SEGMENT)
 
 
-def expect(flat: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm):
-    """Expected counts of segments taken as sequences: start, move, and state weights by token (with the token's place)."""
+def products(flat: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
+    """The product of each segment's matrices (from the state before it to that of its last token), and the log10 it is scaled by."""
+    k = len(model.start)
+    order = np.argsort(-length, kind="stable")
+    at, alive = first[order], np.searchsorted(-length[order], -np.arange(length.max()) - 1, side="right")
+    moved = np.broadcast_to(model.move, (len(order), k, k)).copy()
+    moved[number[order] == 0] = model.start  # whatever the state before a text, the first one is drawn from start
+    product, logs = np.empty_like(moved), np.zeros(len(order))
+    for t, m in enumerate(alive):
+        step = moved[:m] if t == 0 else (product[:m].reshape(-1, k) @ model.move).reshape(m, k, k)
+        step = step * model.emit[flat[at[:m] + t]][:, None, :]
+        c = step.max(axis=(1, 2))
+        product[:m] = step / c[:, None, None]
+        logs[:m] += np.log10(c)
+    back = np.argsort(order, kind="stable")
+    return product[back], logs[back]
+
+
+def messages(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
+    """By segment: the distribution of the state before its first token given all earlier ones, and the weight of each state of its last token given all later ones (up to scale)."""
+    k = len(model.start)
+    enter, leave = np.full((len(text), k), 1 / k), np.ones((len(text), k))
+    many = np.flatnonzero(np.bincount(text)[text] > 1)
+    if len(many):
+        product, _ = products(flat, number[many], first[many], length[many], model)
+        place = np.full(len(text), -1)
+        place[many] = np.arange(len(many))
+        for i in range(1, int(number.max()) + 1):
+            rows = np.flatnonzero(number == i)
+            v = np.einsum("ij,ijk->ik", enter[rows - 1], product[place[rows - 1]])
+            enter[rows] = v / v.sum(axis=1, keepdims=True)
+        for i in range(int(number.max()), 0, -1):
+            rows = np.flatnonzero(number == i)
+            v = np.einsum("ijk,ik->ij", product[place[rows]], leave[rows])
+            leave[rows - 1] = v / v.sum(axis=1, keepdims=True)
+    return enter, leave
+
+
+def expect(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm):
+    """Expected counts of whole texts: start, move, state weights by token (with the token's place), and the log10 probability of all."""
+    enter, leave = messages(flat, text, number, first, length, model)
     order = np.argsort(-length, kind="stable")
-    first, length = first[order], length[order]
+    first, length, begins = first[order], length[order], number[order] == 0
+    enter, leave = enter[order], leave[order]
     k = len(model.start)
     alive = np.searchsorted(-length, -np.arange(length.max()) - 1, side="right")  # segments longer than t
     emitted = [model.emit[flat[first[:m] + t]] for t, m in enumerate(alive)]
     forward, scale = [], []
     for t, m in enumerate(alive):
-        a = emitted[t] * (model.start if t == 0 else forward[t - 1][:m] @ model.move)
+        a = emitted[t] * (np.where(begins[:, None], model.start, enter @ model.move) if t == 0 else forward[t - 1][:m] @ model.move)
         c = a.sum(axis=1, keepdims=True)
         forward.append(a / c)
         scale.append(c)
@@ -174,33 +235,25 @@ def expect(flat: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm):
     beta = np.ones((0, k))
     for t in range(len(alive) - 1, -1, -1):
         m = alive[t]
-        if len(beta) < m:
-            beta = np.concatenate([beta, np.ones((m - len(beta), k))])
+        if len(beta) < m:  # segments whose last token this is
+            ending = leave[len(beta) : m]
+            beta = np.concatenate([beta, ending / (forward[t][len(beta) : m] * ending).sum(axis=1, keepdims=True)])
         weights.append(forward[t] * beta)
         places.append(first[:m] + t)
+        ahead = emitted[t] * beta / scale[t]
         if t:
-            ahead = emitted[t] * beta / scale[t]
             move += forward[t - 1][:m].T @ ahead
             beta = ahead @ model.move.T
-    return weights[-1].sum(axis=0), move * model.move, np.concatenate(places), np.concatenate(weights)
+        else:
+            move += enter[~begins].T @ ahead[~begins]
+    total = sum(float(np.log10(c).sum()) for c in scale)
+    return weights[-1][begins].sum(axis=0), move * model.move, np.concatenate(places), np.concatenate(weights), total
 
 
 def likelihood(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm, texts: int) -> np.ndarray:
     """log10 probability of each text by the scaled forward recursion over its segments."""
     k = len(model.start)
-    order = np.argsort(-length, kind="stable")
-    at, alive = first[order], np.searchsorted(-length[order], -np.arange(length.max()) - 1, side="right")
-    moved = np.broadcast_to(model.move, (len(order), k, k)).copy()
-    moved[number[order] == 0] = model.start  # whatever the state before a text, the first one is drawn from start
-    product, logs = np.empty_like(moved), np.zeros(len(order))
-    for t, m in enumerate(alive):
-        step = moved[:m] if t == 0 else (product[:m].reshape(-1, k) @ model.move).reshape(m, k, k)
-        step = step * model.emit[flat[at[:m] + t]][:, None, :]
-        c = step.max(axis=(1, 2))
-        product[:m] = step / c[:, None, None]
-        logs[:m] += np.log10(c)
-    back = np.argsort(order, kind="stable")
-    product, logs = product[back], logs[back]
+    product, logs = products(flat, number, first, length, model)
     state, out = np.full((texts, k), 1 / k), np.zeros(texts)
     for i in range(int(number.max()) + 1):
         rows = np.flatnonzero(number == i)
@@ -218,18 +271,32 @@ def _smooth(expected: np.ndarray, words_model: Unigram) -> np.ndarray:
     return own + (1 - own.sum(axis=0)) * words_model.backoff[:, None]
 
 
-def begin(sample: list[np.ndarray], words_model: Unigram, states: int, common: int = 5000, rounds: int = 8) -> Hmm:
-    """A first model: states from a clustering of a few sampled texts by their common words. It only breaks the symmetry."""
+def bags(encoded: DataFrame, common: int) -> np.ndarray:
+    """A row of counts of the first `common` symbols for each text, in the order of row; at most `common` numbers a text come to the driver."""
+
+    def count(batches):
+        for batch in steps(batches, column="ids", size=2 << 20):
+            found = [np.unique(x[x < common], return_counts=True) for x in (np.frombuffer(i, np.int32) for i in batch.column("ids").to_pylist())]
+            lists = [pa.array([f[j].astype(np.int64).tolist() for f in found], pa.list_(pa.int64())) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *lists], names=["row", "symbols", "times"])
+
+    rows = encoded.select("row", "ids").mapInArrow(count, "row long, symbols array<long>, times array<long>").collect()
+    out = np.zeros((len(rows), common))
+    for i, r in enumerate(sorted(rows, key=lambda r: r["row"])):
+        out[i, r["symbols"]] = r["times"]
+    return out
+
+
+def begin(sample: np.ndarray, words_model: Unigram, states: int, rounds: int = 8) -> Hmm:
+    """A first model: states from a clustering of a few sampled texts by their common words (a row of counts each). It only breaks the symmetry."""
     move = np.full((states, states), 0.05 / max(1, states - 1))
     np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    symbols = len(words_model.head) + 2
-    width = min(common, symbols)
-    bags = np.stack([np.bincount(x[x < width], minlength=width)[:width] for x in sample]) if sample else np.zeros((0, width))
-    bags = bags[bags.sum(axis=1) > 0]
+    symbols = len(words_model.shares)
+    sample = sample[sample.sum(axis=1) > 0]
     expected = np.zeros((symbols, states))
-    if len(bags):
-        points = np.sqrt(bags / bags.sum(axis=1, keepdims=True))
-        centres = [points[int(np.argmax(bags.sum(axis=1)))]]
+    if len(sample):
+        points = np.sqrt(sample / sample.sum(axis=1, keepdims=True))
+        centres = [points[int(np.argmax(sample.sum(axis=1)))]]
         while len(centres) < states:
             centres.append(points[int(np.argmin(np.max(points @ np.array(centres).T, axis=1)))])
         centres = np.array(centres)
@@ -240,56 +307,74 @@ def begin(sample: list[np.ndarray], words_model: Unigram, states: int, common: i
                     mean = points[near == s].mean(axis=0)
                     centres[s] = mean / np.linalg.norm(mean)
         for s in range(states):
-            expected[:width, s] = bags[near == s].sum(axis=0)
+            expected[: sample.shape[1], s] = sample[near == s].sum(axis=0)
     else:
         expected += np.random.default_rng(0).random(expected.shape)
     return Hmm(np.full(states, 1 / states), move, _smooth(expected, words_model))
 
 
-def baum_welch(encoded: DataFrame, model: Hmm, words_model: Unigram) -> Hmm:
-    """One round over all encoded texts: expected counts by task, summed by Spark, one row a symbol to the driver."""
-    states = len(model.start)
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+def baum_welch(encoded: DataFrame, model: Hmm, words_model: Unigram) -> tuple[Hmm, float]:
+    """One round over all encoded texts, and the log10 probability of them before it.
+
+    Expected counts are added up by task, then by Spark (in single precision between the two), one row a
+    symbol to the driver. As each task gives nearly all symbols, there are just some tasks a core.
+    """
+    spark, states = encoded.sparkSession, len(model.start)
+    shared = spark.sparkContext.broadcast(model)
     names = [f"s{i}" for i in range(states)]
 
     def count(batches):
         model = shared.value
-        start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((len(model.emit), states))
+        start, move, emit, total = np.zeros(states), np.zeros((states, states)), np.zeros((len(model.emit), states)), 0.0
         for batch in steps(batches, column="ids", size=2 << 20):
-            flat, _, number, first, length = segments(batch)
-            begun, moved, places, weights = expect(flat, first, length, model)
-            start, move = start + begun, move + moved
+            flat, *parts = segments(batch)
+            begun, moved, places, weights, logs = expect(flat, *parts, model)
+            start, move, total = start + begun, move + moved, total + logs
             ids = flat[places]
             for s in range(states):
                 emit[:, s] += np.bincount(ids, weights=weights[:, s], minlength=len(emit))
         some = np.flatnonzero(emit.any(axis=1))
-        rows = np.concatenate([emit[some], start[None, :], move])
-        which = np.concatenate([some, -1 - np.arange(states + 1)])
-        yield pa.RecordBatch.from_arrays([pa.array(which), *(pa.array(np.ascontiguousarray(rows[:, s])) for s in range(states))], names=["symbol", *names])
+        rows = np.concatenate([emit[some], start[None, :], move, np.full((1, states), total)])
+        which = np.concatenate([some, -1 - np.arange(states + 2)])
+        yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *(pa.array(np.ascontiguousarray(rows[:, s], np.float32)) for s in range(states))], names=["symbol", *names])
 
-    sums = encoded.select("ids").mapInArrow(count, "symbol long, " + ", ".join(f"{n} double" for n in names)).groupBy("symbol").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    few = encoded.select("ids").coalesce(TASKS_A_CORE * max(1, spark.sparkContext.defaultParallelism))
+    sums = few.mapInArrow(count, "symbol int, " + ", ".join(f"{n} float" for n in names)).groupBy("symbol").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    shared.unpersist()
     symbol, values = sums.column("symbol").to_numpy(), np.stack([sums.column(n).to_numpy() for n in names], axis=1)
-    emit = np.zeros((len(words_model.head) + 2, states))
+    emit = np.zeros((len(model.emit), states))
     emit[symbol[symbol >= 0]] = values[symbol >= 0]
-    side = np.zeros((states + 1, states))
+    side = np.zeros((states + 2, states))
     side[-1 - symbol[symbol < 0]] = values[symbol < 0]
-    side = (side + 0.1) / (side + 0.1).sum(axis=1, keepdims=True)
-    return Hmm(side[0], side[1:], _smooth(emit, words_model))
+    total = float(side[-1, 0])
+    side = (side[:-1] + 0.1) / (side[:-1] + 0.1).sum(axis=1, keepdims=True)
+    return Hmm(side[0], side[1:], _smooth(emit, words_model)), total
+
+
+def train(encoded: DataFrame, first: Hmm, words_model: Unigram, rounds: int, tolerance: float) -> Hmm:
+    """Baum-Welch until a round's log probability is at most `tolerance` (as a share) above the one before, or for so many rounds."""
+    model, before = first, None
+    for _ in range(rounds):
+        following, total = baum_welch(encoded, model, words_model)
+        if before is not None and total - before <= tolerance * abs(before):
+            break
+        model, before = following, total
+    return model
 
 
-def score(docs: DataFrame, training: str, states: int = 6, rounds: int = 3, most_head: int = 200_000, sample: int = 600) -> DataFrame:
+def score(docs: DataFrame, training: str, states: int = 6, rounds: int = 4, most_head: int = 150_000, sample: int = 600, common: int = 5000, tolerance: float = 0.002) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score and score of every text of docs.
 
     training names a boolean column of docs: the rows to learn from. Every count and
     every round covers all of them; just the first guess of the states looks at
-    some `sample` texts.
+    some `sample` texts, and at their `common` commonest words.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col(training).alias("training"), "text")
     learnt = docs.where("training")
     counts = cut_lineage(word_counts(learnt))
     texts = learnt.count()
-    words_model = unigram(counts, texts, most_head)
+    words_model, least = unigram(counts, texts, most_head)
     shares = words_model.shares
 
     checkpoint_folder(spark)
@@ -297,36 +382,36 @@ def score(docs: DataFrame, training: str, states: int = 6, rounds: int = 3, most
     encode(docs, words_model, ["doc_id", "training"]).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     encoded = spark.read.parquet(path)
 
-    part = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(1, texts)))
-    some = [np.frombuffer(r["ids"], np.int32) for r in encoded.where(F.col("training") & part).orderBy("row").limit(2 * sample).select("ids").collect()] if texts else []
-    model = begin(some, words_model, states)
-    for _ in range(rounds if texts else 0):
-        model = baum_welch(encoded.where("training"), model, words_model)
-    shared = spark.sparkContext.broadcast((model, np.log10(shares) if texts else np.zeros(len(shares))))
+    model = None
+    if texts:
+        part = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / texts))
+        chosen = encoded.where(F.col("training") & part).orderBy("row").limit(2 * sample)
+        first = begin(bags(chosen, min(common, len(words_model.head) + CLASSES)), words_model, states)
+        model = train(encoded.where("training"), first, words_model, rounds, tolerance)
+    shared = spark.sparkContext.broadcast((model, np.log10(shares), len(words_model.head), len(shares) - 1))
 
     def run(batches):
-        model, logs = shared.value
-        rest = len(logs) - 2
+        model, logs, head, end = shared.value
         for batch in steps(batches, column="ids", size=2 << 20):
             flat, text, number, first, length = segments(batch)
             n = batch.num_rows
             total = batch.column("n_tokens").to_numpy()
-            ends = np.concatenate([[0], np.cumsum(total)])
-            apart = flat == rest
-            base = np.add.reduceat(np.where(apart, 0.0, logs[flat]), ends[:-1])
-            n_rest = np.add.reduceat(apart.astype(np.int64), ends[:-1])
-            value = likelihood(flat, text, number, first, length, model, n) if texts else np.zeros(n)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "training", "n_tokens")), pa.array(n_rest), pa.array(base), pa.array(value - n_rest * logs[rest])], names=["row", "doc_id", "training", "n_tokens", "n_rest", "base", "value"])
+            starts = np.cumsum(total) - total
+            apart = (flat >= head) & (flat < end)
+            own = logs[flat] if model else np.zeros(len(flat))
+            base = np.add.reduceat(np.where(apart, 0.0, own), starts)
+            n_rest = np.add.reduceat(apart.astype(np.int64), starts)
+            inside = np.add.reduceat(np.where(apart, own, 0.0), starts)  # a class's share, which its words divide
+            value = likelihood(flat, text, number, first, length, model, n) - inside if model else np.zeros(n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "training", "n_tokens")), pa.array(n_rest), pa.array(base), pa.array(value)], names=["row", "doc_id", "training", "n_tokens", "n_rest", "base", "value"])
 
     schema = encoded.select("row", "doc_id", "training", "n_tokens").schema.add("n_rest", "long").add("base", "double").add("value", "double")
     scored = encoded.select("row", "doc_id", "training", "n_tokens", "ids").mapInArrow(run, schema)
 
     # the rest words' own counts: none of them is in the head, so no key is hot
-    size = words_model.size
-    floor = words_model.counts.min() if len(words_model.counts) else None
-    tail = counts if floor is None else counts.where(F.col("n") < int(floor))
+    tail = counts.where(F.col("n") < least)
     each = encoded.select("row", F.explode("rest").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.n").alias("times"))
-    own = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 0.5) / F.lit(float(size))) if texts else F.lit(0.0)
+    own = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 0.5) / F.lit(float(words_model.size))) if texts else F.lit(0.0)
     of_rest = each.join(tail, "word", "left").groupBy("row").agg(F.sum(own * F.col("times")).alias("own"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))).alias("known"))
     joined = scored.join(of_rest, "row", "left")
     own, known = F.coalesce("own", F.lit(0.0)), F.coalesce("known", F.lit(0))

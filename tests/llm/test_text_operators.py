@@ -526,23 +526,50 @@ def test_forward_is_exact_over_segments(monkeypatch):
     assert value == pytest.approx([brute_likelihood(t, model) for t in texts])
 
 
-def test_expected_counts_are_posteriors():
+def brute_counts(ids, model):
+    """Expected start, moves, state weights by token and log10 probability of one text, by the plain recursions."""
+    n, k = len(ids), len(model.start)
+    forward, back = np.zeros((n, k)), np.ones((n, k))
+    forward[0] = model.start * model.emit[ids[0]]
+    for t in range(1, n):
+        forward[t] = (forward[t - 1] @ model.move) * model.emit[ids[t]]
+    for t in range(n - 2, -1, -1):
+        back[t] = model.move @ (model.emit[ids[t + 1]] * back[t + 1])
+    total = forward[-1].sum()
+    gamma = forward * back / total
+    pairs = sum((np.outer(forward[t - 1], model.emit[ids[t]] * back[t]) * model.move / total for t in range(1, n)), np.zeros((k, k)))
+    return gamma[0], pairs, gamma, math.log10(total)
+
+
+def test_expected_counts_are_those_of_whole_texts(monkeypatch):
+    """Texts of 1 to 40 ids in segments of 7: starts, moves over the cuts and weights as without segments."""
+    monkeypatch.setattr(op10_hmm, "SEGMENT", 7)
     rng = np.random.default_rng(1)
-    model = op10_hmm.Hmm(rng.dirichlet(np.ones(2)), rng.dirichlet(np.ones(2), 2), rng.dirichlet(np.ones(4), 2).T)
-    ids = np.array([0, 3, 1, 2, 2], np.int32)
-    begun, moved, places, weights = op10_hmm.expect(ids, np.array([0]), np.array([5]), model)
-    gamma, pairs, total = np.zeros((5, 2)), np.zeros((2, 2)), 0.0
-    for code in range(32):
-        path = [code >> i & 1 for i in range(5)]
-        p = model.start[path[0]] * model.emit[ids[0], path[0]]
-        for t in range(1, 5):
-            p *= model.move[path[t - 1], path[t]] * model.emit[ids[t], path[t]]
-        total += p
-        for t in range(5):
-            gamma[t, path[t]] += p
-            if t:
-                pairs[path[t - 1], path[t]] += p
-    assert weights[np.argsort(places)] == pytest.approx(gamma / total) and moved == pytest.approx(pairs / total) and begun == pytest.approx(gamma[0] / total)
+    model = op10_hmm.Hmm(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(9), 3).T)
+    texts = [rng.integers(0, 9, n).astype(np.int32) for n in [*range(1, 31), 40, 7, 14, 1]]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
+    flat, *parts = op10_hmm.segments(batch)
+    begun, moved, places, weights, total = op10_hmm.expect(flat, *parts, model)
+    wanted = [brute_counts(t, model) for t in texts]
+    assert begun == pytest.approx(sum(w[0] for w in wanted)) and moved == pytest.approx(sum(w[1] for w in wanted)) and total == pytest.approx(sum(w[3] for w in wanted))
+    assert weights[np.argsort(places)] == pytest.approx(np.concatenate([w[2] for w in wanted])) and begun.sum() == pytest.approx(len(texts))
+    assert moved.sum() == pytest.approx(sum(len(t) - 1 for t in texts))
+
+
+def test_rounds_raise_the_likelihood_and_end_on_convergence(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 3, 30) + 3 * (i % 2) for i in range(40)]
+    df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in t)) for i, t in enumerate(texts)], "doc_id long, text string").selectExpr("*", "true as training")
+    seen, one = [], op10_hmm.baum_welch
+
+    def noted(encoded, model, words_model):
+        following, total = one(encoded, model, words_model)
+        seen.append(total)
+        return following, total
+
+    monkeypatch.setattr(op10_hmm, "baum_welch", noted)
+    value = sum(r["score"] for r in op10_hmm.score(df, "training", states=2, rounds=9, tolerance=1e-3).collect())
+    assert 2 <= len(seen) < 9 and all(b >= a for a, b in zip(seen, seen[1:])) and value == pytest.approx(seen[-2], rel=2e-3)
 
 
 @pytest.mark.parametrize("most_head", [200_000, 6])
@@ -565,9 +592,9 @@ def test_language_model(spark, docs, empty, most_head):
 
 def test_emissions_are_a_distribution():
     head = pa.array(["a", "b", "c"], pa.large_string())
-    model = op10_hmm.Unigram(head, np.array([9.0, 4.0, 1.0]), 30, 8, 5)
-    assert model.shares.sum() == pytest.approx(1) and model.backoff.sum() == pytest.approx(1)
-    emit = op10_hmm._smooth(np.random.default_rng(0).random((5, 2)) * 9, model)
+    model = op10_hmm.Unigram(head, np.array([9.0, 4.0, 1.0]), np.array([2.0, 0.0]), np.array([11.0, 0.0]), 30, 6, 5)
+    assert model.backoff.sum() == pytest.approx(1) and (model.shares * model.size).tolist() == [9.5, 4.5, 1.5, 12.5, 0.5, 5.5]
+    emit = op10_hmm._smooth(np.random.default_rng(0).random((6, 2)) * 9, model)
     assert emit.sum(axis=0) == pytest.approx(1) and (emit > 0).all()
 
 
