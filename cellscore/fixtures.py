@@ -32,8 +32,16 @@ def edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(p, c, i) for p, cs in CHILDREN.items() for i, c in enumerate(cs)], "parent string, child string, child_ord int")
 
 
+#: The pairs of the small ontology by session, so that its few rows are worked out once.
+_PAIRS: dict[str, list[tuple[str, str]]] = {}
+
+
 def closure(spark: SparkSession) -> DataFrame:
-    return onto.ancestor_closure(edges(spark), terms(spark))
+    """The closure of the small ontology: some 60 pairs."""
+    session = spark.sparkContext.applicationId
+    if session not in _PAIRS:
+        _PAIRS[session] = sorted(tuple(r) for r in onto.ancestor_closure(edges(spark), terms(spark)).collect())
+    return spark.createDataFrame(_PAIRS[session], "term_id string, ancestor_id string")
 
 
 def market_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +128,11 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("model_name"), F.col("l_linestatus").alias("test_sample"), t("T", "l_partkey", 10).alias("true_label"), t("T", "l_suppkey", 10).alias("name_1"), t("T", "l_linenumber", 10).alias("name_2"), t("M", "l_partkey", 3).alias("name_3"))
 
 
+def universe(spark: SparkSession) -> DataFrame:
+    """The labels that a confusion matrix may hold, in order."""
+    return terms(spark).select(F.col("term_id").alias("label"), "idx")
+
+
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellscore.operators import metrics as mt
 

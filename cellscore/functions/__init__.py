@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,7 +20,3 @@ def nullable_text(column: Column) -> Column:
 def first_column(columns: list[str], wanted: tuple[str, ...]) -> str | None:
     """The first of wanted that is among columns."""
     return next((c for c in wanted if c in columns), None)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

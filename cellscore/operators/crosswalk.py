@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscore.operators.ontology import build_ontology_response
+from cellscore.operators.ontology import OntologyResponse, build_ontology_response
+from cellscore.plans import small_enough
 
 UNKNOWN = "unknown"
 PREFIX, SUFFIX = "predicted.", ".score"
 
 
 def align_predictions(cells: DataFrame, predictions: DataFrame) -> DataFrame:
-    """cells (cell_id, pos) with their predictions. A cell without one is an error that names up to five; runs one small job."""
+    """cells (cell_id, pos) with their predictions; predictions of other cells are left out. A cell without one is an error that names up to five; runs one small job."""
     absent = [r[0] for r in cells.join(predictions, "cell_id", "left_anti").select("cell_id").orderBy("cell_id").limit(5).collect()]
     if absent:
         raise ValueError(f"no prediction for cells such as {', '.join(map(str, absent))}")
@@ -46,7 +47,7 @@ def long_levels(predictions: DataFrame, levels: list[tuple[str, str]]) -> DataFr
 
 def crosswalk_labels(labels: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """labels with term_id and term_label of source_label: null stays null, an unmapped one is unknown."""
-    joined = labels.join(F.broadcast(_table(crosswalk)), "source_label", "left")
+    joined = labels.join(small_enough(_table(crosswalk)), "source_label", "left")
     mapped = lambda c: F.when(F.col("source_label").isNotNull(), F.coalesce(c, F.lit(UNKNOWN)))
     return joined.withColumns({"term_id": mapped(F.col("term_id")), "term_label": mapped(F.col("term_label"))})
 
@@ -72,7 +73,7 @@ def unmapped_label_report(labels: DataFrame, crosswalk: DataFrame, terms: DataFr
     return source.unionByName(term)
 
 
-def crosswalk_pipeline(cells: DataFrame, predictions: DataFrame, crosswalk: DataFrame, terms: DataFrame, closure: DataFrame, reference: str) -> DataFrame:
-    """The ontology response of the aligned and mapped predictions."""
+def crosswalk_pipeline(cells: DataFrame, predictions: DataFrame, crosswalk: DataFrame, terms: DataFrame, closure: DataFrame, reference: str) -> OntologyResponse:
+    """The ontology response, and its report, of the aligned and mapped predictions; operators.runs writes them as a run."""
     wide = crosswalk_wide(align_predictions(cells, predictions).drop("pos"), crosswalk)
     return build_ontology_response(wide, terms, closure, reference)

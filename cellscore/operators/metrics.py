@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cellscore.functions import ratio
 from cellscore.operators.ontology import ROOT
+from cellscore.plans import cut_lineage, small_enough
 
 COUNTS = ("tp", "fp", "fn")
 METRICS = (
@@ -24,7 +25,7 @@ METRICS = (
 def labels_outside_universe(pairs: DataFrame, universe: DataFrame) -> DataFrame:
     """side (truth or prediction) and label of distinct labels that are not in universe (column label); null is the label nan."""
     one = lambda side, c: pairs.select(F.lit(side).alias("side"), F.coalesce(F.col(c), F.lit("nan")).alias("label")).distinct()
-    return one("truth", "true_label").unionByName(one("prediction", "pred_label")).join(F.broadcast(universe.select("label")), "label", "left_anti").select("side", "label")
+    return one("truth", "true_label").unionByName(one("prediction", "pred_label")).join(small_enough(universe.select("label")), "label", "left_anti").select("side", "label")
 
 
 def in_universe(pairs: DataFrame, universe: DataFrame, on_unknown: str = "error") -> DataFrame:
@@ -35,12 +36,14 @@ def in_universe(pairs: DataFrame, universe: DataFrame, on_unknown: str = "error"
             raise ValueError("labels outside of the universe: " + ", ".join(f"{r['side']} {r['label']}" for r in found))
         return pairs
     for c in ("true_label", "pred_label"):
-        pairs = pairs.join(F.broadcast(universe.select(F.col("label").alias(c))), c, "left_semi")
+        pairs = pairs.join(small_enough(universe.select(F.col("label").alias(c))), c, "left_semi")
     return pairs
 
 
-def confusion_matrix(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """n by keys, true_label and pred_label."""
+def confusion_matrix(pairs: DataFrame, keys: list[str], universe: DataFrame | None = None, on_unknown: str = "error") -> DataFrame:
+    """n by keys, true_label and pred_label. With a universe (column label), other labels are an error, or are dropped."""
+    if universe is not None:
+        pairs = in_universe(pairs, universe, on_unknown)
     return pairs.groupBy(*keys, "true_label", "pred_label").agg(F.count("*").alias("n"))
 
 
@@ -78,11 +81,33 @@ def join_truth_predictions(truth: DataFrame, predictions: DataFrame) -> DataFram
     return truth.select("cell_id", F.col("true_label").cast("string").alias("true_label")).join(predictions, "cell_id")
 
 
-def aggregate_confusion(confusion: DataFrame, keys: list[str]) -> DataFrame:
-    """Confusion matrices added up by keys."""
+def confusion_metadata(confusion: DataFrame, universe: DataFrame, keys: list[str], order: str = "idx") -> DataFrame:
+    """A row by keys: label_order (the universe's labels, by its column order) and matrix_size."""
+    labels = universe.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), "label"))), lambda x: x["label"]).alias("label_order"))  # an ontology's labels
+    return confusion.select(*keys).distinct().crossJoin(labels).withColumn("matrix_size", F.size("label_order"))
+
+
+def aggregate_confusion(confusion: DataFrame, keys: list[str], metadata: DataFrame | None = None) -> DataFrame:
+    """Confusion matrices added up by keys.
+
+    metadata (keys, the columns that tell one matrix from another, label_order) guards the sum: no matrix at all, or matrices of a group with
+    unlike label orders, are errors (one small job).
+    """
+    if metadata is not None:
+        orders = metadata.groupBy(*keys).agg(F.count_distinct("label_order").alias("orders")).orderBy(*keys).collect()  # a row a group
+        if not orders:
+            raise ValueError("there is no confusion matrix to add up")
+        unlike = [tuple(r[c] for c in keys) for r in orders if r["orders"] != 1]
+        if unlike:
+            raise ValueError(f"label orders differ within {unlike[:5]}")
     return confusion.groupBy(*keys, "true_label", "pred_label").agg(F.sum("n").alias("n"))
 
 
+def aggregate_metadata(metadata: DataFrame, keys: list[str], source: str = "test_sample") -> DataFrame:
+    """By keys: n_samples_aggregated, sources (a sorted list), label_order and matrix_size of the summed matrices."""
+    return metadata.groupBy(*keys).agg(F.count("*").alias("n_samples_aggregated"), F.array_sort(F.collect_set(source)).alias("sources"), F.first("label_order").alias("label_order"), F.first("matrix_size").alias("matrix_size"))
+
+
 def aggregate_confusion_custom(confusion: DataFrame, sets: list[list[str]]) -> DataFrame:
     """Sums over several groupings at once; a column that a grouping leaves out is null, and group_name tells the grouping."""
     every = list(dict.fromkeys(c for s in sets for c in s))
@@ -91,10 +116,16 @@ def aggregate_confusion_custom(confusion: DataFrame, sets: list[list[str]]) -> D
     return grouped.select(F.when(name == "", "all").otherwise(name).alias("group_name"), *every, "true_label", "pred_label", "n")
 
 
+def _f1(precision: Column, recall: Column, zero: float) -> Column:
+    """The harmonic mean; zero where both are 0. So with zero_division 1, no hit and no miss on one side still give a value."""
+    return ratio(2 * precision * recall, precision + recall, zero)
+
+
 def _summary(classes: DataFrame, keys: list[str], used: Column, zero: float, spine: DataFrame | None) -> DataFrame:
     """METRICS by keys from tp, fp and fn by class; macro over the used classes, weights are tp + fn."""
     tp, fp, fn = (F.col(c) for c in COUNTS)
-    one = {"precision": ratio(tp, tp + fp, zero), "recall": ratio(tp, tp + fn, zero), "f1": ratio(2 * tp, 2 * tp + fp + fn, zero)}
+    precision, recall = ratio(tp, tp + fp, zero), ratio(tp, tp + fn, zero)
+    one = {"precision": precision, "recall": recall, "f1": _f1(precision, recall, zero)}
     support = tp + fn
     total = {c: F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in COUNTS}
     classes = classes.withColumns(one).withColumns({"used": used, "support": support})
@@ -107,7 +138,8 @@ def _summary(classes: DataFrame, keys: list[str], used: Column, zero: float, spi
         found = spine.select(*keys).distinct().join(found, keys, "left")
         found = found.fillna(0, list(COUNTS)).fillna(float(zero))
     tp, fp, fn = (F.col(c) for c in COUNTS)
-    micro = {"precision_micro": ratio(tp, tp + fp, zero), "recall_micro": ratio(tp, tp + fn, zero), "f1_micro": ratio(2 * tp, 2 * tp + fp + fn, zero)}
+    precision, recall = ratio(tp, tp + fp, zero), ratio(tp, tp + fn, zero)
+    micro = {"precision_micro": precision, "recall_micro": recall, "f1_micro": _f1(precision, recall, zero)}
     return found.withColumns(micro).select(*keys, *METRICS)
 
 
@@ -124,7 +156,7 @@ def f_measure(confusion: DataFrame, keys: list[str], zero_division: float = 0.0,
 def hierarchical_counts(confusion: DataFrame, closure: DataFrame, keys: list[str]) -> DataFrame:
     """tp, fp and fn by keys and node: over terms that are the label or an ancestor of it, without the root, of the truth and of the prediction."""
     sets = closure.where(F.col("ancestor_id") != ROOT).groupBy("term_id").agg(F.collect_set("ancestor_id").alias("up"))
-    of = lambda c, name: F.broadcast(sets.select(F.col("term_id").alias(c), F.col("up").alias(name)))
+    of = lambda c, name: small_enough(sets.select(F.col("term_id").alias(c), F.col("up").alias(name)))
     joined = confusion.join(of("true_label", "t"), "true_label", "left").join(of("pred_label", "p"), "pred_label", "left")
     t, p = (F.coalesce(c, F.array().cast("array<string>")) for c in ("t", "p"))
     tagged = F.concat(*(_tag(nodes, kind) for nodes, kind in ((F.array_intersect(t, p), "tp"), (F.array_except(p, t), "fp"), (F.array_except(t, p), "fn"))))
@@ -149,17 +181,25 @@ def wide_by_k(metrics: DataFrame, keys: list[str], top_k: int) -> DataFrame:
     return metrics.groupBy(*keys).agg(*columns)
 
 
-def build_all_confusions(pairs: DataFrame, inferred_label: str, top_k: int, keys: list[str]) -> DataFrame:
-    """Confusion matrices of all runs (keys) for k = 1 to top_k, from true_label and ranked prediction columns."""
+def build_all_confusions(pairs: DataFrame, inferred_label: str, top_k: int, keys: list[str], universe: DataFrame | None = None, on_unknown: str = "error") -> DataFrame:
+    """Confusion matrices of all runs (keys) for k = 1 to top_k, from true_label and ranked prediction columns.
+
+    With a universe (column label), other labels are an error, or are dropped. A prediction is the truth or the first label, so
+    those two are looked at.
+    """
     ranked = effective_ranks(inferred_label, top_k, pairs.columns)
     spare = [c for c in pairs.columns if c not in {*keys, "true_label", *ranked}]
+    if universe is not None:
+        checked = in_universe(pairs.withColumn("pred_label", F.col(ranked[0])), universe, on_unknown)
+        pairs = checked.select(*pairs.columns)
     return confusion_matrix(top_k_hit_predictions(pairs.drop(*spare), ranked, top_k), [*keys, "k"])
 
 
-def benchmark_pipeline(pairs: DataFrame, closure: DataFrame, inferred_label: str, top_k: int) -> dict[str, DataFrame]:
-    """The four tables: flat and hierarchical, per sample and per group (model)."""
-    raw = build_all_confusions(pairs, inferred_label, top_k, ["model_name", "test_sample"])
-    group = aggregate_confusion(raw, ["model_name", "k"]).withColumnRenamed("model_name", "group_name")
+def benchmark_pipeline(pairs: DataFrame, closure: DataFrame, inferred_label: str, top_k: int, universe: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four tables: flat and hierarchical, per sample and per group (model). The confusion matrices are worked out and written once."""
+    raw = cut_lineage(build_all_confusions(pairs, inferred_label, top_k, ["model_name", "test_sample"], universe))
+    metadata = confusion_metadata(raw, universe, ["model_name", "test_sample", "k"], "label") if universe is not None else None
+    group = aggregate_confusion(raw, ["model_name", "k"], metadata).withColumnRenamed("model_name", "group_name")
     first, first_group = raw.where("k = 1").drop("k"), group.where("k = 1").drop("k")
     return {
         "f_measure_per_sample": wide_by_k(f_measure(raw, ["model_name", "test_sample", "k"]), ["model_name", "test_sample"], top_k),

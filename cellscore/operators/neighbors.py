@@ -2,96 +2,179 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscore.plans import cut_lineage, small_enough
+from cellscore.plans import small_enough
 
-#: Vectors of one block; a block is a row.
-BLOCK = 2048
-#: Query blocks that are broadcast to the reference's; more are shuffled.
-MOST_BLOCKS = 64
-#: The searchable columns of a reference cell.
+#: Reference vectors and query vectors that are compared at once.
+BLOCK, QUERIES = 2048, 512
+#: Bytes of vectors (as doubles) that one task holds: of all queries, if they are broadcast, or of one cell of the grid.
+MOST_BYTES = 1 << 25
+#: Fixed values, in the contract's order: the searchable columns of a reference cell.
 CELL_FEATURES = (
     "cas_cell_index", "cell_type", "assay", "disease", "donor_id", "is_primary_data", "development_stage", "organism",
     "self_reported_ethnicity", "sex", "suspension_type", "tissue", "total_mrna_umis", "cell_type_ontology_term_id",
-    "assay_ontology_term_id", "development_stage_ontology_term_id", "disease_ontology_term_id", "organism_ontology_term_id",
+    "assay_ontology_term_id", "disease_ontology_term_id", "development_stage_ontology_term_id", "organism_ontology_term_id",
     "self_reported_ethnicity_ontology_term_id", "sex_ontology_term_id", "tissue_ontology_term_id",
 )
 
 
-def _blocks(vectors: DataFrame, prefix: str) -> DataFrame:
-    """Rows of (id, vector) packed into rows of up to BLOCK vectors, partition by partition."""
+def _vectors(ids, vectors) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow columns of ids and equally long vectors as arrays."""
+    ids = ids.to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.to_numpy()
+    flat = (vectors if isinstance(vectors, pa.Array) else vectors.combine_chunks()).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return ids, flat.reshape(len(ids), -1)
 
-    def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                ids = part.column(0).to_numpy()
-                flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([flat.tobytes()], pa.binary())], names=[f"{prefix}_ids", f"{prefix}_vectors"])
 
-    return vectors.mapInArrow(run, f"{prefix}_ids binary, {prefix}_vectors binary")
+def exact_pairs(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of a, row of b) among which are the k nearest rows of b for each of a, ties included, by a matrix product."""
+    near = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
+    n = min(k, len(b))
+    bound = np.partition(near, n - 1, axis=1)[:, n - 1]
+    return np.nonzero(near <= bound[:, None] + 1e-9)
 
 
-def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
-    """cell_id, cas_cell_index, distance and rank (1 to k; ties by cas_cell_index).
+def sketched_pairs(planes: np.ndarray, share: float) -> Callable:
+    """A function like exact_pairs that measures no vectors: it takes a share of b for each row of a, by their sketches.
 
-    queries has cell_id and embedding, references cas_cell_index and embedding.
-    Blocks of vectors meet as rows, and each meeting yields its own k nearest, so what is
-    shuffled is k rows a query and reference block. A matrix product picks candidates; their
-    distances are then worked out from the differences, so equal vectors are at 0.
+    A sketch is the side of each plane that a vector lies on, packed in bits. Two vectors' share of
+    differing bits estimates their angle, and with their lengths their distance.
+    """
+
+    def codes(x: np.ndarray) -> np.ndarray:
+        return np.packbits(x @ planes > 0, axis=1).view(np.uint64)
+
+    def pairs(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        n = min(len(b), max(k, int(np.ceil(share * len(b)))))
+        ca, cb = codes(a), codes(b)
+        apart = np.zeros((len(a), len(b)), np.uint16)
+        for w in range(ca.shape[1]):
+            apart += np.bitwise_count(ca[:, w][:, None] ^ cb[:, w][None, :])
+        la, lb = np.linalg.norm(a, axis=1)[:, None], np.linalg.norm(b, axis=1)[None, :]
+        cosine = np.cos(np.pi * np.arange(planes.shape[1] + 1) / planes.shape[1])
+        estimate = lb**2 - 2 * la * lb * cosine[apart]
+        chosen = np.argpartition(estimate, n - 1, axis=1)[:, :n]
+        return np.repeat(np.arange(len(a)), n), chosen.ravel()
+
+    return pairs
+
+
+class Nearest:
+    """The k nearest references of each query, of those added so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str, exclude_self: bool, pairs: Callable):
+        self.ids, self.vectors, self.k, self.metric, self.exclude_self, self.pairs = ids, self.scaled(vectors, metric), k, metric, exclude_self, pairs
+        self.of, self.near, self.distance, self.measured = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
+        self.bound = np.full(len(ids), np.inf)  # distance of the k-th so far
+
+    @staticmethod
+    def scaled(x: np.ndarray, metric: str) -> np.ndarray:
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for start in range(0, len(ids), BLOCK):
+            ri, b = ids[start : start + BLOCK], self.scaled(vectors[start : start + BLOCK], self.metric)
+            found = [(self.of, self.near, self.distance)]
+            for first in range(0, len(self.ids), QUERIES):
+                a = self.vectors[first : first + QUERIES]
+                x, y = self.pairs(a, b, self.k + self.exclude_self)
+                if self.exclude_self:
+                    other = self.ids[first + x] != ri[y]
+                    x, y = x[other], y[other]
+                self.measured += len(x)
+                step = max(1, (1 << 19) // max(1, a.shape[1]))
+                square = np.concatenate([((a[x[i : i + step]] - b[y[i : i + step]]) ** 2).sum(axis=1) for i in range(0, len(x), step)] or [np.zeros(0)])
+                distance = square / 2 if self.metric == "cosine" else np.sqrt(square)
+                better = distance <= self.bound[first + x]
+                found.append((first + x[better], ri[y[better]], distance[better]))
+            of, near, distance = (np.concatenate(c) for c in zip(*found))
+            order = np.lexsort((near, distance, of))
+            of = of[order]
+            kept = order[np.arange(len(of)) - np.searchsorted(of, of, side="left") < self.k]
+            self.near, self.distance = near[kept], distance[kept]
+            self.of = np.concatenate([c[0] for c in found])[kept]
+            full = np.bincount(self.of, minlength=len(self.ids)) == self.k
+            self.bound[full] = self.distance[np.cumsum(np.bincount(self.of, minlength=len(self.ids)))[full] - 1]
+
+    def table(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[self.of]), pa.array(self.near), pa.array(self.distance)], names=["cell_id", "cas_cell_index", "distance"])
+
+
+def _search(queries: DataFrame, references: DataFrame, k: int, metric: str, exclude_self: bool, pairs: Callable) -> DataFrame:
+    """cell_id, cas_cell_index, distance and rank by the given way to choose pairs.
+
+    Queries of up to MOST_BYTES are broadcast, and a task over references keeps k rows a query. More of both are dealt
+    to the cells of a grid: each cell holds a part of the queries and a part of the references, of about
+    MOST_BYTES at most, and yields k rows a query. Those are all that is shuffled to rank them.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric}")
-    q = _blocks(queries.select("cell_id", "embedding"), "q")
-    r = _blocks(references.select("cas_cell_index", "embedding"), "r")
-
-    def nearest(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                qi, ri = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["r_ids"], np.int64)
-                a, b = np.frombuffer(row["q_vectors"]).reshape(len(qi), -1), np.frombuffer(row["r_vectors"]).reshape(len(ri), -1)
-                if metric == "cosine":
-                    a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (a, b))
-                near = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
-                if exclude_self:
-                    near[qi[:, None] == ri[None, :]] = np.inf
-                n = min(k, len(ri))
-                bound = np.partition(near, n - 1, axis=1)[:, n - 1]
-                x, y = np.nonzero((near <= bound[:, None] + 1e-9) & np.isfinite(near))
-                square = ((a[x] - b[y]) ** 2).sum(axis=1)
-                distance = square / 2 if metric == "cosine" else np.sqrt(square)
-                order = np.lexsort((ri[y], distance, x))
-                x, y, distance = x[order], y[order], distance[order]
-                place = np.arange(len(x)) - np.searchsorted(x, x, side="left")
-                kept = place < k
-                yield pa.RecordBatch.from_arrays([pa.array(qi[x[kept]]), pa.array(ri[y[kept]]), pa.array(distance[kept])], names=["cell_id", "cas_cell_index", "distance"])
-
-    met = r.crossJoin(small_enough(q, MOST_BLOCKS)).mapInArrow(nearest, "cell_id long, cas_cell_index long, distance double")
+    spark = queries.sparkSession
+    q = queries.select("cell_id", "embedding").where(F.col("embedding").isNotNull())
+    r = references.select("cas_cell_index", "embedding").where(F.col("embedding").isNotNull())
+    schema = "cell_id long, cas_cell_index long, distance double"
+    weigh = lambda df: tuple(df.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first())
+    n, width = weigh(q)
+    if 8 * n * width <= MOST_BYTES:
+        shared = spark.sparkContext.broadcast(_vectors(*q.toArrow().columns) if n else None)
+
+        def nearest(batches):
+            if shared.value is None:
+                return
+            found = Nearest(*shared.value, k, metric, exclude_self, pairs)
+            for batch in batches:
+                if batch.num_rows:
+                    found.add(*_vectors(*batch.columns))
+            yield found.table()
+
+        met = r.mapInArrow(nearest, schema)
+    else:
+        parts = lambda count: max(1, -(-8 * count * width // MOST_BYTES))
+        nq, nr = parts(n), parts(weigh(r)[0])
+        deal = lambda df, key, own, other, name, theirs: df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(own)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
+        left = deal(q, "cell_id", nq, nr, "i", "j").groupBy("i", "j")
+        right = deal(r, "cas_cell_index", nr, nq, "j", "i").groupBy("i", "j")
+
+        def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+            if not a.num_rows or not b.num_rows:
+                return pa.table({"cell_id": pa.array([], pa.int64()), "cas_cell_index": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
+            found = Nearest(*_vectors(a.column("cell_id"), a.column("embedding")), k, metric, exclude_self, pairs)
+            found.add(*_vectors(b.column("cas_cell_index"), b.column("embedding")))
+            return pa.Table.from_batches([found.table()])
+
+        met = left.cogroup(right).applyInArrow(compare, schema)
     rank = F.row_number().over(Window.partitionBy("cell_id").orderBy("distance", "cas_cell_index"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, reach: float = 1.35, bucket: float = 2.0, tables: int = 8) -> DataFrame:
-    """Approximate neighbours by random projections: those within reach that share a bucket in one of the tables.
+def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
+    """cell_id, cas_cell_index, distance and rank (1 to k; ties by cas_cell_index), exact.
 
-    Cells with fewer than k of these (outliers, or vectors of other norms) go to the exact search.
+    queries has cell_id and embedding, references cas_cell_index and embedding; null vectors are left out.
+    A matrix product picks candidates; their distances are then worked out from the differences, so equal
+    vectors are at 0.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    return _search(queries, references, k, metric, exclude_self, exact_pairs)
 
-    q = queries.select("cell_id", array_to_vector("embedding").alias("v"))
-    r = references.select("cas_cell_index", array_to_vector("embedding").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=7).fit(r)
-    pairs = model.approxSimilarityJoin(q, r, reach, "distance").select("datasetA.cell_id", "datasetB.cas_cell_index", "distance")
-    rank = F.row_number().over(Window.partitionBy("cell_id").orderBy("distance", "cas_cell_index"))
-    near = cut_lineage(pairs.withColumn("rank", rank).where(F.col("rank") <= k))
-    full = near.where(F.col("rank") == k).select("cell_id")
-    rest = queries.join(full, "cell_id", "left_anti")
-    return near.join(full, "cell_id", "left_semi").unionByName(knn_search(rest, references, k))
+
+def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", share: float = 0.15, bits: int = 512, seed: int = 7) -> DataFrame:
+    """Approximate neighbours: references are compared by sketches of `bits` bits, and a share of each block of them is measured.
+
+    Every cell gets k rows if there are so many references, as the share is by rank and not by distance.
+    Sketches take bits / 8 bytes a vector instead of 8 a dimension. More bits, or a larger share, raise the recall.
+    """
+    first = references.select("embedding").where(F.col("embedding").isNotNull()).first()
+    if first is None:
+        return _search(queries, references, k, metric, False, exact_pairs)
+    if bits % 64:
+        raise ValueError("bits must be a multiple of 64")
+    planes = np.random.default_rng(seed).normal(size=(len(first["embedding"]), bits))
+    return _search(queries, references, k, metric, False, sketched_pairs(planes, share))
 
 
 def neighbor_summary_stats(neighbors: DataFrame) -> DataFrame:
@@ -131,29 +214,31 @@ def ontology_aware_scores(neighbors: DataFrame, terms: DataFrame, closure: DataF
     """cell_id, term_id, label, score, total_weight, total_neighbors, total_neighbors_unrecognized.
 
     A term's score is the share of weight of the neighbours whose cell type is the term or
-    below it. terms and closure are an ontology's, small enough to broadcast. All windows
-    and groups are by cell, so the neighbours are shuffled once.
+    below it. terms and closure are broadcast if they are small, as an ontology's are. All windows
+    and groups are by cell, so the neighbours are shuffled once then.
     """
     by = Window.partitionBy("cell_id")
-    known = F.broadcast(terms.select(F.col("term_id").alias("cell_type"), F.lit(True).alias("known")))
+    known = small_enough(terms.select(F.col("term_id").alias("cell_type"), F.lit(True).alias("known")))
     weighed = neighbors.withColumn("median", F.median("distance").over(by)).join(known, "cell_type", "left")
     weighed = weighed.withColumn("w", F.when(F.col("known"), weight(F.col("distance"), F.col("median"), weighting_prefactor)))
     weighed = weighed.withColumns({"total_weight": F.sum("w").over(by), "total_neighbors": F.count("*").over(by), "total_neighbors_unrecognized": F.count_if(F.col("known").isNull()).over(by)})
-    up = F.broadcast(closure.select(F.col("term_id").alias("cell_type"), F.col("ancestor_id").alias("term_id")))
+    up = small_enough(closure.select(F.col("term_id").alias("cell_type"), F.col("ancestor_id").alias("term_id")))
     scored = weighed.where("known").join(up, "cell_type").groupBy("cell_id", "term_id", "total_weight", "total_neighbors", "total_neighbors_unrecognized").agg(F.sum("w").alias("s"))
     scored = scored.select("cell_id", "term_id", F.try_divide("s", "total_weight").alias("score"), "total_weight", "total_neighbors", "total_neighbors_unrecognized")
-    return scored.where(F.col("score") >= prune_threshold).join(F.broadcast(terms.select("term_id", "label")), "term_id")
+    return scored.where(F.col("score") >= prune_threshold).join(small_enough(terms.select("term_id", "label")), "term_id")
 
 
-def align_results_to_query(cells: DataFrame, response: DataFrame, order: str | None = None) -> DataFrame:
+def align_results_to_query(cells: DataFrame, response: DataFrame, order: str) -> DataFrame:
     """Every query cell with its matches; one without a result has an empty list and unprocessed true.
 
-    response has cell_id and matches; of several rows of a cell, the last by the column order counts.
+    response has cell_id, matches and the column order; of several results of a cell, the last by it counts
+    (of equals, the one whose list compares as greater).
     """
-    if order is not None:
-        response = response.groupBy("cell_id").agg(F.max_by("matches", order).alias("matches"))
+    if order not in response.columns:
+        raise ValueError(f"no column {order}, which tells the last result of a cell; there are {', '.join(response.columns)}")
+    last = response.groupBy("cell_id").agg(F.max_by("matches", F.struct(F.col(order), F.col("matches"))).alias("matches"))
     empty = F.array().cast(response.schema["matches"].dataType)
-    return cells.join(response, "cell_id", "left").withColumns({"unprocessed": F.col("matches").isNull(), "matches": F.coalesce("matches", empty)})
+    return cells.join(last, "cell_id", "left").withColumns({"unprocessed": F.col("matches").isNull(), "matches": F.coalesce("matches", empty)})
 
 
 def query_cells_by_ids(references: DataFrame, ids: DataFrame, features: list[str] | None = None) -> DataFrame:

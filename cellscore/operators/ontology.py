@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscore.plans import cut_lineage
+from cellscore.plans import cut_lineage, small_enough
 
 ROOT = "CL:0000000"
 
@@ -25,17 +26,18 @@ def ancestor_closure(edges: DataFrame, terms: DataFrame) -> DataFrame:
     """term_id and ancestor_id for each term and each term it can be reached from, itself included.
 
     Semi-naive rounds: only pairs that are new are joined again, and pairs
-    already seen are left out, so a diamond counts once and a cycle ends.
+    already seen are left out, so a diamond counts once and a cycle ends. Each round
+    writes its new pairs, and nothing is written twice.
     """
     up = edges.select(F.col("child").alias("ancestor_id"), "parent").distinct()
-    seen = cut_lineage(terms.select("term_id", F.col("term_id").alias("ancestor_id")).distinct())
-    new = seen
+    rounds = [cut_lineage(terms.select("term_id", F.col("term_id").alias("ancestor_id")).distinct())]
     while True:
-        reached = new.join(up, "ancestor_id").select("term_id", F.col("parent").alias("ancestor_id")).distinct()
+        seen = reduce(DataFrame.unionByName, rounds)
+        reached = rounds[-1].join(up, "ancestor_id").select("term_id", F.col("parent").alias("ancestor_id")).distinct()
         new = cut_lineage(reached.join(seen, ["term_id", "ancestor_id"], "left_anti"))
         if new.isEmpty():
             return seen
-        seen = cut_lineage(seen.unionByName(new))
+        rounds.append(new)
 
 
 def descendant_closure(closure: DataFrame) -> DataFrame:
@@ -44,7 +46,8 @@ def descendant_closure(closure: DataFrame) -> DataFrame:
 
 
 def _related(asked: DataFrame, closure: DataFrame, other: str, remove_root: bool, remove_self: bool) -> DataFrame:
-    lists = closure.groupBy("term_id").agg(F.collect_set(other).alias("found"))
+    wanted = closure.join(asked.select("term_id").distinct(), "term_id", "left_semi")  # sets of the asked terms only
+    lists = wanted.groupBy("term_id").agg(F.collect_set(other).alias("found"))
     found = F.coalesce("found", F.array("term_id"))
     gone = [F.lit(ROOT)] * remove_root + [F.col("term_id")] * remove_self
     if gone:
@@ -101,18 +104,38 @@ def propagate_scores_max(ranked: DataFrame, closure: DataFrame, cell: str = "cel
     return given.groupBy(cell, "term_id").agg(F.greatest(F.max("score"), F.lit(0.0)).alias("score"))
 
 
-def build_ontology_response(wide: DataFrame, terms: DataFrame, closure: DataFrame, reference: str, cell: str = "cell_id") -> DataFrame:
-    """One row a cell: matches (score, term and label by term), total_weight, total_neighbors, total_neighbors_unrecognized, model_name."""
+class OntologyResponse(NamedTuple):
+    """response, a row a cell; report, with kind (unknown or nonlinear), value and coarser: what a user should look at."""
+
+    response: DataFrame
+    report: DataFrame
+
+
+def unknown_ids(wide: DataFrame, terms: DataFrame) -> DataFrame:
+    """value: distinct ids of the ranked columns that are no term."""
+    names = [c for c in wide.columns if re.fullmatch(r"cas_cell_type_name_\d+", c)]
+    each = wide.select(F.explode(F.array(*(F.col(c) for c in names))).alias("term_id")).where(F.col("term_id").isNotNull()).distinct()
+    return each.join(terms.select("term_id"), "term_id", "left_anti").select(F.col("term_id").alias("value"))
+
+
+def build_ontology_response(wide: DataFrame, terms: DataFrame, closure: DataFrame, reference: str, cell: str = "cell_id") -> OntologyResponse:
+    """The response (matches by term, with score, term and label; total_weight, total_neighbors, total_neighbors_unrecognized, model_name) and its report.
+
+    The report names ids that are no term, and pairs of neighbouring ranks whose coarser term is no ancestor of the finer one.
+    """
     ranked = parse_ranked_labels(wide, terms, cell)
     first = ranked.groupBy(cell).agg(F.min_by("score", "rank").alias("total_weight"))
-    scored = propagate_scores_max(ranked, closure, cell).join(F.broadcast(terms.select("term_id", "label")), "term_id")
+    scored = propagate_scores_max(ranked, closure, cell).join(small_enough(terms.select("term_id", "label")), "term_id")
     match = F.struct("score", F.col("term_id").alias("cell_type_ontology_term_id"), F.col("label").alias("cell_type"))
     lists = scored.groupBy(cell).agg(F.array_sort(F.collect_list(match), _by_term).alias("matches"))
     empty = F.array().cast(lists.schema["matches"].dataType)
-    return (
+    response = (
         wide.select(cell).join(first, cell, "left").join(lists, cell, "left")
         .select(cell, F.coalesce("matches", empty).alias("matches"), F.coalesce("total_weight", F.lit(0.0)).alias("total_weight"), F.lit(1).alias("total_neighbors"), F.lit(0).alias("total_neighbors_unrecognized"), F.lit(f"azimuth_{reference}").alias("model_name"))
     )
+    unknown = unknown_ids(wide, terms).select(F.lit("unknown").alias("kind"), "value", F.lit(None).cast("string").alias("coarser"))
+    nonlinear = linearity_violations(ranked, closure, cell).select(F.lit("nonlinear").alias("kind"), F.col("finer").alias("value"), "coarser")
+    return OntologyResponse(response, unknown.unionByName(nonlinear))
 
 
 def _by_term(a: Column, b: Column) -> Column:

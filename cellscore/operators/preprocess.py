@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellscore.plans import small_enough
+
 LAYERS = ("X", "raw.X")
 
 
@@ -89,7 +91,7 @@ def sanitize_counts(counts: DataFrame, features: DataFrame, schema: DataFrame) -
     if "feature_pos" in counts.columns:
         last = last_features(features).select("feature_id", F.col("pos").alias("feature_pos"))
         kept = counts.join(last, ["feature_id", "feature_pos"], "left_semi")
-    return kept.join(F.broadcast(schema.select("feature_id", "pos")), "feature_id").select("cell_id", "pos", "feature_id", "value")
+    return kept.join(small_enough(schema.select("feature_id", "pos")), "feature_id").select("cell_id", "pos", "feature_id", "value")
 
 
 def map_feature_names(features: DataFrame, schema: DataFrame, name: str = "feature_name") -> DataFrame:

@@ -8,14 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscore.plans import small_enough
+
 UNRELIABLE = "Unknown or Unconfident"
+#: The ways to weigh neighbours that the contract allows.
+STRATEGIES = ("connectivities",)
 
 
-def majority_vote(matches: DataFrame) -> DataFrame:
-    """cell_id, cell_type of the largest count (the first in the list of equals) and confidence, its share."""
+def majority_vote(cells: DataFrame, matches: DataFrame) -> DataFrame:
+    """cell_id, cell_type of the largest count (the first in the list of equals) and confidence, its share; null without matches."""
     best = F.min_by(F.struct("cell_type", "cell_count"), F.struct(-F.col("cell_count"), F.col("pos")))
     voted = matches.groupBy("cell_id").agg(best.alias("x"), F.sum("cell_count").alias("total"))
-    return voted.select("cell_id", "x.cell_type", F.try_divide("x.cell_count", "total").alias("confidence"))
+    return cells.select("cell_id").join(voted, "cell_id", "left").select("cell_id", "x.cell_type", F.try_divide("x.cell_count", "total").alias("confidence"))
 
 
 def min_distance_vote(cells: DataFrame, matches: DataFrame) -> DataFrame:
@@ -42,15 +46,19 @@ def cluster_majority_vote(matches: DataFrame, clusters: DataFrame, ignore: tuple
     return clusters.join(best, "cluster", "left").select("cell_id", "cell_type", "confidence")
 
 
-def wnn_weights(graph: DataFrame, n_neighbors: int = 10, self_connectivity: float = 1.0) -> DataFrame:
-    """i, j and weight: each row's strongest edges, the edge to itself included, as shares of their sum."""
+def wnn_weights(graph: DataFrame, cells: DataFrame, n_neighbors: int = 10, self_connectivity: float = 1.0) -> DataFrame:
+    """i, j and weight: each cell's strongest edges, the edge to itself included, as shares of their sum.
+
+    A cell without an edge has itself alone. Weights that don't add up to 1, as those of connectivities of 0, are an error.
+    """
     if n_neighbors < 1:
         raise ValueError("n_neighbors must be at least 1")
-    own = graph.select("i").distinct().select("i", F.col("i").alias("j"), F.lit(float(self_connectivity)).alias("connectivity"))
+    own = cells.select(F.col("cell_id").alias("i"), F.col("cell_id").alias("j"), F.lit(float(self_connectivity)).alias("connectivity"))
     edges = graph.where("i <> j").select("i", "j", "connectivity").unionByName(own)
     rank = F.row_number().over(Window.partitionBy("i").orderBy(F.desc("connectivity"), "j"))
-    top = edges.withColumn("rank", rank).where(F.col("rank") <= n_neighbors)
-    return top.select("i", "j", (F.col("connectivity") / F.sum("connectivity").over(Window.partitionBy("i"))).alias("weight"))
+    top = edges.withColumn("rank", rank).where(F.col("rank") <= n_neighbors).withColumn("sum", F.sum("connectivity").over(Window.partitionBy("i")))
+    share = F.when(F.col("sum") > 0, F.col("connectivity") / F.nullif(F.col("sum"), F.lit(0.0))).otherwise(F.raise_error(F.lit("weights do not add up to 1")).cast("double"))
+    return top.select("i", "j", share.alias("weight"))
 
 
 def cell_type_probs(matches: DataFrame) -> DataFrame:
@@ -79,9 +87,27 @@ def relabel_rare_types(voted: DataFrame, min_n_cells_per_type: int = 10, unrelia
     return voted.join(rare, "cell_type", "left").select("cell_id", F.when(F.col("rare"), F.lit(unreliable)).otherwise(F.col("cell_type")).alias("cell_type"), "confidence")
 
 
+def wnn(cells: DataFrame, responses: DataFrame, graph: DataFrame, graph_neighbors: int, n_neighbors: int = 10, strategy: str = "connectivities", self_connectivity: float = 1.0, min_n_cells_per_type: int = 10, unreliable: str = UNRELIABLE) -> tuple[DataFrame, DataFrame]:
+    """The votes (cell_id, cell_type, confidence) of all cells, null for those without any match around, and the probabilities behind them.
+
+    responses has a row for each cell: cell_id and matches (a list). graph_neighbors is what the graph was built with.
+    An unknown strategy, more neighbours than the graph has, or as many responses as there are not cells, are errors (one small job).
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy}")
+    if n_neighbors > graph_neighbors:
+        raise ValueError(f"n_neighbors is {n_neighbors}, but the graph has {graph_neighbors}")
+    if cells.count() != responses.count():
+        raise ValueError("there must be a response for each cell")
+    matches = responses.select("cell_id", F.posexplode("matches").alias("pos", "m")).select("cell_id", "pos", "m.cell_type", "m.cell_count")
+    probs = wnn_probs(wnn_weights(graph, cells, n_neighbors, self_connectivity), cell_type_probs(matches))
+    voted = relabel_rare_types(wnn_vote(probs), min_n_cells_per_type, unreliable)
+    return cells.select("cell_id").join(voted, "cell_id", "left"), probs
+
+
 def interpolate_type_colors(probs: DataFrame, colors: DataFrame) -> DataFrame:
     """cell_id, r, g, b (0 to 1): the colours (hex) of its types, mixed by probability; a type without one is white."""
-    joined = probs.join(F.broadcast(colors.select("cell_type", "hex")), "cell_type", "left")
+    joined = probs.join(small_enough(colors.select("cell_type", "hex")), "cell_type", "left")
     plain = F.lower(F.ltrim(F.coalesce("hex", F.lit("#ffffff")), F.lit("#")))
     part = lambda i: F.least(F.greatest(F.sum(F.col("prob") * F.conv(F.substring(plain, 2 * i + 1, 2), 16, 10).cast("double")) / 255, F.lit(0.0)), F.lit(1.0))
     return joined.groupBy("cell_id").agg(part(0).alias("r"), part(1).alias("g"), part(2).alias("b"))

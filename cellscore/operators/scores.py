@@ -6,60 +6,110 @@ terms has term_id, idx, label, depth_short and depth_long.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscore.operators.ontology import ROOT
+from cellscore.plans import cut_lineage, small_enough
 
 THRESHOLD = 1e-4
 
 
 def score_matrix(response: DataFrame, terms: DataFrame) -> DataFrame:
     """cell_id, term_id, idx and score from matches; scores of a pair that comes twice add up. An unknown term is an error."""
-    joined = response.join(F.broadcast(terms.select("term_id", "idx")), "term_id", "left")
+    joined = response.join(small_enough(terms.select("term_id", "idx")), "term_id", "left")
     known = F.when(F.col("idx").isNotNull(), F.col("idx")).otherwise(F.raise_error(F.concat(F.lit("unknown term "), F.col("term_id"))).cast("int"))
     return joined.groupBy("cell_id", "term_id", known.alias("idx")).agg(F.sum(F.col("score").cast("double")).alias("score"))
 
 
 def attach_scores(scores: DataFrame, terms: DataFrame, resource_name: str) -> DataFrame:
     """The score matrix with labels and the name of the ontology resource."""
-    return scores.join(F.broadcast(terms.select("term_id", "label")), "term_id").withColumn("resource_name", F.lit(resource_name))
+    return scores.join(small_enough(terms.select("term_id", "label")), "term_id").withColumn("resource_name", F.lit(resource_name))
+
+
+def require_selection(cells: DataFrame) -> DataFrame:
+    """cells, or an error if there is none. Runs one small job."""
+    if cells.isEmpty():
+        raise ValueError("no cell is selected")
+    return cells
+
+
+def _selected(scores: DataFrame, cells: DataFrame, by: str | None) -> tuple[DataFrame, DataFrame]:
+    """Stored scores over 0 (grp, term_id, score) of the selected cells, and sizes (grp, cells). An empty selection is an error."""
+    group = F.col(by) if by else F.lit("all")
+    members = require_selection(cells).select("cell_id", group.alias("grp")).where(F.col("grp").isNotNull())
+    stored = scores.join(members, "cell_id").select("grp", "term_id", F.col("score").cast("double").alias("score"))
+    stored = stored.withColumn("score", F.when(F.col("score") < 0, F.raise_error(F.lit("negative score")).cast("double")).otherwise(F.col("score")))
+    return stored.where("score > 0"), members.groupBy("grp").agg(F.count("*").alias("cells"))
+
+
+def fraction_over_threshold(scores: DataFrame, cells: DataFrame, terms: DataFrame, threshold: float = THRESHOLD, by: str | None = None) -> DataFrame:
+    """grp, term_id, idx and fraction: the share of the group's cells with a score over the threshold, for every group and term."""
+    stored, sizes = _selected(scores, cells, by)
+    above = stored.where(F.col("score") > threshold).groupBy("grp", "term_id").agg(F.count("*").alias("above"))
+    dense = sizes.crossJoin(small_enough(terms.select("term_id", "idx")))
+    return dense.join(above, ["grp", "term_id"], "left").select("grp", "term_id", "idx", F.coalesce(F.col("above") / F.col("cells"), F.lit(0.0)).alias("fraction"))
+
+
+#: Bins of a histogram, and histograms within each other, before the values of one bin are sorted.
+BINS, LEVELS = 4096, 2
+
+
+def _at_ranks(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """grp, term_id, slot and value: the value at a rank (from 0) among the values of grp and term_id.
+
+    counted has grp, term_id, score and n (times), wanted grp, term_id, slot, rank, and lo and hi, between which the value
+    lies. Histograms narrow lo and hi down, a bin of the last one is sorted: no window holds all values of a term.
+    Where no group and term has more values than a histogram has bins, they are sorted at once.
+    """
+    most = counted.groupBy("grp", "term_id").count().agg(F.max("count")).first()[0] or 0
+    key = ["grp", "term_id", "lo", "hi"]
+
+    def inside(wanted: DataFrame) -> DataFrame:
+        ranges = small_enough(wanted.select(*key).distinct())
+        return counted.join(ranges, ["grp", "term_id"]).where((F.col("score") >= F.col("lo")) & (F.col("score") <= F.col("hi")))
+
+    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    for level in range(LEVELS if most <= BINS else 0, LEVELS + 1):
+        place = F.coalesce(F.least(F.floor((F.col("score") - F.col("lo")) / width * BINS), F.lit(BINS - 1)), F.lit(0)) if level < LEVELS else F.col("score")
+        tally = inside(wanted).groupBy(*key, place.alias("bin")).agg(F.sum("n").alias("n"), F.min("score").alias("least"), F.max("score").alias("most"))
+        upto = tally.withColumn("upto", F.sum("n").over(Window.partitionBy(*key).orderBy("bin")))
+        met = wanted.join(upto, key).where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        wanted = cut_lineage(met.select("grp", "term_id", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), F.col("least").alias("lo"), F.col("most").alias("hi")))
+        if wanted.where("lo < hi").isEmpty():
+            break
+    return wanted.select("grp", "term_id", "slot", F.col("lo").alias("value"))
 
 
 def aggregate_scores(scores: DataFrame, cells: DataFrame, terms: DataFrame, threshold: float = THRESHOLD, by: str | None = None) -> DataFrame:
     """All four aggregates and the fraction over the threshold, for every group and every term.
 
-    cells (cell_id and, if given, the column by) is the selection; by None makes one group,
+    cells (cell_id and, if given, the column by) is the selection, and must not be empty; by None makes one group,
     named all. Columns: mean_all, median_all (over all cells, absent pairs as 0), mean_over,
     median_over (over scores above the threshold, 0 if there is none), fraction. Scores must
     not be negative: the zeros come first, so the median is found by rank without storing them.
+    A group and term may hold any number of cells: the middle values are found by histograms.
     """
-    group = F.col(by) if by else F.lit("all")
-    members = cells.select("cell_id", group.alias("grp")).where(F.col("grp").isNotNull())
-    sizes = members.groupBy("grp").agg(F.count("*").alias("cells"))
-    stored = scores.join(members, "cell_id").select("grp", "term_id", F.col("score").cast("double").alias("score"))
-    stored = stored.withColumn("score", F.when(F.col("score") < 0, F.raise_error(F.lit("negative score")).cast("double")).otherwise(F.col("score"))).where("score > 0")
+    stored, sizes = _selected(scores, cells, by)
     # equal scores are counted together, so a group and term has a row for each distinct score
-    counted = stored.groupBy("grp", "term_id", "score").agg(F.count("*").alias("n"))
-    pair = Window.partitionBy("grp", "term_id")
-    placed = counted.withColumns({"upto": F.sum("n").over(pair.orderBy("score")), "stored": F.sum("n").over(pair), "above": F.sum(F.when(F.col("score") > threshold, F.col("n")).otherwise(0)).over(pair)}).join(sizes, "grp")
-
-    def median(size: Column, before: Column) -> Column:
-        """Mean of the middle places of size values, of which `before` come ahead of the stored ones."""
-        at = lambda p: F.coalesce(F.max(F.when((p - before >= F.col("upto") - F.col("n")) & (p - before < F.col("upto")), F.col("score"))), F.lit(0.0))
-        return (at(F.floor((size - 1) / 2)) + at(F.ceil((size - 1) / 2))) / 2
-
+    counted = cut_lineage(stored.groupBy("grp", "term_id", "score").agg(F.count("*").alias("n")))
     over = F.col("score") > threshold
-    found = placed.groupBy("grp", "term_id", "cells").agg(
-        F.sum(F.col("score") * F.col("n")).alias("sum"),
-        F.coalesce(F.sum(F.when(over, F.col("score") * F.col("n"))), F.lit(0.0)).alias("sum_over"),
-        F.first("above").alias("above"),
-        median(F.col("cells"), F.col("cells") - F.col("stored")).alias("median_all"),
-        # among scores over the threshold, `above` values, the stored ones at or below it are left out in front
-        median(F.col("above"), F.col("above") - F.col("stored")).alias("median_over"),
+    facts = counted.groupBy("grp", "term_id").agg(
+        F.sum("n").alias("stored"), F.coalesce(F.sum(F.when(over, F.col("n"))), F.lit(0)).alias("above"), F.min("score").alias("lo"), F.max("score").alias("hi"),
+        F.sum(F.col("score") * F.col("n")).alias("sum"), F.coalesce(F.sum(F.when(over, F.col("score") * F.col("n"))), F.lit(0.0)).alias("sum_over"),
     )
-    dense = sizes.crossJoin(F.broadcast(terms.select("term_id", "idx")))
-    joined = dense.join(found.drop("cells"), ["grp", "term_id"], "left")
+    facts = cut_lineage(facts.join(sizes, "grp"))
+    # ranks among the stored scores: of all cells, those without a score come first; of the ones over the threshold, those at or below it
+    middle = lambda size: (F.floor((size - 1) / 2), F.ceil((size - 1) / 2))
+    ranks = [m - F.col("cells") + F.col("stored") for m in middle(F.col("cells"))] + [m + F.col("stored") - F.col("above") for m in middle(F.col("above"))]
+    slots = F.array(*(F.struct(F.lit(i).alias("slot"), r.cast("long").alias("rank")) for i, r in enumerate(ranks)))
+    wanted = facts.select("grp", "term_id", "lo", "hi", F.inline(slots)).where((F.col("rank") >= 0) & (F.col("rank") < F.col("stored")))
+    at = lambda i: F.coalesce(F.max(F.when(F.col("slot") == i, F.col("value"))), F.lit(0.0))
+    medians = _at_ranks(counted, wanted).groupBy("grp", "term_id").agg(((at(0) + at(1)) / 2).alias("median_all"), ((at(2) + at(3)) / 2).alias("median_over"))
+    dense = sizes.crossJoin(small_enough(terms.select("term_id", "idx")))
+    joined = dense.join(facts.drop("cells"), ["grp", "term_id"], "left").join(medians, ["grp", "term_id"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     return joined.select(
         "grp", "term_id", "idx",
@@ -71,13 +121,6 @@ def aggregate_scores(scores: DataFrame, cells: DataFrame, terms: DataFrame, thre
     )
 
 
-def require_selection(cells: DataFrame) -> DataFrame:
-    """cells, or an error if there is none. Runs one small job."""
-    if cells.isEmpty():
-        raise ValueError("no cell is selected")
-    return cells
-
-
 def most_granular_top_k(scores: DataFrame, terms: DataFrame, groups: DataFrame, min_acceptable_score: float, top_k: int = 1, root_note: str = "ROOT", shortest: bool = True) -> DataFrame:
     """grp, rank, score, depth, term_id and label: per group, the k deepest terms of a score at or over the minimum.
 
@@ -89,9 +132,9 @@ def most_granular_top_k(scores: DataFrame, terms: DataFrame, groups: DataFrame,
     known = terms.select("term_id", "idx", "label", F.when(depth.isNotNull(), depth).otherwise(F.raise_error(F.concat(F.lit("no depth for "), F.col("term_id"))).cast("int")).alias("depth"))
     scores = scores.select("grp", "term_id", "score")
     if min_acceptable_score <= 0:
-        dense = groups.select("grp").distinct().crossJoin(F.broadcast(terms.select("term_id")))
+        dense = groups.select("grp").distinct().crossJoin(small_enough(terms.select("term_id")))
         scores = dense.join(scores, ["grp", "term_id"], "left").select("grp", "term_id", F.coalesce("score", F.lit(0.0)).alias("score"))
-    ranked = scores.where(F.col("score") >= min_acceptable_score).join(F.broadcast(known), "term_id")
+    ranked = scores.where(F.col("score") >= min_acceptable_score).join(small_enough(known), "term_id")
     rank = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("depth"), F.desc("score"), "idx"))
     top = ranked.withColumn("rank", rank).where(F.col("rank") <= top_k).select("grp", "rank", "score", "depth", "term_id", "label")
     spine = groups.select("grp").distinct().select("grp", F.explode(F.sequence(F.lit(1), F.lit(top_k))).alias("rank"))
@@ -123,22 +166,28 @@ def top_k_calls_cluster(scores: DataFrame, cells: DataFrame, terms: DataFrame, m
 
 
 def rooted_score_tree(aggregated: DataFrame, edges: DataFrame, root: str = ROOT, min_score: float = 0.05, min_fraction: float = 0.0, hidden: tuple[str, ...] = (), most_levels: int = 100) -> DataFrame:
-    """path, term_id, parent, depth, score and fraction: the graph unrolled from the root, one row a path.
+    """path, ord, term_id, parent, depth, score and fraction: the graph unrolled from the root, one row a path.
 
-    aggregated has term_id, score and fraction. A node that is hidden, or at or under a minimum, is
-    left out on each path, with what is below it there. A root that fails is an error.
+    aggregated has term_id, score and fraction; edges has child_ord. ord is the place of each node of the path among its
+    parent's children, so rows ordered by it are the tree in the resource's order. A node that is hidden, or at or under a
+    minimum, is left out on each path, with what is below it there. A root that fails is an error. Each level is
+    written once, and the next one starts from it.
     """
     passing = aggregated.where((F.col("score") > min_score) & (F.col("fraction") > min_fraction) & ~F.col("term_id").isin(*(hidden or ("",)))).select("term_id", "score", "fraction")
-    level = passing.where(F.col("term_id") == root).select(F.array("term_id").alias("path"), "term_id", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("depth"), "score", "fraction")
+    passing = cut_lineage(passing)
+    level = passing.where(F.col("term_id") == root).select(F.array("term_id").alias("path"), F.array().cast("array<int>").alias("ord"), "term_id", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("depth"), "score", "fraction")
     if level.isEmpty():
         raise ValueError(f"the root {root} does not pass")
-    down = edges.select(F.col("parent").alias("above"), "child").join(passing, F.col("child") == F.col("term_id")).select("above", F.col("child").alias("below"), F.col("score").alias("s"), F.col("fraction").alias("f"))
-    tree = level
+    down = edges.select(F.col("parent").alias("above"), "child", F.col("child_ord").cast("int").alias("place")).join(passing, F.col("child") == F.col("term_id"))
+    down = cut_lineage(down.select("above", F.col("child").alias("below"), "place", F.col("score").alias("s"), F.col("fraction").alias("f")))
+    levels = [level]
     for n in range(1, most_levels + 1):
-        level = level.join(down, F.col("term_id") == F.col("above")).select(F.array_append("path", F.col("below")).alias("path"), F.col("below").alias("term_id"), F.col("above").alias("parent"), F.lit(n).alias("depth"), F.col("s").alias("score"), F.col("f").alias("fraction"))
+        grown = levels[-1].join(down, F.col("term_id") == F.col("above"))
+        grown = grown.select(F.array_append("path", F.col("below")).alias("path"), F.array_append("ord", F.col("place")).alias("ord"), F.col("below").alias("term_id"), F.col("above").alias("parent"), F.lit(n).alias("depth"), F.col("s").alias("score"), F.col("f").alias("fraction"))
+        level = cut_lineage(grown)
         if level.isEmpty():
-            return tree
-        tree = tree.unionByName(level)
+            return reduce(DataFrame.unionByName, levels)
+        levels.append(level)
     raise ValueError(f"a path is longer than {most_levels}: the graph has a cycle")
 
 

@@ -125,7 +125,7 @@ SQL: dict[str, str] = {
     "k3_neighbor_summary_stats": _with(_K3) + f"select cell_id, cell_type, cell_count, {_STATS} from k3",
     "k4_neighbor_dataset_stats": _with(_NN) + "select cell_id, cell_type, dataset_id, count(*) as count_per_dataset, round(min(distance), 6) as min_distance, round(max(distance), 6) as max_distance, round(median(distance), 6) as median_distance, round(avg(distance), 6) as mean_distance from nn group by 1, 2, 3",
     "k5_ontology_aware_scores": _with(_K5) + "select cell_id, term_id, label, round(score, 6) as score, round(total_weight, 6) as total_weight, total_neighbors, total_neighbors_unrecognized from k5 join tot using (cell_id) join terms using (term_id)",
-    "k6_align_results_to_query": _with(_K3) + "select q.cell_id, q.cell_id as pos, count(k3.cell_id)::int as n_matches, count(k3.cell_id) = 0 as unprocessed from q left join (select * from k3 where cell_id % 3 <> 0) k3 using (cell_id) group by 1",
+    "k6_align_results_to_query": _with(_K3) + "select q.cell_id, q.cell_id as pos, count(k3.cell_id)::int as n_matches, count(k3.cell_id) = 0 and q.cell_id % 2 <> 0 as unprocessed from q left join (select * from k3 where cell_id % 3 <> 0) k3 using (cell_id) group by 1",
     "k7_query_cells_by_ids": "select c_custkey as cas_cell_index, c_mktsegment as tissue, case when c_acctbal >= 0 then 'd' || c_nationkey end as disease from customer where c_custkey in (select o_custkey from orders where o_totalprice > 300000)",
     "k8_drop_null_fields": "select c_custkey as cas_cell_index, concat_ws(';', case when c_acctbal >= 0 then 'disease=d' || c_nationkey end, 'donor_id=' || c_name, 'tissue=' || c_mktsegment) as fields from customer",
     # reducers
@@ -157,7 +157,7 @@ SQL: dict[str, str] = {
     "a5_aggregate_scores_by_cluster": _with(_K5, _CLUSTER) + f"select grp, term_id, idx, {_AGG_COLUMNS} from agg",
     "a6_most_granular_top_k": _with(_K5, _CLUSTER) + "select grp, rank::int as rank, round(coalesce(score, 1), 6) as score, coalesce(depth, 0) as depth, coalesce(term_id, 'CL:0000000') as term_id, coalesce(label, 'ROOT') as label from (select distinct grp from agg) cross join (values (1), (2), (3), (4), (5)) v(rank) left join (select grp, mean_over as score, depth_long as depth, term_id, label, row_number() over (partition by grp order by depth_long desc, mean_over desc, terms.idx) as rank from agg join terms using (term_id) where mean_over >= 0.3) x using (grp, rank)",
     "a7_top_k_calls_single": _CALLS + "select * from single",
-    "a8_rooted_score_tree": _with(_K5, _ALL, "ok as (select term_id, mean_over as score, fraction from agg where mean_over > 0.05 and fraction > 0.01)", "tree as (select term_id as path, term_id, null::varchar as parent, 0 as depth, score, fraction from ok where term_id = 'CL:0000000' union all select tree.path || '/' || ok.term_id, ok.term_id, tree.term_id, depth + 1, ok.score, ok.fraction from tree join edges on edges.parent = tree.term_id join ok on ok.term_id = edges.child)") + "select path, term_id, parent, depth, round(score, 6) as score, round(fraction, 6) as fraction from tree",
+    "a8_rooted_score_tree": _with(_K5, _ALL, "ok as (select term_id, mean_over as score, fraction from agg where mean_over > 0.05 and fraction > 0.01)", "tree as (select term_id as path, '' as ord, term_id, null::varchar as parent, 0 as depth, score, fraction from ok where term_id = 'CL:0000000' union all select tree.path || '/' || ok.term_id, tree.ord || case when tree.ord = '' then '' else ',' end || edges.child_ord, ok.term_id, tree.term_id, depth + 1, ok.score, ok.fraction from tree join edges on edges.parent = tree.term_id join ok on ok.term_id = edges.child)") + "select path, ord, term_id, parent, depth, round(score, 6) as score, round(fraction, 6) as fraction from tree",
     "a9_top_k_calls_cluster": _CALLS + "select q.cell_id, cl.* exclude (cluster) from q left join cl on cl.cluster = q.cluster",
     "a10_term_score_opacity": _with(_K5, "s as (select q.cell_id, coalesce(score, 0) as score from q left join (select * from k5 where term_id = 'M1') k using (cell_id))") + "select cell_id, round(score, 6) as score, round(greatest(score, 0.1 + 0.9 * (score - min(score) over ()) / (1e-6 + max(score) over () - min(score) over ())), 6) as opacity from s",
     "a11_padded_bounds": "select round(min(x) - 0.05 * (max(x) - min(x)), 6) as x_min, round(max(x) + 0.05 * (max(x) - min(x)), 6) as x_max, round(min(y) - 0.05 * (max(y) - min(y)), 6) as y_min, round(max(y) + 0.05 * (max(y) - min(y)), 6) as y_max from (select embedding[1]::double as x, embedding[2]::double as y from embeddings)",
@@ -174,8 +174,8 @@ SQL: dict[str, str] = {
     "b2_confusion_matrix": _with(_PRED) + "select model_name, test_sample, true_label, pred_label, n from cm where k = 1",
     "b5_top_k_hit_predictions": _with(_PRED) + "select model_name, test_sample, k, true_label, pred_label, n from cm",
     "b6_join_truth_predictions": _with(_ORDERS) + "select cell_id, t as true_label, model_name, test_sample, n1 as name_1, n2 as name_2 from o",
-    "b7_aggregate_confusion": _with(_PRED) + "select model_name, k, true_label, pred_label, sum(n)::bigint as n from cm group by all",
-    "b8_aggregate_confusion_custom": _with(_PRED) + "select case when grouping(model_name) = 0 then 'model_name' when grouping(test_sample) = 0 then 'test_sample' else 'all' end as group_name, model_name, test_sample, true_label, pred_label, sum(n)::bigint as n from cm where k = 1 group by grouping sets ((model_name, true_label, pred_label), (test_sample, true_label, pred_label), (true_label, pred_label))",
+    "b7_aggregate_confusion": _with(_PRED) + "select model_name, k, true_label, pred_label, sum(n)::bigint as n, (select count(distinct test_sample) from cm c where c.model_name = cm.model_name and c.k = cm.k) as n_samples_aggregated from cm group by all",
+    "b8_aggregate_confusion_custom": _with(_PRED) + "select case when grouping(model_name) = 0 then 'model_name+k' when grouping(test_sample) = 0 then 'k+test_sample' else 'k' end as group_name, model_name, test_sample, k, true_label, pred_label, sum(n)::bigint as n from cm group by grouping sets ((model_name, k, true_label, pred_label), (test_sample, k, true_label, pred_label), (k, true_label, pred_label))",
     "b9_f_measure": _with(_PRED, _flat("cm", "model_name, k")) + _summary("cls", "model_name, k", _FLAT_USED),
     "b10_hierarchical_counts": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + "select model_name, k, node, tp, fp, fn from nd",
     "b11_hierarchical_f_measure": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + _summary("nd", "model_name, k", _NODE_USED, "h_"),
@@ -205,7 +205,7 @@ SQL: dict[str, str] = {
     "s7_inferred_labels_csv": _CALLS + "select * from single",
     "s8_run_metadata_json": "select o_orderstatus as input_path, o_orderpriority as model_name, count(*) as n_cells, 'market' as ontology_resource_name from orders group by 1, 2",
     "s9_collect_runs": "select distinct 'run_' || o_orderstatus as run_id from orders",
-    "s10_confusion_store": _with(_PRED) + "select model_name, test_sample, k, true_label, pred_label, n from cm",
+    "s10_confusion_store": _with(_PRED) + f"select model_name, test_sample, k, true_label, pred_label, n, {len(TERMS)} as matrix_size from cm",
     "s11_metrics_csv": _with(_PRED, _flat("cm", "model_name, k")) + _summary("cls", "model_name, k", _FLAT_USED),
     "s12_read_predictions_csv": _with(_ONTOLOGY, _AZIMUTH) + "select cell_id, l1, l2, round(s1, 6) as s1, round(s2, 6) as s2 from az",
 }

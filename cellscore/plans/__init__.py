@@ -1,5 +1,5 @@
-"""Helpers that shape physical plans: lineage cuts and size-checked broadcasts."""
+"""Helpers that shape physical plans: lineage cuts, size-checked broadcasts and numbering."""
 
-from cellscore.plans.lineage import cut_lineage, small_enough
+from cellscore.plans.lineage import cut_lineage, numbered_within, small_enough
 
-__all__ = ["cut_lineage", "small_enough"]
+__all__ = ["cut_lineage", "numbered_within", "small_enough"]

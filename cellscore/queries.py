@@ -15,6 +15,7 @@ from cellscore.operators import neighbors as nb
 from cellscore.operators import ontology as on
 from cellscore.operators import preprocess as pp
 from cellscore.operators import reducers as rd
+from cellscore.operators import runs
 from cellscore.operators import scores as sc
 from cellscore.plans.lineage import checkpoint_folder
 
@@ -56,8 +57,11 @@ def ontology_aware_scores(spark, d):
 
 
 def align_results_to_query(spark, d):
-    response = nb.summary_response(fx.neighbors(spark, d)).where("cell_id % 3 <> 0")
-    return nb.align_results_to_query(fx.query_cells(spark, d).select("cell_id", "pos"), response).select("cell_id", "pos", F.size("matches").alias("n_matches"), "unprocessed")
+    """Cells of every third id get no result, those of an even id an empty one in an earlier batch."""
+    found = nb.summary_response(fx.neighbors(spark, d)).withColumn("batch", F.lit(1))
+    earlier = found.where("cell_id % 2 = 0").withColumns({"batch": F.lit(0), "matches": F.slice("matches", 1, 0)})
+    response = found.where("cell_id % 3 <> 0").unionByName(earlier)
+    return nb.align_results_to_query(fx.query_cells(spark, d).select("cell_id", "pos"), response, "batch").select("cell_id", "pos", F.size("matches").alias("n_matches"), "unprocessed")
 
 
 def query_cells_by_ids(spark, d):
@@ -72,7 +76,7 @@ def drop_null_fields(spark, d):
 
 
 def majority_vote(spark, d):
-    return _rounded(rd.majority_vote(fx.matches(spark, d)))
+    return _rounded(rd.majority_vote(fx.query_cells(spark, d), fx.matches(spark, d)))
 
 
 def min_distance_vote(spark, d):
@@ -88,7 +92,7 @@ def cluster_vote_detail(spark, d):
 
 
 def wnn_weights(spark, d):
-    return _rounded(rd.wnn_weights(fx.knn_graph(spark, d)))
+    return _rounded(rd.wnn_weights(fx.knn_graph(spark, d), fx.query_cells(spark, d)))
 
 
 def cell_type_probs(spark, d):
@@ -96,11 +100,13 @@ def cell_type_probs(spark, d):
 
 
 def _wnn_probs(spark, d):
-    return rd.wnn_probs(rd.wnn_weights(fx.knn_graph(spark, d)), rd.cell_type_probs(fx.matches(spark, d)))
+    return rd.wnn_probs(rd.wnn_weights(fx.knn_graph(spark, d), fx.query_cells(spark, d)), rd.cell_type_probs(fx.matches(spark, d)))
 
 
 def wnn_vote(spark, d):
-    return _rounded(rd.wnn_vote(_wnn_probs(spark, d)))
+    """All votes before rare types are renamed."""
+    voted, _ = rd.wnn(fx.query_cells(spark, d), nb.summary_response(fx.neighbors(spark, d)), fx.knn_graph(spark, d), 10, min_n_cells_per_type=0)
+    return _rounded(voted)
 
 
 def relabel_rare_types(spark, d):
@@ -171,7 +177,7 @@ def _long_response(response: DataFrame) -> DataFrame:
 
 
 def build_ontology_response(spark, d):
-    return _long_response(on.build_ontology_response(_wide_azimuth(spark, d), fx.terms(spark), fx.closure(spark), "market"))
+    return _long_response(on.build_ontology_response(_wide_azimuth(spark, d), fx.terms(spark), fx.closure(spark), "market").response)
 
 
 def score_matrix(spark, d):
@@ -192,7 +198,7 @@ def _aggregated(spark, d, by=None):
 
 
 def fraction_over_threshold(spark, d):
-    return _rounded(_aggregated(spark, d).select("term_id", "fraction"))
+    return _rounded(sc.fraction_over_threshold(_matrix(spark, d), fx.query_cells(spark, d), fx.terms(spark)).select("term_id", "fraction"))
 
 
 def aggregate_scores(spark, d):
@@ -214,7 +220,8 @@ def top_k_calls_single(spark, d):
 
 def rooted_score_tree(spark, d):
     summed = _aggregated(spark, d).select("term_id", F.col("mean_over").alias("score"), "fraction")
-    return _rounded(sc.rooted_score_tree(summed, fx.edges(spark), min_fraction=0.01)).withColumn("path", F.array_join("path", "/"))
+    tree = _rounded(sc.rooted_score_tree(summed, fx.edges(spark), min_fraction=0.01))
+    return tree.withColumns({"path": F.array_join("path", "/"), "ord": _joined("ord")})
 
 
 def top_k_calls_cluster(spark, d):
@@ -241,23 +248,17 @@ def inferred_labels(spark, d):
 
 def annotate_pipeline(spark, d):
     """Embeddings to labels, with the sinks of a run; the labels come from the files."""
-    folder = _scratch(spark, "annotate")
-    scores = fx.scores(spark, d)
-    match = F.struct("score", F.col("term_id").alias("cell_type_ontology_term_id"), F.col("label").alias("cell_type"))
-    response = scores.groupBy(F.col("cell_id").cast("string").alias("query_cell_id"), "total_weight", F.col("total_neighbors").cast("int").alias("total_neighbors"), F.col("total_neighbors_unrecognized").cast("int").alias("total_neighbors_unrecognized")).agg(F.array_sort(F.collect_list(match)).alias("matches"))
-    io.write_ontology_response(f"{folder}/ontology_response.json", response)
     cells, terms = fx.query_cells(spark, d), fx.terms(spark)
-    each = io.read_ontology_response(spark, f"{folder}/ontology_response.json").select(F.col("query_cell_id").cast("long").alias("cell_id"), F.inline("matches"))
-    matrix = sc.score_matrix(each.select("cell_id", F.col("cell_type_ontology_term_id").alias("term_id"), "score"), terms)
-    labels = sc.inferred_labels(sc.top_k_calls_single(matrix, cells, terms, 0.2), sc.top_k_calls_cluster(matrix, cells, terms, 0.2))
-    io.write_inferred_labels(f"{folder}/inferred_labels.csv", labels)
-    metadata = cells.agg(F.lit(d).alias("input_path"), F.lit("knn").alias("model_name"), F.count("*").alias("n_cells"), F.lit("labels").alias("ontology_resource_name"))
-    io.write_run_metadata(f"{folder}/metadata.json", metadata)
-    back = io.read_inferred_labels(spark, f"{folder}/inferred_labels.csv")
+    paths = runs.annotate(
+        _scratch(spark, "annotate"), cells, fx.reference_cells(spark, d), terms, fx.closure(spark), fx.edges(spark),
+        known=terms.where("term_id <> 'T9'"), input_path=d, resource_name="labels", cluster="cluster",
+    )
+    back = io.read_inferred_labels(spark, paths["labels"])
     return _rounded(back.withColumn("cell_id", F.col("cell_id").cast("long")))
 
 
 def align_predictions(spark, d):
+    """Every second customer is a cell: predictions of the others are the extra rows that are left out."""
     cells = fx.table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("cell_id"), F.col("c_custkey").alias("pos"))
     return _plain_levels(cw.align_predictions(cells, fx.azimuth(spark, d)), "pos")
 
@@ -285,7 +286,9 @@ def unmapped_label_report(spark, d):
 
 def crosswalk_pipeline(spark, d):
     cells = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("cell_id"), F.col("c_custkey").alias("pos"))
-    return _long_response(cw.crosswalk_pipeline(cells, fx.azimuth(spark, d), fx.crosswalk(spark, d), fx.terms(spark), fx.closure(spark), "market"))
+    paths = runs.crosswalk_run(_scratch(spark, "crosswalk"), cells, fx.azimuth(spark, d), fx.crosswalk(spark, d), fx.terms(spark), fx.closure(spark), fx.edges(spark), "market")
+    response = io.read_ontology_response(spark, paths["response"]).withColumn("cell_id", F.col("query_cell_id").cast("long"))
+    return _long_response(response.crossJoin(io.read_run_metadata(spark, paths["metadata"]).select("model_name")))  # one row of metadata
 
 
 RUN, GROUP = ["model_name", "test_sample"], ["model_name", "k"]
@@ -297,7 +300,7 @@ def labels_outside_universe(spark, d):
 
 
 def confusion_matrix(spark, d):
-    return mt.confusion_matrix(fx.predictions(spark, d).withColumnRenamed("name_1", "pred_label"), RUN)
+    return mt.confusion_matrix(fx.predictions(spark, d).withColumnRenamed("name_1", "pred_label"), RUN, fx.universe(spark))
 
 
 def top_k_hit_predictions(spark, d):
@@ -310,11 +313,13 @@ def join_truth_predictions(spark, d):
 
 
 def aggregate_confusion(spark, d):
-    return mt.aggregate_confusion(fx.confusion(spark, d), GROUP)
+    matrices = fx.confusion(spark, d)
+    metadata = mt.confusion_metadata(matrices, fx.universe(spark), [*RUN, "k"])
+    return mt.aggregate_confusion(matrices, GROUP, metadata).join(mt.aggregate_metadata(metadata, GROUP).select(*GROUP, "n_samples_aggregated"), GROUP)
 
 
 def aggregate_confusion_custom(spark, d):
-    return mt.aggregate_confusion_custom(fx.confusion(spark, d).where("k = 1"), [["model_name"], ["test_sample"], []])
+    return mt.aggregate_confusion_custom(fx.confusion(spark, d), [["model_name", "k"], ["test_sample", "k"], ["k"]])
 
 
 def f_measure(spark, d):
@@ -352,12 +357,12 @@ def _truth_and_ranks(spark, d):
 
 
 def build_all_confusions(spark, d):
-    return mt.build_all_confusions(_truth_and_ranks(spark, d), "name_1", 2, RUN)
+    return mt.build_all_confusions(_truth_and_ranks(spark, d), "name_1", 2, RUN, fx.universe(spark))
 
 
 def benchmark_pipeline(spark, d):
     """All four tables are written as CSV; the one per sample is read again."""
-    tables = mt.benchmark_pipeline(_truth_and_ranks(spark, d), fx.closure(spark), "name_1", 2)
+    tables = mt.benchmark_pipeline(_truth_and_ranks(spark, d), fx.closure(spark), "name_1", 2, fx.universe(spark))
     folder = _scratch(spark, "benchmark")
     io.write_metrics(folder, tables)
     schema = tables["f_measure_per_sample"].schema
@@ -427,12 +432,9 @@ def counts_parquet(spark, d):
 
 def _resource(spark, d):
     links = fx.market_edges(spark, d)
-    from pyspark.sql import Window
-
-    edges = links.withColumn("child_ord", F.row_number().over(Window.partitionBy("parent").orderBy("child")) - 1)
     terms = on.path_depths(links).select("term_id", F.xxhash64("term_id").alias("idx"), F.lower("term_id").alias("label"), "depth_short", "depth_long")
     path = _scratch(spark, "resource")
-    io.write_ontology_resource(path, terms, edges)
+    io.write_ontology_resource(path, terms, io.number_children(links))
     return io.read_ontology_resource(spark, path)
 
 
@@ -446,10 +448,7 @@ def write_ontology_resource(spark, d):
 
 def ontology_response_json(spark, d):
     path = _scratch(spark, "response")
-    scores = fx.scores(spark, d)
-    match = F.struct("score", F.col("term_id").alias("cell_type_ontology_term_id"), F.col("label").alias("cell_type"))
-    totals = [F.col("total_weight"), *(F.col(c).cast("int").alias(c) for c in ("total_neighbors", "total_neighbors_unrecognized"))]
-    io.write_ontology_response(path, scores.groupBy(F.col("cell_id").cast("string").alias("query_cell_id"), *totals).agg(F.collect_list(match).alias("matches")))
+    io.write_ontology_response(path, runs.response_lists(fx.scores(spark, d)))
     back = io.read_ontology_response(spark, path)
     total = F.aggregate("matches", F.lit(0.0), lambda a, m: a + m["score"])
     return _rounded(back.select(F.col("query_cell_id").cast("long").alias("cell_id"), F.size("matches").alias("n_matches"), total.alias("score"), "total_weight", "total_neighbors", "total_neighbors_unrecognized"))
@@ -480,8 +479,10 @@ def collect_runs(spark, d):
 
 def confusion_store(spark, d):
     path = _scratch(spark, "confusion")
-    io.write_confusion(path, fx.confusion(spark, d))
-    return io.read_confusion(spark, path)
+    matrices = fx.confusion(spark, d)
+    io.write_confusion(path, matrices, mt.confusion_metadata(matrices, fx.universe(spark), [*RUN, "k"]))
+    matrices, metadata = io.read_confusion(spark, path)
+    return matrices.join(metadata.select(*RUN, F.col("k").cast("int").alias("k"), F.col("matrix_size").cast("int").alias("matrix_size")), [*RUN, "k"])
 
 
 def metrics_csv(spark, d):

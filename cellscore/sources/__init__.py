@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscore.functions import first_column, nullable_text
+from cellscore.plans import cut_lineage, numbered_within, small_enough
 
 ONTOLOGY_RESOURCE = "cl_names array<string>, cell_ontology_term_id_to_cell_type map<string,string>, children_dictionary map<string,array<string>>, shortest_path_lengths_from_cell_root map<string,int>, longest_path_lengths_from_cell_root map<string,int>"
 ONTOLOGY_RESPONSE = "query_cell_id string, matches array<struct<score double, cell_type_ontology_term_id string, cell_type string>>, total_weight double, total_neighbors int, total_neighbors_unrecognized int"
@@ -18,11 +21,13 @@ def _numbered(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines of the files of a folder with their number, from 1, in the order of the files' names.
 
     Gzipped files are not split, so the lines of a file are numbered where it is read; just a count a file is gathered.
+    A file that is read in several parts, as large plain text is, is an error.
     """
-    marked = lines.select(line, "file", F.monotonically_increasing_id().alias("at"))
-    files = marked.groupBy("file").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    marked = lines.select(line, "file", F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"))
+    files = marked.groupBy("file").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.count_distinct("part").alias("parts"))
+    files = files.withColumn("n", F.when(F.col("parts") == 1, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("read in parts, gzip it: "), F.col("file"))).cast("long")))
     before = files.select("file", "first", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))  # a row a file
-    return marked.join(F.broadcast(before), "file").select(line, (F.col("before") + F.col("at") - F.col("first") + 1).alias("number"))
+    return marked.join(small_enough(before), "file").select(line, (F.col("before") + F.col("at") - F.col("first") + 1).alias("number"))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -43,14 +48,32 @@ def write_10x_mex(folder: str, counts: DataFrame, cells: DataFrame, features: Da
     cells.orderBy("pos").select(F.col("cell_id").cast("string").alias("value")).write.text(f"{folder}/barcodes.tsv.gz", compression="gzip")
     order = lambda df, key: df.select(key, F.col("pos").alias("p"))
     numbered = counts.join(order(features, "feature_id").withColumnRenamed("p", "row"), "feature_id").join(order(cells, "cell_id").withColumnRenamed("p", "column"), "cell_id")
+    numbered = cut_lineage(numbered.select("row", "column", "value"))  # counted for the line of sizes, and written
     entry = F.concat_ws(" ", (F.col("row") + 1).cast("string"), (F.col("column") + 1).cast("string"), F.col("value").cast("string"))
     sizes = features.agg(F.count("*").alias("f")).crossJoin(cells.agg(F.count("*").alias("c"))).crossJoin(numbered.agg(F.count("*").alias("n")))
     head = sizes.select(F.explode(F.array(F.lit("%%MatrixMarket matrix coordinate real general"), F.concat_ws(" ", "f", "c", "n"))).alias("value"))
     head.unionByName(numbered.select(entry.alias("value"))).write.text(f"{folder}/matrix.mtx.gz", compression="gzip")
 
 
-def read_10x_mex(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _genome_folder(spark: SparkSession, folder: str, genome: str | None) -> str:
+    """The folder of the three files: folder itself, or below it that of a genome, as older files have it.
+
+    More than one genome and none asked for, or one that is not there, is an error. Newer files hold all genomes together, and genome
+    does not restrict them.
+    """
+    below = sorted(r["run_id"] for r in run_files(spark, folder).select("run_id").distinct().collect())  # three files, or a few genomes
+    if any(n.startswith("matrix.mtx") for n in below):
+        return folder
+    if genome is None and len(below) == 1:
+        return f"{folder}/{below[0]}"
+    if genome not in below:
+        raise ValueError((f"no genome {genome}" if genome else "a genome must be chosen") + f"; there are {', '.join(below)}")
+    return f"{folder}/{genome}"
+
+
+def read_10x_mex(spark: SparkSession, folder: str, genome: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """counts (cell_id, feature_id, value), cells (cell_id, pos) and features (feature_id, feature_name, pos). Positions are from 0."""
+    folder = _genome_folder(spark, folder, genome)
     barcodes = _numbered(_lines(spark, f"{folder}/barcodes.tsv.gz"))
     cells = barcodes.select(F.col("value").alias("cell_id"), (F.col("number") - 1).alias("pos"))
     parts = F.split("value", "\t")
@@ -73,17 +96,40 @@ def read_counts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     return tuple(spark.read.parquet(f"{folder}/{name}.parquet") for name in ("counts", "cells", "features"))
 
 
-def read_matrix(spark: SparkSession, folder: str, kind: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def read_matrix(spark: SparkSession, folder: str, kind: str | None = None, genome: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """read_10x_mex or read_counts, by kind or by the end of the path: .mex or .parquet."""
     kind = kind or folder.rstrip("/").rpartition(".")[2]
-    readers = {"mex": read_10x_mex, "parquet": read_counts}
+    readers = {"mex": lambda spark, folder: read_10x_mex(spark, folder, genome), "parquet": read_counts}
     if kind not in readers:
         raise ValueError(f"{folder} is of no known kind: {', '.join(readers)}")
     return readers[kind](spark, folder)
 
 
+def number_children(links: DataFrame) -> DataFrame:
+    """parent, child and child_ord, the place (from 0) of a child among its parent's by name; a parent may have any number."""
+    return numbered_within(links.select("parent", "child"), "parent", "child", "child_ord").select("parent", "child", F.col("child_ord").cast("int").alias("child_ord"))
+
+
 def write_ontology_resource(path: str, terms: DataFrame, edges: DataFrame) -> None:
-    """The ontology as one JSON record: ordered names, labels, children and depths."""
+    """The ontology as JSON lines: terms has a line for each term (name, place, label and depths), children one for each parent and child."""
+    terms.select("term_id", "idx", "label", "depth_short", "depth_long").write.json(f"{path}/terms")
+    edges.select("parent", "child", "child_ord").write.json(f"{path}/children")
+
+
+def read_ontology_resource(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """terms (term_id, idx, label, depth_short, depth_long) and edges (parent, child, child_ord), as write_ontology_resource wrote them."""
+    terms = spark.read.schema("term_id string, idx long, label string, depth_short int, depth_long int").json(f"{path}/terms")
+    return terms, spark.read.schema("parent string, child string, child_ord int").json(f"{path}/children")
+
+
+#: Terms and edges of an ontology that is one JSON record; a larger one is an error, as a record is one row of one task.
+MOST_RECORD = 200_000
+
+
+def write_ontology_record(path: str, terms: DataFrame, edges: DataFrame) -> None:
+    """A small ontology as one JSON record, the form that other tools exchange: ordered names, labels, children and depths."""
+    if max(df.limit(MOST_RECORD + 1).count() for df in (terms, edges)) > MOST_RECORD:
+        raise ValueError(f"more than {MOST_RECORD} terms or edges: write_ontology_resource takes any number")
     pairs = lambda key, value: F.map_from_entries(F.collect_list(F.struct(key, value)))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("idx", "term_id"))), lambda x: x["term_id"])
     record = terms.agg(
@@ -94,12 +140,13 @@ def write_ontology_resource(path: str, terms: DataFrame, edges: DataFrame) -> No
     record.crossJoin(lists.agg(pairs("parent", "children").alias("children_dictionary"))).write.json(path)
 
 
-def read_ontology_resource(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """terms (term_id, idx, label, depth_short, depth_long) and edges (parent, child, child_ord)."""
-    record = spark.read.schema(ONTOLOGY_RESOURCE).option("multiLine", True).json(path)
-    names = record.select(F.posexplode("cl_names").alias("idx", "term_id"), *record.columns[1:])
-    at = lambda c: F.try_element_at(F.col(c), F.col("term_id"))
-    terms = names.select("term_id", "idx", at("cell_ontology_term_id_to_cell_type").alias("label"), at("shortest_path_lengths_from_cell_root").alias("depth_short"), at("longest_path_lengths_from_cell_root").alias("depth_long"))
+def read_ontology_record(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """terms and edges of an ontology that is one JSON record: its maps are rows, joined by term."""
+    record = cut_lineage(spark.read.schema(ONTOLOGY_RESOURCE).option("multiLine", True).json(path))
+    of = lambda c, name: record.select(F.explode(c).alias("term_id", name))
+    terms = record.select(F.posexplode("cl_names").alias("idx", "term_id"))
+    for c, name in (("cell_ontology_term_id_to_cell_type", "label"), ("shortest_path_lengths_from_cell_root", "depth_short"), ("longest_path_lengths_from_cell_root", "depth_long")):
+        terms = terms.join(of(c, name), "term_id", "left")
     edges = record.select(F.explode("children_dictionary").alias("parent", "children")).select("parent", F.posexplode("children").alias("child_ord", "child"))
     return terms, edges.select("parent", "child", "child_ord")
 
@@ -137,12 +184,25 @@ def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_METADATA).json(path)
 
 
-def run_files(spark: SparkSession, parent: str) -> DataFrame:
-    """run_id and name of every file or table right below the runs of a folder."""
-    name = parent.rstrip("/").rpartition("/")[2]
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(parent).select("path")
-    below = F.split(F.substring_index("path", f"/{name}/", -1), "/")
-    return listed.select(below[0].alias("run_id"), below[1].alias("name")).distinct()
+def run_files(spark: SparkSession, source: str) -> DataFrame:
+    """run_id and name of every file or table right below the runs of a folder, or of the folders that a .txt file lists, a line each.
+
+    The id of a run is its folder's name, or, from a list, its path as the line has it.
+    """
+    if source.endswith(".txt"):
+        listed = [r["value"].strip().rstrip("/") for r in spark.read.text(source).collect() if r["value"].strip()]  # a short list, as people write it
+        if not listed:
+            raise ValueError(f"{source} lists no run")
+        found = [_below(spark, path).select(F.lit(path).alias("run_id"), F.col("below")[0].alias("name")) for path in dict.fromkeys(listed)]
+        return reduce(DataFrame.unionByName, found).distinct()
+    return _below(spark, source).select(F.col("below")[0].alias("run_id"), F.coalesce(F.try_element_at("below", F.lit(2)), F.lit("")).alias("name")).distinct()
+
+
+def _below(spark: SparkSession, folder: str) -> DataFrame:
+    """below: the parts of the path, under folder, of each file."""
+    name = folder.rstrip("/").rpartition("/")[2]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    return listed.select(F.split(F.substring_index("path", f"/{name}/", -1), "/").alias("below"))
 
 
 def collect_runs(files: DataFrame, required: list[str]) -> DataFrame:
@@ -157,13 +217,21 @@ def collect_runs(files: DataFrame, required: list[str]) -> DataFrame:
     return runs.orderBy("run_id")
 
 
-def write_confusion(path: str, confusion: DataFrame) -> None:
-    """Confusion matrices, partitioned by k and model."""
-    confusion.write.partitionBy("k", "model_name").parquet(path)
+def write_confusion(path: str, confusion: DataFrame, metadata: DataFrame) -> None:
+    """Confusion matrices, partitioned by k and model, and their metadata (label_order, matrix_size and what else is known of a run)."""
+    confusion.write.partitionBy("k", "model_name").parquet(f"{path}/matrix")
+    metadata.write.json(f"{path}/metadata")
 
 
-def read_confusion(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("model_name", F.col("model_name").cast("string"))
+def read_confusion(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Confusion matrices and their metadata. Without either of the two, or with a matrix that has no metadata, it is an error (one small job)."""
+    matrix = spark.read.parquet(f"{path}/matrix").withColumn("model_name", F.col("model_name").cast("string"))
+    metadata = spark.read.json(f"{path}/metadata")
+    keys = [c for c in matrix.columns if c in metadata.columns]
+    lone = matrix.select(*keys).distinct().join(metadata.select(*(F.col(c).cast(matrix.schema[c].dataType) for c in keys)), keys, "left_anti").limit(5).collect()
+    if lone:
+        raise ValueError(f"no metadata of {', '.join(str(tuple(r)) for r in lone)}")
+    return matrix, metadata
 
 
 def write_metrics(folder: str, tables: dict[str, DataFrame]) -> None:

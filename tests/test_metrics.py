@@ -1,5 +1,6 @@
 import pytest
 
+from cellscore import sources as io
 from cellscore.operators import metrics as mt
 from cellscore.operators import ontology as on
 
@@ -64,3 +65,46 @@ def test_guards(spark):
         mt.ranked_label_columns("label", 2)
     with pytest.raises(ValueError):
         mt.effective_ranks("x_1", 1, ["y"])
+
+
+def test_f1_comes_from_precision_and_recall(spark):
+    """With zero_division 1, a class of no hit: its precision is 0 or 1, its recall as well, and F1 goes by those two."""
+    r = mt.f_measure(matrix(spark, "2", "3"), ["model_name"], 1.0).first()
+    # class 2: precision 1 (never predicted), recall 0; class 3 the other way round; over all both are 0
+    assert (r["precision_macro"], r["recall_macro"], r["f1_macro"], r["precision_micro"], r["f1_micro"]) == (0.5, 0.5, 0.0, 0.0, 1.0)
+
+
+def test_matrices_guard_their_labels(spark):
+    universe = spark.createDataFrame([("2", 0), ("3", 1)], "label string, idx int")
+    pairs = spark.createDataFrame([("m", "a", "2", "3"), ("m", "b", "2", "9")], "model_name string, test_sample string, true_label string, pred_label string")
+    keys = ["model_name", "test_sample"]
+    with pytest.raises(ValueError, match="9"):
+        mt.confusion_matrix(pairs, keys, universe)
+    assert mt.confusion_matrix(pairs, keys, universe, "drop").count() == 1
+    with pytest.raises(ValueError, match="9"):
+        mt.build_all_confusions(pairs.withColumnRenamed("pred_label", "name_1"), "name_1", 1, keys, universe)
+    good = mt.confusion_matrix(pairs.where("pred_label = '3'"), keys)
+    facts = mt.confusion_metadata(good, universe, keys)
+    other = mt.confusion_metadata(mt.confusion_matrix(pairs.where("pred_label = '9'"), keys), universe.where("idx = 0"), keys)
+    assert mt.aggregate_confusion(good, ["model_name"], facts).first()["n"] == 1 and facts.first()["label_order"] == ["2", "3"]
+    with pytest.raises(ValueError, match="label orders"):
+        mt.aggregate_confusion(good, ["model_name"], facts.unionByName(other))
+    with pytest.raises(ValueError, match="no confusion matrix"):
+        mt.aggregate_confusion(good, ["model_name"], facts.limit(0))
+    summed = mt.aggregate_metadata(facts.unionByName(facts.withColumn("test_sample", facts["model_name"])), ["model_name"]).first()
+    assert (summed["n_samples_aggregated"], summed["sources"], summed["matrix_size"]) == (2, ["a", "m"], 2)
+
+
+def test_a_store_has_both_its_parts(spark, tmp_path):
+    universe = spark.createDataFrame([("2", 0), ("3", 1)], "label string, idx int")
+    raw = spark.createDataFrame([("m", "a", 1, "2", "3", 4), ("m", "b", 1, "2", "2", 5)], "model_name string, test_sample string, k int, true_label string, pred_label string, n long")
+    facts = mt.confusion_metadata(raw, universe, ["model_name", "test_sample", "k"])
+    io.write_confusion(f"{tmp_path}/ok", raw, facts)
+    back, known = io.read_confusion(spark, f"{tmp_path}/ok")
+    assert sorted(map(tuple, back.select(*raw.columns).collect())) == sorted(map(tuple, raw.collect())) and known.first()["label_order"] == ["2", "3"]
+    io.write_confusion(f"{tmp_path}/lone", raw, facts.where("test_sample = 'a'"))
+    with pytest.raises(ValueError, match="no metadata"):
+        io.read_confusion(spark, f"{tmp_path}/lone")
+    raw.write.parquet(f"{tmp_path}/half/matrix")
+    with pytest.raises(Exception, match="metadata"):
+        io.read_confusion(spark, f"{tmp_path}/half")

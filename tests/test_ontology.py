@@ -53,7 +53,7 @@ def test_ranked_labels_linearity_and_response(spark):
     ranked = on.parse_ranked_labels(wide, terms)
     assert sorted((r["cell_id"], r["rank"], r["score"]) for r in ranked.collect()) == [(1, 1, 0.7), (1, 2, 0.9), (2, 1, 0.0), (2, 2, 0.4)]
     assert [tuple(r) for r in on.linearity_violations(ranked, closure).collect()] == [("T1", "M2")]
-    rows = {r["cell_id"]: r for r in on.build_ontology_response(wide, terms, closure, "x").collect()}
+    rows = {r["cell_id"]: r for r in on.build_ontology_response(wide, terms, closure, "x").response.collect()}
     assert {m["cell_type_ontology_term_id"]: m["score"] for m in rows[1]["matches"]} == {"T1": 0.7, "M1": 0.9, "K1": 0.7, "M0": 0.7, ROOT: 0.9}
     assert rows[3]["matches"] == [] and rows[3]["total_weight"] == 0.0 and rows[1]["total_weight"] == 0.7 and rows[1]["model_name"] == "azimuth_x"
     with pytest.raises(ValueError):
