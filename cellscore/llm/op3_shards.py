@@ -6,18 +6,22 @@ of the leaves (the median where both get as many), with the text's bytes as
 weight, until a node holds the target bytes. Cuts are exact: a cut is found by
 refining a histogram of byte sums, a few bits of the sorting key at a time, so
 that each pass is one aggregation with few groups. Ties of the dimension go by a
-hash of the row, so one value may be cut anywhere. The tree is an expression over
-the metadata; no row moves until slots are dealt.
+hash of the row, so one value may be cut anywhere.
+
+A level of the tree is a small table of cuts, which is broadcast to the narrow rows of
+metadata; each row carries its node, and the rows are written once a level. So the plan
+has the same size for any number of shards, and the driver holds one line a node.
 
 Defined results: null text has no bytes, and the checksum of the empty text;
 null metadata is a value of its own; equal and repeated rows are told apart by
-their place in the input; an empty table gives no row; shards beyond the rows
+their place in the input; a null doc_id is a row like any other; an empty table gives no row; shards beyond the rows
 stay empty; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,17 +30,22 @@ from cellscore.plans import cut_lineage
 
 #: Bits of a dimension's value, of the hash that breaks ties, and of each refinement.
 VALUE_BITS, TIE_BITS, STEP_BITS = 20, 40, 15
+#: Nodes whose table is broadcast (some 50 bytes each); more are joined by a shuffle.
+MOST_NODES = 1_000_000
 
 
 @dataclass
 class Node:
-    """A node with its number of leaves and its first leaf; after a split: the dimension, the first key to the right and the sides."""
+    """A node with its number, its number of leaves and its first leaf."""
 
+    number: int
     leaves: int
     first: int
     dimension: int = 0
-    cut: int | None = None
-    sides: list[Node] = field(default_factory=list)
+    #: What is known of the key of the cut: its first bits, the bytes still to go left, and the bytes at these bits.
+    prefix: int = 0
+    goal: float = 0.0
+    there: int = 0
 
 
 def _metadata(docs: DataFrame, categories: list[str]) -> DataFrame:
@@ -49,55 +58,66 @@ def _metadata(docs: DataFrame, categories: list[str]) -> DataFrame:
     return rows.withColumn("tie", F.pmod(F.xxhash64("row"), F.lit(1 << TIE_BITS)))
 
 
-def _key(dimension: int) -> Column:
-    return F.col(f"d{dimension}") * (1 << TIE_BITS) + F.col("tie")
-
-
-def _place(node: Node, value) -> Column:
-    """value(leaf node) for the leaf that a row falls into."""
-    if node.cut is None:
-        return value(node)
-    return F.when(_key(node.dimension) < node.cut, _place(node.sides[0], value)).otherwise(_place(node.sides[1], value))
-
-
-def grow(rows: DataFrame, leaves: int, dimensions: int) -> Node:
-    """The tree with so many leaves over the rows of _metadata; some 5 small jobs for each of its levels."""
-    root = Node(leaves, 0)
-    active = [root]
-    while active:
-        index = {id(n): i for i, n in enumerate(active)}
-        at = rows.withColumn("node", _place(root, lambda n: F.lit(index.get(id(n), -1)))).where("node >= 0")
-        stats = {r["node"]: r for r in at.groupBy("node").agg(F.sum("size").alias("bytes"), *(f(f"d{i}").alias(f"{s}{i}") for i in range(dimensions) for f, s in ((F.min, "lo"), (F.max, "hi")))).collect()}
-        wanted: dict[int, tuple[int, float]] = {}  # node: prefix of the key so far, bytes still to go left
-        for i, n in enumerate(active):
-            if i in stats:
-                n.dimension = max(range(dimensions), key=lambda k: stats[i][f"hi{k}"] - stats[i][f"lo{k}"])
-                wanted[i] = (0, stats[i]["bytes"] * (n.leaves // 2) / n.leaves)
-        shift = VALUE_BITS + TIE_BITS
-        key = F.coalesce(*(F.when(F.col("node") == i, _key(active[i].dimension)) for i in wanted)) if wanted else None
-        sums: dict[int, int] = {}
-        while shift and wanted:
-            shift -= STEP_BITS
-            prefix = F.coalesce(*(F.when(F.col("node") == i, F.lit(p)) for i, (p, _) in wanted.items()))
-            goal = F.coalesce(*(F.when(F.col("node") == i, F.lit(float(g))) for i, (_, g) in wanted.items()))
-            ours = at.withColumn("key", key).where(F.shiftright("key", shift + STEP_BITS) == prefix)
-            tally = ours.groupBy("node", F.shiftright("key", shift).alias("head")).agg(F.sum("size").alias("bytes"))
-            upto = tally.withColumn("upto", F.sum("bytes").over(Window.partitionBy("node").orderBy("head")))  # at most 2^15 heads of a node
-            first = upto.where(F.col("upto") >= goal).groupBy("node").agg(F.min_by(F.struct("head", "bytes", "upto"), "head").alias("x"))
-            for r in first.collect():
-                i, x = r["node"], r["x"]
-                before = x["upto"] - x["bytes"]
-                sums[i] = x["bytes"]
-                wanted[i] = (x["head"], wanted[i][1] - before)
-        following = []
-        for i, n in enumerate(active):
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of numbers, broadcast, by functions alone."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    fields = ", ".join(c.replace(" ", ": ") for c in schema.split(", "))
+    df = spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>")))
+    return F.broadcast(df) if len(rows) <= MOST_NODES else df
+
+
+def _key(dimensions: int) -> Column:
+    """The sorting key of a row in the dimension of its node."""
+    return F.element_at(F.array(*(F.col(f"d{i}") for i in range(dimensions))), F.col("dimension") + 1) * (1 << TIE_BITS) + F.col("tie")
+
+
+def _cuts(rows: DataFrame, active: list[Node], dimensions: int) -> None:
+    """Set each active node's dimension, and as prefix the first key that goes right; some 5 small jobs."""
+    spark = rows.sparkSession
+    at = rows.join(_table(spark, [(n.number,) for n in active], "node bigint"), "node")
+    spread = (f(f"d{i}").alias(f"{s}{i}") for i in range(dimensions) for f, s in ((F.min, "lo"), (F.max, "hi")))
+    stats = {r["node"]: r for r in at.groupBy("node").agg(F.sum("size").alias("bytes"), *spread).collect()}
+    by_number = {n.number: n for n in active if n.number in stats}
+    for i, n in by_number.items():
+        n.dimension = max(range(dimensions), key=lambda k: stats[i][f"hi{k}"] - stats[i][f"lo{k}"])
+        n.goal = stats[i]["bytes"] * (n.leaves // 2) / n.leaves
+    shift = VALUE_BITS + TIE_BITS
+    while shift and by_number:
+        shift -= STEP_BITS
+        wanted = [(i, n.dimension, n.prefix, n.goal) for i, n in by_number.items()]
+        at = rows.join(_table(spark, wanted, "node bigint, dimension int, prefix bigint, goal double"), "node").withColumn("key", _key(dimensions))
+        ours = at.where(F.shiftright("key", shift + STEP_BITS) == F.col("prefix"))
+        tally = ours.groupBy("node", "goal", F.shiftright("key", shift).alias("head")).agg(F.sum("size").alias("bytes"))
+        upto = tally.withColumn("upto", F.sum("bytes").over(Window.partitionBy("node").orderBy("head")))  # at most 2^15 heads of a node
+        first = upto.where(F.col("upto") >= F.col("goal")).groupBy("node").agg(F.min_by(F.struct("head", "bytes", "upto"), "head").alias("x"))
+        for r in first.collect():
+            n, x = by_number[r["node"]], r["x"]
+            n.prefix, n.goal, n.there = x["head"], n.goal - (x["upto"] - x["bytes"]), x["bytes"]
+    for n in by_number.values():
+        n.prefix += n.goal > n.there / 2  # the nearer side of the row at the cut
+
+
+def grow(rows: DataFrame, leaves: int, dimensions: int) -> DataFrame:
+    """rows (as of _metadata) with shard, the leaf of the tree with so many leaves that each falls into."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("node", F.lit(0).cast("long"))
+    active, made, first = [Node(0, leaves, 0)], 1, {0: 0}
+    while active := [n for n in active if n.leaves > 1]:
+        _cuts(rows, active, dimensions)
+        following, cuts = [], []
+        for n in active:
             left = n.leaves // 2
-            prefix, rest = wanted.get(i, (0, 0.0))
-            n.cut = prefix + (1 if rest > sums.get(i, 0) / 2 else 0)  # the nearer side of the row at the cut
-            n.sides = [Node(left, n.first), Node(n.leaves - left, n.first + left)]
-            following += [s for s in n.sides if s.leaves > 1]
+            cuts.append((n.number, n.dimension, n.prefix, made, made + 1))
+            following += [Node(made, left, n.first), Node(made + 1, n.leaves - left, n.first + left)]
+            del first[n.number]
+            first |= {made: n.first, made + 1: n.first + left}
+            made += 2
+        table = _table(spark, cuts, "node bigint, dimension int, cut bigint, below bigint, above bigint")
+        side = F.when(F.col("cut").isNull(), F.col("node")).when(_key(dimensions) < F.col("cut"), F.col("below")).otherwise(F.col("above"))
+        rows = cut_lineage(rows.join(table, "node", "left").withColumn("node", side).drop("dimension", "cut", "below", "above"))
         active = following
-    return root
+    return rows.join(_table(spark, list(first.items()), "node bigint, shard int"), "node").drop("node")
 
 
 def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, categories: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -109,8 +129,8 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     if shards is None:
         total = rows.agg(F.sum("size").alias("n")).first()["n"] or 0
         shards = max(1, -(-total // (target_bytes or 1 << 30)))
-    root = Node(1, 0) if shards == 1 else grow(rows, shards, len(categories) + 1)
-    dealt = rows.select("doc_id", "size", "text_crc32", "row", _place(root, lambda n: F.lit(n.first)).alias("shard"), F.shiftright("row", 33).alias("part"))
+    placed = grow(rows, shards, len(categories) + 1)
+    dealt = placed.select("doc_id", "size", "text_crc32", "row", "shard", F.shiftright("row", 33).alias("part"))
     # slots: rows of a shard before this part of the input, and then the row's number in its part
     counts = dealt.groupBy("part", "shard").agg(F.count("*").alias("n"))
     offsets = counts.select("part", "shard", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
