@@ -1,8 +1,9 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positive sample, labelled rows with their label
-hidden are the unlabelled one, and the class prior is the toxic share of all
-labels. Several linear classifiers are trained in numpy, one per task, each on
+Confirmed toxic texts are the positive sample, documents without a label are the
+unlabelled one (labelled rows with their label hidden, where every document has one), and the
+class prior is a parameter, by default the toxic share of all labels, as labels are
+taken to be given without regard to the text. Several linear classifiers are trained in numpy, one per task, each on
 a bounded sample; the risk of the unlabelled texts is corrected by the prior
 and kept from going below zero. Their mean scores every text.
 
@@ -10,7 +11,7 @@ Defined results: null and empty texts have no word and score the intercept
 (below 0.5 for a prior below a half); without any positive label, or any label,
 every row scores the prior (0 without labels); a document labelled twice counts
 as toxic if one label says so; repeated rows are scored alike; null labels are
-left out; other columns are ignored, whatever their names.
+left out; a null doc_id is scored and never learnt from; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from pyspark.sql import functions as F
 
 from cellscore.llm.arrays import bounded, plain, recoded, steps, words
 from cellscore.llm.op1_language import held_out
+from cellscore.plans import cut_lineage, small_enough
 
 #: Word hashes; a model is so many weights and an intercept.
 WIDTH = 1 << 18
+#: Labelled ids that are broadcast to find documents without a label; more are shuffled.
+MOST_LABELS = 2_000_000
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,12 +89,12 @@ def train(owner: np.ndarray, ids: np.ndarray, values: np.ndarray, positive: np.n
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 3000, unlabelled: int = 9000) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 3000, unlabelled: int = 9000, prior: float | None = None) -> np.ndarray:
     """Mean weights of the models, from docs (doc_id, text) and labels (doc_id, toxic).
 
     The sample is bounded: each model takes about positives toxic rows and
-    unlabelled rows of any label at most, by a hash of doc_id and the model. The
-    prior counts all labels.
+    unlabelled documents without a label at most, by a hash of doc_id and the model. The
+    prior is the toxic share of all labels unless given.
     """
     spark = docs.sparkSession
     labels = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -100,12 +104,18 @@ def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 30
     if p == 0 or p == n:
         flat[-1] = -30.0 if p == 0 else 30.0
         return flat
+    prior = p / n if prior is None else prior
+    known = small_enough(labels.select("doc_id"), MOST_LABELS)
+    others = docs.select("doc_id").where(F.col("doc_id").isNotNull()).join(known, "doc_id", "left_anti").distinct()
+    n_others = others.count()
+    if n_others == 0:
+        others, n_others = labels.select("doc_id"), n
     part = lambda salt: F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("model"), F.lit(salt)), F.lit(1 << 20)) / float(1 << 20)
-    spread = labels.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(models - 1))))
-    chosen = spread.where(F.col("toxic") & (part("p") < min(1.0, positives / p))).select("doc_id", "model", F.lit(True).alias("positive"))
-    chosen = chosen.unionByName(spread.where(part("u") < min(1.0, unlabelled / n)).select("doc_id", "model", F.lit(False).alias("positive")))
-    # at most about models * (positives + unlabelled) short rows
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("model", "positive", "text")
+    spread = lambda df: df.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(models - 1))).alias("model"))
+    chosen = spread(labels.where("toxic")).where(part("p") < min(1.0, positives / p)).withColumn("positive", F.lit(True))
+    chosen = chosen.unionByName(spread(others).where(part("u") < min(1.0, unlabelled / n_others)).withColumn("positive", F.lit(False)))
+    # at most about models * (positives + unlabelled) short rows; a document with several rows counts once for each
+    sample = docs.select("doc_id", "text").join(F.broadcast(cut_lineage(chosen)), "doc_id").select("model", "positive", "text")
 
     def extract(batches):
         for batch in steps(batches):
@@ -120,8 +130,6 @@ def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 30
                 names=["model", "positive", "ids", "values"],
             )
 
-    prior = p / n
-
     def learn(table: pa.Table) -> pa.Table:
         ids = [np.frombuffer(x, np.int32) for x in table.column("ids").to_pylist()]
         values = [np.frombuffer(x, np.float32) for x in table.column("values").to_pylist()]
@@ -132,7 +140,9 @@ def fit(docs: DataFrame, labels: DataFrame, models: int = 4, positives: int = 30
         weights = train(owner, np.concatenate(ids), np.concatenate(values).astype(float), positive, prior)
         return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary())})
 
-    rows = bounded(sample).mapInArrow(extract, "model int, positive boolean, ids binary, values binary").repartitionByRange(models, "model").groupBy("model").applyInArrow(learn, "weights binary").collect()
+    # written once: dealing by range looks at the rows twice
+    extracted = cut_lineage(bounded(sample).mapInArrow(extract, "model int, positive boolean, ids binary, values binary"))
+    rows = extracted.repartitionByRange(models, "model").groupBy("model").applyInArrow(learn, "weights binary").collect()
     if not rows:
         flat[-1] = np.log(prior / (1 - prior))
         return flat
@@ -160,6 +170,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: toxicity of every whole text of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    weights = fit(docs, labels.where(~held_out(5, 0)))
+    weights = fit(docs.where(~held_out(5, 0)), labels.where(~held_out(5, 0)))
     out = score(docs, weights, keep=["doc_id"])
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
