@@ -2,8 +2,9 @@
 
 Every text gets a 64-bit SimHash of its word shingles. Distinct fingerprints
 are dealt to shards so that two that differ in at most `radius` bits meet in one
-at least: the bits are cut into radius + 1 blocks, one of which must then be
-equal. In a shard, a BK-tree (children keyed by their Hamming distance to the
+at least: the bits are cut into blocks, all but `radius` of which must then be
+equal, so each choice of those is a shard key. More blocks make longer keys, and there are
+as many as keep the shards small for the number of fingerprints. In a shard, a BK-tree (children keyed by their Hamming distance to the
 parent) holds the fingerprints; a search follows only the edges whose distance
 is within the radius of the query's. Trees of a task are built and searched
 level by level in numpy. A shard of more than MOST_IN_TREE fingerprints is cut
@@ -16,8 +17,8 @@ then spread over shards by minimum labels with pointer jumping.
 `groups` links fingerprints of shingles at a few bits, which is exact. Texts of a
 given similarity may differ in many more bits (a trimmed or extended copy at 0.8 in some
 38 of 256), out of reach of an exact shard key. So `deduplicate`, which goes by the
-similarity of shingle sets, takes MinHash bands of the shingles as shard keys, and then
-compares the sets themselves.
+similarity of shingle sets, takes the links of the trees and, beside them, the texts that share
+a MinHash band of their shingles as candidates, and then compares the sets themselves.
 
 Defined results: null, empty or blank text has fingerprint zero, and is linked
 like any other; repeated rows share a fingerprint; the component is the least
@@ -27,6 +28,9 @@ gives no row; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -54,6 +58,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 MOST_GONE = 2_000_000
 #: Pairs of query and node that one search step looks at.
 FRONTIER = 1 << 20
+#: Hashes whose bits are counted at once.
+FOLDED = 1 << 16
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -119,6 +125,24 @@ def shingle_rows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
+def majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The SimHash of each text: a bit is 1 if over half of the text's hashes have it. Texts are worked off some at a time."""
+    n = np.diff(offsets)
+    out = np.zeros(len(n), np.uint64)
+    start = 0
+    while start < len(n):
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + FOLDED, side="right")) - 1)
+        first = int(offsets[start])
+        ones = np.zeros((stop - start, 64), np.int64)
+        for a in range(first, int(offsets[stop]), FOLDED):  # a long text goes in parts
+            b = min(a + FOLDED, int(offsets[stop]))
+            bits = np.unpackbits(hashes[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += np.add.reduceat(bits, np.maximum(offsets[start:stop] - a, 0), axis=0, dtype=np.int64) if stop - start > 1 else bits.sum(axis=0, dtype=np.int64)[None, :]
+        out[start:stop] = np.packbits(2 * ones > n[start:stop, None], axis=1, bitorder="little").view("<u8")[:, 0]
+        start = stop
+    return out
+
+
 def minhashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A row of BANDS * ROWS MinHash values for each text."""
     x = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -256,18 +280,33 @@ def tabled(batches) -> pa.Table | None:
     return table if table is not None and table.num_rows else None
 
 
+def block_count(n: int, bits: int, radius: int) -> int:
+    """Blocks to cut fingerprints into: the fewest for which a shard of n random ones holds some MOST_IN_TREE / 4 at most.
+
+    A fingerprint goes to comb(blocks, radius) shards by keys of bits * (blocks - radius) / blocks bits.
+    """
+    blocks = radius + 1
+    while n * 4 > MOST_IN_TREE * 2 ** (bits * (blocks - radius) / blocks) and comb(blocks + 1, radius) <= 200:
+        blocks += 1
+    return blocks
+
+
 def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """Edges a, b (ids, a > b) of spanning forests of all shards, from fp (an array of words) and id.
 
-    fingerprints meet in a shard if one of radius + 1 equal runs of their bits is the same, so that none
+    fingerprints meet in a shard if all but radius of their blocks of bits are the same, so that none
     within the radius is missed.
     """
-    size = len(distinct.select("fp").first()["fp"]) if not distinct.isEmpty() else 1
-    blocks = radius + 1
+    n = distinct.count()
+    size = len(distinct.select("fp").first()["fp"]) if n else 1
+    blocks = block_count(n, 64 * size, radius)
     edges = [round(64 * size * i / blocks) for i in range(blocks + 1)]
-    run_of = lambda i: F.shiftrightunsigned(F.col("fp")[edges[i] // 64], edges[i] % 64).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    dealt = distinct.select("fp", "id", F.lit(0).alias("weight"), F.posexplode(F.array(*map(run_of, range(blocks)))).alias("block", "value"))
-    together = deal(dealt.withColumn("shard", F.col("value") * blocks + F.col("block")).drop("block", "value")).repartition("shard", "tree", "part")
+    # a block may lie over two words, so it is cut there; the parts go into the key alike
+    cuts = [[(a, min(edges[i + 1], (a // 64 + 1) * 64)) for a in range(edges[i], edges[i + 1]) if a == edges[i] or a % 64 == 0] for i in range(blocks)]
+    run_of = lambda a, b: F.shiftrightunsigned(F.col("fp")[a // 64], a % 64).bitwiseAND(F.lit((1 << (b - a)) - 1)) if b - a < 64 else F.col("fp")[a // 64]
+    keys = [F.xxhash64(F.lit(i), *(run_of(a, b) for block in chosen for a, b in cuts[block])) for i, chosen in enumerate(combinations(range(blocks), blocks - radius))]
+    dealt = distinct.select("fp", "id", F.lit(0).alias("weight"), F.explode(F.array(*keys)).alias("shard"))
+    together = deal(dealt).repartition("shard", "tree", "part")
 
     def run(batches):
         table = tabled(batches)
@@ -372,26 +411,35 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.15) -> DataFrame:
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.15, radius: int = 3) -> DataFrame:
     """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard).
 
-    Equal texts are one from the start. Texts that share a band of MinHash values are candidates. Those whose values
-    agree in a share of similarity less margin (over four standard deviations) form likely groups, and
+    Equal texts (by length and a hash of 128 bits) are one from the start. Texts whose SimHash of the shingles is linked by the trees, and texts
+    that share a band of MinHash values, are candidates. The linked ones, and those whose MinHash values
+    agree in a share of similarity less margin (over four standard deviations), form likely groups, and
     in each of these the sets of shingles themselves decide.
+
+    A null, empty or blank text is alike others of no word; texts of fewer words than a shingle are alike if all words are; a null doc_id
+    has no component but that of its text; an empty table gives no row.
     """
 
     def mark(batches):
         for batch in steps(batches):
-            found = band_keys(minhashes(*shingle_rows(plain(batch.column("text")), shingle)))
+            hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
+            found = band_keys(minhashes(hashes, offsets))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(found) + 1, BANDS, dtype=np.int32)), pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), batch.column("size"), keys], names=["doc_id", "same", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "same", "size")), pa.array(majority(hashes, offsets).view(np.int64)), keys], names=["doc_id", "same", "size", "fp", "keys"])
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("same"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"))
-    marked = cut_lineage(bounded(keyed).mapInArrow(mark, docs.select("doc_id").schema.add("same", "long").add("size", "integer").add("keys", T.ArrayType(T.LongType()))))
-    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys")))
+    keyed = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("same"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"))
+    marked = cut_lineage(bounded(keyed).mapInArrow(mark, keyed.select("doc_id", "same", "size").schema.add("fp", "long").add("keys", T.ArrayType(T.LongType()))))
+    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
     known = texts.where(F.col("id").isNotNull())
+    prints = cut_lineage(known.groupBy("fp").agg(F.min("id").alias("id")))
+    equal = known.select("id", "fp").join(prints.select("fp", F.col("id").alias("b")), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
+    by_trees = cut_lineage(links(prints.select(F.array("fp").alias("fp"), "id"), radius).unionByName(equal))
     shared = cut_lineage(deal(known.select("id", F.explode("keys").alias("shard"), F.lit(0).alias("weight"))))
-    members = cut_lineage(known.select("id", "same", "size").join(shared.select("id").distinct(), "id", "left_semi"))
+    candidates = shared.select("id").union(by_trees.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+    members = cut_lineage(known.select("id", "same", "size").join(candidates, "id", "left_semi"))
 
     def outline(batches):
         for batch in steps(batches):
@@ -403,7 +451,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
     some = small_enough(members, MOST_GONE)
     chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "text")
     outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary, grams binary").dropDuplicates(["id"]))
-    likely = components(likely_links(shared.join(outlined.select("id", "marks"), "id").repartition("shard", "tree", "part"), similarity - margin))
+    likely = components(likely_links(shared.join(outlined.select("id", "marks"), "id").repartition("shard", "tree", "part"), similarity - margin).unionByName(by_trees))
     weighed = likely.join(outlined.select("id", F.octet_length("grams").alias("weight")), "id").select("id", F.col("label").alias("shard"), "weight")
     cells = deal(weighed).join(outlined, "id").groupBy("shard", "tree", "part")
     decide = lambda table: pa.Table.from_pydict(exact_links(table, similarity, similarity - margin))
