@@ -1,10 +1,11 @@
 """Quality rules by host, with rates shrunk by an empirical beta prior.
 
-Every text is tested against four rules. For each rule, the failures of a host
+Every text is tested against four rules, and against all of them together. For each, the failures of a host
 are counted, a beta prior is fitted to the hosts' rates by their moments, and a
 host's rate becomes the posterior mean. A host whose posterior rate is so high
 that its lower bound (two standard deviations down) is above the limit is
-rejected, and so are all its documents.
+rejected, and so are all its documents. The limit of a rule is three times the rate over all
+documents, but 0.1 at least and 0.25 at most.
 
 Defined results: null text has no words and so fails the base rules; a null host
 is a host of its own; without any document there is no host and no row; hosts
@@ -91,12 +92,17 @@ RULES = {
     "symbols": "10 * n_symbols > n_words",
     "lines": "2 * n_dup_lines > n_lines",
 }
+RULES["any"] = " or ".join(f"({fails})" for fails in RULES.values())
 #: The rules that reject a document by itself.
 BASE = ("short", "repetitive")
 
 
+#: A host's limit: so many times the overall rate, between these two.
+TIMES, LEAST_LIMIT, MOST_LIMIT = 3.0, 0.1, 0.25
+
+
 def host_rates(measured: DataFrame, host: str = "host") -> DataFrame:
-    """By host: n and, by rule, fails_, mean_ and sd_ of the posterior of its failure rate.
+    """By host: n and, by rule, fails_, mean_ and sd_ of the posterior of its failure rate, and limit_.
 
     The prior of a rule is fitted over hosts: with m the overall rate and v the
     variance of the hosts' rates beyond what counting alone explains, its
@@ -113,14 +119,15 @@ def host_rates(measured: DataFrame, host: str = "host") -> DataFrame:
         strength = F.least(F.greatest(F.when(beyond > 0, spread / F.nullif(beyond, F.lit(0.0)) - 1).otherwise(F.lit(10_000.0)), F.lit(1.0)), F.lit(10_000.0))
         mean = (F.col(f"fails_{r}") + strength * m) / (F.col("n") + strength)
         columns += [F.col(f"fails_{r}"), mean.alias(f"mean_{r}"), F.sqrt(mean * (1 - mean) / (F.col("n") + strength + 1)).alias(f"sd_{r}")]
+        columns.append(F.least(F.greatest(TIMES * m, F.lit(LEAST_LIMIT)), F.lit(MOST_LIMIT)).alias(f"limit_{r}"))
     return joined.select(*columns)
 
 
-def judge(docs: DataFrame, host: str = "source", limit: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """doc_id, host, the metrics, base_failed, host_failed (names of the rules that reject the host) and kept."""
     measured = cut_lineage(metrics(docs.select("doc_id", F.col(host).cast("string").alias("host"), "text"), ["doc_id", "host"]))
     rates = host_rates(measured)
-    failed = F.array_compact(F.array(*(F.when(F.col(f"mean_{r}") - 2 * F.col(f"sd_{r}") > limit, F.lit(r)) for r in RULES)))
+    failed = F.array_compact(F.array(*(F.when(F.col(f"mean_{r}") - 2 * F.col(f"sd_{r}") > F.col(f"limit_{r}"), F.lit(r)) for r in RULES)))
     verdicts = small_enough(rates.select(F.col("host").alias("verdict_host"), failed.alias("host_failed")), BROADCAST_HOSTS)
     judged = measured.join(verdicts, F.col("host").eqNullSafe(F.col("verdict_host")), "left").drop("verdict_host")
     base = F.lit(False)
@@ -141,7 +148,7 @@ def _oracle() -> str:
     beyond = lambda r: f"greatest(v_{r} - m_{r} * (1 - m_{r}) * inv, 0)"
     strength = ", ".join(f"least(greatest(case when {beyond(r)} > 0 then m_{r} * (1 - m_{r}) / {beyond(r)} - 1 else 10000 end, 1), 10000) as s_{r}" for r in RULES)
     means = ", ".join(f"(f_{r} + s_{r} * m_{r}) / (n + s_{r}) as e_{r}" for r in RULES)
-    failed = ", ".join(f"case when e_{r} - 2 * sqrt(e_{r} * (1 - e_{r}) / (n + s_{r} + 1)) > 0.5 then '{r}' end" for r in RULES)
+    failed = ", ".join(f"case when e_{r} - 2 * sqrt(e_{r} * (1 - e_{r}) / (n + s_{r} + 1)) > least(greatest({TIMES} * m_{r}, {LEAST_LIMIT}), {MOST_LIMIT}) then '{r}' end" for r in RULES)
     return rf"""
 with d as (
   select doc_id, source as host, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
