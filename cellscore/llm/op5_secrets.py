@@ -12,8 +12,12 @@ one found on several layers counts once; base spans (first layer) always stay;
 a base64 run may go over line breaks, and counts line by line as well; if it does not decode
 to text as a whole, then its readable stretches and compressed payloads are layers, whatever is
 glued on before or after them; rows are independent, so repeated rows repeat their spans; other columns
-are kept as they are, whatever their names. All members of a payload are decompressed to
-the end, and are scanned in pieces of most_bytes that overlap (a guard of memory against bombs).
+are kept as they are, whatever their names; a null doc_id is a row like any other. All members of a payload are decompressed to
+the end, and are scanned in pieces of most_bytes that overlap by a million characters at most (a guard of memory against bombs), so just a
+secret longer than that can be cut.
+
+Limits that lose nothing: the shortest secret, `token:` with a value of six, has 12 characters, so a run of base64
+has 16 at least, and a readable stretch of decoded bytes 12.
 """
 
 from __future__ import annotations
@@ -107,7 +111,7 @@ def unpack(raw) -> Iterator[bytes]:
 
 
 def pieces(chunks: Iterator[bytes], most_bytes: int) -> Iterator[str]:
-    """Text of chunks in pieces of some most_bytes, each with the end of the one before; those that are not readable are left out."""
+    """Text of chunks in pieces of some most_bytes, each with the end of the one before; bytes that are no UTF-8 become U+FFFD."""
     decoder = codecs.getincrementaldecoder("utf-8")("replace")
     overlap = min(OVERLAP, most_bytes // 2)
     tail, held, size = "", [], 0
@@ -116,21 +120,15 @@ def pieces(chunks: Iterator[bytes], most_bytes: int) -> Iterator[str]:
         size += len(chunk)
         if size >= most_bytes:
             text = tail + "".join(held)
-            if mostly_shown(text):
-                yield text
+            yield text
             tail, held, size = text[-overlap:], [], 0
     last = "".join(held) + decoder.decode(b"", True)
-    if last and mostly_shown(tail + last):
+    if last:
         yield tail + last
 
 
-def mostly_shown(text: str) -> bool:
-    """Whether text is nearly all printable; what is not UTF-8 (U+FFFD) is not."""
-    return sum((c.isprintable() and c != "\ufffd") or c in "\n\r\t" for c in text) >= 0.95 * len(text)
-
-
 def readable(raw: bytes) -> str | None:
-    """raw as text if it is UTF-8 and nearly all printable."""
+    """raw as text if it is UTF-8 and nearly all printable; of other bytes, the readable stretches are layers."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
@@ -200,7 +198,7 @@ def layers(text: str, most_bytes: int):
 def _base64(m: re.Match, most_bytes: int):
     """Layers of a base64 run: its text as a whole, or else the payloads and readable stretches at each of the four alignments."""
     run = m.group().translate(BLANK)
-    if len(run.rstrip("=")) < 16 or run[1:].islower() or run.isdigit():
+    if len(run.rstrip("=")) < 16:
         return
     core = run.rstrip("=").replace("-", "+").replace("_", "/")
     at = np.arange(m.start(), m.end()) if len(run) == m.end() - m.start() else m.start() + np.flatnonzero([c not in "\r\n\t " for c in m.group()])
@@ -226,7 +224,7 @@ def _base64(m: re.Match, most_bytes: int):
             yield mapped(x.group().decode("utf-8"), skipped, x.start())
 
 
-def scan_text(text: str, most_bytes: int = 1 << 26) -> list[tuple[str, int, int, int]]:
+def scan_text(text: str, most_bytes: int = 1 << 23) -> list[tuple[str, int, int, int]]:
     """All spans (kind, start, end, depth of the layer) of text, by start, kind as listed, end."""
     found = {span: 0 for span in base_spans(text)}
     work, seen = deque([(text, None, None, 0)]), {(text, 0, len(text))}
