@@ -1,16 +1,18 @@
 """Token ids in binary files, compressed by adaptive context mixing.
 
-A file is a row (part, number, doc_ids, lengths, content): some four million ids
-of documents in ascending order of doc_id, in blocks of 2,048 ids that are
-coded without regard to one another, each with a checksum of its ids. content
-is a header (magic, version, ids of a block, number of ids, number of blocks),
-then the bytes and the checksum of each block, then the blocks. Files lie in a
-Parquet table, so Spark's writer commits them, and a block can be decoded by
-itself. Reading checks every block's checksum.
+A file holds some four million ids of documents in ascending order of doc_id, in
+blocks of 2,048 ids that are coded without regard to one another, each with a
+checksum of its ids. It is a header (magic, version, ids of a block, number of
+ids, of blocks and of documents), then the bytes and the checksum of each block, then the index
+(the doc_id and the number of ids of each document), then the blocks. So a file
+can be read by document by itself, and a block decoded by itself. Files lie in the rows
+(part, number, size, content) of a Parquet table, so Spark's writer commits them. Reading
+checks every block's checksum.
 
 Defined results: null text is empty and is just its end id; rows of the same
 doc_id follow each other in no fixed order; a null doc_id comes first; an empty
-table gives no file and no row; other columns are ignored, whatever their names.
+table gives no file and no row; an id of 65,536 or more is an error when it is written; other columns
+are ignored, whatever their names. The query's files stay in the checkpoint folder, whose owner clears it.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,30 +35,47 @@ from cellscore.llm.tokens import encoder
 from cellscore.plans import small_enough
 from cellscore.plans.lineage import checkpoint_folder
 
-MAGIC, VERSION = b"IDCM", 1
-HEAD = struct.Struct("<4sBxHQI")
+MAGIC, VERSION = b"IDCM", 2
+HEAD = struct.Struct("<4sBxHQII")
+#: Stands for a null doc_id in a file.
+NULL_ID = -(1 << 63)
 #: Ids of a block, and those after which a file is closed at the end of a document.
 BLOCK, FILE_IDS = 2048, 1 << 22
 #: Parts whose offsets are broadcast; more are joined by a shuffle.
 MOST_FILES = 500_000
 
 
-def pack_file(ids: np.ndarray) -> bytes:
-    """The content of a file of ids below 65,536."""
+def pack_file(ids: np.ndarray, names: np.ndarray | None = None, lengths: np.ndarray | None = None) -> bytes:
+    """A file of ids below 65,536, of documents with the given doc_ids and numbers of ids."""
+    if len(ids) and int(ids.max()) > 0xFFFF:
+        raise ValueError(f"id {int(ids.max())} does not fit the format")
+    names, lengths = (np.zeros(0, "<i8") if x is None else x.astype("<i8") for x in (names, lengths))
     payload, sizes = mixing.encode(ids, BLOCK)
     little = ids.astype("<u4")
     sums = [zlib.crc32(little[i : i + BLOCK].tobytes()) for i in range(0, len(ids), BLOCK)]
     table = np.array([sizes, sums], dtype="<u4").T.tobytes()
-    return HEAD.pack(MAGIC, VERSION, BLOCK, len(ids), len(sizes)) + table + payload
+    return HEAD.pack(MAGIC, VERSION, BLOCK, len(ids), len(sizes), len(names)) + table + names.tobytes() + lengths.tobytes() + payload
 
 
-def unpack_file(content: bytes) -> np.ndarray:
-    """The ids of a file; a broken header or checksum is an error."""
-    magic, version, block, n, blocks = HEAD.unpack_from(content)
+def _head(content: bytes) -> tuple[int, int, np.ndarray, int, int]:
+    """Ids of a block, number of ids, the table of blocks (bytes and checksum), number of documents, and where the index starts."""
+    magic, version, block, n, blocks, documents = HEAD.unpack_from(content)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a file of ids")
-    table = np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2)
-    ids = mixing.decode(content[HEAD.size + 8 * blocks :], table[:, 0].tolist(), n, block)
+    return block, n, np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2), documents, HEAD.size + 8 * blocks
+
+
+def index(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The doc_id (NULL_ID for null) and the number of ids of each document of a file."""
+    _, _, _, documents, at = _head(content)
+    both = np.frombuffer(content, "<i8", 2 * documents, at)
+    return both[:documents], both[documents:]
+
+
+def unpack_file(content: bytes) -> np.ndarray:
+    """The ids of a file; a broken header or checksum is an error."""
+    block, n, table, documents, at = _head(content)
+    ids = mixing.decode(content[at + 16 * documents :], table[:, 0].tolist(), n, block)
     little = ids.astype("<u4")
     for i, total in enumerate(table[:, 1].tolist()):
         if zlib.crc32(little[i * block : (i + 1) * block].tobytes()) != total:
@@ -65,9 +85,8 @@ def unpack_file(content: bytes) -> np.ndarray:
 
 def unpack_block(content: bytes, i: int) -> np.ndarray:
     """The ids of one block of a file."""
-    _, _, block, n, blocks = HEAD.unpack_from(content)
-    table = np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2)
-    at = HEAD.size + 8 * blocks + int(table[:i, 0].sum())
+    block, n, table, documents, at = _head(content)
+    at += 16 * documents + int(table[:i, 0].sum())
     size = int(table[i, 0])
     return mixing.decode(content[at : at + size], [size], min(block, n - i * block), block)
 
@@ -75,7 +94,7 @@ def unpack_block(content: bytes, i: int) -> np.ndarray:
 def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, file_ids: int = FILE_IDS) -> None:
     """Write the ids of docs (doc_id, text) as files below path, in ascending order of doc_id over parts and files."""
     source = tokenizer or public_tokenizer("word_bpe_49k.json")
-    schema = "part long, number long, doc_ids array<bigint>, lengths array<bigint>, content binary"
+    schema = "part long, number long, size long, content binary"
 
     def run(batches):
         coder = encoder(source)
@@ -84,14 +103,14 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         names, lengths, held, size, number = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            row = [[part], [number], [pa.concat_arrays(names).to_pylist()], [np.concatenate(lengths).tolist()], [pack_file(np.concatenate(held))]]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["part", "number", "doc_ids", "lengths", "content"])
+            content = pack_file(np.concatenate(held), np.concatenate(names), np.concatenate(lengths))
+            row = [pa.array([v], k) for v, k in ((part, pa.int64()), (number, pa.int64()), (size, pa.int64()), (content, pa.binary()))]
+            return pa.RecordBatch.from_arrays(row, names=["part", "number", "size", "content"])
 
-        for batch in steps(batches, size=1 << 20):
+        for batch in steps(batches, size=2 << 20):
             ids, offsets = coder.encode(plain(batch.column("text")))
             held.append(np.insert(ids, offsets[1:], end_id))
-            names.append(batch.column("doc_id").cast(pa.int64()))
+            names.append(pc.fill_null(batch.column("doc_id").cast(pa.int64()), NULL_ID).to_numpy())
             lengths.append(np.diff(offsets) + 1)
             size += len(held[-1])
             if size >= file_ids:
@@ -108,23 +127,23 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
 def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids (uint32, little-endian) from files below path."""
     files = spark.read.parquet(path)
-    names = ["part", "number", "doc_id", "within", "n_tokens", "ids_crc32", *["ids"] * with_ids]
+    columns_of = ["part", "number", "doc_id", "within", "n_tokens", "ids_crc32", *["ids"] * with_ids]
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                part, number, doc_ids, lengths, content = (batch.column(c)[i] for c in ("part", "number", "doc_ids", "lengths", "content"))
+                part, number, content = (batch.column(c)[i] for c in ("part", "number", "content"))
                 raw = unpack_file(content.as_py()).astype("<u4").tobytes()
-                n = lengths.values.to_numpy()
+                names, n = index(content.as_py())
                 ends = np.cumsum(n)
                 whole = memoryview(raw)
                 sums = [zlib.crc32(whole[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
-                columns = [pa.repeat(part, len(n)), pa.repeat(number, len(n)), doc_ids.values, pa.array(ends - n), lengths.values, pa.array(sums, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, *[cut_binary(raw, 4 * ends)] * with_ids], names=names)
+                columns = [pa.repeat(part, len(n)), pa.repeat(number, len(n)), pa.array(names, mask=names == NULL_ID), pa.array(ends - n), pa.array(n), pa.array(sums, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *[cut_binary(raw, 4 * ends)] * with_ids], names=columns_of)
 
-    docs = files.mapInArrow(run, "part long, number long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    docs = files.select("part", "number", "content").mapInArrow(run, "part long, number long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
     # ids before a file: those of earlier parts, and of earlier files of its part
-    sizes = files.select("part", "number", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("size"))
+    sizes = files.select("part", "number", "size")
     parts = sizes.groupBy("part").agg(F.sum("size").alias("whole"))
     before = parts.select("part", (F.sum("whole").over(Window.orderBy("part")) - F.col("whole")).alias("earlier"))  # a row a part
     inside = (F.sum("size").over(Window.partitionBy("part").orderBy("number")) - F.col("size")).alias("inside")

@@ -317,6 +317,10 @@ def test_blocks_are_independent_and_checked():
     content = op6_binary.pack_file(ids)
     assert (op6_binary.unpack_file(content) == ids).all() and (op6_binary.unpack_block(content, 2) == ids[4096:6144]).all()
     assert (op6_binary.unpack_file(op6_binary.pack_file(ids[:0])) == ids[:0]).all()
+    named = op6_binary.pack_file(ids, np.array([op6_binary.NULL_ID, 5, 9]), np.array([3000, 1, 3999]))
+    assert [x.tolist() for x in op6_binary.index(named)] == [[op6_binary.NULL_ID, 5, 9], [3000, 1, 3999]] and (op6_binary.unpack_file(named) == ids).all() and (op6_binary.unpack_block(named, 3) == ids[6144:]).all()
+    with pytest.raises(ValueError, match="65536"):
+        op6_binary.pack_file(np.array([65536]))
     for at in (len(content) - 4000, 3):
         broken = bytearray(content)
         broken[at] ^= 255
