@@ -156,7 +156,8 @@ def f_measure(confusion: DataFrame, keys: list[str], zero_division: float = 0.0,
 def hierarchical_counts(confusion: DataFrame, closure: DataFrame, keys: list[str]) -> DataFrame:
     """tp, fp and fn by keys and node: over terms that are the label or an ancestor of it, without the root, of the truth and of the prediction."""
     sets = closure.where(F.col("ancestor_id") != ROOT).groupBy("term_id").agg(F.collect_set("ancestor_id").alias("up"))
-    of = lambda c, name: small_enough(sets.select(F.col("term_id").alias(c), F.col("up").alias(name)))
+    sets = small_enough(sets)  # counted once; the hint holds for both joins
+    of = lambda c, name: sets.select(F.col("term_id").alias(c), F.col("up").alias(name))
     joined = confusion.join(of("true_label", "t"), "true_label", "left").join(of("pred_label", "p"), "pred_label", "left")
     t, p = (F.coalesce(c, F.array().cast("array<string>")) for c in ("t", "p"))
     tagged = F.concat(*(_tag(nodes, kind) for nodes, kind in ((F.array_intersect(t, p), "tp"), (F.array_except(p, t), "fp"), (F.array_except(t, p), "fn"))))

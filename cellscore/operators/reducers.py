@@ -91,15 +91,17 @@ def wnn(cells: DataFrame, responses: DataFrame, graph: DataFrame, graph_neighbor
     """The votes (cell_id, cell_type, confidence) of all cells, null for those without any match around, and the probabilities behind them.
 
     responses has a row for each cell: cell_id and matches (a list). graph_neighbors is what the graph was built with.
-    An unknown strategy, more neighbours than the graph has, or as many responses as there are not cells, are errors (one small job).
+    An unknown strategy, or more neighbours than the graph has, is an error at once; a cell without a response, or a response of no cell, when
+    the votes are worked out.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy}")
     if n_neighbors > graph_neighbors:
         raise ValueError(f"n_neighbors is {n_neighbors}, but the graph has {graph_neighbors}")
-    if cells.count() != responses.count():
-        raise ValueError("there must be a response for each cell")
-    matches = responses.select("cell_id", F.posexplode("matches").alias("pos", "m")).select("cell_id", "pos", "m.cell_type", "m.cell_count")
+    paired = cells.select("cell_id", F.lit(True).alias("there")).join(responses.select("cell_id", "matches"), "cell_id", "full")
+    both = F.col("there").isNotNull() & F.col("matches").isNotNull()
+    listed = F.when(both, F.col("matches")).otherwise(F.raise_error(F.lit("there must be a response for each cell")).cast(responses.schema["matches"].dataType))
+    matches = paired.select("cell_id", F.posexplode(listed).alias("pos", "m")).select("cell_id", "pos", "m.cell_type", "m.cell_count")
     probs = wnn_probs(wnn_weights(graph, cells, n_neighbors, self_connectivity), cell_type_probs(matches))
     voted = relabel_rare_types(wnn_vote(probs), min_n_cells_per_type, unreliable)
     return cells.select("cell_id").join(voted, "cell_id", "left"), probs

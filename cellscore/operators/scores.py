@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cellscore.operators.ontology import ROOT
 from cellscore.plans import cut_lineage, small_enough
+from cellscore.plans.lineage import MOST_SMALL
 
 THRESHOLD = 1e-4
 
@@ -57,29 +58,27 @@ def fraction_over_threshold(scores: DataFrame, cells: DataFrame, terms: DataFram
 BINS, LEVELS = 4096, 2
 
 
-def _at_ranks(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+def _at_ranks(counted: DataFrame, wanted: DataFrame, start: int, few: bool) -> DataFrame:
     """grp, term_id, slot and value: the value at a rank (from 0) among the values of grp and term_id.
 
     counted has grp, term_id, score and n (times), wanted grp, term_id, slot, rank, and lo and hi, between which the value
-    lies. Histograms narrow lo and hi down, a bin of the last one is sorted: no window holds all values of a term.
-    Where no group and term has more values than a histogram has bins, they are sorted at once.
+    lies. Histograms, from level start on, narrow lo and hi down, a bin of the last one is sorted: no window holds all values of a term.
+    few tells that the groups and terms are few enough to broadcast.
     """
-    most = counted.groupBy("grp", "term_id").count().agg(F.max("count")).first()[0] or 0
     key = ["grp", "term_id", "lo", "hi"]
-
-    def inside(wanted: DataFrame) -> DataFrame:
-        ranges = small_enough(wanted.select(*key).distinct())
-        return counted.join(ranges, ["grp", "term_id"]).where((F.col("score") >= F.col("lo")) & (F.col("score") <= F.col("hi")))
-
     width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    for level in range(LEVELS if most <= BINS else 0, LEVELS + 1):
+    for level in range(start, LEVELS + 1):
+        ranges = wanted.select(*key).distinct()
+        ours = counted.join(F.broadcast(ranges) if few else ranges, ["grp", "term_id"]).where((F.col("score") >= F.col("lo")) & (F.col("score") <= F.col("hi")))
         place = F.coalesce(F.least(F.floor((F.col("score") - F.col("lo")) / width * BINS), F.lit(BINS - 1)), F.lit(0)) if level < LEVELS else F.col("score")
-        tally = inside(wanted).groupBy(*key, place.alias("bin")).agg(F.sum("n").alias("n"), F.min("score").alias("least"), F.max("score").alias("most"))
+        tally = ours.groupBy(*key, place.alias("bin")).agg(F.sum("n").alias("n"), F.min("score").alias("least"), F.max("score").alias("most"))
         upto = tally.withColumn("upto", F.sum("n").over(Window.partitionBy(*key).orderBy("bin")))
         met = wanted.join(upto, key).where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        wanted = cut_lineage(met.select("grp", "term_id", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), F.col("least").alias("lo"), F.col("most").alias("hi")))
-        if wanted.where("lo < hi").isEmpty():
-            break
+        wanted = met.select("grp", "term_id", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+        if level < LEVELS:
+            wanted = cut_lineage(wanted)
+            if wanted.where("lo < hi").isEmpty():
+                break
     return wanted.select("grp", "term_id", "slot", F.col("lo").alias("value"))
 
 
@@ -97,17 +96,19 @@ def aggregate_scores(scores: DataFrame, cells: DataFrame, terms: DataFrame, thre
     counted = cut_lineage(stored.groupBy("grp", "term_id", "score").agg(F.count("*").alias("n")))
     over = F.col("score") > threshold
     facts = counted.groupBy("grp", "term_id").agg(
-        F.sum("n").alias("stored"), F.coalesce(F.sum(F.when(over, F.col("n"))), F.lit(0)).alias("above"), F.min("score").alias("lo"), F.max("score").alias("hi"),
+        F.sum("n").alias("stored"), F.count("*").alias("values"), F.coalesce(F.sum(F.when(over, F.col("n"))), F.lit(0)).alias("above"), F.min("score").alias("lo"), F.max("score").alias("hi"),
         F.sum(F.col("score") * F.col("n")).alias("sum"), F.coalesce(F.sum(F.when(over, F.col("score") * F.col("n"))), F.lit(0.0)).alias("sum_over"),
     )
     facts = cut_lineage(facts.join(sizes, "grp"))
+    # where no group and term has more values than a histogram has bins, they are sorted at once
+    pairs, most = facts.agg(F.count("*"), F.coalesce(F.max("values"), F.lit(0))).first()
     # ranks among the stored scores: of all cells, those without a score come first; of the ones over the threshold, those at or below it
     middle = lambda size: (F.floor((size - 1) / 2), F.ceil((size - 1) / 2))
     ranks = [m - F.col("cells") + F.col("stored") for m in middle(F.col("cells"))] + [m + F.col("stored") - F.col("above") for m in middle(F.col("above"))]
     slots = F.array(*(F.struct(F.lit(i).alias("slot"), r.cast("long").alias("rank")) for i, r in enumerate(ranks)))
     wanted = facts.select("grp", "term_id", "lo", "hi", F.inline(slots)).where((F.col("rank") >= 0) & (F.col("rank") < F.col("stored")))
     at = lambda i: F.coalesce(F.max(F.when(F.col("slot") == i, F.col("value"))), F.lit(0.0))
-    medians = _at_ranks(counted, wanted).groupBy("grp", "term_id").agg(((at(0) + at(1)) / 2).alias("median_all"), ((at(2) + at(3)) / 2).alias("median_over"))
+    medians = _at_ranks(counted, wanted, LEVELS if most <= BINS else 0, 4 * pairs <= MOST_SMALL).groupBy("grp", "term_id").agg(((at(0) + at(1)) / 2).alias("median_all"), ((at(2) + at(3)) / 2).alias("median_over"))
     dense = sizes.crossJoin(small_enough(terms.select("term_id", "idx")))
     joined = dense.join(facts.drop("cells"), ["grp", "term_id"], "left").join(medians, ["grp", "term_id"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0.0))

@@ -138,9 +138,9 @@ def test_weighted_votes_and_their_guards(spark):
     voted, probs = rd.wnn(cells, responses, graph, 5, 5, min_n_cells_per_type=2)
     assert sorted(map(tuple, voted.collect()), key=str) == [(1, "B", 0.625), (2, "B", 1.0), (3, None, None)] and probs.count() == 3
     assert {r["cell_type"] for r in rd.wnn(cells, responses, graph, 5, 5)[0].where("cell_id < 3").collect()} == {rd.UNRELIABLE}
-    for wrong in ({"strategy": "umap"}, {"n_neighbors": 6}, {"responses": responses.limit(2)}, {"n_neighbors": 0}):
-        with pytest.raises(ValueError):
-            rd.wnn(**({"cells": cells, "responses": responses, "graph": graph, "graph_neighbors": 5, "n_neighbors": 5} | wrong))
+    for wrong in ({"strategy": "umap"}, {"n_neighbors": 6}, {"responses": responses.where("cell_id < 3")}, {"cells": cells.where("cell_id < 3")}, {"n_neighbors": 0}):
+        with pytest.raises(Exception, match="strategy|n_neighbors|response for each cell"):
+            rd.wnn(**({"cells": cells, "responses": responses, "graph": graph, "graph_neighbors": 5, "n_neighbors": 5} | wrong))[0].collect()
     with pytest.raises(Exception, match="add up to 1"):
         rd.wnn_weights(graph.limit(0), cells, 5, 0.0).collect()
 
