@@ -5,6 +5,10 @@ item's whole) are hashed and broadcast. The hash of every window of every text
 is looked up while the text's words are at hand, a hit is verified word by
 word, and only hits, and one row for each text, are shuffled.
 
+What is broadcast names no items, so its size does not grow with the number of items that
+share a passage: windows of the same items carry the same key of a group, and a group's items are joined
+to the texts with hits at the end (by a broadcast only if they are small in bytes).
+
 A benchmark of more windows than MOST_WINDOWS is taken in so many parts, by the
 hash, each with a pass of its own over the texts: what is broadcast stays bounded,
 and no window of a text is ever shuffled.
@@ -29,6 +33,8 @@ from cellscore.plans import cut_lineage, small_enough
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Windows that are broadcast at once (about 100 bytes each).
 MOST_WINDOWS = 400_000
+#: Bytes of the item ids of all groups that are broadcast; more are shuffled.
+MOST_ITEM_BYTES = 32 << 20
 #: Contaminated documents that are broadcast for an anti-join; beyond that they are shuffled.
 MOST_DROPPED = 1_000_000
 #: Looked up once for every text, at place 0, so that texts without a hit keep a row.
@@ -54,24 +60,25 @@ def _keys(length: int) -> Column:
 
 
 def windows(benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """Distinct windows: key (hash), window (its words), items (ids as strings, sorted)."""
+    """Distinct pairs of a window (its words) and an item (id as a string)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text")).alias("words")).where(F.size("words") > 0)
     each = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - (size - 1))), lambda i: _slice(i, F.lit(size)))
-    return (
-        items.select("item", F.explode(each).alias("window"))
-        .groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
-        .select(F.xxhash64("window").alias("key"), "window", "items")
-    )
+    return items.select("item", F.explode(each).alias("window")).distinct()
 
 
-def match(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_words, spans (first word, word after the last; merged) and items, a row for each of docs."""
+def grouped_windows(pairs: DataFrame) -> DataFrame:
+    """key (hash), window and group of each distinct window; windows of just the same items have the same group (by number and 128 bits)."""
+    group = F.concat_ws("-", F.count("*").cast("string"), *(F.bit_xor(F.xxhash64("item", F.lit(i))).cast("string") for i in range(2)))
+    return pairs.groupBy("window").agg(group.alias("group")).select(F.xxhash64("window").alias("key"), "window", "group")
+
+
+def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """row, doc_id, text_key (hash of the text), n_words, spans (first word, word after the last; merged) and groups, a row for each of docs."""
     spark = docs.sparkSession
-    found = windows(benchmark, size)
     facts = {r["length"]: r["n"] for r in found.groupBy(F.size("window").alias("length")).agg(F.count("*").alias("n")).collect()}
     lengths = sorted(facts)
     parts = max(1, -(-sum(facts.values()) // MOST_WINDOWS))
-    mark = spark.range(1).select(F.lit(MARK).alias("key"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("array<string>").alias("items"))
+    mark = spark.range(1).select(F.lit(MARK).alias("key"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("string").alias("group"))
 
     base = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words")).withColumn("row", F.monotonically_increasing_id())
     n = F.size("words")
@@ -92,22 +99,37 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
         inside = (F.col("place") >= before) & (F.col("place") < before + F.greatest(n - (x - 1), F.lit(0)))
         at, length = F.when(inside, F.col("place") - before).otherwise(at), F.when(inside, F.lit(x)).otherwise(length)
         before = before + F.greatest(n - (x - 1), F.lit(0))
-    hits = hits.select("row", "doc_id", "text_key", n.alias("n_words"), "place", "words", "window", "items", at.alias("at"), length.alias("length"))
+    hits = hits.select("row", "doc_id", "text_key", n.alias("n_words"), "place", "words", "window", "group", at.alias("at"), length.alias("length"))
     is_mark = (F.col("place") == 0) & F.col("window").isNull()
     is_hit = F.col("window").isNotNull() & (_slice(F.col("at") + 1, F.col("length")) == F.col("window"))
-    hits = hits.where(is_mark | is_hit).select("row", "doc_id", "text_key", "n_words", "items", F.when(F.col("place") > 0, F.struct("at", (F.col("at") + F.col("length")).alias("end"))).alias("span"))
-    grouped = hits.groupBy("row", "doc_id", "text_key", "n_words").agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("items"))
+    hits = hits.where(is_mark | is_hit).select("row", "doc_id", "text_key", "n_words", "group", F.when(F.col("place") > 0, F.struct("at", (F.col("at") + F.col("length")).alias("end"))).alias("span"))
+    grouped = hits.groupBy("row", "doc_id", "text_key", "n_words").agg(F.collect_set("span").alias("spans"), F.collect_set("group").alias("groups"))
 
     merged = F.aggregate(
         F.array_sort("spans"), F.array().cast("array<struct<at:int,end:int>>"),
         lambda out, x: F.when((F.size(out) > 0) & (F.element_at(out, -1)["end"] >= x["at"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["at"].alias("at"), F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(out, F.array(x))),
     )
-    return grouped.select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), F.when(F.size("spans") == 0, F.array().cast("array<struct<at:int,end:int>>")).otherwise(merged).alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+    return grouped.select("row", "doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), F.when(F.size("spans") == 0, F.array().cast("array<struct<at:int,end:int>>")).otherwise(merged).alias("spans"), "groups")
+
+
+def match(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """doc_id, text_key (hash of the text), n_words, spans (first word, word after the last; merged) and items, a row for each of docs."""
+    pairs = cut_lineage(windows(benchmark, size))
+    found = grouped_windows(pairs)
+    # the items of a group are those of any of its windows
+    members = found.groupBy("group").agg(F.min("window").alias("window")).join(pairs, "window").select("group", "item")
+    lists = cut_lineage(members.groupBy("group").agg(F.collect_set("item").alias("items")))
+    heavy = lists.agg(F.sum(F.aggregate("items", F.lit(0).cast("long"), lambda total, x: total + 24 + F.octet_length(x)))).first()[0] or 0
+    # a text without a hit has a key of its own, so that such texts do not meet in one task of a shuffled join
+    each = scan(docs, found).withColumn("group", F.explode_outer("groups")).withColumn("group", F.coalesce("group", F.concat(F.lit("none-"), F.col("row").cast("string"))))
+    joined = each.join(F.broadcast(lists) if heavy <= MOST_ITEM_BYTES else lists, "group", "left")
+    whole = joined.groupBy("row", "doc_id", "text_key", "n_words").agg(F.any_value("spans").alias("spans"), F.collect_set("items").alias("items"))
+    return whole.select("doc_id", "text_key", "n_words", "spans", F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """docs without those that hold a benchmark window."""
-    found = match(docs, benchmark, size).where(F.size("spans") > 0)
+    found = scan(docs, grouped_windows(cut_lineage(windows(benchmark, size)))).where(F.size("spans") > 0)
     dirty = cut_lineage(found.select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_key")).distinct())  # else its count would match all texts once more
     same = F.col("doc_id").eqNullSafe(F.col("dirty_id")) & (F.xxhash64("text") == F.col("dirty_key"))
     return docs.join(small_enough(dirty, MOST_DROPPED), same, "left_anti")

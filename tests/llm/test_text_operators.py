@@ -124,9 +124,24 @@ def test_decontamination_in_parts_is_the_same(spark, docs, monkeypatch):
     benchmark = spark.createDataFrame([(i, t) for i, t, _, _ in fixture_rows()[:30]], "item_id long, text string")
     whole = by_row(op2_decontaminate.match(docs, benchmark), "doc_id", "n_words", "spans", "items")
     monkeypatch.setattr(op2_decontaminate, "MOST_WINDOWS", 2000)
+    monkeypatch.setattr(op2_decontaminate, "MOST_ITEM_BYTES", 0)
     assert by_row(op2_decontaminate.match(docs, benchmark), "doc_id", "n_words", "spans", "items") == whole
 
 
+def test_windows_of_the_same_items_share_a_group(spark):
+    passage = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join([f"a{i}x{j}" for j in range(9)] + passage)) for i in range(300)] + [(300, " ".join(passage[:15]))]
+    pairs = op2_decontaminate.windows(spark.createDataFrame(items, "item_id long, text string"))
+    held = {}
+    for r in pairs.collect():
+        held.setdefault(tuple(r["window"]), set()).add(r["item"])
+    groups = {}
+    for r in op2_decontaminate.grouped_windows(pairs).collect():
+        groups.setdefault(r["group"], set()).add(frozenset(held.pop(tuple(r["window"]))))
+    assert not held and all(len(sets) == 1 for sets in groups.values())
+    assert len(groups) == 300 + 2  # each item's own windows, those of all items, and those of the items from 0 to 299
+
+
 @pytest.mark.parametrize("shards", [1, 5, 24])
 def test_shards(docs, empty, shards):
     rows = op3_shards.shard(docs, shards=shards).collect()
