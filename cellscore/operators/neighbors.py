@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscore.plans import small_enough
+from cellscore.operators.graph_index import graph_index, graph_search
+from cellscore.plans import cut_lineage, small_enough
 
 #: Reference vectors and query vectors that are compared at once.
 BLOCK, QUERIES = 2048, 512
@@ -39,37 +38,12 @@ def exact_pairs(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return np.nonzero(near <= bound[:, None] + 1e-9)
 
 
-def sketched_pairs(planes: np.ndarray, share: float) -> Callable:
-    """A function like exact_pairs that measures no vectors: it takes a share of b for each row of a, by their sketches.
-
-    A sketch is the side of each plane that a vector lies on, packed in bits. Two vectors' share of
-    differing bits estimates their angle, and with their lengths their distance.
-    """
-
-    def codes(x: np.ndarray) -> np.ndarray:
-        return np.packbits(x @ planes > 0, axis=1).view(np.uint64)
-
-    def pairs(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        n = min(len(b), max(k, int(np.ceil(share * len(b)))))
-        ca, cb = codes(a), codes(b)
-        apart = np.zeros((len(a), len(b)), np.uint16)
-        for w in range(ca.shape[1]):
-            apart += np.bitwise_count(ca[:, w][:, None] ^ cb[:, w][None, :])
-        la, lb = np.linalg.norm(a, axis=1)[:, None], np.linalg.norm(b, axis=1)[None, :]
-        cosine = np.cos(np.pi * np.arange(planes.shape[1] + 1) / planes.shape[1])
-        estimate = lb**2 - 2 * la * lb * cosine[apart]
-        chosen = np.argpartition(estimate, n - 1, axis=1)[:, :n]
-        return np.repeat(np.arange(len(a)), n), chosen.ravel()
-
-    return pairs
-
-
 class Nearest:
     """The k nearest references of each query, of those added so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str, exclude_self: bool, pairs: Callable):
-        self.ids, self.vectors, self.k, self.metric, self.exclude_self, self.pairs = ids, self.scaled(vectors, metric), k, metric, exclude_self, pairs
-        self.of, self.near, self.distance, self.measured = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str, exclude_self: bool):
+        self.ids, self.vectors, self.k, self.metric, self.exclude_self = ids, self.scaled(vectors, metric), k, metric, exclude_self
+        self.of, self.near, self.distance = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         self.bound = np.full(len(ids), np.inf)  # distance of the k-th so far
 
     @staticmethod
@@ -82,11 +56,10 @@ class Nearest:
             found = [(self.of, self.near, self.distance)]
             for first in range(0, len(self.ids), QUERIES):
                 a = self.vectors[first : first + QUERIES]
-                x, y = self.pairs(a, b, self.k + self.exclude_self)
+                x, y = exact_pairs(a, b, self.k + self.exclude_self)
                 if self.exclude_self:
                     other = self.ids[first + x] != ri[y]
                     x, y = x[other], y[other]
-                self.measured += len(x)
                 step = max(1, (1 << 19) // max(1, a.shape[1]))
                 square = np.concatenate([((a[x[i : i + step]] - b[y[i : i + step]]) ** 2).sum(axis=1) for i in range(0, len(x), step)] or [np.zeros(0)])
                 distance = square / 2 if self.metric == "cosine" else np.sqrt(square)
@@ -105,8 +78,12 @@ class Nearest:
         return pa.RecordBatch.from_arrays([pa.array(self.ids[self.of]), pa.array(self.near), pa.array(self.distance)], names=["cell_id", "cas_cell_index", "distance"])
 
 
-def _search(queries: DataFrame, references: DataFrame, k: int, metric: str, exclude_self: bool, pairs: Callable) -> DataFrame:
-    """cell_id, cas_cell_index, distance and rank by the given way to choose pairs.
+def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
+    """cell_id, cas_cell_index, distance and rank (1 to k; ties by cas_cell_index), exact.
+
+    queries has cell_id and embedding, references cas_cell_index and embedding; null vectors are left out.
+    A matrix product picks candidates; their distances are then worked out from the differences, so equal
+    vectors are at 0.
 
     Queries of up to MOST_BYTES are broadcast, and a task over references keeps k rows a query. More of both are dealt
     to the cells of a grid: each cell holds a part of the queries and a part of the references, of about
@@ -126,7 +103,7 @@ def _search(queries: DataFrame, references: DataFrame, k: int, metric: str, excl
         def nearest(batches):
             if shared.value is None:
                 return
-            found = Nearest(*shared.value, k, metric, exclude_self, pairs)
+            found = Nearest(*shared.value, k, metric, exclude_self)
             for batch in batches:
                 if batch.num_rows:
                     found.add(*_vectors(*batch.columns))
@@ -143,7 +120,7 @@ def _search(queries: DataFrame, references: DataFrame, k: int, metric: str, excl
         def compare(a: pa.Table, b: pa.Table) -> pa.Table:
             if not a.num_rows or not b.num_rows:
                 return pa.table({"cell_id": pa.array([], pa.int64()), "cas_cell_index": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
-            found = Nearest(*_vectors(a.column("cell_id"), a.column("embedding")), k, metric, exclude_self, pairs)
+            found = Nearest(*_vectors(a.column("cell_id"), a.column("embedding")), k, metric, exclude_self)
             found.add(*_vectors(b.column("cas_cell_index"), b.column("embedding")))
             return pa.Table.from_batches([found.table()])
 
@@ -152,29 +129,12 @@ def _search(queries: DataFrame, references: DataFrame, k: int, metric: str, excl
     return met.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
-    """cell_id, cas_cell_index, distance and rank (1 to k; ties by cas_cell_index), exact.
-
-    queries has cell_id and embedding, references cas_cell_index and embedding; null vectors are left out.
-    A matrix product picks candidates; their distances are then worked out from the differences, so equal
-    vectors are at 0.
-    """
-    return _search(queries, references, k, metric, exclude_self, exact_pairs)
-
-
-def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", share: float = 0.15, bits: int = 512, seed: int = 7) -> DataFrame:
-    """Approximate neighbours: references are compared by sketches of `bits` bits, and a share of each block of them is measured.
+def knn_search_approx(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", beam: int = 64, links: int = 16) -> DataFrame:
+    """Approximate neighbours, by a walk through proximity graphs of the references (see graph_index, which builds them once for many searches).
 
-    Every cell gets k rows if there are so many references, as the share is by rank and not by distance.
-    Sketches take bits / 8 bytes a vector instead of 8 a dimension. More bits, or a larger share, raise the recall.
+    Every cell gets k rows if there are so many references. A wider beam, or more links, raise the recall.
     """
-    first = references.select("embedding").where(F.col("embedding").isNotNull()).first()
-    if first is None:
-        return _search(queries, references, k, metric, False, exact_pairs)
-    if bits % 64:
-        raise ValueError("bits must be a multiple of 64")
-    planes = np.random.default_rng(seed).normal(size=(len(first["embedding"]), bits))
-    return _search(queries, references, k, metric, False, sketched_pairs(planes, share))
+    return graph_search(queries, cut_lineage(graph_index(references, metric, links)), k, metric, beam).drop("compared")
 
 
 def neighbor_summary_stats(neighbors: DataFrame) -> DataFrame:

@@ -39,20 +39,6 @@ def test_neighbours_of_many_queries_by_a_grid(spark, monkeypatch):
     assert nb.knn_search(q.limit(0), r, 5).count() == 0 and nb.knn_search(q, r.limit(0), 5).count() == 0
 
 
-@pytest.mark.parametrize("folder", ["sf0.001", "sf0.1"])
-def test_approximate_neighbours_reach_the_stated_recall(spark, folder):
-    """A recall of 0.9 at less than 0.2 of all pairs measured, on the vectors of the given tables."""
-    d = f"/root/testdata/{folder}"
-    q, r = fx.query_cells(spark, d), fx.reference_cells(spark, d)
-    exact = {(x["cell_id"], x["cas_cell_index"]) for x in nb.knn_search(q, r).collect()}
-    near = nb.knn_search_approx(q, r).collect()
-    assert len(exact & {(x["cell_id"], x["cas_cell_index"]) for x in near}) / len(exact) >= 0.9 and len(near) == len(exact)
-    one, all_ = (nb._vectors(*df.select(c, "embedding").toArrow().columns) for df, c in ((q, "cell_id"), (r, "cas_cell_index")))
-    found = nb.Nearest(*one, 10, "l2", False, nb.sketched_pairs(np.random.default_rng(7).normal(size=(64, 512)), 0.15))
-    found.add(*all_)
-    assert found.measured < 0.2 * len(one[0]) * len(all_[0])
-
-
 def test_last_result_of_a_cell_wins(spark):
     cells = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "cell_id long, pos long")
     response = spark.createDataFrame([(1, ["a"], 0), (1, ["b"], 1), (2, [], 0)], "cell_id long, matches array<string>, batch int")
@@ -250,15 +236,3 @@ def test_sources_round_trip_and_guards(spark, tmp_path):
         io.collect_runs(files, ["a", "b"])
     with pytest.raises(ValueError):
         nb.query_cells_by_ids(cells, cells, ["no such"])
-
-
-def test_approximate_search_gives_every_cell_its_rows(spark):
-    """Cells far from all references get k rows, too, and those of a small table are exact."""
-    rng = np.random.default_rng(3)
-    refs = [(i, [float(v) for v in rng.normal(size=8) * 0.1]) for i in range(40)]
-    cells = [(0, refs[0][1]), (1, [30.0] * 8), (2, [-1.0, 1.0] * 4)]
-    q, r = spark.createDataFrame(cells, "cell_id long, embedding array<double>"), spark.createDataFrame(refs, "cas_cell_index long, embedding array<double>")
-    found = {(x["cell_id"], x["rank"]): x["cas_cell_index"] for x in nb.knn_search_approx(q, r, 5, share=1.0).collect()}
-    exact = {(x["cell_id"], x["rank"]): x["cas_cell_index"] for x in nb.knn_search(q, r, 5).collect()}
-    assert found == exact and len(nb.knn_search_approx(q, r, 5, share=0.01).collect()) == 15
-    assert nb.knn_search_approx(q, r.limit(0), 5).count() == 0
