@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscore.functions import first_column, nullable_text
-from cellscore.plans import cut_lineage, numbered_within, small_enough
+from cellscore.plans import cut_lineage, numbered_within
+from cellscore.sources import mex
 
 ONTOLOGY_RESOURCE = "cl_names array<string>, cell_ontology_term_id_to_cell_type map<string,string>, children_dictionary map<string,array<string>>, shortest_path_lengths_from_cell_root map<string,int>, longest_path_lengths_from_cell_root map<string,int>"
 ONTOLOGY_RESPONSE = "query_cell_id string, matches array<struct<score double, cell_type_ontology_term_id string, cell_type string>>, total_weight double, total_neighbors int, total_neighbors_unrecognized int"
@@ -17,42 +19,27 @@ REQUIRED = ("query_cell_id", "matches", "total_weight", "total_neighbors", "tota
 RUN_METADATA = "input_path string, model_name string, n_cells long, ontology_resource_name string"
 
 
-def _numbered(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Lines of the files of a folder with their number, from 1, in the order of the files' names.
-
-    Gzipped files are not split, so the lines of a file are numbered where it is read; just a count a file is gathered.
-    A file that is read in several parts, as large plain text is, is an error.
-    """
-    marked = lines.select(line, "file", F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"))
-    files = marked.groupBy("file").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.count_distinct("part").alias("parts"))
-    files = files.withColumn("n", F.when(F.col("parts") == 1, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("read in parts, gzip it: "), F.col("file"))).cast("long")))
-    before = files.select("file", "first", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))  # a row a file
-    return marked.join(small_enough(before), "file").select(line, (F.col("before") + F.col("at") - F.col("first") + 1).alias("number"))
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-
-
-def write_10x_mex(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame) -> None:
-    """matrix, barcodes and features as gzipped text folders; rows of the matrix are features, columns are cells.
+def write_10x_mex(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame, overwrite: bool = False) -> None:
+    """matrix, barcodes and features as gzipped text folders (see mex); rows of the matrix are features, columns are cells.
 
     The id of a feature is its gene_id, feature_id or gene_ids, its name feature_name, gene_symbol or gene_symbols;
     what stands for null is empty, and an empty id becomes the name. pos gives the order of cells and features.
     """
+    mex.register(counts.sparkSession)
+
+    def write(df: DataFrame, name: str, **options: str) -> None:
+        df.write.format("mex").options(compression="gzip", **options).mode("overwrite" if overwrite else "append").save(f"{folder}/{name}.gz")
+
     ids, names = (first_column(features.columns, c) for c in (("gene_id", "feature_id", "gene_ids"), ("feature_name", "gene_symbol", "gene_symbols")))
     gene = F.coalesce(nullable_text(F.col(ids)) if ids else F.lit(None), F.lit(""))
     symbol = F.coalesce(nullable_text(F.col(names)) if names else F.lit(None), F.lit(""))
-    rows = features.select("feature_id", "pos", F.when(gene == "", symbol).otherwise(gene).alias("gene"), symbol.alias("symbol"))
-    rows.orderBy("pos").select(F.concat_ws("\t", "gene", "symbol", F.lit("Gene Expression")).alias("value")).write.text(f"{folder}/features.tsv.gz", compression="gzip")
-    cells.orderBy("pos").select(F.col("cell_id").cast("string").alias("value")).write.text(f"{folder}/barcodes.tsv.gz", compression="gzip")
-    order = lambda df, key: df.select(key, F.col("pos").alias("p"))
-    numbered = counts.join(order(features, "feature_id").withColumnRenamed("p", "row"), "feature_id").join(order(cells, "cell_id").withColumnRenamed("p", "column"), "cell_id")
-    numbered = cut_lineage(numbered.select("row", "column", "value"))  # counted for the line of sizes, and written
-    entry = F.concat_ws(" ", (F.col("row") + 1).cast("string"), (F.col("column") + 1).cast("string"), F.col("value").cast("string"))
-    sizes = features.agg(F.count("*").alias("f")).crossJoin(cells.agg(F.count("*").alias("c"))).crossJoin(numbered.agg(F.count("*").alias("n")))
-    head = sizes.select(F.explode(F.array(F.lit("%%MatrixMarket matrix coordinate real general"), F.concat_ws(" ", "f", "c", "n"))).alias("value"))
-    head.unionByName(numbered.select(entry.alias("value"))).write.text(f"{folder}/matrix.mtx.gz", compression="gzip")
+    rows = features.select("pos", F.when(gene == "", symbol).otherwise(gene).alias("gene"), symbol.alias("symbol"))
+    write(rows.orderBy("pos").select(F.col("gene").alias("feature_id"), F.col("symbol").alias("feature_name")), "features.tsv", part="features")
+    write(cells.orderBy("pos").select(F.col("cell_id").cast("string").alias("value")), "barcodes.tsv", part="barcodes")
+    order = lambda df, key, name: df.select(key, F.col("pos").alias(name))
+    placed = counts.join(order(features, "feature_id", "f"), "feature_id").join(order(cells, "cell_id", "c"), "cell_id")
+    entries = placed.select((F.col("f") + 1).cast("long").alias("row"), (F.col("c") + 1).cast("long").alias("column"), F.col("value").cast("double").alias("value"))
+    write(entries, "matrix.mtx", part="matrix", rows=str(features.count()), columns=str(cells.count()))
 
 
 def _genome_folder(spark: SparkSession, folder: str, genome: str | None) -> str:
@@ -71,17 +58,24 @@ def _genome_folder(spark: SparkSession, folder: str, genome: str | None) -> str:
     return f"{folder}/{genome}"
 
 
-def read_10x_mex(spark: SparkSession, folder: str, genome: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """counts (cell_id, feature_id, value), cells (cell_id, pos) and features (feature_id, feature_name, pos). Positions are from 0."""
+def read_10x_mex(spark: SparkSession, folder: str, genome: str | None = None, split_bytes: int = mex.SPLIT_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """counts (cell_id, feature_id, value), cells (cell_id, pos) and features (feature_id, feature_name, pos). Positions are from 0.
+
+    The files, or folders of files, are plain or gzipped; plain ones are read in ranges of split_bytes. genes.tsv stands for features.tsv in older folders.
+    """
     folder = _genome_folder(spark, folder, genome)
-    barcodes = _numbered(_lines(spark, f"{folder}/barcodes.tsv.gz"))
-    cells = barcodes.select(F.col("value").alias("cell_id"), (F.col("number") - 1).alias("pos"))
-    parts = F.split("value", "\t")
-    features = _numbered(_lines(spark, f"{folder}/features.tsv.gz")).select(parts[0].alias("feature_id"), parts[1].alias("feature_name"), (F.col("number") - 1).alias("pos"))
-    # the line of sizes comes first and looks like an entry
-    fields = F.split("value", " ")
-    lines = _numbered(_lines(spark, f"{folder}/matrix.mtx.gz").where(~F.col("value").startswith("%"))).where("number > 1")
-    entries = lines.select(fields[0].cast("long").alias("row"), fields[1].cast("long").alias("column"), fields[2].cast("double").alias("value"))
+    mex.register(spark)
+    store, place = mex.located(folder)
+
+    def read(part: str, *names: str) -> DataFrame:
+        for name in (f"{n}{end}" for n in names for end in ("", ".gz")):
+            if store.get_file_info(f"{place}/{name}").type != pafs.FileType.NotFound:
+                return spark.read.format("mex").options(part=part, splitBytes=str(split_bytes)).load(f"{folder}/{name}")
+        raise FileNotFoundError(f"{folder} has no {names[0]}")
+
+    cells = mex.numbered(read("barcodes", "barcodes.tsv")).select(F.col("value").alias("cell_id"), "pos")
+    features = mex.numbered(read("features", "features.tsv", "genes.tsv")).select("feature_id", "feature_name", "pos")
+    entries = read("matrix", "matrix.mtx")
     counts = entries.join(features.select("feature_id", (F.col("pos") + 1).alias("row")), "row").join(cells.select("cell_id", (F.col("pos") + 1).alias("column")), "column")
     return counts.select("cell_id", "feature_id", "value"), cells, features
 
