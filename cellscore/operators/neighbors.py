@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscore.operators.graph_index import graph_index, graph_search
@@ -201,18 +201,42 @@ def align_results_to_query(cells: DataFrame, response: DataFrame, order: str) ->
     return cells.join(last, "cell_id", "left").withColumns({"unprocessed": F.col("matches").isNull(), "matches": F.coalesce("matches", empty)})
 
 
-def query_cells_by_ids(references: DataFrame, ids: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """Reference cells with the given ids (column cas_cell_index) and the chosen features."""
+def query_cells_by_ids(references: DataFrame, ids: DataFrame | None, features: list[str] | None = None, condition: Column | None = None) -> DataFrame:
+    """Reference cells with the given ids (column cas_cell_index), or of a condition in their place, and the chosen features."""
     features = list(features or CELL_FEATURES)
     unknown = [f for f in features if f not in CELL_FEATURES]
     if unknown:
         raise ValueError(f"unknown features: {', '.join(unknown)}")
     chosen = list(dict.fromkeys(["cas_cell_index", *features]))
+    if condition is not None:
+        return references.where(condition).select(*chosen)
     return references.join(ids.select("cas_cell_index").distinct(), "cas_cell_index", "left_semi").select(*chosen)
 
 
+def write_reference_store(path: str, references: DataFrame, files: int | None = None, overwrite: bool = False) -> None:
+    """References as Parquet in the order of cas_cell_index, with Bloom filters of it, so that a look-up reads row groups that may hold an asked id."""
+    n = max(1, references.count())
+    ordered = references.repartitionByRange(files, "cas_cell_index") if files else references.repartitionByRange("cas_cell_index")
+    options = {"parquet.bloom.filter.enabled#cas_cell_index": "true", "parquet.bloom.filter.expected.ndv#cas_cell_index": str(-(-n // files) if files else min(n, 1_000_000))}
+    ordered.sortWithinPartitions("cas_cell_index").write.mode("overwrite" if overwrite else "error").options(**options).parquet(path)
+
+
+#: Ids of a look-up that are pushed down to the store; for more, the range of the ids is, and the rest is a join.
+MOST_PUSHED = 10_000
+
+
+def query_store_by_ids(store: DataFrame, ids: DataFrame, features: list[str] | None = None) -> DataFrame:
+    """The rows of query_cells_by_ids from a store, as spark.read.parquet gives what write_reference_store wrote. Runs one small job over ids."""
+    wanted = ids.select(F.col("cas_cell_index").cast("long").alias("cas_cell_index")).where(F.col("cas_cell_index").isNotNull()).distinct()
+    some = [r["cas_cell_index"] for r in wanted.limit(MOST_PUSHED + 1).collect()]
+    if len(some) <= MOST_PUSHED:
+        return query_cells_by_ids(store, None, features, F.col("cas_cell_index").isin(some) if some else F.lit(False))
+    low, high = wanted.agg(F.min("cas_cell_index"), F.max("cas_cell_index")).first()
+    return query_cells_by_ids(store.where(F.col("cas_cell_index").between(low, high)), wanted, features)
+
+
 def drop_null_fields(records: DataFrame, key: str = "cas_cell_index") -> DataFrame:
-    """key and fields: a map of the other columns, as strings, without those that are null."""
+    """key and fields: an object (VARIANT) of the other columns with their types, without those that are null."""
     names = [c for c in records.columns if c != key]
-    pairs = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(c).cast("string") for c in names)))
-    return records.select(key, F.map_filter(pairs, lambda _, v: v.isNotNull()).alias("fields"))
+    pairs = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(c).cast("variant") for c in names)))
+    return records.select(key, F.to_variant_object(F.map_filter(pairs, lambda _, v: v.isNotNull())).alias("fields"))

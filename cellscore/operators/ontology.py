@@ -22,22 +22,29 @@ def parents_map(edges: DataFrame) -> DataFrame:
     return edges.select("child", "parent").distinct()
 
 
+def _twice(steps: DataFrame) -> DataFrame:
+    """Pairs (low, high) that are twice as many edges apart as those of steps."""
+    return steps.join(steps.select(F.col("low").alias("high"), F.col("high").alias("further")), "high").select("low", F.col("further").alias("high")).distinct()
+
+
 def ancestor_closure(edges: DataFrame, terms: DataFrame) -> DataFrame:
     """term_id and ancestor_id for each term and each term it can be reached from, itself included.
 
-    Semi-naive rounds: only pairs that are new are joined again, and pairs
-    already seen are left out, so a diamond counts once and a cycle ends. Each round
-    writes its new pairs, and nothing is written twice.
+    By doubling: with the pairs that are just 2^k edges apart, all pairs of less than 2^(k+1) edges follow from those of less than
+    2^k, so there are as many rounds as the depth has binary digits. Pairs already known are left out, so a diamond counts once, and a
+    cycle ends. Each round writes its new pairs, and nothing is written twice.
     """
-    up = edges.select(F.col("child").alias("ancestor_id"), "parent").distinct()
-    rounds = [cut_lineage(terms.select("term_id", F.col("term_id").alias("ancestor_id")).distinct())]
+    steps = edges.select(F.col("child").alias("low"), F.col("parent").alias("high")).where("low <> high").distinct()
+    every = terms.select("term_id").union(steps.select("low")).union(steps.select("high")).distinct()
+    rounds, steps = [cut_lineage(every.select("term_id", F.col("term_id").alias("ancestor_id")))], cut_lineage(steps)
     while True:
-        seen = reduce(DataFrame.unionByName, rounds)
-        reached = rounds[-1].join(up, "ancestor_id").select("term_id", F.col("parent").alias("ancestor_id")).distinct()
-        new = cut_lineage(reached.join(seen, ["term_id", "ancestor_id"], "left_anti"))
+        known = reduce(DataFrame.unionByName, rounds)
+        reached = steps.select(F.col("low").alias("from"), F.col("high").alias("term_id")).join(known, "term_id").select(F.col("from").alias("term_id"), "ancestor_id").distinct()
+        new = cut_lineage(reached.join(known, ["term_id", "ancestor_id"], "left_anti"))
         if new.isEmpty():
-            return seen
+            return known.join(terms.select("term_id").distinct(), "term_id", "left_semi")
         rounds.append(new)
+        steps = cut_lineage(_twice(steps))
 
 
 def descendant_closure(closure: DataFrame) -> DataFrame:
@@ -65,20 +72,26 @@ def get_descendants(asked: DataFrame, closure: DataFrame, remove_root: bool = Fa
     return _related(asked, descendant_closure(closure), "descendant_id", remove_root, remove_self)
 
 
-def path_depths(edges: DataFrame, root: str = ROOT, most_levels: int = 100) -> DataFrame:
-    """depth_short and depth_long of every term that the root reaches, level by level."""
+def path_depths(edges: DataFrame, root: str = ROOT) -> DataFrame:
+    """depth_short and depth_long of every term that the root reaches; a cycle that it reaches is an error.
+
+    By doubling: a path of 2^k to 2^(k+1) - 1 edges is a shorter one and then just 2^k edges, whose ends are known by squaring.
+    So a depth of n takes as many rounds as n has binary digits.
+    """
     if root != ROOT:
         raise ValueError(f"depths are measured from {ROOT}")
-    down = edges.select(F.col("parent").alias("term_id"), "child").distinct()
-    level = cut_lineage(edges.sparkSession.createDataFrame([(root,)], "term_id string"))
-    levels = [level.select("term_id", F.lit(0).alias("level"))]
-    for n in range(1, most_levels + 1):
-        level = cut_lineage(level.join(down, "term_id").select(F.col("child").alias("term_id")).distinct())
-        if level.isEmpty():
-            every = reduce(DataFrame.unionByName, levels)
-            return every.groupBy("term_id").agg(F.min("level").alias("depth_short"), F.max("level").alias("depth_long"))
-        levels.append(level.select("term_id", F.lit(n).alias("level")))
-    raise ValueError(f"a path is longer than {most_levels}: the graph has a cycle")
+    steps = cut_lineage(edges.select(F.col("child").alias("low"), F.col("parent").alias("high")).distinct())
+    depths = cut_lineage(edges.sparkSession.createDataFrame([(root, 0, 0)], "term_id string, depth_short int, depth_long int"))
+    nodes, length = steps.count() + 1, 1  # no more terms than that hang together
+    while True:
+        further = steps.select(F.col("high").alias("term_id"), "low").join(depths, "term_id").select(F.col("low").alias("term_id"), *(F.col(c) + F.lit(length) for c in ("depth_short", "depth_long"))).toDF("term_id", "depth_short", "depth_long")
+        further = cut_lineage(further.groupBy("term_id").agg(F.min("depth_short").alias("depth_short"), F.max("depth_long").alias("depth_long")))
+        if further.isEmpty():
+            return depths
+        if length > nodes:
+            raise ValueError(f"a path is longer than {nodes}: the graph has a cycle")
+        depths = cut_lineage(depths.unionByName(further).groupBy("term_id").agg(F.min("depth_short").alias("depth_short"), F.max("depth_long").alias("depth_long")))
+        steps, length = cut_lineage(_twice(steps)), 2 * length
 
 
 def parse_ranked_labels(wide: DataFrame, terms: DataFrame, cell: str = "cell_id") -> DataFrame:

@@ -30,12 +30,24 @@ _AGG = """
 g as (select cell_id, {grp} as grp from q),
 dense as (select grp, cell_id, t.term_id, t.idx, coalesce(k5.score, 0) as score from g cross join terms t left join k5 using (cell_id, term_id)),
 agg as (select grp, term_id, any_value(idx) as idx, avg(score) as mean_all, median(score) as median_all, coalesce(avg(score) filter (where score > 1e-4), 0) as mean_over, coalesce(median(score) filter (where score > 1e-4), 0) as median_over, avg((score > 1e-4)::int) as fraction from dense group by grp, term_id)"""
-_GRAPH = _K3 + """,
-graph as (select i, j, connectivity from (select a.cell_id as i, b.cell_id as j, 1 / (1 + list_distance(a.e, b.e)) as connectivity, row_number() over (partition by a.cell_id order by list_distance(a.e, b.e), b.cell_id) as n from q a join q b on a.cell_id <> b.cell_id) where n <= 10),
+_VOTES = """,
 wt as (select i, j, connectivity / sum(connectivity) over (partition by i) as weight from (select *, row_number() over (partition by i order by connectivity desc, j) as n from (select * from graph union all select distinct i, i, 1.0 from graph)) where n <= 10),
 pr as (select cell_id, cell_type, cell_count / sum(cell_count) over (partition by cell_id) as prob from k3),
 wp as (select i as cell_id, cell_type, sum(weight * prob) as prob from wt join pr on pr.cell_id = wt.j group by 1, 2),
 vote as (select cell_id, cell_type, prob as confidence from wp qualify row_number() over (partition by cell_id order by round(prob, 9) desc, cell_type) = 1)"""
+_GRAPH = _K3 + """,
+graph as (select i, j, connectivity from (select a.cell_id as i, b.cell_id as j, 1 / (1 + list_distance(a.e, b.e)) as connectivity, row_number() over (partition by a.cell_id order by list_distance(a.e, b.e), b.cell_id) as n from q a join q b on a.cell_id <> b.cell_id) where n <= 10)""" + _VOTES
+#: The fuzzy graph: sigma by bisection, round by round.
+_FUZZY = _K3 + """,
+n9 as (select * from (select a.cell_id as i, b.cell_id as j, list_distance(a.e, b.e) as d, row_number() over (partition by a.cell_id order by list_distance(a.e, b.e), b.cell_id) as n from q a join q b on a.cell_id <> b.cell_id) where n <= 9),
+fr as (select i, list(d order by n) as ds, coalesce(min(d) filter (where d > 0), 0) as rho, sum(d) as s, count(*) + 1 as c from n9 group by i),
+fb as (select i, ds, rho, 0.0::double as lo, 'inf'::double as hi, 1.0::double as mid, 0 as it from fr union all
+  select i, ds, rho, case when tot > log2(10) then lo else mid end, case when tot > log2(10) then mid else hi end, case when tot > log2(10) then (lo + mid) / 2 when isinf(hi) then mid * 2 else (mid + hi) / 2 end, it + 1
+  from (select *, list_sum(list_transform(ds, lambda x: exp(-greatest(x - rho, 0) / mid))) as tot from fb) where it < 64 and abs(tot - log2(10)) >= 1e-5),
+fs as (select i, arg_max(mid, it) as mid from fb group by i),
+sg as (select fr.i, rho, greatest(mid, 1e-3 * case when rho > 0 then s / c else (select sum(s) / sum(c) from fr) end) as sigma from fr join fs using (i)),
+ww as (select i, j, case when d <= rho then 1.0 else exp(-(d - rho) / sigma) end as w from n9 join sg using (i)),
+graph as (select i, j, sum(w) - case when count(*) = 2 then product(w) else 0 end as connectivity from (select i, j, w from ww union all select j, i, w from ww) group by 1, 2)""" + _VOTES
 _MARKET = """
 me as (select 'CL:0000000' as parent, 'R' || r_regionkey as child from region union all select 'R' || n_regionkey, 'N' || n_nationkey from nation union all select distinct 'CL:0000000', 'G' || c_mktsegment from customer union all select 'N' || c_nationkey, 'C' || c_custkey from customer union all select 'G' || c_mktsegment, 'C' || c_custkey from customer),
 mn as (select child as t from me union select parent from me),
@@ -127,7 +139,8 @@ SQL: dict[str, str] = {
     "k5_ontology_aware_scores": _with(_K5) + "select cell_id, term_id, label, round(score, 6) as score, round(total_weight, 6) as total_weight, total_neighbors, total_neighbors_unrecognized from k5 join tot using (cell_id) join terms using (term_id)",
     "k6_align_results_to_query": _with(_K3) + "select q.cell_id, q.cell_id as pos, count(k3.cell_id)::int as n_matches, count(k3.cell_id) = 0 and q.cell_id % 2 <> 0 as unprocessed from q left join (select * from k3 where cell_id % 3 <> 0) k3 using (cell_id) group by 1",
     "k7_query_cells_by_ids": "select c_custkey as cas_cell_index, c_mktsegment as tissue, case when c_acctbal >= 0 then 'd' || c_nationkey end as disease from customer where c_custkey in (select o_custkey from orders where o_totalprice > 300000)",
-    "k8_drop_null_fields": "select c_custkey as cas_cell_index, concat_ws(';', case when c_acctbal >= 0 then 'disease=d' || c_nationkey end, 'donor_id=' || c_name, 'tissue=' || c_mktsegment) as fields from customer",
+    "k7_query_store_by_ids": "select c_custkey as cas_cell_index, c_mktsegment as tissue, case when c_acctbal >= 0 then 'd' || c_nationkey end as disease from customer where c_custkey in (select o_custkey from (select * from orders order by o_totalprice desc, o_orderkey limit 50))",
+    "k8_drop_null_fields": "select c_custkey as cas_cell_index, concat_ws(';', case when c_acctbal >= 0 then 'disease' end, 'donor_id', 'tissue', 'total_mrna_umis') as names, c_mktsegment as tissue, c_name as donor_id, case when c_acctbal >= 0 then 'd' || c_nationkey end as disease, floor(c_acctbal)::bigint as total_mrna_umis from customer",
     # reducers
     "r1_majority_vote": _with(_K3) + "select cell_id, cell_type, round(cell_count / total, 6) as confidence from (select *, sum(cell_count) over (partition by cell_id) as total, row_number() over (partition by cell_id order by cell_count desc, pos) as n from m) where n = 1",
     "r2_min_distance_vote": _with(_K3) + "select cell_id, cell_type, round(min_distance, 6) as min_distance from m qualify row_number() over (partition by cell_id order by min_distance, pos) = 1",
@@ -135,6 +148,8 @@ SQL: dict[str, str] = {
     "r4_cluster_vote_detail": _with(_K3, "d as (select cluster, cell_type, sum(cell_count) as s, min(cell_id * 1000 + pos) as f from m join q using (cell_id) where cell_type <> 'T0' group by 1, 2)") + "select cluster, cell_type, round(s / sum(s) over (partition by cluster), 6) as frequency, (row_number() over (partition by cluster order by s desc, f))::int as rank from d",
     "r5_wnn_weights": _with(_GRAPH) + "select i, j, round(weight, 6) as weight from wt",
     "r6_cell_type_probs": _with(_GRAPH) + "select cell_id, cell_type, round(prob, 6) as prob from pr",
+    "r5_fuzzy_connectivities": _with(_FUZZY) + "select i, j, round(connectivity, 6) as connectivity from graph",
+    "r7_fuzzy_wnn_vote": _with(_FUZZY) + "select cell_id, cell_type, round(confidence, 6) as confidence from vote",
     "r7_wnn_vote": _with(_GRAPH) + "select cell_id, cell_type, round(confidence, 6) as confidence from vote",
     "r8_relabel_rare_types": _with(_GRAPH) + "select cell_id, case when count(*) over (partition by cell_type) < 10 then 'Unknown or Unconfident' else cell_type end as cell_type, round(confidence, 6) as confidence from vote",
     "r9_interpolate_type_colors": _with(_GRAPH) + f"select cell_id, round(least(greatest(sum(prob * coalesce(r, 255)) / 255, 0), 1), 6) as r, round(least(greatest(sum(prob * coalesce(g, 255)) / 255, 0), 1), 6) as g, round(least(greatest(sum(prob * coalesce(b, 255)) / 255, 0), 1), 6) as b from wp left join (values {_HEX}) h(cell_type, r, g, b) using (cell_type) group by 1",
@@ -199,7 +214,7 @@ SQL: dict[str, str] = {
     "s1_read_10x_mex": _MATRIX,
     "s2_counts_parquet": _with(_COUNTS) + "select cell_id, feature_id, layer, value from counts",
     "s3_write_10x_mex": "select p_partkey as feature_id, p_name as feature_name, p_partkey as pos from part",
-    "s4_read_ontology_resource": _with(_MARKET, "lv as (select 'CL:0000000' as t, 0 as l union select me.child, l + 1 from lv join me on me.parent = lv.t)") + "select t as term_id, lower(t) as label, min(l)::int as depth_short, max(l)::int as depth_long from lv group by 1",
+    "s4_read_ontology_resource": _with(_MARKET, "lv as (select 'CL:0000000' as t, 0 as l union select me.child, l + 1 from lv join me on me.parent = lv.t)") + "select t as term_id, (row_number() over (order by t) - 1)::bigint as idx, lower(t) as label, min(l)::int as depth_short, max(l)::int as depth_long from lv group by 1",
     "s5_write_ontology_resource": _with(_MARKET) + "select parent, child, (row_number() over (partition by parent order by child) - 1)::int as child_ord from me",
     "s6_ontology_response_json": _with(_K5) + "select cell_id, count(*)::int as n_matches, round(sum(score), 6) as score, round(any_value(total_weight), 6) as total_weight, any_value(total_neighbors)::int as total_neighbors, any_value(total_neighbors_unrecognized)::int as total_neighbors_unrecognized from k5 join tot using (cell_id) group by 1",
     "s7_inferred_labels_csv": _CALLS + "select * from single",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellscore import fixtures as fx
 from cellscore import sources as io
+from cellscore.operators import connectivities as cn
 from cellscore.operators import crosswalk as cw
 from cellscore.operators import metrics as mt
 from cellscore.operators import neighbors as nb
@@ -17,6 +18,7 @@ from cellscore.operators import preprocess as pp
 from cellscore.operators import reducers as rd
 from cellscore.operators import runs
 from cellscore.operators import scores as sc
+from cellscore.plans import numbered_within
 from cellscore.plans.lineage import checkpoint_folder
 
 
@@ -69,10 +71,19 @@ def query_cells_by_ids(spark, d):
     return nb.query_cells_by_ids(fx.cell_metadata(spark, d), ids, ["tissue", "disease"])
 
 
+def query_store_by_ids(spark, d):
+    """As query_cells_by_ids, of the 50 dearest orders, from a store in the order of ids."""
+    path = _scratch(spark, "references")
+    nb.write_reference_store(path, fx.cell_metadata(spark, d))
+    ids = fx.table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50).select(F.col("o_custkey").alias("cas_cell_index"))
+    return nb.query_store_by_ids(spark.read.parquet(path), ids, ["tissue", "disease"])
+
+
 def drop_null_fields(spark, d):
-    fields = nb.drop_null_fields(fx.cell_metadata(spark, d).drop("total_mrna_umis"))
-    entries = F.array_sort(F.transform(F.map_entries("fields"), lambda x: F.concat_ws("=", x["key"], x["value"])))
-    return fields.select("cas_cell_index", F.array_join(entries, ";").alias("fields"))
+    fields = nb.drop_null_fields(fx.cell_metadata(spark, d))
+    get = lambda name, kind: F.variant_get("fields", f"$.{name}", kind).alias(name)
+    names = F.array_join(F.array_sort(F.json_object_keys(F.to_json("fields"))), ";").alias("names")
+    return fields.select("cas_cell_index", names, get("tissue", "string"), get("donor_id", "string"), get("disease", "string"), get("total_mrna_umis", "bigint"))
 
 
 def majority_vote(spark, d):
@@ -95,6 +106,22 @@ def wnn_weights(spark, d):
     return _rounded(rd.wnn_weights(fx.knn_graph(spark, d), fx.query_cells(spark, d)))
 
 
+def _fuzzy_graph(spark, d):
+    cells = fx.query_cells(spark, d)
+    near = nb.knn_search(cells, cells.select(F.col("cell_id").alias("cas_cell_index"), "embedding"), 9, exclude_self=True)
+    return cn.fuzzy_connectivities(near.select(F.col("cell_id").alias("i"), F.col("cas_cell_index").alias("j"), "distance"), 10)
+
+
+def fuzzy_connectivities(spark, d):
+    return _rounded(_fuzzy_graph(spark, d))
+
+
+def fuzzy_wnn_vote(spark, d):
+    """R7 over the fuzzy graph."""
+    voted, _ = rd.wnn(fx.query_cells(spark, d), nb.summary_response(fx.neighbors(spark, d)), _fuzzy_graph(spark, d), 10, min_n_cells_per_type=0)
+    return _rounded(voted)
+
+
 def cell_type_probs(spark, d):
     return _rounded(rd.cell_type_probs(fx.matches(spark, d)))
 
@@ -247,11 +274,12 @@ def inferred_labels(spark, d):
 
 
 def annotate_pipeline(spark, d):
-    """Embeddings to labels, with the sinks of a run; the labels come from the files."""
+    """Embeddings and counts to labels, with the sinks of a run; the labels come from the files."""
     cells, terms = fx.query_cells(spark, d), fx.terms(spark)
+    counts = fx.counts(spark, d).join(cells.select("cell_id"), "cell_id", "left_semi")
     paths = runs.annotate(
         _scratch(spark, "annotate"), cells, fx.reference_cells(spark, d), terms, fx.closure(spark), fx.edges(spark),
-        known=terms.where("term_id <> 'T9'"), input_path=d, resource_name="labels", cluster="cluster",
+        known=terms.where("term_id <> 'T9'"), input_path=d, resource_name="labels", cluster="cluster", matrix=(counts, fx.features(spark, d)), feature_schema=fx.feature_schema(spark, d), layer="raw.X",
     )
     back = io.read_inferred_labels(spark, paths["labels"])
     return _rounded(back.withColumn("cell_id", F.col("cell_id").cast("long")))
@@ -432,14 +460,15 @@ def counts_parquet(spark, d):
 
 def _resource(spark, d):
     links = fx.market_edges(spark, d)
-    terms = on.path_depths(links).select("term_id", F.xxhash64("term_id").alias("idx"), F.lower("term_id").alias("label"), "depth_short", "depth_long")
+    depths = on.path_depths(links).withColumn("all", F.lit(0))
+    terms = numbered_within(depths, "all", "term_id", "idx").select("term_id", F.col("idx").cast("long").alias("idx"), F.lower("term_id").alias("label"), "depth_short", "depth_long")
     path = _scratch(spark, "resource")
     io.write_ontology_resource(path, terms, io.number_children(links))
     return io.read_ontology_resource(spark, path)
 
 
 def read_ontology_resource(spark, d):
-    return _resource(spark, d)[0].drop("idx")
+    return _resource(spark, d)[0]
 
 
 def write_ontology_resource(spark, d):
@@ -502,10 +531,10 @@ def read_predictions_csv(spark, d):
 QUERIES = {
     "k1_knn_search": knn_search, "k2_knn_search_approx": knn_search_approx, "k3_neighbor_summary_stats": neighbor_summary_stats,
     "k4_neighbor_dataset_stats": neighbor_dataset_stats, "k5_ontology_aware_scores": ontology_aware_scores,
-    "k6_align_results_to_query": align_results_to_query, "k7_query_cells_by_ids": query_cells_by_ids, "k8_drop_null_fields": drop_null_fields,
+    "k6_align_results_to_query": align_results_to_query, "k7_query_cells_by_ids": query_cells_by_ids, "k7_query_store_by_ids": query_store_by_ids, "k8_drop_null_fields": drop_null_fields,
     "r1_majority_vote": majority_vote, "r2_min_distance_vote": min_distance_vote, "r3_cluster_majority_vote": cluster_majority_vote,
-    "r4_cluster_vote_detail": cluster_vote_detail, "r5_wnn_weights": wnn_weights, "r6_cell_type_probs": cell_type_probs,
-    "r7_wnn_vote": wnn_vote, "r8_relabel_rare_types": relabel_rare_types, "r9_interpolate_type_colors": interpolate_type_colors,
+    "r4_cluster_vote_detail": cluster_vote_detail, "r5_wnn_weights": wnn_weights, "r5_fuzzy_connectivities": fuzzy_connectivities, "r6_cell_type_probs": cell_type_probs,
+    "r7_wnn_vote": wnn_vote, "r7_fuzzy_wnn_vote": fuzzy_wnn_vote, "r8_relabel_rare_types": relabel_rare_types, "r9_interpolate_type_colors": interpolate_type_colors,
     "o1_parents_map": parents_map, "o2_ancestor_closure": ancestor_closure, "o3_descendant_closure": descendant_closure,
     "o4_get_ancestors": get_ancestors, "o5_get_descendants": get_descendants, "o6_path_depths": path_depths,
     "o7_linearity_violations": linearity_violations, "o8_propagate_scores_max": propagate_scores_max,

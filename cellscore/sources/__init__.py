@@ -80,10 +80,10 @@ def read_10x_mex(spark: SparkSession, folder: str, genome: str | None = None, sp
     return counts.select("cell_id", "feature_id", "value"), cells, features
 
 
-def write_counts(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame) -> None:
+def write_counts(folder: str, counts: DataFrame, cells: DataFrame, features: DataFrame, overwrite: bool = False) -> None:
     """An annotated matrix as three Parquet tables."""
     for name, df in (("counts", counts), ("cells", cells), ("features", features)):
-        df.write.parquet(f"{folder}/{name}.parquet")
+        df.write.mode(_mode(overwrite)).parquet(f"{folder}/{name}.parquet")
 
 
 def read_counts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -104,26 +104,27 @@ def number_children(links: DataFrame) -> DataFrame:
     return numbered_within(links.select("parent", "child"), "parent", "child", "child_ord").select("parent", "child", F.col("child_ord").cast("int").alias("child_ord"))
 
 
-def write_ontology_resource(path: str, terms: DataFrame, edges: DataFrame) -> None:
-    """The ontology as JSON lines: terms has a line for each term (name, place, label and depths), children one for each parent and child."""
-    terms.select("term_id", "idx", "label", "depth_short", "depth_long").write.json(f"{path}/terms")
-    edges.select("parent", "child", "child_ord").write.json(f"{path}/children")
-
+#: Terms and edges of an ontology that is one JSON record, which is one row of one task; a larger one is written as lines.
+MOST_RECORD = 200_000
 
-def read_ontology_resource(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """terms (term_id, idx, label, depth_short, depth_long) and edges (parent, child, child_ord), as write_ontology_resource wrote them."""
-    terms = spark.read.schema("term_id string, idx long, label string, depth_short int, depth_long int").json(f"{path}/terms")
-    return terms, spark.read.schema("parent string, child string, child_ord int").json(f"{path}/children")
 
+def _mode(overwrite: bool) -> str:
+    return "overwrite" if overwrite else "error"
 
-#: Terms and edges of an ontology that is one JSON record; a larger one is an error, as a record is one row of one task.
-MOST_RECORD = 200_000
 
+def write_ontology_resource(path: str, terms: DataFrame, edges: DataFrame, form: str | None = None, overwrite: bool = False) -> None:
+    """The ontology as form says: record, the one JSON record that other tools exchange (ordered names, labels, children and depths), or
+    lines, a folder of JSON lines by term and one by parent and child, for any number of them. By default it is a record up to MOST_RECORD terms and edges.
 
-def write_ontology_record(path: str, terms: DataFrame, edges: DataFrame) -> None:
-    """A small ontology as one JSON record, the form that other tools exchange: ordered names, labels, children and depths."""
-    if max(df.limit(MOST_RECORD + 1).count() for df in (terms, edges)) > MOST_RECORD:
-        raise ValueError(f"more than {MOST_RECORD} terms or edges: write_ontology_resource takes any number")
+    terms has term_id, idx (its place), label, depth_short and depth_long; edges parent, child and child_ord.
+    """
+    small = form != "lines" and max(df.limit(MOST_RECORD + 1).count() for df in (terms, edges)) <= MOST_RECORD
+    if form == "record" and not small:
+        raise ValueError(f"more than {MOST_RECORD} terms or edges are no record; lines hold any number")
+    if not small:
+        terms.select("term_id", "idx", "label", "depth_short", "depth_long").write.mode(_mode(overwrite)).json(f"{path}/terms")
+        edges.select("parent", "child", "child_ord").write.mode(_mode(overwrite)).json(f"{path}/children")
+        return
     pairs = lambda key, value: F.map_from_entries(F.collect_list(F.struct(key, value)))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("idx", "term_id"))), lambda x: x["term_id"])
     record = terms.agg(
@@ -131,22 +132,28 @@ def write_ontology_record(path: str, terms: DataFrame, edges: DataFrame) -> None
         pairs("term_id", "depth_short").alias("shortest_path_lengths_from_cell_root"), pairs("term_id", "depth_long").alias("longest_path_lengths_from_cell_root"),
     )
     lists = edges.groupBy("parent").agg(F.transform(F.array_sort(F.collect_list(F.struct("child_ord", "child"))), lambda x: x["child"]).alias("children"))
-    record.crossJoin(lists.agg(pairs("parent", "children").alias("children_dictionary"))).write.json(path)
-
+    record.crossJoin(lists.agg(pairs("parent", "children").alias("children_dictionary"))).write.mode(_mode(overwrite)).json(path)  # a row each
 
-def read_ontology_record(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """terms and edges of an ontology that is one JSON record: its maps are rows, joined by term."""
-    record = cut_lineage(spark.read.schema(ONTOLOGY_RESOURCE).option("multiLine", True).json(path))
-    of = lambda c, name: record.select(F.explode(c).alias("term_id", name))
-    terms = record.select(F.posexplode("cl_names").alias("idx", "term_id"))
-    for c, name in (("cell_ontology_term_id_to_cell_type", "label"), ("shortest_path_lengths_from_cell_root", "depth_short"), ("longest_path_lengths_from_cell_root", "depth_long")):
-        terms = terms.join(of(c, name), "term_id", "left")
-    edges = record.select(F.explode("children_dictionary").alias("parent", "children")).select("parent", F.posexplode("children").alias("child_ord", "child"))
-    return terms, edges.select("parent", "child", "child_ord")
 
-
-def write_ontology_response(path: str, response: DataFrame) -> None:
-    response.write.json(path, ignoreNullFields=False)
+def read_ontology_resource(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """terms (term_id, idx, label, depth_short, depth_long) and edges (parent, child, child_ord) of either form; one without a term is an error."""
+    if _below(spark, path).where(F.col("below")[0] == "terms").isEmpty():
+        record = cut_lineage(spark.read.schema(ONTOLOGY_RESOURCE).option("multiLine", True).json(path))
+        of = lambda c, name: record.select(F.explode(c).alias("term_id", name))
+        terms = record.select(F.posexplode("cl_names").alias("idx", "term_id")).select("term_id", F.col("idx").cast("long").alias("idx"))
+        for c, name in (("cell_ontology_term_id_to_cell_type", "label"), ("shortest_path_lengths_from_cell_root", "depth_short"), ("longest_path_lengths_from_cell_root", "depth_long")):
+            terms = terms.join(of(c, name), "term_id", "left")
+        edges = record.select(F.explode("children_dictionary").alias("parent", "children")).select("parent", F.posexplode("children").alias("child_ord", "child")).select("parent", "child", "child_ord")
+    else:
+        terms = spark.read.schema("term_id string, idx long, label string, depth_short int, depth_long int").json(f"{path}/terms")
+        edges = spark.read.schema("parent string, child string, child_ord int").json(f"{path}/children")
+    if terms.isEmpty():
+        raise ValueError(f"{path} holds no ontology")
+    return terms, edges
+
+
+def write_ontology_response(path: str, response: DataFrame, overwrite: bool = False) -> None:
+    response.write.mode(_mode(overwrite)).json(path, ignoreNullFields=False)
 
 
 def read_ontology_response(spark: SparkSession, path: str) -> DataFrame:
@@ -156,8 +163,8 @@ def read_ontology_response(spark: SparkSession, path: str) -> DataFrame:
     return read.select(*(F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"missing {c}")).cast(kinds[c])).alias(c) for c in REQUIRED))
 
 
-def write_inferred_labels(path: str, labels: DataFrame) -> None:
-    labels.write.option("header", True).csv(path)
+def write_inferred_labels(path: str, labels: DataFrame, overwrite: bool = False) -> None:
+    labels.write.mode(_mode(overwrite)).option("header", True).csv(path)
 
 
 def read_inferred_labels(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -170,8 +177,8 @@ def read_inferred_labels(spark: SparkSession, path: str, columns: list[str] | No
     return read.select(*(F.col(c).cast("double") if "_score_" in c else F.col(c) for c in chosen))
 
 
-def write_run_metadata(path: str, metadata: DataFrame) -> None:
-    metadata.write.json(path)
+def write_run_metadata(path: str, metadata: DataFrame, overwrite: bool = False) -> None:
+    metadata.write.mode(_mode(overwrite)).json(path)
 
 
 def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -228,10 +235,10 @@ def read_confusion(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return matrix, metadata
 
 
-def write_metrics(folder: str, tables: dict[str, DataFrame]) -> None:
+def write_metrics(folder: str, tables: dict[str, DataFrame], overwrite: bool = False) -> None:
     """Each table as a CSV folder."""
     for name, df in tables.items():
-        df.write.option("header", True).csv(f"{folder}/{name}.csv")
+        df.write.mode(_mode(overwrite)).option("header", True).csv(f"{folder}/{name}.csv")
 
 
 def read_predictions_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:

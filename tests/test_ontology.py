@@ -44,7 +44,7 @@ def test_depths_differ_by_mode_and_target_is_fixed(spark):
     with pytest.raises(ValueError):
         on.path_depths(fx.edges(spark), root="M0")
     with pytest.raises(ValueError, match="cycle"):
-        on.path_depths(graph(spark, (ROOT, "A"), ("A", "B"), ("B", "A"))[0], most_levels=5)
+        on.path_depths(graph(spark, (ROOT, "A"), ("A", "B"), ("B", "A"))[0])
 
 
 def test_ranked_labels_linearity_and_response(spark):
@@ -58,3 +58,59 @@ def test_ranked_labels_linearity_and_response(spark):
     assert rows[3]["matches"] == [] and rows[3]["total_weight"] == 0.0 and rows[1]["total_weight"] == 0.7 and rows[1]["model_name"] == "azimuth_x"
     with pytest.raises(ValueError):
         on.parse_ranked_labels(wide.select("cell_id"), terms)
+
+
+@pytest.fixture
+def cuts(monkeypatch):
+    """How often lineage was cut."""
+    seen = []
+    real = on.cut_lineage
+    monkeypatch.setattr(on, "cut_lineage", lambda df: seen.append(1) or real(df))
+    return seen
+
+
+def test_depths_of_a_chain_of_a_thousand_terms_take_ten_rounds(spark, cuts):
+    names = [ROOT, *(f"n{i}" for i in range(1, 1000))]
+    edges = graph(spark, *zip(names, names[1:]), (ROOT, "n500"))[0]
+    depths = {r["term_id"]: (r["depth_short"], r["depth_long"]) for r in on.path_depths(edges).collect()}
+    assert depths == {n: (i if i < 500 else i - 499, i) for i, n in enumerate(names)}
+    assert len(cuts) <= 3 * 10 + 3
+
+
+def test_closure_of_a_chain_takes_rounds_by_the_logarithm(spark, cuts):
+    names = [f"n{i:03}" for i in range(120)]
+    edges, terms = graph(spark, *zip(names, names[1:]))
+    pairs = {(r["term_id"], r["ancestor_id"]) for r in on.ancestor_closure(edges, terms).collect()}
+    assert pairs == {(b, a) for i, a in enumerate(names) for b in names[i:]}
+    assert len(cuts) <= 2 * 7 + 3
+
+
+def test_doubling_agrees_with_a_walk_on_random_graphs(spark):
+    import random
+
+    rng = random.Random(6)
+    pairs = list({(min(a, b), max(a, b)) for a, b in ((rng.randrange(25), rng.randrange(25)) for _ in range(60)) if a != b})
+    named = [(ROOT if a == 0 else f"t{a}", f"t{b}") for a, b in pairs]
+    edges, terms = graph(spark, *named)
+    children = {}
+    for a, b in named:
+        children.setdefault(a, set()).add(b)
+    lengths, level = {}, {ROOT}
+    for n in range(30):
+        for t in level:
+            lengths.setdefault(t, []).append(n)
+        level = {c for t in level for c in children.get(t, ())}
+    assert {r["term_id"]: (r["depth_short"], r["depth_long"]) for r in on.path_depths(edges).collect()} == {t: (min(x), max(x)) for t, x in lengths.items()}
+    below = {t: {t} for t in {x for p in named for x in p}}
+    for _ in range(25):
+        for t in below:
+            below[t] |= {d for c in children.get(t, ()) for d in below[c]}
+    found = {(r["ancestor_id"], r["term_id"]) for r in on.ancestor_closure(edges, terms).collect()}
+    assert found == {(t, d) for t, ds in below.items() for d in ds}
+    some = on.ancestor_closure(edges, terms.where("term_id = 't20'"))
+    assert {r["term_id"] for r in some.collect()} <= {"t20"}
+
+
+def test_a_cycle_out_of_the_root_s_reach_is_no_error(spark):
+    depths = on.path_depths(graph(spark, (ROOT, "a"), ("x", "y"), ("y", "x"))[0])
+    assert {r["term_id"] for r in depths.collect()} == {ROOT, "a"}

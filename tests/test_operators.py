@@ -1,8 +1,12 @@
+import json
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellscore import fixtures as fx
 from cellscore import sources as io
+from cellscore.operators import connectivities as cn
 from cellscore.operators import crosswalk as cw
 from cellscore.operators import neighbors as nb
 from cellscore.operators import preprocess as pp
@@ -213,10 +217,11 @@ def test_sources_round_trip_and_guards(spark, tmp_path):
     for wrong in (None, "x"):
         with pytest.raises(ValueError, match="g38, m10"):
             io.read_10x_mex(spark, f"{tmp_path}/old.mex", wrong)
-    io.write_ontology_record(f"{tmp_path}/o.json", fx.terms(spark), fx.edges(spark))
-    back = io.read_ontology_record(spark, f"{tmp_path}/o.json")
-    for mine, theirs in zip(back, (fx.terms(spark), fx.edges(spark))):
-        assert sorted(map(tuple, mine.select(*theirs.columns).collect())) == sorted(map(tuple, theirs.collect()))
+    for form in (None, "record", "lines"):
+        io.write_ontology_resource(f"{tmp_path}/{form}.json", fx.terms(spark), fx.edges(spark), form)
+        back = io.read_ontology_resource(spark, f"{tmp_path}/{form}.json")
+        for mine, theirs in zip(back, (fx.terms(spark), fx.edges(spark))):
+            assert sorted(map(tuple, mine.select(*theirs.columns).collect())) == sorted(map(tuple, theirs.collect()))
     links = spark.createDataFrame([("a" if i % 10 else "b", f"c{i:04}") for i in range(300)], "parent string, child string").repartition(5)
     numbers = {(r["parent"], r["child"]): r["child_ord"] for r in io.number_children(links).collect()}
     assert sorted(v for (p, _), v in numbers.items() if p == "a") == list(range(270)) and numbers["b", "c0290"] == 29
@@ -236,3 +241,111 @@ def test_sources_round_trip_and_guards(spark, tmp_path):
         io.collect_runs(files, ["a", "b"])
     with pytest.raises(ValueError):
         nb.query_cells_by_ids(cells, cells, ["no such"])
+
+
+def test_ontology_resource_of_other_tools_and_empty_ones(spark, tmp_path, monkeypatch):
+    record = {
+        "cl_names": ["CL:0000000", "b", "a"], "cell_ontology_term_id_to_cell_type": {"a": "A", "b": "B", "CL:0000000": "cell"}, "children_dictionary": {"CL:0000000": ["b", "a"], "b": ["a"]},
+        "shortest_path_lengths_from_cell_root": {"CL:0000000": 0, "a": 1, "b": 1}, "longest_path_lengths_from_cell_root": {"CL:0000000": 0, "a": 2, "b": 1}, "ancestors_dictionary": {"a": ["b"]},
+    }
+    path = tmp_path / "ontology_resource.json"
+    path.write_text(json.dumps(record, indent=1))
+    terms, edges = io.read_ontology_resource(spark, str(path))
+    assert sorted(map(tuple, terms.collect()), key=lambda r: r[1]) == [("CL:0000000", 0, "cell", 0, 0), ("b", 1, "B", 1, 1), ("a", 2, "A", 1, 2)]
+    assert sorted(map(tuple, edges.collect())) == [("CL:0000000", "a", 1), ("CL:0000000", "b", 0), ("b", "a", 0)]
+    (tmp_path / "empty.json").write_text("{}")
+    with pytest.raises(ValueError, match="holds no ontology"):
+        io.read_ontology_resource(spark, f"{tmp_path}/empty.json")
+    monkeypatch.setattr(io, "MOST_RECORD", 5)
+    with pytest.raises(ValueError, match="are no record"):
+        io.write_ontology_resource(f"{tmp_path}/r", fx.terms(spark), fx.edges(spark), "record")
+    io.write_ontology_resource(f"{tmp_path}/r", fx.terms(spark), fx.edges(spark))
+    assert spark.read.json(f"{tmp_path}/r/terms").count() == 16
+
+
+def test_a_run_with_counts_is_written_again(spark, tmp_path):
+    d, terms = "/root/testdata/sf0.001", fx.terms(spark)
+    cells = fx.query_cells(spark, d)
+    counts = fx.counts(spark, d).join(cells.select("cell_id"), "cell_id", "left_semi")
+    once = lambda **more: runs.annotate(f"{tmp_path}/run", cells, fx.reference_cells(spark, d), terms, fx.closure(spark), fx.edges(spark), matrix=(counts, fx.features(spark, d)), feature_schema=fx.feature_schema(spark, d), layer="raw.X", **more)
+    paths = once()
+    with pytest.raises(Exception, match="(?i)exists"):
+        once()
+    assert once(overwrite=True) == paths
+    conformed, totals, features = io.read_counts(spark, paths["counts"])
+    known = {r["feature_id"] for r in fx.feature_schema(spark, d).collect()}
+    sums = {r["cell_id"]: r["v"] for r in counts.where("layer = 'raw.X'").groupBy("cell_id").agg(F.sum("value").alias("v")).collect()}
+    assert {r["cell_id"]: r["total_mrna_umis"] for r in totals.collect()} == {r["cell_id"]: sums.get(r["cell_id"], 0.0) for r in cells.collect()}
+    assert conformed.count() > 0 and features.count() == len(known)
+    with pytest.raises(ValueError, match="come together"):
+        runs.annotate(f"{tmp_path}/other", cells, fx.reference_cells(spark, d), terms, fx.closure(spark), fx.edges(spark), feature_schema=fx.feature_schema(spark, d))
+
+
+def rows_read(df):
+    """Rows that the scans of df's plan gave when it was collected."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_look_ups_read_only_row_groups_with_asked_ids(spark, tmp_path, monkeypatch):
+    even = spark.range(0, 20000, 2).select(F.col("id").alias("cas_cell_index"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("tissue"), F.lit(None).cast("string").alias("disease")).repartition(4)
+    nb.write_reference_store(f"{tmp_path}/store", even, files=20)
+    store = spark.read.parquet(f"{tmp_path}/store")
+    ask = lambda *ids: nb.query_store_by_ids(store, spark.createDataFrame([(i,) for i in ids], "cas_cell_index long"), ["tissue"])
+    assert sorted(map(tuple, ask(2, 4, 2, 777, None).collect())) == [(2, "t2"), (4, "t4")]
+    even.write.parquet(f"{tmp_path}/plain")
+    assert 0 < rows_read(ask(2, 4)) <= 700 and rows_read(spark.read.parquet(f"{tmp_path}/plain").where("cas_cell_index in (2, 4)")) >= 2000
+    assert rows_read(ask(*range(1, 19999, 1000))) <= 1500  # absent ids within every file's range: the filters rule nearly all files out
+    assert ask().count() == 0
+    few = sorted(map(tuple, ask(*range(0, 300, 3)).collect()))
+    monkeypatch.setattr(nb, "MOST_PUSHED", 10)
+    assert sorted(map(tuple, ask(*range(0, 300, 3)).collect())) == few and len(few) == 50
+    with pytest.raises(ValueError, match="unknown features"):
+        nb.query_store_by_ids(store, spark.createDataFrame([(1,)], "cas_cell_index long"), ["colour"])
+
+
+def test_records_keep_types_and_lose_nulls(spark):
+    import datetime
+
+    row = (1, "a b", None, 2.5, True, 7, [1, 2], datetime.date(2020, 1, 2))
+    df = spark.createDataFrame([row, (2, *[None] * 7)], "cas_cell_index long, s string, n string, d double, b boolean, i int, l array<int>, t date")
+    found = {r["cas_cell_index"]: r["fields"].toPython() for r in nb.drop_null_fields(df).collect()}
+    assert found == {1: {"s": "a b", "d": 2.5, "b": True, "i": 7, "l": [1, 2], "t": datetime.date(2020, 1, 2)}, 2: {}}
+    kinds = nb.drop_null_fields(df).select(F.schema_of_variant("fields").alias("k")).first()["k"]
+    assert "d: DOUBLE" in kinds and "b: BOOLEAN" in kinds and "n:" not in kinds
+
+
+def test_fuzzy_connectivities_against_numpy(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(60, 3))
+    x[10:14] = x[10]  # equal points: all distances of theirs are 0
+    k, target = 5, np.log2(5)
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    near = [[j for j in np.lexsort((np.arange(60), d[i])) if j != i][: k - 1] for i in range(60)]
+    w, mean_all = np.zeros((60, 60)), np.mean([np.append(d[i, near[i]], 0) for i in range(60)])
+    for i in range(60):
+        own = d[i, near[i]]
+        rho = own[own > 0].min() if (own > 0).any() else 0.0
+        low, high, sigma = 0.0, np.inf, 1.0
+        for _ in range(64):
+            total = np.exp(-np.maximum(own - rho, 0) / sigma).sum()
+            if abs(total - target) < 1e-5:
+                break
+            if total > target:
+                high = sigma
+                sigma = (low + high) / 2
+            else:
+                low = sigma
+                sigma = sigma * 2 if high == np.inf else (low + high) / 2
+        sigma = max(sigma, 1e-3 * (np.append(own, 0).mean() if rho > 0 else mean_all))
+        w[i, near[i]] = np.exp(-np.maximum(own - rho, 0) / sigma)
+    union = w + w.T - w * w.T
+    graph = spark.createDataFrame([(i, int(j), float(d[i, j])) for i in range(60) for j in near[i]] + [(3, 3, 0.0), (0, int(near[0][1]), 99.0)], "i long, j long, distance double")
+    got = np.zeros((60, 60))
+    for r in cn.fuzzy_connectivities(graph, k).collect():
+        got[r["i"], r["j"]] = r["connectivity"]
+    assert np.abs(got - union).max() < 1e-6
+    assert cn.fuzzy_connectivities(graph.limit(0), k).count() == 0
+    with pytest.raises(ValueError):
+        cn.fuzzy_connectivities(graph, 1)
