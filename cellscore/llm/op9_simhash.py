@@ -54,8 +54,8 @@ MOST_BYTES = 1 << 24
 #: Multipliers of the MinHash functions, and of mixing.
 MULTIPLIERS = np.random.default_rng(SEED).integers(1 << 31, size=BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Ids of removed documents that are broadcast for the anti-join (8 bytes each); more are shuffled.
-MOST_GONE = 2_000_000
+#: Lines of texts, or of removed documents, that are broadcast (an id and 20 bytes, some 100 with Spark's overhead); more are shuffled.
+MOST_GONE = 500_000
 #: Pairs of query and node that one search step looks at.
 FRONTIER = 1 << 20
 #: Hashes whose bits are counted at once.
@@ -326,6 +326,59 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     return bounded(together).mapInArrow(run, "a long, b long").distinct()
 
 
+def paired(cell: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """All pairs of rows of a and b that are in the same cell, in arrays of bounded size."""
+    b = b[np.argsort(cell[b], kind="stable")]
+    low = np.searchsorted(cell[b], cell[a], side="left")
+    n = np.searchsorted(cell[b], cell[a], side="right") - low
+    before = np.concatenate([[0], np.cumsum(n)])
+    start = 0
+    while start < len(a):
+        stop = max(start + 1, int(np.searchsorted(before, before[start] + CHECKED, side="right")) - 1)
+        x = np.repeat(a[start:stop], n[start:stop])
+        yield x, b[np.arange(len(x)) + np.repeat(low[start:stop] - before[start:stop] + before[start], n[start:stop])]
+        start = stop
+
+
+#: Rows of a cell that all others are compared with first.
+CENTRES = 4
+
+
+def stars(task: Task, alike) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Join the rows of each cell that are alike one of its centres: its first tree row, then the first that stays apart from it, and so on.
+
+    alike(x, y) says which rows of x are alike the centres y. Gives the rows that ask and those of trees, and which of them are not
+    in their cell's largest group. Within that group nothing is left to find, so in a mass of copies only the pairs of
+    the few others are looked at.
+    """
+    q, t = task.q, task.t
+    left = t
+    for _ in range(CENTRES):
+        if not len(left):
+            break
+        cells, first = np.unique(task.cell[left], return_index=True)
+        centres = left[first]
+        for rows in (t, q):
+            place = np.minimum(np.searchsorted(cells, task.cell[rows]), len(cells) - 1)
+            here = cells[place] == task.cell[rows]
+            x, y = rows[here], centres[place[here]]
+            for start in range(0, len(x), CHECKED):
+                a, b = x[start : start + CHECKED], y[start : start + CHECKED]
+                apart = task.apart(a, b)
+                a, b = a[apart], b[apart]
+                if len(a):
+                    near = alike(a, b)
+                    task.join(a[near], b[near])
+        left = left[task.apart(left, centres[np.searchsorted(cells, task.cell[left])])]
+    every = np.unique(np.concatenate([q, t]))
+    groups, count = np.unique(np.stack([task.cell[every], task.label[task.rank[every]]]), axis=1, return_counts=True)
+    groups = groups[:, np.lexsort((-count, groups[0]))]
+    cells, first = np.unique(groups[0], return_index=True)
+    largest = groups[1][first]
+    lone = lambda rows: largest[np.searchsorted(cells, task.cell[rows])] != task.label[task.rank[rows]]
+    return q, t, lone(q), lone(t)
+
+
 def likely_links(together: DataFrame, least: float) -> DataFrame:
     """Edges a, b of spanning forests of all shards, of pairs whose MinHash values (a byte of each in marks) agree in a share of least."""
 
@@ -335,20 +388,14 @@ def likely_links(together: DataFrame, least: float) -> DataFrame:
             return
         task = Task(table)
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        t = task.t[np.argsort(task.cell[task.t], kind="stable")]
-        low = np.searchsorted(task.cell[t], task.cell[task.q], side="left")
-        n = np.searchsorted(task.cell[t], task.cell[task.q], side="right") - low
-        before = np.concatenate([[0], np.cumsum(n)])
-        start = 0
-        while start < len(n):
-            stop = max(start + 1, int(np.searchsorted(before, before[start] + CHECKED, side="right")) - 1)
-            x = np.repeat(task.q[start:stop], n[start:stop])
-            y = t[np.arange(len(x)) + np.repeat(low[start:stop] - before[start:stop] + before[start], n[start:stop])]
-            apart = task.apart(x, y)
-            x, y = x[apart], y[apart]
-            agree = (marks[x] == marks[y]).mean(axis=1) >= least
-            task.join(x[agree], y[agree])
-            start = stop
+        agreeing = lambda x, y: (marks[x] == marks[y]).mean(axis=1) >= least
+        q, t, lone_q, lone_t = stars(task, agreeing)
+        for a, b in ((q[lone_q], t), (q[~lone_q], t[lone_t])):
+            for x, y in paired(task.cell, a, b):
+                apart = task.apart(x, y)
+                x, y = x[apart], y[apart]
+                agree = agreeing(x, y)
+                task.join(x[agree], y[agree])
         yield pa.RecordBatch.from_pydict(task.edges())
 
     return bounded(together).mapInArrow(run, "a long, b long").distinct()
@@ -365,18 +412,30 @@ def exact_links(table: pa.Table, similarity: float, least: float) -> dict[str, n
     n = np.array([len(g) // 8 for g in grams])
     first = np.cumsum(n) - n
     known, code = np.unique(np.frombuffer(b"".join(grams), np.uint64), return_inverse=True)
-    for y in task.q:
-        x = task.t[task.apart(task.t, y)]
-        x = x[np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6]
-        x = x[(marks[x] == marks[y]).mean(axis=1) >= least]
-        if not len(x):
-            continue
-        held = np.zeros(len(known), dtype=bool)
-        held[code[first[y] : first[y] + n[y]]] = True
-        begin = np.cumsum(n[x]) - n[x]
-        both = np.add.reduceat(held[code[np.arange(n[x].sum()) + np.repeat(first[x] - begin, n[x])]], begin, dtype=np.int64)
-        alike = x[both / (n[x] + n[y] - both) >= similarity]
-        task.join(alike, np.full(len(alike), y))
+    held = np.zeros(len(known), dtype=bool)
+
+    def alike(x: np.ndarray, y: int) -> np.ndarray:
+        """Which of x have sets with the similarity to that of y."""
+        out = np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6
+        out[out] = (marks[x[out]] == marks[y]).mean(axis=1) >= least
+        x = x[out]
+        if len(x):
+            own = code[first[y] : first[y] + n[y]]
+            held[own] = True
+            begin = np.cumsum(n[x]) - n[x]
+            both = np.add.reduceat(held[code[np.arange(n[x].sum()) + np.repeat(first[x] - begin, n[x])]], begin, dtype=np.int64)
+            held[own] = False
+            out[out] = both / (n[x] + n[y] - both) >= similarity
+        return out
+
+    q, t, lone_q, lone_t = stars(task, lambda x, y: alike(x, y[0]))  # one cell, so all centres are the same row
+    others = t[lone_t]
+    for y, lone in zip(q, lone_q):
+        x = t if lone else others
+        x = x[task.apart(x, y)]
+        if len(x):
+            x = x[alike(x, y)]
+            task.join(x, np.full(len(x), y))
     return task.edges()
 
 
@@ -411,16 +470,23 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """docs with _same and _size, which only equal texts share: 128 bits of a hash, and the length in bytes (-1: null)."""
+    return docs.withColumns({"_same": F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))), "_size": F.coalesce(F.octet_length("text"), F.lit(-1))})
+
+
 def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, margin: float = 0.15, radius: int = 3) -> DataFrame:
-    """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard).
+    """doc_id and component_id of rows of docs (doc_id, text), linked where shingle sets have the similarity (Jaccard); with them _same and _size, and
+    those of the group's first text as first_same and first_size.
 
-    Equal texts (by length and a hash of 128 bits) are one from the start. Texts whose SimHash of the shingles is linked by the trees, and texts
-    that share a band of MinHash values, are candidates. The linked ones, and those whose MinHash values
+    Equal texts (by length and a hash of 128 bits) are one from the start, whatever their ids, and have a number of their own. Texts whose SimHash of the
+    shingles is linked by the trees, and texts that share a band of MinHash values, are candidates. The linked ones, and those whose MinHash values
     agree in a share of similarity less margin (over four standard deviations), form likely groups, and
     in each of these the sets of shingles themselves decide.
 
-    A null, empty or blank text is alike others of no word; texts of fewer words than a shingle are alike if all words are; a null doc_id
-    has no component but that of its text; an empty table gives no row.
+    A null, empty or blank text is alike others of no word; texts of fewer words than a shingle are alike if all words are. component_id is the least
+    doc_id of the group, and null only where all are; of several texts with it the one with the least hash is the first. doc_id may be of any type
+    that has an order; rows that share it but not their text are apart; an empty table gives no row.
     """
 
     def mark(batches):
@@ -428,18 +494,17 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
             hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
             found = band_keys(minhashes(hashes, offsets))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(found) + 1, BANDS, dtype=np.int32)), pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "same", "size")), pa.array(majority(hashes, offsets).view(np.int64)), keys], names=["doc_id", "same", "size", "fp", "keys"])
-
-    keyed = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("same"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"))
-    marked = cut_lineage(bounded(keyed).mapInArrow(mark, keyed.select("doc_id", "same", "size").schema.add("fp", "long").add("keys", T.ArrayType(T.LongType()))))
-    texts = cut_lineage(marked.groupBy("same", "size").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
-    known = texts.where(F.col("id").isNotNull())
-    prints = cut_lineage(known.groupBy("fp").agg(F.min("id").alias("id")))
-    equal = known.select("id", "fp").join(prints.select("fp", F.col("id").alias("b")), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "_same", "_size")), pa.array(majority(hashes, offsets).view(np.int64)), keys], names=["doc_id", "_same", "_size", "fp", "keys"])
+
+    keyed = identified(docs.select("doc_id", "text"))
+    marked = cut_lineage(bounded(keyed).mapInArrow(mark, keyed.select("doc_id", "_same", "_size").schema.add("fp", "long").add("keys", T.ArrayType(T.LongType()))))
+    texts = cut_lineage(marked.groupBy("_same", "_size").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()))
+    prints = cut_lineage(texts.groupBy("fp").agg(F.min("id").alias("id")))
+    equal = texts.select("id", "fp").join(prints.select("fp", F.col("id").alias("b")), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
     by_trees = cut_lineage(links(prints.select(F.array("fp").alias("fp"), "id"), radius).unionByName(equal))
-    shared = cut_lineage(deal(known.select("id", F.explode("keys").alias("shard"), F.lit(0).alias("weight"))))
+    shared = cut_lineage(deal(texts.select("id", F.explode("keys").alias("shard"), F.lit(0).alias("weight"))))
     candidates = shared.select("id").union(by_trees.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
-    members = cut_lineage(known.select("id", "same", "size").join(candidates, "id", "left_semi"))
+    members = cut_lineage(texts.select("id", "doc", "_same", "_size").join(candidates, "id", "left_semi"))
 
     def outline(batches):
         for batch in steps(batches):
@@ -448,26 +513,35 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
             grams = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(grams, pa.binary())], names=["id", "marks", "grams"])
 
-    some = small_enough(members, MOST_GONE)
-    chosen = keyed.join(some.withColumnRenamed("id", "doc_id"), ["doc_id", "same", "size"]).select(F.col("doc_id").alias("id"), "text")
+    some = small_enough(members.select("id", "doc", F.col("_same").alias("s"), F.col("_size").alias("z")), MOST_GONE)
+    here = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_same") == F.col("s")) & (F.col("_size") == F.col("z"))
+    chosen = keyed.join(some, here).select("id", "text")
     outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary, grams binary").dropDuplicates(["id"]))
     likely = components(likely_links(shared.join(outlined.select("id", "marks"), "id").repartition("shard", "tree", "part"), similarity - margin).unionByName(by_trees))
     weighed = likely.join(outlined.select("id", F.octet_length("grams").alias("weight")), "id").select("id", F.col("label").alias("shard"), "weight")
     cells = deal(weighed).join(outlined, "id").groupBy("shard", "tree", "part")
     decide = lambda table: pa.Table.from_pydict(exact_links(table, similarity, similarity - margin))
     found = components(cells.applyInArrow(decide, "a long, b long").distinct())
-    of = texts.join(found, "id", "left").select("same", "size", F.coalesce("label", "id").alias("component_id"))
-    return marked.join(of, ["same", "size"]).select("doc_id", "component_id")
+    labelled = texts.select("id", "doc", "_same", "_size").join(found, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    order = F.struct(F.col("doc").isNull().alias("a"), F.col("doc").alias("b"), F.col("_same").alias("c"), F.col("_size").alias("d"))
+    heads = labelled.groupBy("label").agg(F.min(order).alias("head"))
+    of = labelled.join(heads, "label").select("_same", "_size", F.col("head.b").alias("component_id"), F.col("head.c").alias("first_same"), F.col("head.d").alias("first_size"))
+    return marked.select("doc_id", "_same", "_size").join(of, ["_same", "_size"])
 
 
 def deduplicate(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """docs with one document, the one with the least doc_id, of each group of similar texts; rows with null ids stay."""
-    found = cut_lineage(similar_groups(docs, similarity, shingle))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(small_enough(gone, MOST_GONE), F.col("doc_id") == F.col("gone_id"), "left_anti")
-    if found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull()))
+    """docs with one document of each group of similar texts: the one with the least doc_id; rows with null ids stay.
+
+    Documents are told apart by id and text, so texts that share an id but are not alike all stay. Of rows that repeat with id and text one stays.
+    """
+    found = cut_lineage(similar_groups(docs, similarity, shingle).where(F.col("doc_id").isNotNull()))
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("_same") == F.col("first_same")) & (F.col("_size") == F.col("first_size"))
+    gone = found.where(~first).select(F.col("doc_id").alias("gone_id"), F.col("_same").alias("gone_same"), F.col("_size").alias("gone_size")).distinct()
+    told = identified(docs)
+    kept = told.join(small_enough(gone, MOST_GONE), (F.col("doc_id") == F.col("gone_id")) & (F.col("_same") == F.col("gone_same")) & (F.col("_size") == F.col("gone_size")), "left_anti")
+    if not found.groupBy("doc_id", "_same", "_size").count().where("count > 1").isEmpty():
+        kept = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "_same", "_size"]).unionByName(kept.where(F.col("doc_id").isNull()))
+    return kept.drop("_same", "_size")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

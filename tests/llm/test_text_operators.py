@@ -688,3 +688,37 @@ def test_trimmed_and_extended_copies_go_and_those_below_stay(spark):
     assert 40 < sum(near.values()) < 80
     kept = {r["doc_id"] for r in op9_simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert {i for i, _ in rows} - kept == {i for i, close in near.items() if close}
+
+
+def test_ids_with_several_texts_and_other_odd_rows(spark):
+    """Texts that share an id but nothing else all stay; string ids; repeated rows; null ids; columns with the names of the operator's own."""
+    rng = random.Random(10)
+    text = lambda: " ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [("1", a), ("2", a), ("2", b), ("3", c), ("3", d), ("4", d + " more"), ("4", d + " more"), (None, a), ("5", e), ("5", e)]
+    df = spark.createDataFrame([(i, t, k, "x", 1.0) for k, (i, t) in enumerate(rows)], "doc_id string, text string, id long, label string, _part double").repartition(3)
+    kept = sorted((r["doc_id"] or "", r["text"]) for r in op9_simhash.deduplicate(df).collect())
+    assert kept == sorted([("1", a), ("2", b), ("3", c), ("3", d), ("", a), ("5", e)])
+    assert op9_simhash.deduplicate(df).columns == df.columns
+
+
+def test_a_mass_of_near_copies_takes_few_comparisons(monkeypatch):
+    """All pairs of 1,200 near copies would be 720,000; each is compared with the first one, and only the few others with all."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = []
+    for i in range(1200):
+        w = list(words)
+        w[rng.randrange(200)] = f"x{i}"
+        texts.append(" ".join(w if i % 300 else [f"y{rng.randrange(9999)}" for _ in range(200)]))
+    hashes, offsets = op9_simhash.shingle_rows(pa.array(texts, pa.large_string()), 5)
+    marks = op9_simhash.minhashes(hashes, offsets).astype(np.uint8)
+    table = pa.table({
+        "id": np.arange(1200), "shard": np.zeros(1200, np.int64), "tree": np.zeros(1200, np.int64), "part": np.zeros(1200, np.int64), "in_tree": np.ones(1200, bool), "asks": np.ones(1200, bool),
+        "marks": [m.tobytes() for m in marks], "grams": [np.unique(hashes[x:y]).tobytes() for x, y in zip(offsets, offsets[1:])],
+    })
+    seen = []
+    real = op9_simhash.Task.apart
+    monkeypatch.setattr(op9_simhash.Task, "apart", lambda self, x, y: seen.append(np.size(x)) or real(self, x, y))
+    edges = op9_simhash.exact_links(table, 0.8, 0.65)
+    assert len(edges["a"]) == 1195 and sum(seen) < 20 * 1200
