@@ -29,7 +29,6 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -201,13 +200,17 @@ def _base64(m: re.Match, most_bytes: int):
     if len(run.rstrip("=")) < 16:
         return
     core = run.rstrip("=").replace("-", "+").replace("_", "/")
-    at = np.arange(m.start(), m.end()) if len(run) == m.end() - m.start() else m.start() + np.flatnonzero([c not in "\r\n\t " for c in m.group()])
+    gaps = None if len(run) == m.end() - m.start() else np.flatnonzero([c not in "\r\n\t " for c in m.group()])
+
+    def at(place):
+        """Where a character of the run is in the text."""
+        return m.start() + (place if gaps is None else gaps[place])
 
     def mapped(inner: str, skipped: int, start: int):
         widths = np.array([len(c.encode("utf-8")) for c in inner])
         last = start + np.cumsum(widths)
         first = last - widths
-        return inner, at[skipped + first // 3 * 4 + first % 3], at[np.minimum(skipped + (last - 1) // 3 * 4 + (last - 1) % 3 + 2, len(core)) - 1] + 1
+        return inner, at(skipped + first // 3 * 4 + first % 3), at(np.minimum(skipped + (last - 1) // 3 * 4 + (last - 1) % 3 + 2, len(core)) - 1) + 1
 
     for skipped in range(4):
         part = core[skipped:]
@@ -217,29 +220,39 @@ def _base64(m: re.Match, most_bytes: int):
             yield mapped(inner, 0, 0)
             return
         for x in MAGIC.finditer(raw):
-            begin = at[skipped + x.start() // 3 * 4 + x.start() % 3]
-            for inner in pieces(unpack(raw[x.start() :]), most_bytes):
+            begin = at(skipped + x.start() // 3 * 4 + x.start() % 3)
+            for inner in pieces(unpack(memoryview(raw)[x.start() :]), most_bytes):
                 yield inner, np.broadcast_to(begin, len(inner)), np.broadcast_to(np.int64(m.end()), len(inner))
         for x in STRETCH.finditer(raw):
             yield mapped(x.group().decode("utf-8"), skipped, x.start())
 
 
-def scan_text(text: str, most_bytes: int = 1 << 23) -> list[tuple[str, int, int, int]]:
-    """All spans (kind, start, end, depth of the layer) of text, by start, kind as listed, end."""
+def scan_text(text: str, most_bytes: int = 1 << 22) -> list[tuple[str, int, int, int]]:
+    """All spans (kind, start, end, depth of the layer) of text, by start, kind as listed, end.
+
+    The worklist is a stack of layers that are still being unwrapped, so of a payload in many pieces one a level is held at a time. What was
+    scanned is known by 128 bits of its hash and its place.
+    """
     found = {span: 0 for span in base_spans(text)}
-    work, seen = deque([(text, None, None, 0)]), {(text, 0, len(text))}
+    work, seen = [(layers(text, most_bytes), None, None)], set()
     while work:
-        layer, starts, ends, depth = work.popleft()
-        for inner, first, last in layers(layer, most_bytes):
-            if starts is not None:
-                first, last = starts[first], ends[last - 1]
-            key = (inner, int(first[0]), int(last[-1]))
-            if key in seen:
-                continue
-            seen.add(key)
-            for kind, a, b in base_spans(inner):
-                found.setdefault((kind, int(first[a]), int(last[b - 1])), depth + 1)
-            work.append((inner, first, last, depth + 1))
+        inside, starts, ends = work[-1]
+        layer = next(inside, None)
+        if layer is None:
+            work.pop()
+            continue
+        inner, first, last = layer
+        if starts is not None:
+            first, last = starts[first], ends[last - 1]
+        key = (hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(first[0]), int(last[-1]))
+        if key in seen:
+            continue
+        seen.add(key)
+        depth = len(work)
+        for kind, a, b in base_spans(inner):
+            span = (kind, int(first[a]), int(last[b - 1]))
+            found[span] = min(found.get(span, depth), depth)
+        work.append((layers(inner, most_bytes), first, last))
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(((*span, depth) for span, depth in found.items()), key=lambda x: (x[1], order[x[0]], x[2]))
 
