@@ -9,7 +9,7 @@ What is broadcast names no items, so its size does not grow with the number of i
 share a passage: windows of the same items carry the same key of a group, and a group's items are joined
 to the texts with hits at the end (by a broadcast only if they are small in bytes).
 
-A benchmark of more windows than MOST_WINDOWS is taken in so many parts, by the
+A benchmark whose windows have more than MOST_WINDOW_BYTES is taken in so many parts, by the
 hash, each with a pass of its own over the texts: what is broadcast stays bounded,
 and no window of a text is ever shuffled.
 
@@ -31,8 +31,8 @@ from cellscore.plans import cut_lineage, small_enough
 
 #: What separates words once A-Z is in lower case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows that are broadcast at once (about 100 bytes each).
-MOST_WINDOWS = 400_000
+#: Bytes of windows that are broadcast at once: a line and each word of it count with what Spark keeps beside them.
+MOST_WINDOW_BYTES, LINE_BYTES, WORD_BYTES = 96 << 20, 120, 12
 #: Bytes of the item ids of all groups that are broadcast; more are shuffled.
 MOST_ITEM_BYTES = 32 << 20
 #: Contaminated documents that are broadcast for an anti-join; beyond that they are shuffled.
@@ -75,9 +75,10 @@ def grouped_windows(pairs: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
     """row, doc_id, text_key (hash of the text), n_words, spans (first word, word after the last; merged) and groups, a row for each of docs."""
     spark = docs.sparkSession
-    facts = {r["length"]: r["n"] for r in found.groupBy(F.size("window").alias("length")).agg(F.count("*").alias("n")).collect()}
+    heavy = F.aggregate("window", F.lit(LINE_BYTES).cast("long"), lambda total, w: total + WORD_BYTES + F.octet_length(w))
+    facts = {r["length"]: r["heavy"] for r in found.groupBy(F.size("window").alias("length")).agg(F.sum(heavy).alias("heavy")).collect()}
     lengths = sorted(facts)
-    parts = max(1, -(-sum(facts.values()) // MOST_WINDOWS))
+    parts = max(1, -(-sum(facts.values()) // MOST_WINDOW_BYTES))
     mark = spark.range(1).select(F.lit(MARK).alias("key"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("string").alias("group"))
 
     base = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words")).withColumn("row", F.monotonically_increasing_id())

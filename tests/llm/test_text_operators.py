@@ -123,11 +123,28 @@ def test_decontamination(spark, docs, empty):
 def test_decontamination_in_parts_is_the_same(spark, docs, monkeypatch):
     benchmark = spark.createDataFrame([(i, t) for i, t, _, _ in fixture_rows()[:30]], "item_id long, text string")
     whole = by_row(op2_decontaminate.match(docs, benchmark), "doc_id", "n_words", "spans", "items")
-    monkeypatch.setattr(op2_decontaminate, "MOST_WINDOWS", 2000)
+    monkeypatch.setattr(op2_decontaminate, "MOST_WINDOW_BYTES", 400_000)
     monkeypatch.setattr(op2_decontaminate, "MOST_ITEM_BYTES", 0)
     assert by_row(op2_decontaminate.match(docs, benchmark), "doc_id", "n_words", "spans", "items") == whole
 
 
+def test_windows_of_text_without_spaces_are_bounded_by_bytes(spark, monkeypatch):
+    """Words of a sentence each: as few windows as fit are broadcast at once, and the hits are the same."""
+    rng = random.Random(31)
+    sentence = lambda: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    items = [(i, " ".join(sentence() for _ in range(30))) for i in range(20)]
+    docs = [(i, f"{sentence()} {items[i][1]} {sentence()}" if i % 2 else sentence()) for i in range(20)]
+    benchmark, rows = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    seen = []
+    real = op2_decontaminate.F.broadcast
+    monkeypatch.setattr(op2_decontaminate.F, "broadcast", lambda df: seen.append(df) or real(df))
+    found = {r["doc_id"]: (sum(x["end"] - x["at"] for x in r["spans"]), r["items"]) for r in op2_decontaminate.match(rows, benchmark).collect()}
+    assert found == {i: (30, [str(i)]) if i % 2 else (0, []) for i in range(20)} and len(seen) == 2
+    monkeypatch.setattr(op2_decontaminate, "MOST_WINDOW_BYTES", 200_000)
+    again = {r["doc_id"]: (sum(x["end"] - x["at"] for x in r["spans"]), r["items"]) for r in op2_decontaminate.match(rows, benchmark).collect()}
+    assert again == found and len(seen) - 2 > 4
+
+
 def test_windows_of_the_same_items_share_a_group(spark):
     passage = [f"w{i}" for i in range(30)]
     items = [(i, " ".join([f"a{i}x{j}" for j in range(9)] + passage)) for i in range(300)] + [(300, " ".join(passage[:15]))]
@@ -248,6 +265,19 @@ def test_worklist_ends_on_cycles_and_bombs():
     assert op5_secrets.scan_text(base64.b64encode(b"\x78\x9cbroken stream").decode()) == []
 
 
+def test_a_long_payload_without_repeats_takes_the_memory_of_a_piece():
+    import tracemalloc
+
+    payload = "".join(f"{i} {'a' * 2000}\n" for i in range(5000)) + PLANTED
+    text = base64.b64encode(zlib.compress(payload.encode(), 9)).decode()
+    assert len(payload) > 10_000_000 and len(text) < 100_000
+    tracemalloc.start()
+    found = op5_secrets.scan_text(text, most_bytes=1 << 18)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {"assign", "access"} <= {s[0] for s in found} and peak < 4_000_000
+
+
 def test_wrapped_and_glued_layers_and_payloads_of_any_length():
     """Base64 in lines, with words glued on, and payloads of several members or beyond a piece."""
     line = lambda s, n: "\n".join(s[i : i + n] for i in range(0, len(s), n))
