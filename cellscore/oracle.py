@@ -175,6 +175,7 @@ SQL: dict[str, str] = {
     "a8_rooted_score_tree": _with(_K5, _ALL, "ok as (select term_id, mean_over as score, fraction from agg where mean_over > 0.05 and fraction > 0.01)", "tree as (select term_id as path, '' as ord, term_id, null::varchar as parent, 0 as depth, score, fraction from ok where term_id = 'CL:0000000' union all select tree.path || '/' || ok.term_id, tree.ord || case when tree.ord = '' then '' else ',' end || edges.child_ord, ok.term_id, tree.term_id, depth + 1, ok.score, ok.fraction from tree join edges on edges.parent = tree.term_id join ok on ok.term_id = edges.child)") + "select path, ord, term_id, parent, depth, round(score, 6) as score, round(fraction, 6) as fraction from tree",
     "a9_top_k_calls_cluster": _CALLS + "select q.cell_id, cl.* exclude (cluster) from q left join cl on cl.cluster = q.cluster",
     "a10_term_score_opacity": _with(_K5, "s as (select q.cell_id, coalesce(score, 0) as score from q left join (select * from k5 where term_id = 'M1') k using (cell_id))") + "select cell_id, round(score, 6) as score, round(greatest(score, 0.1 + 0.9 * (score - min(score) over ()) / (1e-6 + max(score) over () - min(score) over ())), 6) as opacity from s",
+    "a10_term_opacity_from_store": _with(_K5, "s as (select q.cell_id, coalesce(score, 0) as score from q left join (select * from k5 where term_id = 'M1') k using (cell_id))") + "select cell_id, round(score, 6) as score, round(greatest(score, 0.1 + 0.9 * (score - min(score) over ()) / (1e-6 + max(score) over () - min(score) over ())), 6) as opacity from s",
     "a11_padded_bounds": "select round(min(x) - 0.05 * (max(x) - min(x)), 6) as x_min, round(max(x) + 0.05 * (max(x) - min(x)), 6) as x_max, round(min(y) - 0.05 * (max(y) - min(y)), 6) as y_min, round(max(y) + 0.05 * (max(y) - min(y)), 6) as y_max from (select embedding[1]::double as x, embedding[2]::double as y from embeddings)",
     "a12_inferred_labels": _LABELS,
     "a13_annotate_pipeline": _LABELS,
@@ -190,6 +191,7 @@ SQL: dict[str, str] = {
     "b5_top_k_hit_predictions": _with(_PRED) + "select model_name, test_sample, k, true_label, pred_label, n from cm",
     "b6_join_truth_predictions": _with(_ORDERS) + "select cell_id, t as true_label, model_name, test_sample, n1 as name_1, n2 as name_2 from o",
     "b7_aggregate_confusion": _with(_PRED) + "select model_name, k, true_label, pred_label, sum(n)::bigint as n, (select count(distinct test_sample) from cm c where c.model_name = cm.model_name and c.k = cm.k) as n_samples_aggregated from cm group by all",
+    "s10_run_store": _with(_PRED) + "select model_name, k, true_label, pred_label, sum(n)::bigint as n from cm group by all",
     "b8_aggregate_confusion_custom": _with(_PRED) + "select case when grouping(model_name) = 0 then 'model_name+k' when grouping(test_sample) = 0 then 'k+test_sample' else 'k' end as group_name, model_name, test_sample, k, true_label, pred_label, sum(n)::bigint as n from cm group by grouping sets ((model_name, k, true_label, pred_label), (test_sample, k, true_label, pred_label), (k, true_label, pred_label))",
     "b9_f_measure": _with(_PRED, _flat("cm", "model_name, k")) + _summary("cls", "model_name, k", _FLAT_USED),
     "b10_hierarchical_counts": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + "select model_name, k, node, tp, fp, fn from nd",

@@ -18,6 +18,7 @@ from cellscore.operators import preprocess as pp
 from cellscore.operators import reducers as rd
 from cellscore.operators import runs
 from cellscore.operators import scores as sc
+from cellscore.operators import stores as st
 from cellscore.plans import numbered_within
 from cellscore.plans.lineage import checkpoint_folder
 
@@ -236,6 +237,13 @@ def aggregate_scores_by_cluster(spark, d):
     return _rounded(_aggregated(spark, d, "cluster"))
 
 
+def sketched_aggregates(spark, d):
+    """A4 by sketches: the state of one half of the cells, merged with that of the other."""
+    matrix, cells = _matrix(spark, d), fx.query_cells(spark, d)
+    states = [st.sketch_scores(matrix, cells.where(f"cell_id % 2 = {half}")) for half in (0, 1)]
+    return _rounded(st.sketched_aggregates(st.merged_sketches(states[0].unionByName(states[1])), fx.terms(spark)))
+
+
 def most_granular_top_k(spark, d):
     summed = _aggregated(spark, d, "cluster")
     return _rounded(sc.most_granular_top_k(summed.select("grp", "term_id", F.col("mean_over").alias("score")), fx.terms(spark), summed, 0.3, 5, shortest=False))
@@ -259,6 +267,12 @@ def term_score_opacity(spark, d):
     return _rounded(sc.term_score_opacity(_matrix(spark, d), fx.query_cells(spark, d), "M1"))
 
 
+def term_opacity_from_store(spark, d):
+    path = _scratch(spark, "terms")
+    st.write_term_store(path, _matrix(spark, d))
+    return _rounded(sc.term_score_opacity(st.term_scores(spark, path, "M1"), fx.query_cells(spark, d), "M1"))
+
+
 def padded_bounds(spark, d):
     points = fx.table(spark, d, "embeddings").select(F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     return _rounded(sc.padded_bounds(points))
@@ -514,6 +528,16 @@ def confusion_store(spark, d):
     return matrices.join(metadata.select(*RUN, F.col("k").cast("int").alias("k"), F.col("matrix_size").cast("int").alias("matrix_size")), [*RUN, "k"])
 
 
+def run_store(spark, d):
+    """All runs, put in two parts, one of which is put twice; the sums by group are read."""
+    path = _scratch(spark, "runs")
+    matrices = fx.confusion(spark, d)
+    metadata = mt.confusion_metadata(matrices, fx.universe(spark), RUN)
+    for part in ("model_name < 'N'", "model_name >= 'N'", "model_name < 'N'"):
+        st.put_runs(path, matrices.where(part), metadata.where(part))
+    return st.read_groups(spark, path)
+
+
 def metrics_csv(spark, d):
     folder = _scratch(spark, "metrics")
     metrics = mt.f_measure(fx.confusion(spark, d), GROUP)
@@ -540,9 +564,9 @@ QUERIES = {
     "o7_linearity_violations": linearity_violations, "o8_propagate_scores_max": propagate_scores_max,
     "o9_parse_ranked_labels": parse_ranked_labels, "o10_build_ontology_response": build_ontology_response,
     "a1_score_matrix": score_matrix, "a2_attach_scores": attach_scores, "a3_fraction_over_threshold": fraction_over_threshold,
-    "a4_aggregate_scores": aggregate_scores, "a5_aggregate_scores_by_cluster": aggregate_scores_by_cluster,
+    "a4_aggregate_scores": aggregate_scores, "a4_sketched_aggregates": sketched_aggregates, "a5_aggregate_scores_by_cluster": aggregate_scores_by_cluster,
     "a6_most_granular_top_k": most_granular_top_k, "a7_top_k_calls_single": top_k_calls_single, "a8_rooted_score_tree": rooted_score_tree,
-    "a9_top_k_calls_cluster": top_k_calls_cluster, "a10_term_score_opacity": term_score_opacity, "a11_padded_bounds": padded_bounds,
+    "a9_top_k_calls_cluster": top_k_calls_cluster, "a10_term_score_opacity": term_score_opacity, "a10_term_opacity_from_store": term_opacity_from_store, "a11_padded_bounds": padded_bounds,
     "a12_inferred_labels": inferred_labels, "a13_annotate_pipeline": annotate_pipeline,
     "z1_align_predictions": align_predictions, "z3_crosswalk_labels": crosswalk_labels, "z4_crosswalk_wide": crosswalk_wide,
     "z5_unmapped_label_report": unmapped_label_report, "z6_crosswalk_pipeline": crosswalk_pipeline,
@@ -558,5 +582,5 @@ QUERIES = {
     "s1_read_10x_mex": read_10x_mex, "s2_counts_parquet": counts_parquet, "s3_write_10x_mex": write_10x_mex,
     "s4_read_ontology_resource": read_ontology_resource, "s5_write_ontology_resource": write_ontology_resource,
     "s6_ontology_response_json": ontology_response_json, "s7_inferred_labels_csv": inferred_labels_csv, "s8_run_metadata_json": run_metadata_json,
-    "s9_collect_runs": collect_runs, "s10_confusion_store": confusion_store, "s11_metrics_csv": metrics_csv, "s12_read_predictions_csv": read_predictions_csv,
+    "s9_collect_runs": collect_runs, "s10_confusion_store": confusion_store, "s10_run_store": run_store, "s11_metrics_csv": metrics_csv, "s12_read_predictions_csv": read_predictions_csv,
 }
