@@ -159,6 +159,7 @@ SQL: dict[str, str] = {
     "o3_descendant_closure": _with(_MARKET) + "select a as term_id, t as descendant_id from mc",
     "o4_get_ancestors": _with(_MARKET, "ask as (select distinct 'C' || o_custkey as t from orders union all select 'X' || s_suppkey from supplier)") + "select ask.t as term_id, coalesce(string_agg(mc.a, ',' order by mc.a), '') as ancestors from ask left join mc on mc.t = ask.t and mc.a not in ('CL:0000000', ask.t) where ask.t in (select t from mn) group by 1 union all select t, '' from ask where t not in (select t from mn)",
     "o5_get_descendants": _with(_MARKET, "ask as (select distinct 'N' || s_nationkey as t from supplier union all select 'R' || r_regionkey from region union all select 'Y' || s_suppkey from supplier)") + "select ask.t as term_id, coalesce(string_agg(mc.t, ',' order by mc.t), ask.t) as descendants from ask left join mc on mc.a = ask.t group by ask.t",
+    "o5_descendant_pages": _with(_MARKET, "ask as (select distinct 'N' || s_nationkey as t from supplier union all select 'R' || r_regionkey from region), pl as (select t, row_number() over (order by t) as place from (select distinct t from mn))") + "select ask.t as term_id, (1 + (place - 1) // 32768)::bigint as page, count(*)::bigint as n from ask join mc on mc.a = ask.t join pl on pl.t = mc.t group by 1, 2",
     "o6_path_depths": _with(_MARKET, "lv as (select 'CL:0000000' as t, 0 as l union select me.child, l + 1 from lv join me on me.parent = lv.t)") + "select t as term_id, min(l)::int as depth_short, max(l)::int as depth_long from lv group by 1",
     "o7_linearity_violations": _with(_ONTOLOGY, _AZIMUTH, "pr as (select distinct term_id as finer, lead(term_id) over (partition by cell_id order by rank) as coarser from rk)") + "select finer, coarser from pr where coarser is not null and not exists (select 1 from closure c where c.term_id = finer and c.ancestor_id = coarser)",
     "o8_propagate_scores_max": _with(_ONTOLOGY, _AZIMUTH) + "select cell_id, term_id, round(score, 6) as score from prop",
@@ -195,6 +196,7 @@ SQL: dict[str, str] = {
     "b8_aggregate_confusion_custom": _with(_PRED) + "select case when grouping(model_name) = 0 then 'model_name+k' when grouping(test_sample) = 0 then 'k+test_sample' else 'k' end as group_name, model_name, test_sample, k, true_label, pred_label, sum(n)::bigint as n from cm group by grouping sets ((model_name, k, true_label, pred_label), (test_sample, k, true_label, pred_label), (k, true_label, pred_label))",
     "b9_f_measure": _with(_PRED, _flat("cm", "model_name, k")) + _summary("cls", "model_name, k", _FLAT_USED),
     "b10_hierarchical_counts": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + "select model_name, k, node, tp, fp, fn from nd",
+    "b10_pair_overlaps": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + "select model_name, k, sum(tp)::bigint as tp, sum(fp)::bigint as fp, sum(fn)::bigint as fn from nd group by 1, 2",
     "b11_hierarchical_f_measure": _with(_ONTOLOGY, _PRED, _nodes("cm", "model_name, k")) + _summary("nd", "model_name, k", _NODE_USED, "h_"),
     "b12_f_measure_per_sample": _with(_PRED, _flat("cm", "model_name, test_sample, k"), f"mt as ({_summary('cls', 'model_name, test_sample, k', _FLAT_USED)})") + _wide("mt", "model_name, test_sample", 3),
     "b13_f_measure_per_group": _with(_PRED, "gm as (select model_name as group_name, k, true_label, pred_label, sum(n) as n from cm group by all)", _flat("gm", "group_name, k"), f"mt as ({_summary('cls', 'group_name, k', _FLAT_USED)})") + _wide("mt", "group_name", 3),

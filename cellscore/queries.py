@@ -19,6 +19,7 @@ from cellscore.operators import reducers as rd
 from cellscore.operators import runs
 from cellscore.operators import scores as sc
 from cellscore.operators import stores as st
+from cellscore.operators import term_sets as ts
 from cellscore.plans import numbered_within
 from cellscore.plans.lineage import checkpoint_folder
 
@@ -175,6 +176,14 @@ def get_descendants(spark, d):
     return on.get_descendants(asked, fx.market_closure(spark, d)).select("term_id", _joined("descendants").alias("descendants"))
 
 
+def descendant_pages(spark, d):
+    """O5 by pages: the number of descendants of each asked term on each page."""
+    asked = _asked(spark, d, N=("supplier", "s_nationkey"), R=("region", "r_regionkey"), Y=("supplier", "s_suppkey"))
+    closure = fx.market_closure(spark, d)
+    paged = ts.asked_pages(asked, on.descendant_closure(closure), ts.term_places(closure), "descendant_id")
+    return paged.select("term_id", "page", F.bitmap_count("bits").alias("n"))
+
+
 def path_depths(spark, d):
     return on.path_depths(fx.market_edges(spark, d))
 
@@ -372,6 +381,16 @@ def hierarchical_counts(spark, d):
     return mt.hierarchical_counts(fx.confusion(spark, d), fx.closure(spark), GROUP)
 
 
+def pair_overlaps(spark, d):
+    """The hits and misses of B10 over all nodes, from overlaps of the ancestor sets of each pair of labels."""
+    confusion, closure = fx.confusion(spark, d), fx.closure(spark).where(F.col("ancestor_id") != on.ROOT)
+    paged = ts.pages(closure, ts.term_places(fx.terms(spark)), "term_id", "ancestor_id")
+    both = ts.pair_overlaps(confusion.select(F.col("true_label").alias("a"), F.col("pred_label").alias("b")), paged)
+    joined = confusion.join(both, (F.col("true_label") == F.col("a")) & (F.col("pred_label") == F.col("b")))
+    times = lambda c, name: F.sum(F.col("n") * F.col(c)).alias(name)
+    return joined.groupBy(*GROUP).agg(times("n_both", "tp"), times("n_only_b", "fp"), times("n_only_a", "fn"))
+
+
 def hierarchical_f_measure(spark, d):
     return _rounded(mt.hierarchical_f_measure(fx.confusion(spark, d), fx.closure(spark), GROUP), digits=9)
 
@@ -560,7 +579,7 @@ QUERIES = {
     "r4_cluster_vote_detail": cluster_vote_detail, "r5_wnn_weights": wnn_weights, "r5_fuzzy_connectivities": fuzzy_connectivities, "r6_cell_type_probs": cell_type_probs,
     "r7_wnn_vote": wnn_vote, "r7_fuzzy_wnn_vote": fuzzy_wnn_vote, "r8_relabel_rare_types": relabel_rare_types, "r9_interpolate_type_colors": interpolate_type_colors,
     "o1_parents_map": parents_map, "o2_ancestor_closure": ancestor_closure, "o3_descendant_closure": descendant_closure,
-    "o4_get_ancestors": get_ancestors, "o5_get_descendants": get_descendants, "o6_path_depths": path_depths,
+    "o4_get_ancestors": get_ancestors, "o5_get_descendants": get_descendants, "o5_descendant_pages": descendant_pages, "o6_path_depths": path_depths,
     "o7_linearity_violations": linearity_violations, "o8_propagate_scores_max": propagate_scores_max,
     "o9_parse_ranked_labels": parse_ranked_labels, "o10_build_ontology_response": build_ontology_response,
     "a1_score_matrix": score_matrix, "a2_attach_scores": attach_scores, "a3_fraction_over_threshold": fraction_over_threshold,
@@ -572,7 +591,7 @@ QUERIES = {
     "z5_unmapped_label_report": unmapped_label_report, "z6_crosswalk_pipeline": crosswalk_pipeline,
     "b1_labels_outside_universe": labels_outside_universe, "b2_confusion_matrix": confusion_matrix, "b5_top_k_hit_predictions": top_k_hit_predictions,
     "b6_join_truth_predictions": join_truth_predictions, "b7_aggregate_confusion": aggregate_confusion,
-    "b8_aggregate_confusion_custom": aggregate_confusion_custom, "b9_f_measure": f_measure, "b10_hierarchical_counts": hierarchical_counts,
+    "b8_aggregate_confusion_custom": aggregate_confusion_custom, "b9_f_measure": f_measure, "b10_hierarchical_counts": hierarchical_counts, "b10_pair_overlaps": pair_overlaps,
     "b11_hierarchical_f_measure": hierarchical_f_measure, "b12_f_measure_per_sample": f_measure_per_sample,
     "b13_f_measure_per_group": f_measure_per_group, "b14_hierarchical_per_sample": hierarchical_per_sample,
     "b14_hierarchical_per_group": hierarchical_per_group, "b15_build_all_confusions": build_all_confusions, "b16_benchmark_pipeline": benchmark_pipeline,
