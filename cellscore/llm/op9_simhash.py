@@ -537,11 +537,12 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> D
     found = cut_lineage(similar_groups(docs, similarity, shingle).where(F.col("doc_id").isNotNull()))
     first = (F.col("doc_id") == F.col("component_id")) & (F.col("_same") == F.col("first_same")) & (F.col("_size") == F.col("first_size"))
     gone = found.where(~first).select(F.col("doc_id").alias("gone_id"), F.col("_same").alias("gone_same"), F.col("_size").alias("gone_size")).distinct()
-    told = identified(docs)
+    # the columns of docs travel in one, so that none of theirs is taken for one of ours
+    told = identified(docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))).drop("text")
     kept = told.join(small_enough(gone, MOST_GONE), (F.col("doc_id") == F.col("gone_id")) & (F.col("_same") == F.col("gone_same")) & (F.col("_size") == F.col("gone_size")), "left_anti")
     if not found.groupBy("doc_id", "_same", "_size").count().where("count > 1").isEmpty():
         kept = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "_same", "_size"]).unionByName(kept.where(F.col("doc_id").isNull()))
-    return kept.drop("_same", "_size")
+    return kept.select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,27 @@ def test_empty_table(spark, folder, tmp_path):
     for name, stage in cp.STAGES:
         found = stage(spark, docs, folder)
         assert found.count() == 0, name
+
+
+def test_odd_rows_go_through_all_stages(spark, folder, tmp_path):
+    """Clashing names, repeated rows, null ids, ids with several texts, and a text of 20,000 words, stage by stage."""
+    rng = random.Random(18)
+    text = lambda n: " ".join(rng.choice(VOCABULARY) + rng.choice(["", "a", "er", "ing", "o"]) for _ in range(n)) + "."
+    rows = [(i, text(60), "en" if i % 3 else None, None, None) for i in range(30)]
+    rows += [rows[4], rows[4], (5, text(60), "en", "s", 1), (None, text(60), "en", "s", 1), (None, None, None, None, None), (40, text(20_000), "en", "s", 1), (41, "", "en", "s", 1), (42, rows[2][1], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as id", "'x' as row", "2 as label", "3L as fp", "true as secrets", "'k' as keys", "0 as _same", "4 as part")
+    columns = docs.columns
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns, name
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, len(r["text"])) for r in docs.select("doc_id", "text").collect())
+        whole = sorted((r[0] is None, r[0] or 0, len(r[1])) for r in rows if r[1])
+        if name == "language":
+            assert kept == whole
+        else:  # the repeats of one row, and the copy under another id, are gone
+            assert kept == sorted(set(whole) - {(False, 42, len(rows[2][1]))})
+    pieces = cp.STAGES[-1][1](spark, docs, folder)
+    assert pieces.where("doc_id = 40").agg({"length": "sum"}).first()[0] == pieces.where("doc_id = 40").first()["doc_tokens"] > 20_000
+    assert pieces.select("doc_id").distinct().count() == 32
