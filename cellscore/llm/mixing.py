@@ -1,12 +1,19 @@
 """The block coder of op6: adaptive context mixing and a range coder, many blocks in lock step.
 
-An id is coded as: is it what order 2 (the two ids before it) or, failing that,
-order 1 predicts; else is it what order 1 predicts; else its four nibbles by
-the adaptive order-0 frequencies. The chance of a hit is mixed, by weights that
-adapt, from the confidence of both predictions and the block's recent hits. All
-of it is integer arithmetic. Blocks share nothing: each starts from the same
-state, so any can be decoded by itself; numpy works on one id of every block at a
-time.
+A file's tables give the starting state of each of its blocks: how often each id
+occurs (order 0), how often each id follows each other one (order 1), and what mostly
+follows the commonest pairs (order 2). A block then adapts by itself:
+
+* order 2 predicts one id, what last followed the two ids before. The chance that it
+  comes is mixed, in log odds and by weights that adapt, from the record of guesses
+  as trusted as this one, its order-1 chance and its order-0 chance;
+* else the id is coded by order 1, the failed guess left out, unless it never or
+  once followed in the file: the chance of this is mixed from the tables' and the block's own record;
+* else it is coded by order 0.
+
+All of it is integer arithmetic. Blocks share nothing but the tables: each starts
+from the same state, so any can be decoded by itself; numpy works on one id of every
+block at a time.
 
 The range coder is carryless, with 64-bit ends and 16-bit output units.
 """
@@ -14,22 +21,118 @@ The range coder is carryless, with 64-bit ends and 16-bit output units.
 from __future__ import annotations
 
 import math
+import struct
+import zlib
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Slots of the order-1 and order-2 tables of a block (a power of two).
-SLOTS = 2048
+#: Slots of the order-2 table of a block (a power of two).
+SLOTS = 4096
+#: Times that a pair must occur for order 1, and what follows it for the start of order 2.
+LEAST_PAIR, LEAST_TRIPLE = 2, 8
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 UNIT, WIDE = np.uint64(16), np.uint64(48)
-#: Bits of the chance of a flag, and of cumulated nibble frequencies; the least frequency of a nibble.
-FLAG_BITS, NIBBLE_BITS, LEAST = 12, 15, 48
+#: Bits of the chance of a flag; the bits that the sum of a context's frequencies is scaled down to (small ones stay at 1).
+FLAG_BITS, SUM_BITS = 12, 17
 #: log odds of a chance in 1/256, and back.
 STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int32).clip(-2047, 2047)
 SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2048, 2049)], np.int32).clip(64, 4032)
-#: Where the cumulated frequencies move to after nibble s: all mass on s but the least of each other.
-_STEP = np.arange(16)
-TARGET = np.array([np.where(_STEP <= s, _STEP * LEAST, (1 << NIBBLE_BITS) - (16 - _STEP) * LEAST) for s in range(16)], np.int16)
-START = (_STEP << (NIBBLE_BITS - 4)).astype(np.int16)
+#: The record of a guess starts at its trust's chance.
+TRUSTED = np.array([200, 600, 1400, 2000, 2500, 2900, 3200, 3400], np.int32)
+COUNTS = struct.Struct("<III")
+
+
+def _level(n: np.ndarray) -> np.ndarray:
+    """Counts as half powers of two."""
+    return np.round(2 * np.log2(np.maximum(n, 1))).astype(np.uint8)
+
+
+def _scaled(level: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
+    """Frequencies of levels, so that a group's sum has about SUM_BITS bits at most."""
+    count = np.floor(np.exp2(level / 2) + 0.5).astype(np.int64)
+    sums = np.bincount(groups, count, n)
+    down = np.ceil(np.log2(np.maximum(sums, 1))).astype(np.int64) - SUM_BITS
+    return np.maximum(count >> np.maximum(down, 0)[groups], 1)
+
+
+def _log_odds(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return STRETCH[np.minimum((part << FLAG_BITS) // np.maximum(whole, 1), 4095)]
+
+
+def _slot(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return (before * 30011 + last * 40503) >> 4 & (SLOTS - 1)
+
+
+@dataclass(frozen=True)
+class Tables:
+    """A file's ids in ascending order, the half-log counts of them, of pairs and of rare pairs by first id, and starts of order 2.
+
+    Ids are numbered by their place in names; a pair by its place in the order of both ids.
+    """
+
+    names: np.ndarray
+    level0: np.ndarray
+    rare: np.ndarray  # level of the rare pairs of a first id, plus 1; 0 for none
+    first: np.ndarray
+    second: np.ndarray
+    level1: np.ndarray
+    slots: np.ndarray
+    heads: np.ndarray  # the pair that a slot starts with
+
+    @classmethod
+    def learn(cls, ids: np.ndarray) -> Tables:
+        """Tables of all ids of a file (below 65,536)."""
+        times = np.bincount(ids, minlength=1)
+        names = np.flatnonzero(times)
+        v = len(names)
+        x = (np.cumsum(times > 0) - 1)[ids].astype(np.int64)
+        keys, n = np.unique(x[:-1] * max(v, 1) + x[1:], return_counts=True)
+        often = n >= LEAST_PAIR
+        singles = np.bincount(keys[~often] // max(v, 1), n[~often], v).astype(np.int64)
+        keys, n = keys[often], n[often]
+        slots = heads = np.zeros(0, np.int64)
+        if len(keys):
+            pair = place(keys, x[:-1] * v + x[1:])
+            slot = _slot(x[:-2], x[1:-1])
+            known = pair[1:] < len(keys)
+            triples, m = np.unique((slot * (len(keys) + 1) + pair[1:])[known], return_counts=True)
+            by = triples // (len(keys) + 1)
+            best = np.lexsort((triples, -m, by))
+            lead = best[np.r_[True, by[best][1:] != by[best][:-1]]] if len(best) else best
+            lead = lead[m[lead] >= LEAST_TRIPLE]
+            lead = lead[2 * m[lead] > np.bincount(slot, minlength=SLOTS)[by[lead]]]
+            slots, heads = by[lead], triples[lead] % (len(keys) + 1)
+        return cls(names, _level(times[names]), np.where(singles > 0, _level(singles) + 1, 0).astype(np.uint8), keys // max(v, 1), keys % max(v, 1), _level(n), slots, heads)
+
+    def dump(self) -> bytes:
+        """The tables as bytes."""
+        per = np.bincount(self.first, minlength=len(self.names))
+        turn = np.r_[True, self.first[1:] != self.first[:-1]] if len(self.first) else np.zeros(0, bool)
+        gaps = np.where(turn, self.second, np.diff(self.second, prepend=0))
+        parts = [np.diff(self.names, prepend=0), self.level0, self.rare, per, gaps, self.level1, np.diff(self.slots, prepend=0), self.heads]
+        raw = b"".join(p.astype(t).tobytes() for p, t in zip(parts, ("<u2", "u1", "u1", "<u4", "<u2", "u1", "<u2", "<u4")))
+        return COUNTS.pack(len(self.names), len(self.first), len(self.slots)) + zlib.compress(raw, 9)
+
+    @classmethod
+    def load(cls, data: bytes) -> Tables:
+        """The tables that dump gave."""
+        v, p, s = COUNTS.unpack_from(data)
+        raw, at, parts = zlib.decompress(data[COUNTS.size :]), 0, []
+        for n, t in ((v, "<u2"), (v, "u1"), (v, "u1"), (v, "<u4"), (p, "<u2"), (p, "u1"), (s, "<u2"), (s, "<u4")):
+            parts.append(np.frombuffer(raw, t, n, at).astype(np.uint8 if t == "u1" else np.int64))
+            at += parts[-1].size * np.dtype(t).itemsize
+        names, level0, rare, per, gaps, level1, slots, heads = parts
+        first = np.repeat(np.arange(v), per)
+        ends = np.cumsum(gaps)
+        second = ends - np.r_[0, ends][(np.cumsum(per) - per)[first]]
+        return cls(np.cumsum(names), level0, rare, first, second, level1, np.cumsum(slots), heads)
+
+
+def place(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted key among the sorted ones, or their number where it is none."""
+    at = np.searchsorted(keys, wanted)
+    return np.where(np.append(keys, -1)[at] == wanted, at, len(keys))
 
 
 class _Coder:
@@ -46,7 +149,7 @@ class _Coder:
                 self.code = (self.code << UNIT) | self.units[np.arange(lanes), self.at].astype(np.uint64)
                 self.at += 1
 
-    def flag(self, rows: np.ndarray | slice, chance: np.ndarray, bit: np.ndarray | None) -> np.ndarray:
+    def flag(self, rows: np.ndarray, chance: np.ndarray, bit: np.ndarray | None) -> np.ndarray:
         """Code one bit in rows; chance is that of a 1."""
         low, span = self.low[rows], self.range[rows]
         bound = (span >> np.uint64(FLAG_BITS)) * chance.astype(np.uint64)
@@ -56,18 +159,16 @@ class _Coder:
         self.range[rows] = np.where(bit, bound, span - bound)
         return bit
 
-    def nibble(self, rows: np.ndarray, cdf: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
-        """Code one of 16 symbols in rows by cumulated frequencies (16 each, the last end left out)."""
-        low, part = self.low[rows], self.range[rows] >> np.uint64(NIBBLE_BITS)
-        if self.decoding:
-            value = np.minimum((self.code[rows] - low) // part, np.uint64((1 << NIBBLE_BITS) - 1)).astype(np.int16)
-            symbol = np.count_nonzero(cdf <= value[:, None], axis=1) - 1
-        at = np.arange(0, 16 * len(symbol), 16) + symbol
-        flat = cdf.ravel()
-        first = flat[at].astype(np.uint64)
-        last = np.where(symbol == 15, np.int64(1 << NIBBLE_BITS), flat.take(at + 1, mode="clip")).astype(np.uint64)
-        self.low[rows], self.range[rows] = low + part * first, part * (last - first)
-        return symbol
+    def aim(self, rows: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Where, of so many parts of its range, the code of a row lies."""
+        part = self.range[rows] // whole.astype(np.uint64)
+        return np.minimum((self.code[rows] - self.low[rows]) // part, (whole - 1).astype(np.uint64)).astype(np.int64)
+
+    def narrow(self, rows: np.ndarray, start: np.ndarray, n: np.ndarray, whole: np.ndarray) -> None:
+        """Take n parts of a row's range, of so many, from the start-th on."""
+        part = self.range[rows] // whole.astype(np.uint64)
+        self.low[rows] += part * start.astype(np.uint64)
+        self.range[rows] = part * n.astype(np.uint64)
 
     def settle(self, rows: np.ndarray) -> None:
         """Put out, or take in, units until the range of every row is wide again."""
@@ -81,7 +182,8 @@ class _Coder:
             rows, low, span = rows[moves], low[moves], span[moves]
             span = np.where(narrow[moves], (~low + np.uint64(1)) & (BOTTOM - np.uint64(1)), span)
             if self.decoding:
-                self.code[rows] = (self.code[rows] << UNIT) | self.units[rows, self.at[rows]].astype(np.uint64)
+                at = np.minimum(self.at[rows], self.units.shape[1] - 1)  # a damaged payload may ask for more
+                self.code[rows] = (self.code[rows] << UNIT) | self.units[rows, at].astype(np.uint64)
             else:
                 self.units[rows, self.at[rows]] = low >> WIDE
             self.at[rows] += 1
@@ -94,98 +196,148 @@ class _Coder:
             self.at += 1
 
 
-def _run(lengths: np.ndarray, ids: np.ndarray | None, units: np.ndarray | None) -> tuple[np.ndarray, _Coder]:
-    """Code blocks of ids (a row a block; lengths must not ascend), or decode units; gives the ids and the coder."""
+class _Mixer:
+    """A chance for each lane, mixed from log odds by weights that adapt."""
+
+    def __init__(self, lanes: int, start: tuple[float, ...]):
+        self.weights = [np.full(lanes, round(w * (1 << 16)), np.int32) for w in start]
+
+    def mix(self, rows: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
+        self.rows, self.inputs, self.held = rows, inputs, [w[rows] for w in self.weights]
+        total = sum(w.astype(np.int64) * s for w, s in zip(self.held, inputs))
+        self.chance = SQUASH[(total >> 16).clip(-2048, 2048) + 2048]
+        return self.chance
+
+    def learn(self, bit: np.ndarray) -> None:
+        miss = (bit.astype(np.int32) << FLAG_BITS) - self.chance
+        for w, held, s in zip(self.weights, self.held, self.inputs):
+            w[self.rows] = (held + ((s * miss) >> 10)).clip(-(1 << 18), 1 << 18)
+
+
+def _run(lengths: np.ndarray, tables: Tables, ids: np.ndarray | None, units: np.ndarray | None) -> tuple[np.ndarray, _Coder]:
+    """Code blocks of ids (a row a block; lengths must not ascend), or decode units; gives the ids' numbers and the coder."""
     lanes, longest = len(lengths), int(lengths.max())
+    v, pairs = len(tables.names), len(tables.first)
+    # frequencies; id v stands for none before, pair `pairs` for none in the tables
+    n0 = _scaled(tables.level0, np.zeros(v, np.int64), 1)
+    cum0 = np.r_[0, np.cumsum(n0)]
+    whole0 = cum0[-1]
+    n1 = np.append(_scaled(tables.level1, tables.first, v), 0)
+    cum1 = np.r_[0, np.cumsum(n1[:-1])]
+    opens = np.searchsorted(tables.first, np.arange(v + 2))
+    base, whole1 = cum1[opens[:-1]], np.diff(cum1[opens])
+    rare = np.append(np.where(tables.rare > 0, np.floor(np.exp2((np.maximum(tables.rare, 1) - 1) / 2) + 0.5), 0).astype(np.int64), 0)
+    real = np.bincount(tables.first, np.exp2(tables.level1 / 2), v + 1)
+    rare = np.where((rare > 0) & (whole1 > 0), np.maximum((rare * whole1 / np.maximum(real, 1)).astype(np.int64), 1), rare)
+    first, second = np.append(tables.first, -1), np.append(tables.second, 0)
+    order1, order0 = np.append(_log_odds(n1[:-1], whole1[tables.first] + rare[tables.first]), 0), _log_odds(n0, whole0)
+    order0 = order0[second] if v else np.zeros(1, np.int32)
+    grade = (order1.clip(-1024, 1023) + 1024) >> 8
+
     coder = _Coder(lanes, units, 4 * longest + 16)
-    out = np.zeros((lanes, longest), np.int32) if ids is None else ids
     every = np.arange(lanes)
-    second_id, second_n = np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint8)
-    first_id, first_n = np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint8)
-    by_trust, by_past = np.full(lanes * 128, 2048, np.int32), np.full(lanes * 256, 2048, np.int32)
-    weights = np.full((lanes, 2), 1 << 15, np.int32)
-    by_other = np.full(lanes * 16, 1024, np.int32)
-    nibbles = [(n, np.tile(START, (lanes * n, 1))) for n in (1, 16, 256, 256)]
-    past = np.zeros(lanes, np.int64)
-    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    guesses = np.full(SLOTS, pairs, np.int32)
+    guesses[tables.slots] = tables.heads
+    trusts = np.tile(np.where(guesses < pairs, 3, 0).astype(np.uint8), lanes)
+    guesses = np.tile(guesses, lanes)
+    record = np.tile(np.repeat(TRUSTED, 8), lanes)
+    missed = np.full(lanes * 4, 2048, np.int32)
+    hits, escapes = _Mixer(lanes, (0.7, 0.3, 0.0)), _Mixer(lanes, (1.0, 0.0))
+    out = np.zeros((lanes, longest), np.int32) if ids is None else ids
+    if ids is not None:
+        keys = tables.first * max(v, 1) + tables.second
+        ways = np.full(ids.shape, pairs, np.int32)
+        if longest > 1:
+            ways[:, 1:] = place(keys, ids[:, :-1].astype(np.int64) * max(v, 1) + ids[:, 1:])
+    before, last = np.full(lanes, v, np.int64), np.full(lanes, v, np.int64)
     for t in range(longest):
         m = int(np.searchsorted(-lengths, -t, side="left"))  # blocks longer than t
-        rows = every[:m]
-        x = None if ids is None else ids[:m, t]
-        one = (last[:m] * 40503 >> 3 & (SLOTS - 1)) + rows * SLOTS
-        two = ((before[:m] * 30011 + last[:m] * 40503) >> 4 & (SLOTS - 1)) + rows * SLOTS
-        guess2, trust2, guess1, trust1 = second_id.take(two).astype(np.int32), second_n.take(two).astype(np.int64), first_id.take(one).astype(np.int32), first_n.take(one).astype(np.int64)
-        guess = np.where(trust2 > 0, guess2, guess1)
-
-        # is it the first guess? two chances, mixed
-        state, trail = rows * 128 + trust2 * 16 + trust1 * 2 + (guess1 == guess2), rows * 256 + past[:m]
-        a, b = by_trust.take(state), by_past.take(trail)
-        sa, sb, w = STRETCH[a], STRETCH[b], weights[:m]
-        chance = SQUASH[((w[:, 0] * sa + w[:, 1] * sb) >> 16).clip(-2048, 2048) + 2048]
-        hit = coder.flag(slice(m), chance, None if x is None else x == guess)
-        aim = hit.astype(np.int32) << 12
-        miss = aim - chance
-        w[:, 0] += (sa * miss) >> 10
-        w[:, 1] += (sb * miss) >> 10
-        np.clip(w, -(1 << 18), 1 << 18, out=w)
-        by_trust[state] = (a + ((aim - a) >> 4)).clip(1, 4095)
-        by_past[trail] = (b + ((aim - b) >> 5)).clip(1, 4095)
-        past[:m] = (past[:m] << 1 | hit) & 255
-        value = guess.copy()
-
-        # is it the second one?
-        rest = np.flatnonzero(~hit)
-        other = rest[(trust2[rest] > 0) & (trust1[rest] > 0) & (guess1[rest] != guess2[rest])]
-        if len(other):
-            state = other * 16 + trust1[other] * 2 + (trust2[other] > 2)
-            a = by_other.take(state)
-            hit = coder.flag(other, a.clip(64, 4032), None if x is None else x[other] == guess1[other])
-            by_other[state] = (a + (((hit.astype(np.int32) << 12) - a) >> 4)).clip(1, 4095)
-            value[other[hit]] = guess1[other[hit]]
-            wrong = np.ones(m, bool)
-            wrong[other[hit]] = False
-            rest = rest[wrong[rest]]
-        coder.settle(rows)
+        rows, context = every[:m], last[:m]
+        slot = _slot(before[:m], context) + rows * SLOTS
+        guess, trust = guesses.take(slot), trusts.take(slot)
+        valid = first.take(guess) == context
+        way = np.full(m, pairs, np.int32) if ids is None else ways[:m, t]
+
+        # order 2's guess, by what all three orders say of it
+        right = np.zeros(m, bool)
+        asked = np.flatnonzero(valid)
+        if len(asked):
+            g = guess[asked]
+            state = asked * 64 + trust[asked].astype(np.int64) * 8 + grade.take(g)
+            held = record.take(state)
+            chance = hits.mix(asked, [STRETCH[held], order1.take(g), order0.take(g)])
+            bit = coder.flag(asked, chance, None if ids is None else way[asked] == g)
+            hits.learn(bit)
+            record[state] = (held + (((bit.astype(np.int32) << FLAG_BITS) - held) >> 4)).clip(1, 4095)
+            right[asked] = bit
+            if ids is None:
+                way[asked[bit]] = g[bit]
 
-        # order 0: four nibbles
-        if len(rest):
-            whole = np.zeros(len(rest), np.int64) if x is None else x[rest].astype(np.int64)
-            got = np.zeros(len(rest), np.int64)
-            for level, (contexts, table) in enumerate(nibbles):
-                place = rest * contexts + (got & 255)
-                cdf = table.take(place, axis=0)
-                symbol = coder.nibble(rest, cdf, None if x is None else whole >> (12 - 4 * level) & 15)
-                table[place] = cdf + ((TARGET.take(symbol, axis=0) - cdf) >> 4)
-                got = got << 4 | symbol
-                if level % 2:
-                    coder.settle(rest)
-            value[rest] = got
+        # order 1 without the guess, unless the pair is rare
+        left = np.flatnonzero(~right)
+        c = context[left]
+        gone = np.where(valid[left], n1.take(guess[left]), 0)
+        whole, few = whole1.take(c) - gone, rare.take(c)
+        known = whole > 0
+        both = np.flatnonzero(known & (few > 0))
+        if len(both):
+            lanes_ = left[both]
+            state = lanes_ * 4 + np.minimum(trust[lanes_], 3)
+            held = missed.take(state)
+            chance = escapes.mix(lanes_, [_log_odds(few[both], whole[both] + few[both]), STRETCH[held]])
+            bit = coder.flag(lanes_, chance, None if ids is None else way[lanes_] == pairs)
+            escapes.learn(bit)
+            missed[state] = (held + (((bit.astype(np.int32) << FLAG_BITS) - held) >> 5)).clip(1, 4095)
+            known[both[bit]] = False
+        inner = np.flatnonzero(known)
+        if len(inner):
+            at, whole, gone = left[inner], whole[inner], gone[inner]
+            start = base.take(context[at])
+            hole = np.where(gone > 0, cum1.take(guess[at]) - start, np.int64(1) << 40)
+            if ids is None:
+                aim = coder.aim(at, whole)
+                way[at] = np.searchsorted(cum1, aim + np.where(aim >= hole, gone, 0) + start, side="right") - 1
+            w = way[at]
+            low = cum1.take(w) - start
+            coder.narrow(at, np.where(low > hole, low - gone, low), n1.take(w), whole)
+
+        # order 0
+        value = second.take(way).astype(np.int64) if ids is None else ids[:m, t].astype(np.int64)
+        outer = left[~known]
+        if len(outer):
+            whole = np.full(len(outer), whole0)
+            if ids is None:
+                value[outer] = np.searchsorted(cum0, coder.aim(outer, whole), side="right") - 1
+            coder.narrow(outer, cum0.take(value[outer]), n0.take(value[outer]), whole)
+        coder.settle(rows)
         if ids is None:
             out[:m, t] = value
 
         # what was right gains trust; what was wrong loses it, and is replaced once it has none
-        for ids_, n_, at, guess_, trust in ((second_id, second_n, two, guess2, trust2), (first_id, first_n, one, guess1, trust1)):
-            right = (guess_ == value) & (trust > 0)
-            ids_[at] = np.where(right | (trust > 1), guess_, value)
-            n_[at] = np.where(right, np.minimum(trust + 1, 7), np.where(trust > 1, trust >> 1, 1))
-        before[:m], last[:m] = last[:m], value
+        stays = right | (valid & (trust > 1))
+        guesses[slot] = np.where(stays, guess, way)
+        trusts[slot] = np.where(right, np.minimum(trust + 1, 7), np.where(stays, trust >> 1, 1))
+        before[:m], last[:m] = context, value
     return out, coder
 
 
-def encode(ids: np.ndarray, block: int = 2048) -> tuple[bytes, list[int]]:
-    """Payloads of all blocks of ids (below 65,536) in a row, and the bytes of each."""
+def encode(ids: np.ndarray, tables: Tables, block: int = 2048) -> tuple[bytes, list[int]]:
+    """Payloads of all blocks of ids in a row, and the bytes of each; an id that the tables lack is an error."""
     lengths = np.diff([*range(0, len(ids), block), len(ids)]) if len(ids) else np.zeros(0, np.int64)
     if not len(lengths):
         return b"", []
+    numbers = place(tables.names, ids)
+    if int(numbers.max()) >= len(tables.names):
+        raise ValueError("an id is not in the tables")
     padded = np.zeros(len(lengths) * block, np.int32)
-    padded[: len(ids)] = ids
-    _, coder = _run(lengths, padded.reshape(len(lengths), block)[:, : int(lengths.max())], None)
+    padded[: len(ids)] = numbers
+    _, coder = _run(lengths, tables, padded.reshape(len(lengths), block)[:, : int(lengths.max())], None)
     coder.finish()
     parts = [coder.units[i, :n].astype("<u2").tobytes() for i, n in enumerate(coder.at)]
     return b"".join(parts), [len(p) for p in parts]
 
 
-def decode(payload: bytes, sizes: list[int], n: int, block: int = 2048) -> np.ndarray:
+def decode(payload: bytes, sizes: list[int], n: int, tables: Tables, block: int = 2048) -> np.ndarray:
     """The n ids of payloads in a row, of the given bytes each."""
     if not n:
         return np.zeros(0, np.int32)
@@ -195,5 +347,5 @@ def decode(payload: bytes, sizes: list[int], n: int, block: int = 2048) -> np.nd
     for i, size in enumerate(sizes):
         units[i, : size // 2] = np.frombuffer(payload, "<u2", size // 2, at)
         at += size
-    out, _ = _run(lengths, None, units)
-    return np.concatenate([out[i, :k] for i, k in enumerate(lengths)]) if len(lengths) < 3 else np.concatenate([out[:-1].ravel(), out[-1, : lengths[-1]]])
+    out, _ = _run(lengths, tables, None, units)
+    return tables.names[np.concatenate([out[:-1].ravel(), out[-1, : lengths[-1]]])].astype(np.int32)

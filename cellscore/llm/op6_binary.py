@@ -3,11 +3,12 @@
 A file holds some four million ids of documents in ascending order of doc_id, in
 blocks of 2,048 ids that are coded without regard to one another, each with a
 checksum of its ids. It is a header (magic, version, ids of a block, number of
-ids, of blocks and of documents), then the bytes and the checksum of each block, then the index
-(the doc_id and the number of ids of each document), then the blocks. So a file
-can be read by document by itself, and a block decoded by itself. Files lie in the rows
+ids, of blocks and of documents, bytes and checksum of the tables), then the bytes and the checksum of
+each block, then the index (the doc_id and the number of ids of each document), then the tables
+(counts of ids, of pairs and of what follows them, from which each block starts), then the blocks. So a file
+can be read by document by itself, and a block decoded by itself, given its file's tables. Files lie in the rows
 (part, number, size, content) of a Parquet table, so Spark's writer commits them. Reading
-checks every block's checksum.
+checks every checksum.
 
 Defined results: null text is empty and is just its end id; rows of the same
 doc_id follow each other in no fixed order; a null doc_id comes first; an empty
@@ -35,8 +36,8 @@ from cellscore.llm.tokens import encoder
 from cellscore.plans import small_enough
 from cellscore.plans.lineage import checkpoint_folder
 
-MAGIC, VERSION = b"IDCM", 2
-HEAD = struct.Struct("<4sBxHQII")
+MAGIC, VERSION = b"IDCM", 3
+HEAD = struct.Struct("<4sBxHQIIII")
 #: Stands for a null doc_id in a file.
 NULL_ID = -(1 << 63)
 #: Ids of a block, and those after which a file is closed at the end of a document.
@@ -50,45 +51,65 @@ def pack_file(ids: np.ndarray, names: np.ndarray | None = None, lengths: np.ndar
     if len(ids) and int(ids.max()) > 0xFFFF:
         raise ValueError(f"id {int(ids.max())} does not fit the format")
     names, lengths = (np.zeros(0, "<i8") if x is None else x.astype("<i8") for x in (names, lengths))
-    payload, sizes = mixing.encode(ids, BLOCK)
+    learnt = mixing.Tables.learn(ids)
+    tables = learnt.dump()
+    payload, sizes = mixing.encode(ids, learnt, BLOCK)
     little = ids.astype("<u4")
     sums = [zlib.crc32(little[i : i + BLOCK].tobytes()) for i in range(0, len(ids), BLOCK)]
     table = np.array([sizes, sums], dtype="<u4").T.tobytes()
-    return HEAD.pack(MAGIC, VERSION, BLOCK, len(ids), len(sizes), len(names)) + table + names.tobytes() + lengths.tobytes() + payload
-
-
-def _head(content: bytes) -> tuple[int, int, np.ndarray, int, int]:
-    """Ids of a block, number of ids, the table of blocks (bytes and checksum), number of documents, and where the index starts."""
-    magic, version, block, n, blocks, documents = HEAD.unpack_from(content)
-    if magic != MAGIC or version != VERSION:
-        raise ValueError("not a file of ids")
-    return block, n, np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2), documents, HEAD.size + 8 * blocks
+    return HEAD.pack(MAGIC, VERSION, BLOCK, len(ids), len(sizes), len(names), len(tables), zlib.crc32(tables)) + table + names.tobytes() + lengths.tobytes() + tables + payload
+
+
+class _File:
+    """The parts of a file."""
+
+    def __init__(self, content: bytes):
+        magic, version, self.block, self.n, blocks, self.documents, size, total = HEAD.unpack_from(content)
+        if magic != MAGIC or version != VERSION:
+            raise ValueError("not a file of ids")
+        self.content = content
+        sized = np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2)
+        self.sizes, self.sums = sized[:, 0].astype(np.int64), sized[:, 1]
+        self.index_at = HEAD.size + 8 * blocks
+        self.tables_at = self.index_at + 16 * self.documents
+        self.blocks_at = self.tables_at + size
+        self._total = total
+
+    @property
+    def tables(self) -> mixing.Tables:
+        data = self.content[self.tables_at : self.blocks_at]
+        if zlib.crc32(data) != self._total:
+            raise ValueError("the tables are damaged")
+        return mixing.Tables.load(data)
+
+    def checked(self, ids: np.ndarray, first: int = 0) -> np.ndarray:
+        """ids of the blocks from the first-th on, if their checksums hold."""
+        little = ids.astype("<u4")
+        for i in range(-(-len(ids) // self.block)):
+            if zlib.crc32(little[i * self.block : (i + 1) * self.block].tobytes()) != self.sums[first + i]:
+                raise ValueError(f"block {first + i} is damaged")
+        return ids
 
 
 def index(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The doc_id (NULL_ID for null) and the number of ids of each document of a file."""
-    _, _, _, documents, at = _head(content)
-    both = np.frombuffer(content, "<i8", 2 * documents, at)
-    return both[:documents], both[documents:]
+    file = _File(content)
+    both = np.frombuffer(content, "<i8", 2 * file.documents, file.index_at)
+    return both[: file.documents], both[file.documents :]
 
 
 def unpack_file(content: bytes) -> np.ndarray:
     """The ids of a file; a broken header or checksum is an error."""
-    block, n, table, documents, at = _head(content)
-    ids = mixing.decode(content[at + 16 * documents :], table[:, 0].tolist(), n, block)
-    little = ids.astype("<u4")
-    for i, total in enumerate(table[:, 1].tolist()):
-        if zlib.crc32(little[i * block : (i + 1) * block].tobytes()) != total:
-            raise ValueError(f"block {i} is damaged")
-    return ids
+    file = _File(content)
+    return file.checked(mixing.decode(content[file.blocks_at :], file.sizes.tolist(), file.n, file.tables, file.block))
 
 
 def unpack_block(content: bytes, i: int) -> np.ndarray:
-    """The ids of one block of a file."""
-    block, n, table, documents, at = _head(content)
-    at += 16 * documents + int(table[:i, 0].sum())
-    size = int(table[i, 0])
-    return mixing.decode(content[at : at + size], [size], min(block, n - i * block), block)
+    """The ids of one block of a file; a broken checksum is an error."""
+    file = _File(content)
+    at = file.blocks_at + int(file.sizes[:i].sum())
+    size = int(file.sizes[i])
+    return file.checked(mixing.decode(content[at : at + size], [size], min(file.block, file.n - i * file.block), file.tables, file.block), i)
 
 
 def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, file_ids: int = FILE_IDS) -> None:

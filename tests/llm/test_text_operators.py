@@ -16,6 +16,7 @@ import pytest
 import xxhash
 
 from cellscore.llm import mixing, op1_language, op2_decontaminate, op3_shards, op4_toxicity, op5_secrets, op6_binary, op7_pack, op8_quality, op9_simhash, op10_hmm
+from cellscore.llm.arrays import plain
 from cellscore.llm.tokens import Encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -30,6 +31,15 @@ def prose(rng, lang, n):
     return " ".join(rng.choice(VOCABULARY[lang]) for _ in range(n)) + "."
 
 
+@pytest.fixture(scope="module")
+def sf_ids():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    ids, offsets = Encoder(op7_pack.public_tokenizer("word_bpe_49k.json")).encode(plain(texts))
+    return np.insert(ids, offsets[1:], 2).astype(np.int32)
+
+
 def fixture_rows():
     rng = random.Random(5)
     rows = []
@@ -350,11 +360,50 @@ def test_encoder_gives_the_library_s_ids():
 @pytest.mark.parametrize("n", [0, 1, 2, 2047, 2048, 2049, 9000])
 def test_mixing_round_trips(n):
     rng = np.random.default_rng(n)
-    for ids in (rng.integers(0, 65536, n), rng.integers(0, 40, n), np.zeros(n, int), np.full(n, 65535), np.arange(n) % 7):
-        payload, sizes = mixing.encode(ids.astype(np.int32))
-        assert (mixing.decode(payload, sizes, n) == ids).all()
+    words = np.minimum(rng.zipf(1.3, n), 65535)
+    for ids in (rng.integers(0, 65536, n), rng.integers(0, 40, n), words, np.repeat(words, 3)[:n], np.zeros(n, int), np.full(n, 65535), np.arange(n) % 7):
+        learnt = mixing.Tables.learn(ids)
+        tables = mixing.Tables.load(learnt.dump())
+        for field in mixing.Tables.__dataclass_fields__:
+            assert (getattr(tables, field) == getattr(learnt, field)).all(), field
+        payload, sizes = mixing.encode(ids.astype(np.int32), tables)
+        assert (mixing.decode(payload, sizes, n, tables) == ids).all()
     if n == 9000:
-        assert len(mixing.encode((np.arange(n) % 7).astype(np.int32))[0]) < n // 8
+        assert len(payload) + len(tables.dump()) < n // 8
+        with pytest.raises(ValueError, match="not in the tables"):
+            mixing.encode(np.array([3, 9]), tables)
+
+
+def entropy(*columns):
+    _, n = np.unique(np.stack(columns), axis=1, return_counts=True)
+    return -(n / n.sum() * np.log2(n / n.sum())).sum()
+
+
+def test_files_take_fewer_bits_than_order_0(sf_ids):
+    bits = 8 * len(op6_binary.pack_file(sf_ids)) / len(sf_ids)
+    order_0 = entropy(sf_ids)
+    assert bits < order_0 - 1.5  # tables and all
+    # without its tables, a file is near what the pair before tells of an id
+    learnt = mixing.Tables.learn(sf_ids)
+    assert 8 * len(mixing.encode(sf_ids, learnt)[0]) / len(sf_ids) < 1.05 * (entropy(sf_ids[:-1], sf_ids[1:]) - order_0)
+
+
+def test_all_orders_are_mixed():
+    rng = np.random.default_rng(4)
+    n = 40_000
+
+    def bits(ids):
+        learnt = mixing.Tables.learn(ids)
+        payload, sizes = mixing.encode(ids.astype(np.int32), learnt)
+        assert (mixing.decode(payload, sizes, len(ids), learnt) == ids).all()
+        return 8 * len(payload) / len(ids)
+
+    skewed = np.minimum(rng.geometric(0.3, n), 200)  # order 0 tells all there is
+    assert bits(skewed) < entropy(skewed) + 0.15
+    step = np.cumsum(rng.choice([1, 5, 11], n)) % 400  # order 1: three ways of four hundred
+    assert bits(step) < math.log2(3) + 0.25
+    passage = rng.integers(0, 300, 200)  # order 2: a passage that comes again in each block
+    assert bits(np.tile(passage, n // 200)) < 0.5
 
 
 def test_blocks_are_independent_and_checked():
@@ -366,7 +415,7 @@ def test_blocks_are_independent_and_checked():
     assert [x.tolist() for x in op6_binary.index(named)] == [[op6_binary.NULL_ID, 5, 9], [3000, 1, 3999]] and (op6_binary.unpack_file(named) == ids).all() and (op6_binary.unpack_block(named, 3) == ids[6144:]).all()
     with pytest.raises(ValueError, match="65536"):
         op6_binary.pack_file(np.array([65536]))
-    for at in (len(content) - 4000, 3):
+    for at in (len(content) - 4000, op6_binary._File(content).tables_at + 20, 3):
         broken = bytearray(content)
         broken[at] ^= 255
         with pytest.raises(ValueError):
