@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscore.operators.ontology import OntologyResponse, build_ontology_response
-from cellscore.plans import small_enough
+from cellscore.plans import Guard, small_enough
 
 UNKNOWN = "unknown"
 PREFIX, SUFFIX = "predicted.", ".score"
@@ -18,12 +18,24 @@ PREFIX, SUFFIX = "predicted.", ".score"
 
 def align_predictions(cells: DataFrame, predictions: DataFrame) -> DataFrame:
     """cells (cell_id, pos) with their predictions; predictions of other cells are left out. A cell without one is an error that names up to five; runs one small job."""
-    absent = [r[0] for r in cells.join(predictions, "cell_id", "left_anti").select("cell_id").orderBy("cell_id").limit(5).collect()]
-    if absent:
-        raise ValueError(f"no prediction for cells such as {', '.join(map(str, absent))}")
+    if text := _absent(cells, predictions):
+        raise ValueError(text)
     return cells.select("cell_id", "pos").join(predictions, "cell_id")
 
 
+def _absent(cells: DataFrame, predictions: DataFrame) -> str:
+    absent = [r[0] for r in cells.join(predictions, "cell_id", "left_anti").select("cell_id").orderBy("cell_id").limit(5).collect()]
+    return f"no prediction for cells such as {', '.join(map(str, absent))}" if absent else ""
+
+
+def watch_predictions(cells: DataFrame, predictions: DataFrame) -> Guard:
+    """align_predictions with its guard in the same pass: verify, after an action, gives its error."""
+    there = predictions.withColumn("_there", F.lit(True))
+    guard = Guard(cells.select("cell_id", "pos").join(there, "cell_id", "left"), F.col("_there").isNull(), lambda: _absent(cells, predictions))
+    guard.frame = guard.frame.drop("_there")
+    return guard
+
+
 def infer_level_specs(columns: list[str]) -> list[tuple[str, str]]:
     """(label column, score column) of each level, the last column first (the finest)."""
     labels = [c for c in columns if c.startswith(PREFIX) and not c.endswith(SUFFIX)]

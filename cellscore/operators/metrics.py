@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cellscore.functions import ratio
 from cellscore.operators.ontology import ROOT
-from cellscore.plans import cut_lineage, small_enough
+from cellscore.plans import Guard, cut_lineage, small_enough
+from cellscore.plans.lineage import MOST_SMALL
 
 COUNTS = ("tp", "fp", "fn")
 METRICS = (
@@ -28,12 +29,37 @@ def labels_outside_universe(pairs: DataFrame, universe: DataFrame) -> DataFrame:
     return one("truth", "true_label").unionByName(one("prediction", "pred_label")).join(small_enough(universe.select("label")), "label", "left_anti").select("side", "label")
 
 
+def _outside(pairs: DataFrame, universe: DataFrame) -> str:
+    found = labels_outside_universe(pairs, universe).orderBy("side", "label").limit(10).collect()
+    return "labels outside of the universe: " + ", ".join(f"{r['side']} {r['label']}" for r in found) if found else ""
+
+
+def watch_universe(pairs: DataFrame, universe: DataFrame, columns: tuple[str, str] = ("true_label", "pred_label")) -> Guard:
+    """pairs (with columns of the truth and the prediction) as a guard's frame: labels that are not in universe are seen as the rows pass.
+
+    Its verify gives the error of in_universe. Labels are looked up in a broadcast, so that a hot one needs no shuffle; a universe beyond the
+    bound of a broadcast is looked up by the distinct labels, in a job before.
+    """
+    explain = lambda: _outside(pairs.select(F.col(columns[0]).alias("true_label"), F.col(columns[1]).alias("pred_label")), universe)
+    labels = universe.select("label").where("label is not null").distinct()
+    if labels.limit(MOST_SMALL + 1).count() > MOST_SMALL:
+        if text := explain():
+            raise ValueError(text)
+        return Guard(pairs, F.lit(False), explain)
+    marked = pairs
+    for i, c in enumerate(columns):
+        known = labels.select(F.col("label").alias(f"_label_{i}"), F.lit(True).alias(f"_known_{i}"))
+        marked = marked.join(F.broadcast(known), F.coalesce(marked[c], F.lit("nan")) == F.col(f"_label_{i}"), "left")
+    guard = Guard(marked, F.col("_known_0").isNull() | F.col("_known_1").isNull(), explain)
+    guard.frame = guard.frame.drop(*(f"{kind}_{i}" for kind in ("_label", "_known") for i in (0, 1)))
+    return guard
+
+
 def in_universe(pairs: DataFrame, universe: DataFrame, on_unknown: str = "error") -> DataFrame:
     """pairs with labels of the universe only: others are an error that names up to ten (one small job), or are dropped."""
     if on_unknown == "error":
-        found = labels_outside_universe(pairs, universe).orderBy("side", "label").limit(10).collect()
-        if found:
-            raise ValueError("labels outside of the universe: " + ", ".join(f"{r['side']} {r['label']}" for r in found))
+        if text := _outside(pairs, universe):
+            raise ValueError(text)
         return pairs
     for c in ("true_label", "pred_label"):
         pairs = pairs.join(small_enough(universe.select(F.col("label").alias(c))), c, "left_semi")
@@ -196,9 +222,23 @@ def build_all_confusions(pairs: DataFrame, inferred_label: str, top_k: int, keys
     return confusion_matrix(top_k_hit_predictions(pairs.drop(*spare), ranked, top_k), [*keys, "k"])
 
 
+def watch_confusions(pairs: DataFrame, inferred_label: str, top_k: int, keys: list[str], universe: DataFrame) -> Guard:
+    """build_all_confusions with its guard in the same pass: verify, after the matrices are written, gives its error."""
+    first = effective_ranks(inferred_label, top_k, pairs.columns)[0]
+    guard = watch_universe(pairs, universe, ("true_label", first))
+    guard.frame = build_all_confusions(guard.frame, inferred_label, top_k, keys)
+    return guard
+
+
 def benchmark_pipeline(pairs: DataFrame, closure: DataFrame, inferred_label: str, top_k: int, universe: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four tables: flat and hierarchical, per sample and per group (model). The confusion matrices are worked out and written once."""
-    raw = cut_lineage(build_all_confusions(pairs, inferred_label, top_k, ["model_name", "test_sample"], universe))
+    """The four tables: flat and hierarchical, per sample and per group (model). The confusion matrices are worked out and written once, in one pass over pairs, labels outside of the universe included."""
+    keys = ["model_name", "test_sample"]
+    if universe is None:
+        raw = cut_lineage(build_all_confusions(pairs, inferred_label, top_k, keys))
+    else:
+        guard = watch_confusions(pairs, inferred_label, top_k, keys, universe)
+        raw = cut_lineage(guard.frame)
+        guard.verify()
     metadata = confusion_metadata(raw, universe, ["model_name", "test_sample", "k"], "label") if universe is not None else None
     group = aggregate_confusion(raw, ["model_name", "k"], metadata).withColumnRenamed("model_name", "group_name")
     first, first_group = raw.where("k = 1").drop("k"), group.where("k = 1").drop("k")

@@ -10,6 +10,7 @@ from cellscore.operators import crosswalk as cw
 from cellscore.operators import neighbors as nb
 from cellscore.operators import preprocess as pp
 from cellscore.operators import scores as sc
+from cellscore.plans import cut_lineage
 
 FILES = {"response": "ontology_response.json", "resource": "ontology_resource.json", "labels": "inferred_labels.csv", "metadata": "metadata.json", "scores": "scores.parquet", "counts": "counts.parquet"}
 
@@ -75,7 +76,9 @@ def crosswalk_run(
     """Write the four files of a run from third-party predictions, and a report of what did not fit; gives their paths. The metadata come last."""
     paths = {n: p for n, p in _paths(folder).items() if n not in ("scores", "counts")} | {"report": f"{folder}/report.json"}
     spark = cells.sparkSession
-    wide = cw.crosswalk_wide(cw.align_predictions(cells, predictions).drop("pos"), crosswalk)
+    aligned = cw.watch_predictions(cells, predictions)
+    wide = cut_lineage(cw.crosswalk_wide(aligned.frame.drop("pos"), crosswalk))  # a cell without a prediction ends the run before a file is there
+    aligned.verify()
     io.write_inferred_labels(paths["labels"], wide, overwrite)
     found = cw.build_ontology_response(io.read_inferred_labels(spark, paths["labels"]), terms, closure, reference)
     io.write_ontology_response(paths["response"], found.response.withColumnRenamed("cell_id", "query_cell_id"), overwrite)

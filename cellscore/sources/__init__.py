@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscore.functions import first_column, nullable_text
-from cellscore.plans import cut_lineage, numbered_within
+from cellscore.plans import Guard, cut_lineage, numbered_within, small_enough
 from cellscore.sources import mex
 
 ONTOLOGY_RESOURCE = "cl_names array<string>, cell_ontology_term_id_to_cell_type map<string,string>, children_dictionary map<string,array<string>>, shortest_path_lengths_from_cell_root map<string,int>, longest_path_lengths_from_cell_root map<string,int>"
@@ -235,6 +235,22 @@ def read_confusion(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return matrix, metadata
 
 
+def watch_confusion(spark: SparkSession, path: str) -> tuple[Guard, DataFrame]:
+    """read_confusion with its guard in the same pass: the matrices are the guard's frame, and verify, after an action, gives its error."""
+    matrix = spark.read.parquet(f"{path}/matrix").withColumn("model_name", F.col("model_name").cast("string"))
+    metadata = spark.read.json(f"{path}/metadata")
+    keys = [c for c in matrix.columns if c in metadata.columns]
+    runs = metadata.select(*(F.col(c).cast(matrix.schema[c].dataType) for c in keys)).distinct().withColumn("_there", F.lit(True))
+
+    def explain() -> str:
+        lone = matrix.select(*keys).distinct().join(runs, keys, "left_anti").limit(5).collect()
+        return f"no metadata of {', '.join(str(tuple(r)) for r in lone)}"
+
+    guard = Guard(matrix.join(small_enough(runs), keys, "left"), F.col("_there").isNull(), explain)
+    guard.frame = guard.frame.select(*matrix.columns)
+    return guard, metadata
+
+
 def write_metrics(folder: str, tables: dict[str, DataFrame], overwrite: bool = False) -> None:
     """Each table as a CSV folder."""
     for name, df in tables.items():
