@@ -106,10 +106,16 @@ def test_flags_of_the_queries(found, rows):
     fp = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
     assert {(r["fingerprint"], r["component_id"]) for r in found("op9_simhash_bktrees")[1] if r["doc_id"] == 9} == {(f"{fp:016x}", 9)}
     assert {r["component_id"] for r in found("op9_simhash_bktrees")[1] if r["doc_id"] in (6, 7)} == {6}
-    counts = collections.Counter(x for i, t, _, _ in [*rows, (None, rows[10][1], 0, 0)] if i is not None and not held(i, 5, 1) for x in [*WORD.findall(t or ""), None])
+    lowered = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    tokens = lambda t: [*WORD.findall(lowered(t)), None]
+    counts = collections.Counter(x for i, t, _, _ in rows if i is not None and not held(i, 5, 1) for x in tokens(t))
+    whole = sum(counts.values())
     for r in found("op10_hidden_markov")[1]:
-        if r["doc_id"] is not None and math.isfinite(r["score"]):
-            assert r["n_tokens"] == len(WORD.findall(texts[r["doc_id"]])) + 1
+        if r["doc_id"] is not None:
+            mine = tokens(texts[r["doc_id"]])
+            assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(r["doc_id"], 5, 1), len(mine), sum(x in counts for x in mine), whole)
+            base = sum(math.log10((counts[x] + 0.5) / (whole + 0.5 * (len(counts) + 1))) for x in mine)
+            assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isfinite(r["score"])
 
 
 def test_ids_of_the_queries(found, rows):
