@@ -2,13 +2,16 @@
 
 Words are counted over all training texts. The commonest (the head, up to
 most_head words) are symbols of their own; every other word, known or not, belongs by its hash to
-one of CLASSES classes, which are symbols too, and inside which a word has its smoothed
-share of the counts. So each word's emission depends on the state, what is broadcast
-is bounded, and each rare word still gets its exact count by a join
-that has no hot key. Texts are written once as symbol ids to the shared
-checkpoint folder; each Baum-Welch round reads them, adds up the expected counts of
-its tasks in Spark, and sends the driver one row for each symbol. Rounds end when the
-likelihood of the training texts gains less than a tolerance, or after a number of them.
+one of CLASSES classes, which are symbols too, so that what is broadcast is bounded. Texts
+are written once as symbol ids to the shared checkpoint folder; each Baum-Welch round reads
+them, adds up the expected counts of its tasks in Spark, page by page, and sends the driver one row
+for each page of symbols. Rounds end when the likelihood of the training texts gains less than
+a tolerance; training that does not get there in most_rounds is an error.
+
+A last pass gives every word outside of the head its own expected counts by state. They are a
+table, which grows with the corpus and stays in Spark; a word's emission is that of its class,
+times its part in the class in that state, and reaches the texts by joins that have no hot key.
+So each word is learnt by state, whatever the size of the corpus.
 
 A long text is cut into segments, so that it takes no longer chain of steps than a
 short one, but it stays one sequence: the products of a segment's matrices carry
@@ -24,6 +27,7 @@ texts stay in the checkpoint folder, whose owner clears it, as the result is rea
 
 from __future__ import annotations
 
+import logging
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -35,16 +39,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscore.llm.arrays import LOWER, bounded, plain, recoded, steps, words
+from cellscore.llm.arrays import LOWER, bounded, cut_binary, plain, recoded, steps, words
 from cellscore.llm.op1_language import held_out
 from cellscore.plans.lineage import checkpoint_folder, cut_lineage
 
+log = logging.getLogger(__name__)
+
 #: Tokens of a segment; lock-step arrays are as long as this.
 SEGMENT = 256
 #: Classes of the words outside of the head (a power of two).
 CLASSES = 1 << 15
 #: Tasks of a training round for each core of the cluster, at most.
-TASKS_A_CORE = 6
+TASKS_A_CORE = 2
+#: Symbols whose expected counts travel in one row.
+PAGE = 512
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
@@ -125,9 +133,9 @@ def unigram(counts: DataFrame, texts: int, most_head: int) -> tuple[Unigram, int
 
 
 def encode(docs: DataFrame, model: Unigram, keep: list[str]) -> DataFrame:
-    """keep's columns, n_tokens, ids (symbols as int32) and rest (distinct words outside of the head, with their times)."""
+    """keep's columns, n_tokens, ids (symbols as int32), rest (distinct words outside of the head) and which (the place in rest of each of these tokens, in order)."""
     shared = docs.sparkSession.sparkContext.broadcast(model.head)
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("rest", T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])))])
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("rest", T.ArrayType(T.StringType())), T.StructField("which", T.BinaryType())])
 
     def run(batches):
         head = shared.value
@@ -136,23 +144,21 @@ def encode(docs: DataFrame, model: Unigram, keep: list[str]) -> DataFrame:
             found = pc.index_in(flat, value_set=head)
             symbols = pc.fill_null(found, len(head)).to_numpy().astype(np.int32)
             n = len(by) - 1
-            where = by[1:] + np.arange(n)
-            starts = by[:-1] + np.arange(n)
             # distinct rest words by text
             at = np.flatnonzero(symbols == len(head))
             coded = pc.dictionary_encode(flat.take(pa.array(at)))
+            codes = coded.indices.to_numpy().astype(np.int64)
             classes = np.array([zlib.crc32(w.encode()) % CLASSES for w in coded.dictionary.to_pylist()], np.int32)
-            symbols[at] += classes[coded.indices.to_numpy()] if len(at) else 0
+            symbols[at] += classes[codes] if len(at) else 0
             ids = np.insert(symbols, by[1:], len(head) + CLASSES) if n else symbols
             owner = np.searchsorted(by, at, side="right") - 1
             width = max(1, len(coded.dictionary))
-            key, times = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
-            rest = pa.ListArray.from_arrays(
-                pa.array(np.searchsorted(key // width, np.arange(n + 1)).astype(np.int32)),
-                pa.StructArray.from_arrays([coded.dictionary.take(pa.array(key % width)).cast(pa.string()), pa.array(times.astype(np.int64))], names=["word", "n"]),
-            )
-            binary = pa.array([ids[a : b + 1].tobytes() for a, b in zip(starts, where)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(by) + 1), binary, rest], names=[*keep, "n_tokens", "ids", "rest"])
+            key, place = np.unique(owner * width + codes, return_inverse=True)
+            begins = np.searchsorted(key // width, np.arange(n + 1))
+            rest = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), coded.dictionary.take(pa.array(key % width)).cast(pa.string()))
+            which = (place - begins[owner]).astype(np.int32)
+            cuts = [cut_binary(x.astype(np.int32).tobytes(), 4 * ends) for x, ends in ((ids, by[1:] + np.arange(1, n + 1)), (which, np.searchsorted(owner, np.arange(n), side="right")))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(by) + 1), cuts[0], rest, cuts[1]], names=[*keep, "n_tokens", "ids", "rest", "which"])
 
     return bounded(docs).select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
@@ -178,8 +184,8 @@ def segments(batch: pa.RecordBatch):
     return flat, text, number, first, np.minimum(SEGMENT, lengths[text] - number * SEGMENT)
 
 
-def products(flat: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
-    """The product of each segment's matrices (from the state before it to that of its last token), and the log10 it is scaled by."""
+def products(emitted: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
+    """The product of each segment's matrices (from the state before it to that of its last token), and the log10 it is scaled by; emitted: a row of K emissions for each token."""
     k = len(model.start)
     order = np.argsort(-length, kind="stable")
     at, alive = first[order], np.searchsorted(-length[order], -np.arange(length.max()) - 1, side="right")
@@ -188,7 +194,7 @@ def products(flat: np.ndarray, number: np.ndarray, first: np.ndarray, length: np
     product, logs = np.empty_like(moved), np.zeros(len(order))
     for t, m in enumerate(alive):
         step = moved[:m] if t == 0 else (product[:m].reshape(-1, k) @ model.move).reshape(m, k, k)
-        step = step * model.emit[flat[at[:m] + t]][:, None, :]
+        step = step * emitted[at[:m] + t][:, None, :]
         c = step.max(axis=(1, 2))
         product[:m] = step / c[:, None, None]
         logs[:m] += np.log10(c)
@@ -196,13 +202,13 @@ def products(flat: np.ndarray, number: np.ndarray, first: np.ndarray, length: np
     return product[back], logs[back]
 
 
-def messages(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
+def messages(emitted: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray]:
     """By segment: the distribution of the state before its first token given all earlier ones, and the weight of each state of its last token given all later ones (up to scale)."""
     k = len(model.start)
     enter, leave = np.full((len(text), k), 1 / k), np.ones((len(text), k))
     many = np.flatnonzero(np.bincount(text)[text] > 1)
     if len(many):
-        product, _ = products(flat, number[many], first[many], length[many], model)
+        product, _ = products(emitted, number[many], first[many], length[many], model)
         place = np.full(len(text), -1)
         place[many] = np.arange(len(many))
         for i in range(1, int(number.max()) + 1):
@@ -218,13 +224,14 @@ def messages(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.n
 
 def expect(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm):
     """Expected counts of whole texts: start, move, state weights by token (with the token's place), and the log10 probability of all."""
-    enter, leave = messages(flat, text, number, first, length, model)
+    token = model.emit[flat]
+    enter, leave = messages(token, text, number, first, length, model)
     order = np.argsort(-length, kind="stable")
     first, length, begins = first[order], length[order], number[order] == 0
     enter, leave = enter[order], leave[order]
     k = len(model.start)
     alive = np.searchsorted(-length, -np.arange(length.max()) - 1, side="right")  # segments longer than t
-    emitted = [model.emit[flat[first[:m] + t]] for t, m in enumerate(alive)]
+    emitted = [token[first[:m] + t] for t, m in enumerate(alive)]
     forward, scale = [], []
     for t, m in enumerate(alive):
         a = emitted[t] * (np.where(begins[:, None], model.start, enter @ model.move) if t == 0 else forward[t - 1][:m] @ model.move)
@@ -250,10 +257,10 @@ def expect(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.nda
     return weights[-1][begins].sum(axis=0), move * model.move, np.concatenate(places), np.concatenate(weights), total
 
 
-def likelihood(flat: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm, texts: int) -> np.ndarray:
-    """log10 probability of each text by the scaled forward recursion over its segments."""
+def likelihood(emitted: np.ndarray, text: np.ndarray, number: np.ndarray, first: np.ndarray, length: np.ndarray, model: Hmm, texts: int) -> np.ndarray:
+    """log10 probability of each text by the scaled forward recursion over its segments; emitted: a row of K emissions for each token."""
     k = len(model.start)
-    product, logs = products(flat, number, first, length, model)
+    product, logs = products(emitted, number, first, length, model)
     state, out = np.full((texts, k), 1 / k), np.zeros(texts)
     for i in range(int(number.max()) + 1):
         rows = np.flatnonzero(number == i)
@@ -316,53 +323,115 @@ def begin(sample: np.ndarray, words_model: Unigram, states: int, rounds: int = 8
 def baum_welch(encoded: DataFrame, model: Hmm, words_model: Unigram) -> tuple[Hmm, float]:
     """One round over all encoded texts, and the log10 probability of them before it.
 
-    Expected counts are added up by task, then by Spark (in single precision between the two), one row a
-    symbol to the driver. As each task gives nearly all symbols, there are just some tasks a core.
+    Expected counts are added up by task, then by Spark (in single precision between the two), page by page of
+    symbols; a row a page comes to the driver. As each task gives nearly all symbols, there are just some tasks a core.
     """
     spark, states = encoded.sparkSession, len(model.start)
     shared = spark.sparkContext.broadcast(model)
-    names = [f"s{i}" for i in range(states)]
+    pages = -(-len(model.emit) // PAGE)
 
     def count(batches):
         model = shared.value
-        start, move, emit, total = np.zeros(states), np.zeros((states, states)), np.zeros((len(model.emit), states)), 0.0
+        side, emit = np.zeros((states + 2, states)), np.zeros((pages * PAGE, states))
         for batch in steps(batches, column="ids", size=2 << 20):
             flat, *parts = segments(batch)
             begun, moved, places, weights, logs = expect(flat, *parts, model)
-            start, move, total = start + begun, move + moved, total + logs
+            side += np.concatenate([begun[None, :], moved, np.full((1, states), logs)])
             ids = flat[places]
             for s in range(states):
                 emit[:, s] += np.bincount(ids, weights=weights[:, s], minlength=len(emit))
-        some = np.flatnonzero(emit.any(axis=1))
-        rows = np.concatenate([emit[some], start[None, :], move, np.full((1, states), total)])
-        which = np.concatenate([some, -1 - np.arange(states + 2)])
-        yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *(pa.array(np.ascontiguousarray(rows[:, s], np.float32)) for s in range(states))], names=["symbol", *names])
+        paged = emit.astype(np.float32).reshape(pages, -1)
+        some = np.flatnonzero(paged.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1).astype(np.int32)), pa.array([*(paged[i].tobytes() for i in some), side.tobytes()], pa.binary())], names=["page", "sums"])
+
+    def add(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for page, sums in zip(batch.column("page").to_pylist(), batch.column("sums").to_pylist()):
+                found[page] = found.get(page, 0.0) + np.frombuffer(sums, np.float32 if page >= 0 else np.float64).astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], names=["page", "sums"])
 
     few = encoded.select("ids").coalesce(TASKS_A_CORE * max(1, spark.sparkContext.defaultParallelism))
-    sums = few.mapInArrow(count, "symbol int, " + ", ".join(f"{n} float" for n in names)).groupBy("symbol").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    rows = few.mapInArrow(count, "page int, sums binary").repartition("page").mapInArrow(add, "page int, sums binary").collect()
     shared.unpersist()
-    symbol, values = sums.column("symbol").to_numpy(), np.stack([sums.column(n).to_numpy() for n in names], axis=1)
-    emit = np.zeros((len(model.emit), states))
-    emit[symbol[symbol >= 0]] = values[symbol >= 0]
-    side = np.zeros((states + 2, states))
-    side[-1 - symbol[symbol < 0]] = values[symbol < 0]
+    emit, side = np.zeros((pages, PAGE * states)), np.zeros((states + 2, states))
+    for r in rows:
+        if r["page"] < 0:
+            side = np.frombuffer(r["sums"]).reshape(side.shape)
+        else:
+            emit[r["page"]] = np.frombuffer(r["sums"])
     total = float(side[-1, 0])
     side = (side[:-1] + 0.1) / (side[:-1] + 0.1).sum(axis=1, keepdims=True)
-    return Hmm(side[0], side[1:], _smooth(emit, words_model)), total
+    return Hmm(side[0], side[1:], _smooth(emit.reshape(-1, states)[: len(model.emit)], words_model)), total
 
 
-def train(encoded: DataFrame, first: Hmm, words_model: Unigram, rounds: int, tolerance: float) -> Hmm:
-    """Baum-Welch until a round's log probability is at most `tolerance` (as a share) above the one before, or for so many rounds."""
+def train(encoded: DataFrame, first: Hmm, words_model: Unigram, most_rounds: int, tolerance: float) -> Hmm:
+    """Baum-Welch until a round's log probability is at most `tolerance` (as a share) above the one before; no convergence in most_rounds is an error."""
     model, before = first, None
-    for _ in range(rounds):
-        following, total = baum_welch(encoded, model, words_model)
+    for done in range(most_rounds):
+        model, total = baum_welch(encoded, model, words_model)
         if before is not None and total - before <= tolerance * abs(before):
-            break
-        model, before = following, total
-    return model
+            log.info("Baum-Welch ended after %d rounds, at %.6g of log10 probability", done + 1, total)
+            return model
+        before = total
+    raise RuntimeError(f"Baum-Welch gains over {tolerance:g} of the log probability after {most_rounds} rounds; raise most_rounds or tolerance")
+
 
+def own_counts(encoded: DataFrame, model: Hmm, head: int) -> DataFrame:
+    """word and by_state (its expected counts in each state under the model) of every word outside of the head, over all encoded texts."""
+    shared, states = encoded.sparkSession.sparkContext.broadcast(model), len(model.start)
+    names = [f"s{i}" for i in range(states)]
+
+    def count(batches):
+        model = shared.value
+        for batch in steps(batches, column="ids", size=2 << 20):
+            flat, *parts = segments(batch)
+            _, _, places, weights, _ = expect(flat, *parts, model)
+            by_token = np.empty_like(weights)
+            by_token[places] = weights
+            apart = (flat >= head) & (flat < len(model.emit) - 1)
+            words, code = rest_words(batch)
+            coded = pc.dictionary_encode(words)
+            code = coded.indices.to_numpy()[code]
+            sums = [np.bincount(code, weights=by_token[apart, s], minlength=len(coded.dictionary)).astype(np.float32) for s in range(states)]
+            yield pa.RecordBatch.from_arrays([coded.dictionary, *map(pa.array, sums)], names=["word", *names])
 
-def score(docs: DataFrame, training: str, states: int = 6, rounds: int = 4, most_head: int = 150_000, sample: int = 600, common: int = 5000, tolerance: float = 0.002) -> DataFrame:
+    found = encoded.select("ids", "rest", "which").mapInArrow(count, "word string, " + ", ".join(f"{n} float" for n in names))
+    return found.groupBy("word").agg(*(F.sum(n).alias(n) for n in names)).select("word", F.array(*names).alias("by_state"))
+
+
+def rest_words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """All texts' distinct words outside of the head in a row, and for each token outside of the head its word's place there."""
+    begins = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("rest")).to_numpy())])[:-1]
+    which = batch.column("which")
+    owner = np.repeat(np.arange(batch.num_rows), pc.binary_length(which).to_numpy() // 4)
+    return batch.column("rest").flatten(), begins[owner] + np.frombuffer(b"".join(which.to_pylist()), np.int32)
+
+
+@dataclass(frozen=True)
+class Parts:
+    """What a class's words share: by class, the part of an unknown word, the weight of words' plain shares, and the class's expected counts by state."""
+
+    unknown: np.ndarray
+    weight: np.ndarray
+    whole: np.ndarray
+    expected: np.ndarray
+
+    def of(self, kind: np.ndarray, counts: np.ndarray, by_state: np.ndarray) -> np.ndarray:
+        """The part in its class kind, by state, of each word with these counts (0: unknown) and expected counts; the parts of a class's known words and one unknown add up to 1."""
+        unknown, weight = self.unknown[kind, None], self.weight[kind, None]
+        share = (counts + 0.5)[:, None] / self.whole[kind, None]
+        known = ((1 - unknown) * by_state + weight * share) / np.maximum(self.expected[kind] + weight, 1e-300)
+        return np.where(counts[:, None] > 0, known, unknown)
+
+
+def parts(words_model: Unigram, by_class: np.ndarray) -> Parts:
+    """How classes divide among their words, given the expected counts of each class's words by state."""
+    whole = words_model.class_counts + 0.5 * words_model.class_words + 0.5
+    return Parts(0.5 / whole, 0.75 * words_model.class_words, whole, by_class)
+
+
+def score(docs: DataFrame, training: str, states: int = 6, most_rounds: int = 40, most_head: int = 150_000, sample: int = 600, common: int = 5000, tolerance: float = 0.002) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score and score of every text of docs.
 
     training names a boolean column of docs: the rows to learn from. Every count and
@@ -382,45 +451,61 @@ def score(docs: DataFrame, training: str, states: int = 6, rounds: int = 4, most
     encode(docs, words_model, ["doc_id", "training"]).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     encoded = spark.read.parquet(path)
 
-    model = None
+    model, tail, shared_parts = None, counts.where(F.col("n") < least), None
     if texts:
         part = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / texts))
         chosen = encoded.where(F.col("training") & part).orderBy("row").limit(2 * sample)
         first = begin(bags(chosen, min(common, len(words_model.head) + CLASSES)), words_model, states)
-        model = train(encoded.where("training"), first, words_model, rounds, tolerance)
-    shared = spark.sparkContext.broadcast((model, np.log10(shares), len(words_model.head), len(shares) - 1))
+        model = train(encoded.where("training"), first, words_model, most_rounds, tolerance)
+        tail = cut_lineage(tail.join(own_counts(encoded.where("training"), model, len(words_model.head)), "word"))
+        kind = F.crc32(F.col("word").cast("binary")) % CLASSES
+        by_class = np.zeros((CLASSES, states))
+        for r in tail.groupBy(kind.alias("class")).agg(F.array(*(F.sum(F.col("by_state")[i]) for i in range(states))).alias("sums")).collect():
+            by_class[r["class"]] = r["sums"]
+        shared_parts = parts(words_model, by_class)
+    else:
+        tail = tail.withColumn("by_state", F.array().cast("array<double>"))
+    shared = spark.sparkContext.broadcast((model, np.log10(shares), len(words_model.head), len(shares) - 1, shared_parts, words_model.size))
 
     def run(batches):
-        model, logs, head, end = shared.value
+        model, logs, head, end, class_parts, size = shared.value
         for batch in steps(batches, column="ids", size=2 << 20):
             flat, text, number, first, length = segments(batch)
-            n = batch.num_rows
             total = batch.column("n_tokens").to_numpy()
             starts = np.cumsum(total) - total
-            apart = (flat >= head) & (flat < end)
-            own = logs[flat] if model else np.zeros(len(flat))
-            base = np.add.reduceat(np.where(apart, 0.0, own), starts)
-            n_rest = np.add.reduceat(apart.astype(np.int64), starts)
-            inside = np.add.reduceat(np.where(apart, own, 0.0), starts)  # a class's share, which its words divide
-            value = likelihood(flat, text, number, first, length, model, n) - inside if model else np.zeros(n)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "training", "n_tokens")), pa.array(n_rest), pa.array(base), pa.array(value)], names=["row", "doc_id", "training", "n_tokens", "n_rest", "base", "value"])
-
-    schema = encoded.select("row", "doc_id", "training", "n_tokens").schema.add("n_rest", "long").add("base", "double").add("value", "double")
-    scored = encoded.select("row", "doc_id", "training", "n_tokens", "ids").mapInArrow(run, schema)
-
-    # the rest words' own counts: none of them is in the head, so no key is hot
-    tail = counts.where(F.col("n") < least)
-    each = encoded.select("row", F.explode("rest").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.n").alias("times"))
-    own = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 0.5) / F.lit(float(words_model.size))) if texts else F.lit(0.0)
-    of_rest = each.join(tail, "word", "left").groupBy("row").agg(F.sum(own * F.col("times")).alias("own"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))).alias("known"))
-    joined = scored.join(of_rest, "row", "left")
-    own, known = F.coalesce("own", F.lit(0.0)), F.coalesce("known", F.lit(0))
-    return joined.select(
-        "doc_id", "training", "n_tokens",
-        (F.col("n_tokens") - F.col("n_rest") - (0 if texts else 1) + known).cast("long").alias("n_known"),
-        F.lit(words_model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + own).alias("base_score"), (F.col("value") + own).alias("score"),
-    )
+            at = np.flatnonzero((flat >= head) & (flat < end))
+            words, code = rest_words(batch)
+            # what the join found of these words: a list for each text, by the words' places
+            found = batch.column("found")
+            told = found.flatten()
+            n_rest = pc.list_value_length(batch.column("rest")).to_numpy()
+            begins = np.cumsum(n_rest) - n_rest
+            place = told.field("place").to_numpy() + np.repeat(begins, pc.fill_null(pc.list_value_length(found), 0).to_numpy())
+            times = np.zeros(len(words), np.int64)
+            times[place] = told.field("n").to_numpy()
+            known = np.ones(len(flat), bool)
+            known[at] = times[code] > 0
+            if model:
+                by_state = np.zeros((len(words), len(model.start)))
+                by_state[place] = told.field("by_state").flatten().to_numpy().reshape(len(place), len(model.start))
+                emitted = model.emit[flat]
+                emitted[at] *= class_parts.of(flat[at] - head, times[code], by_state[code])
+                base = logs[flat]
+                base[at] = np.log10((times[code] + 0.5) / size)
+                value = likelihood(emitted, text, number, first, length, model, batch.num_rows)
+            else:
+                base, value = np.zeros(len(flat)), np.zeros(batch.num_rows)
+                known[:] = False
+            sums = [np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base, starts), value]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "training", "n_tokens")), *map(pa.array, sums)], names=["doc_id", "training", "n_tokens", "n_known", "base_score", "score"])
+
+    # words outside of the head: none of them is common, so no key is hot
+    each = encoded.select("row", F.posexplode("rest").alias("place", "word"))
+    found = each.join(tail, "word").groupBy("row").agg(F.collect_list(F.struct("place", "n", "by_state")).alias("found"))
+    whole = encoded.select("row", "doc_id", "training", "n_tokens", "ids", "rest", "which").join(found, "row", "left").drop("row")
+    schema = encoded.select("doc_id", "training", "n_tokens").schema.add("n_known", "long").add("base_score", "double").add("score", "double")
+    scored = whole.mapInArrow(run, schema)
+    return scored.select("doc_id", "training", "n_tokens", "n_known", F.lit(words_model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

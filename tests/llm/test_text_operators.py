@@ -658,7 +658,7 @@ def test_forward_is_exact_over_segments(monkeypatch):
     texts = [rng.integers(0, 11, n).astype(np.int32) for n in (1, 6, 7, 8, 30, 2)]
     batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
     flat, text, number, first, length = op10_hmm.segments(batch)
-    value = op10_hmm.likelihood(flat, text, number, first, length, model, len(texts))
+    value = op10_hmm.likelihood(model.emit[flat], text, number, first, length, model, len(texts))
     assert value == pytest.approx([brute_likelihood(t, model) for t in texts])
 
 
@@ -704,14 +704,14 @@ def test_rounds_raise_the_likelihood_and_end_on_convergence(spark, monkeypatch):
         return following, total
 
     monkeypatch.setattr(op10_hmm, "baum_welch", noted)
-    value = sum(r["score"] for r in op10_hmm.score(df, "training", states=2, rounds=9, tolerance=1e-3).collect())
+    value = sum(r["score"] for r in op10_hmm.score(df, "training", states=2, tolerance=1e-3).collect())
     assert 2 <= len(seen) < 9 and all(b >= a for a, b in zip(seen, seen[1:])) and value == pytest.approx(seen[-2], rel=2e-3)
 
 
 @pytest.mark.parametrize("most_head", [200_000, 6])
 def test_language_model(spark, docs, empty, most_head):
     df = docs.withColumn("training", docs["doc_id"] % 5 != 1)
-    found = op10_hmm.score(df, "training", states=3, rounds=2, most_head=most_head).collect()
+    found = op10_hmm.score(df, "training", states=3, most_head=most_head).collect()
     texts = [(i, WORD.findall(lower(t))) for i, t, _, _ in fixture_rows()]
     counts = collections.Counter(x for i, w in texts if i % 5 != 1 for x in [*w, None])
     size = sum(counts.values()) + 0.5 * (len(counts) + 1)
@@ -726,6 +726,38 @@ def test_language_model(spark, docs, empty, most_head):
     assert {r["score"] for r in none} == {0.0} and {r["n_known"] for r in none} == {0}
 
 
+def test_training_that_does_not_converge_is_an_error(spark, docs):
+    with pytest.raises(RuntimeError, match="after 1 rounds"):
+        op10_hmm.score(docs.withColumn("training", docs["doc_id"] % 5 != 1), "training", states=2, most_rounds=1)
+
+
+def test_rare_words_are_learnt_by_state(spark):
+    """Two kinds of texts, each with rare words of its own; with no head at all, and the classes of these words shared, a text with the other kind's words is less likely."""
+    rng = random.Random(4)
+    kinds = [[f"{k}{i}" for i in range(40)] for k in "ab"]
+    text = lambda k: " ".join(rng.choice(kinds[k]) for _ in range(60))
+    rows = [(i, text(i % 2), True) for i in range(60)]
+    rows += [(100, " ".join(kinds[0]), False), (101, " ".join(kinds[1]), False), (102, " ".join(x for two in zip(*kinds) for x in two), False), (103, "new " * 40, False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, training boolean").repartition(4)
+    few = {r["doc_id"]: r for r in op10_hmm.score(df, "training", states=2, most_head=0).collect()}
+    many = {r["doc_id"]: r for r in op10_hmm.score(df, "training", states=2).collect()}
+    for found in (few, many):
+        pure, mixed = (found[100]["score"] + found[101]["score"]) / 41, found[102]["score"] / 81
+        assert mixed < pure / 2 - 0.2 and found[103]["n_known"] == 1
+    assert few[100]["base_score"] == pytest.approx(many[100]["base_score"])
+
+
+def test_parts_of_a_class_add_up_to_one():
+    rng = np.random.default_rng(3)
+    counts = [np.array([3, 1, 1]), np.array([7]), np.array([], int)]
+    by_state = [rng.dirichlet(np.ones(2), len(c)) * c[:, None] for c in counts]
+    model = op10_hmm.Unigram(pa.array([], pa.large_string()), np.zeros(0), np.array([3.0, 1.0, 0.0]), np.array([5.0, 7.0, 0.0]), 12, 4, 0)
+    found = op10_hmm.parts(model, np.array([b.sum(axis=0) for b in by_state]))
+    for kind, (n, b) in enumerate(zip(counts, by_state)):
+        each = found.of(np.full(len(n) + 1, kind), np.append(n, 0), np.concatenate([b, np.zeros((1, 2))]))
+        assert each.sum(axis=0) == pytest.approx(1) and (each > 0).all()
+
+
 def test_emissions_are_a_distribution():
     head = pa.array(["a", "b", "c"], pa.large_string())
     model = op10_hmm.Unigram(head, np.array([9.0, 4.0, 1.0]), np.array([2.0, 0.0]), np.array([11.0, 0.0]), 30, 6, 5)
