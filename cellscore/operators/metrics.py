@@ -16,6 +16,7 @@ from cellscore.operators.ontology import ROOT
 from cellscore.plans import Guard, cut_lineage, small_enough
 from cellscore.plans.lineage import MOST_SMALL
 
+#: The columns that metric tables are exchanged with.
 COUNTS = ("tp", "fp", "fn")
 METRICS = (
     "tp", "fp", "fn", "precision_micro", "recall_micro", "f1_micro", "f1_macro", "precision_macro", "recall_macro",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellscore.plans import small_enough
 
+#: Fixed value: the label that others expect for types of too few cells.
 UNRELIABLE = "Unknown or Unconfident"
 #: The ways to weigh neighbours that the contract allows.
 STRATEGIES = ("connectivities",)

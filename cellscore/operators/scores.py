@@ -166,13 +166,13 @@ def top_k_calls_cluster(scores: DataFrame, cells: DataFrame, terms: DataFrame, m
     return cells.select("cell_id", cluster).join(wide, cluster, "left").drop(cluster)
 
 
-def rooted_score_tree(aggregated: DataFrame, edges: DataFrame, root: str = ROOT, min_score: float = 0.05, min_fraction: float = 0.0, hidden: tuple[str, ...] = (), most_levels: int = 100) -> DataFrame:
+def rooted_score_tree(aggregated: DataFrame, edges: DataFrame, root: str = ROOT, min_score: float = 0.05, min_fraction: float = 0.0, hidden: tuple[str, ...] = ()) -> DataFrame:
     """path, ord, term_id, parent, depth, score and fraction: the graph unrolled from the root, one row a path.
 
     aggregated has term_id, score and fraction; edges has child_ord. ord is the place of each node of the path among its
     parent's children, so rows ordered by it are the tree in the resource's order. A node that is hidden, or at or under a
-    minimum, is left out on each path, with what is below it there. A root that fails is an error. Each level is
-    written once, and the next one starts from it.
+    minimum, is left out on each path, with what is below it there. A root that fails is an error, and so is a path that
+    meets a term again; a path may be of any length otherwise. Each level is written once, and the next one starts from it.
     """
     passing = aggregated.where((F.col("score") > min_score) & (F.col("fraction") > min_fraction) & ~F.col("term_id").isin(*(hidden or ("",)))).select("term_id", "score", "fraction")
     passing = cut_lineage(passing)
@@ -181,15 +181,17 @@ def rooted_score_tree(aggregated: DataFrame, edges: DataFrame, root: str = ROOT,
         raise ValueError(f"the root {root} does not pass")
     down = edges.select(F.col("parent").alias("above"), "child", F.col("child_ord").cast("int").alias("place")).join(passing, F.col("child") == F.col("term_id"))
     down = cut_lineage(down.select("above", F.col("child").alias("below"), "place", F.col("score").alias("s"), F.col("fraction").alias("f")))
-    levels = [level]
-    for n in range(1, most_levels + 1):
+    levels, again = [level], F.exists(F.slice("path", 1, F.size("path") - 1), lambda x: x == F.col("term_id"))
+    while True:
         grown = levels[-1].join(down, F.col("term_id") == F.col("above"))
-        grown = grown.select(F.array_append("path", F.col("below")).alias("path"), F.array_append("ord", F.col("place")).alias("ord"), F.col("below").alias("term_id"), F.col("above").alias("parent"), F.lit(n).alias("depth"), F.col("s").alias("score"), F.col("f").alias("fraction"))
+        grown = grown.select(F.array_append("path", F.col("below")).alias("path"), F.array_append("ord", F.col("place")).alias("ord"), F.col("below").alias("term_id"), F.col("above").alias("parent"), F.lit(len(levels)).alias("depth"), F.col("s").alias("score"), F.col("f").alias("fraction"))
         level = cut_lineage(grown)
-        if level.isEmpty():
+        seen = level.agg(F.count("*").alias("n"), F.first(F.when(again, F.col("term_id")), ignorenulls=True).alias("term")).first()
+        if seen["term"] is not None:
+            raise ValueError(f"a path meets {seen['term']} again: the graph has a cycle")
+        if not seen["n"]:
             return reduce(DataFrame.unionByName, levels)
         levels.append(level)
-    raise ValueError(f"a path is longer than {most_levels}: the graph has a cycle")
 
 
 def term_score_opacity(scores: DataFrame, cells: DataFrame, term: str, low: float = 0.1, high: float = 1.0) -> DataFrame:

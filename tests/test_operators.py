@@ -108,6 +108,19 @@ def test_tree_drops_a_failing_node_with_its_subtree(spark):
         sc.rooted_score_tree(aggregated, fx.edges(spark), root="K1")
 
 
+def test_tree_of_any_depth_and_cycles(spark):
+    """A chain is unrolled to its end; a path that closes on itself, or a term that is its own child, is an error."""
+    names = ["CL:0000000", *(f"N{i}" for i in range(1, 13))]
+    aggregated = spark.createDataFrame([(t, 0.5, 1.0) for t in names], "term_id string, score double, fraction double").coalesce(1)
+    chain = list(zip(names, names[1:]))
+    edges = lambda pairs: spark.createDataFrame([(a, b, 0) for a, b in pairs], "parent string, child string, child_ord int").coalesce(1)
+    found = sc.rooted_score_tree(aggregated, edges(chain)).select("depth", "path").collect()
+    assert sorted((r["depth"], r["path"]) for r in found) == [(i, names[: i + 1]) for i in range(13)]
+    for extra in (("N3", "N1"), ("N2", "N2"), ("N2", "CL:0000000")):
+        with pytest.raises(ValueError, match="cycle"):
+            sc.rooted_score_tree(aggregated, edges([*chain[:4], extra]))
+
+
 def test_votes_ties_and_empty_lists(spark):
     matches = spark.createDataFrame([(1, 0, "B", 2, 0.3), (1, 1, "A", 2, 0.3), (2, 0, "A", 1, 0.5)], "cell_id long, pos int, cell_type string, cell_count long, min_distance double")
     cells = spark.createDataFrame([(1, 0, "x"), (2, 1, "x"), (3, 2, "y")], "cell_id long, pos int, cluster string")
