@@ -24,58 +24,83 @@ CELL_FEATURES = (
 
 
 def _vectors(ids, vectors) -> tuple[np.ndarray, np.ndarray]:
-    """Arrow columns of ids and equally long vectors as arrays."""
+    """Arrow columns of ids and equally long vectors as arrays; floats stay single, as half the bytes."""
     ids = ids.to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.to_numpy()
-    flat = (vectors if isinstance(vectors, pa.Array) else vectors.combine_chunks()).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return ids, flat.reshape(len(ids), -1)
-
-
-def exact_pairs(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of a, row of b) among which are the k nearest rows of b for each of a, ties included, by a matrix product."""
-    near = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
-    n = min(k, len(b))
-    bound = np.partition(near, n - 1, axis=1)[:, n - 1]
-    return np.nonzero(near <= bound[:, None] + 1e-9)
+    flat = (vectors if isinstance(vectors, pa.Array) else vectors.combine_chunks()).flatten().to_numpy(zero_copy_only=False)
+    return ids, (flat if flat.dtype == np.float32 else flat.astype(np.float64)).reshape(len(ids), -1)
 
 
 class Nearest:
-    """The k nearest references of each query, of those added so far."""
+    """The k nearest references of each query, of those added so far.
+
+    Vectors stay as they came: QUERIES of them at a time are doubled, scaled and compared with a block, so that beside the vectors and k rows
+    a query, memory is that of one such comparison, whatever the number of ties.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str, exclude_self: bool):
-        self.ids, self.vectors, self.k, self.metric, self.exclude_self = ids, self.scaled(vectors, metric), k, metric, exclude_self
-        self.of, self.near, self.distance = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        self.bound = np.full(len(ids), np.inf)  # distance of the k-th so far
+        self.ids, self.vectors, self.k, self.metric, self.exclude_self = ids, vectors, k, metric, exclude_self
+        self.near, self.distance = np.zeros((len(ids), k), np.int64), np.full((len(ids), k), np.inf)
+        self.filled = np.zeros(len(ids), np.int64)
 
     @staticmethod
     def scaled(x: np.ndarray, metric: str) -> np.ndarray:
+        x = x.astype(np.float64)
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        room = np.empty(QUERIES * BLOCK)
         for start in range(0, len(ids), BLOCK):
-            ri, b = ids[start : start + BLOCK], self.scaled(vectors[start : start + BLOCK], self.metric)
-            found = [(self.of, self.near, self.distance)]
+            b = self.scaled(vectors[start : start + BLOCK], self.metric)
+            square = (b**2).sum(axis=1)
+            # a row (a, |a|^2, 1) times a column (-2 b, 1, |b|^2) is the squared distance, but for rounding
+            columns = np.concatenate([-2 * b, np.ones((len(b), 1)), square[:, None]], axis=1).T
             for first in range(0, len(self.ids), QUERIES):
-                a = self.vectors[first : first + QUERIES]
-                x, y = exact_pairs(a, b, self.k + self.exclude_self)
-                if self.exclude_self:
-                    other = self.ids[first + x] != ri[y]
-                    x, y = x[other], y[other]
-                step = max(1, (1 << 19) // max(1, a.shape[1]))
-                square = np.concatenate([((a[x[i : i + step]] - b[y[i : i + step]]) ** 2).sum(axis=1) for i in range(0, len(x), step)] or [np.zeros(0)])
-                distance = square / 2 if self.metric == "cosine" else np.sqrt(square)
-                better = distance <= self.bound[first + x]
-                found.append((first + x[better], ri[y[better]], distance[better]))
-            of, near, distance = (np.concatenate(c) for c in zip(*found))
-            order = np.lexsort((near, distance, of))
-            of = of[order]
-            kept = order[np.arange(len(of)) - np.searchsorted(of, of, side="left") < self.k]
-            self.near, self.distance = near[kept], distance[kept]
-            self.of = np.concatenate([c[0] for c in found])[kept]
-            full = np.bincount(self.of, minlength=len(self.ids)) == self.k
-            self.bound[full] = self.distance[np.cumsum(np.bincount(self.of, minlength=len(self.ids)))[full] - 1]
+                self._meet(first, ids[start : start + BLOCK], b, columns, square.max(), room)
+
+    def _meet(self, first: int, ids: np.ndarray, b: np.ndarray, columns: np.ndarray, most: float, room: np.ndarray) -> None:
+        """QUERIES queries from the first-th on, and a block."""
+        here = slice(first, first + QUERIES)
+        a, k = self.scaled(self.vectors[here], self.metric), self.k
+        square = (a**2).sum(axis=1)
+        near = np.matmul(np.concatenate([a, square[:, None], np.ones((len(a), 1))], axis=1), columns, out=room[: len(a) * len(b)].reshape(len(a), len(b)))
+        bound = np.where(self.filled[here] == k, self.distance[here, -1], np.inf)
+        slack = 1e-9 + 1e-12 * (square + most)
+        limit = (2 * bound if self.metric == "cosine" else bound**2) + slack
+        close = near <= limit[:, None]
+        if np.count_nonzero(close) > 2 * k * len(a):  # few references were seen so far: only the nearest of the block, ties included
+            n = min(k + self.exclude_self, len(b))
+            close &= near <= (np.partition(near, n - 1, axis=1)[:, n - 1] + slack)[:, None]
+        of, at, far = [], [], []
+        step = max(1, (1 << 19) // max(1, a.shape[1]))
+        x, y = np.nonzero(close)
+        for i in range(0, len(x), step):
+            p, q = x[i : i + step], y[i : i + step]
+            distance = ((a[p] - b[q]) ** 2).sum(axis=1)
+            distance = distance / 2 if self.metric == "cosine" else np.sqrt(distance)
+            better = distance <= bound[p]
+            if self.exclude_self:
+                better &= self.ids[first + p] != ids[q]
+            of.append(p[better])
+            at.append(ids[q[better]])
+            far.append(distance[better])
+        if not sum(map(len, of)):
+            return
+        # the rows so far of those that gain some
+        touched = np.unique(np.concatenate(of))
+        row, column = np.nonzero(np.arange(k) < self.filled[first + touched][:, None])
+        row = touched[row]
+        of, at, far = np.concatenate([*of, row]), np.concatenate([*at, self.near[first + row, column]]), np.concatenate([*far, self.distance[first + row, column]])
+        order = np.lexsort((at, far, of))
+        of = of[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of, side="left")
+        kept = rank < k
+        of, rank, order = of[kept], rank[kept], order[kept]
+        self.near[first + of, rank], self.distance[first + of, rank] = at[order], far[order]
+        self.filled[first + touched] = np.bincount(of, minlength=len(a))[touched]
 
     def table(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[self.of]), pa.array(self.near), pa.array(self.distance)], names=["cell_id", "cas_cell_index", "distance"])
+        row, column = np.nonzero(np.arange(self.k) < self.filled[:, None])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[row]), pa.array(self.near[row, column]), pa.array(self.distance[row, column])], names=["cell_id", "cas_cell_index", "distance"])
 
 
 def knn_search(queries: DataFrame, references: DataFrame, k: int = 10, metric: str = "l2", exclude_self: bool = False) -> DataFrame:

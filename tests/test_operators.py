@@ -43,6 +43,48 @@ def test_neighbours_of_many_queries_by_a_grid(spark, monkeypatch):
     assert nb.knn_search(q.limit(0), r, 5).count() == 0 and nb.knn_search(q, r.limit(0), 5).count() == 0
 
 
+def test_memory_of_the_exact_search_does_not_grow_with_queries_or_ties():
+    """Vectors stay as floats, and candidates are those of one comparison: of four times the queries, all as near to all references, too."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    peaks = []
+    for n in (2048, 8192):
+        q = rng.normal(size=(n, 32)).astype(np.float32)
+        tracemalloc.start()
+        found = nb.Nearest(np.arange(n), q, 5, "l2", False)
+        found.add(np.arange(2048), np.ones((2048, 32), np.float32))
+        found.add(np.arange(2048, 4096), np.ones((2048, 32), np.float32))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found.table().column("cas_cell_index").to_numpy().tolist() == [0, 1, 2, 3, 4] * n
+    assert peaks[1] < 1.2 * peaks[0] and peaks[1] < 100e6
+
+
+def test_exact_search_by_small_steps_against_numpy(monkeypatch):
+    """Batches smaller than k, ties over batches, single floats, copies and the query itself among the references."""
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(nb, "BLOCK", 7)
+    monkeypatch.setattr(nb, "QUERIES", 4)
+    r = rng.integers(-2, 3, size=(90, 3)).astype(np.float32)
+    r[40:60] = r[:20]
+    ids = rng.permutation(90)
+    for metric, alone in (("l2", False), ("l2", True), ("cosine", True)):
+        x = nb.Nearest.scaled(r + np.float32(0.5), metric)
+        found = nb.Nearest(ids[:30], (r + np.float32(0.5))[:30], 6, metric, alone)
+        for start in range(0, 90, 11):
+            found.add(ids[start : start + 11], (r + np.float32(0.5))[start : start + 11])
+        apart = ((x[:30, None] - x[None]) ** 2).sum(axis=2)
+        apart = apart / 2 if metric == "cosine" else np.sqrt(apart)
+        got = found.table()
+        for i in range(30):
+            others = np.flatnonzero(ids != ids[i]) if alone else np.arange(90)
+            nearest = others[np.lexsort((ids[others], apart[i, others]))[:6]]
+            mine = got.column("cell_id").to_numpy() == ids[i]
+            assert got.column("distance").to_numpy()[mine] == pytest.approx(apart[i, nearest])
+            assert metric == "cosine" or got.column("cas_cell_index").to_numpy()[mine].tolist() == ids[nearest].tolist()
+
+
 def test_last_result_of_a_cell_wins(spark):
     cells = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "cell_id long, pos long")
     response = spark.createDataFrame([(1, ["a"], 0), (1, ["b"], 1), (2, [], 0)], "cell_id long, matches array<string>, batch int")
