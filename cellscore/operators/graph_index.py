@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of vectors (as doubles) of a shard, and of the queries that meet it in one task.
 SHARD_BYTES, QUERY_BYTES = 1 << 25, 1 << 24
+#: A table of fewer shards than SHARDS is cut further, into as many, down to shards of a quarter of the bytes, and the queries into as many
+#: parts as give TASKS tasks, down to PART_ROWS rows: shards and parts are built and walked by one task each.
+SHARDS, TASKS, PART_ROWS = 8, 64, 1024
 #: Links that a vector gets when it is inserted (twice as many in all), and the beam of the search for them.
 LINKS, BUILD_BEAM = 16, 48
 #: Vectors from which a walk starts, and those that are replaced in one step of it.
@@ -36,24 +39,41 @@ def scaled(x: np.ndarray, metric: str) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
 
 
+def compact(x: np.ndarray) -> np.ndarray:
+    """x in single precision where that loses nothing, as the walk's time is that of fetching vectors; otherwise x."""
+    single = x.astype(np.float32) if not x.size or np.abs(x).max() < 1e15 else x
+    return single if np.array_equal(single, x) else x
+
+
+def apart(x: np.ndarray, of: np.ndarray, y: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Squared distances of rows of x from rows of y."""
+    parts = [np.zeros(0, x.dtype)]
+    for i in range(0, len(of), 4096):
+        d = x.take(of[i : i + 4096], axis=0)
+        d -= y.take(node[i : i + 4096], axis=0)
+        parts.append(np.einsum("ij,ij->i", d, d))
+    return np.concatenate(parts)
+
+
 def walk(x: np.ndarray, links: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By query the beam nearest places that a walk found (-1: none) in ascending order, their squared distances, and the vectors compared.
 
-    links has a row a vector, filled up with -1.
+    links has a row a vector, filled up with -1. Where x is single, the distances on the way are, too.
     """
+    queries = queries.astype(x.dtype, copy=False)
     n, found, far, compared = len(x), [], [], []
     at_once = max(1, min(512, FLAGS // max(1, n)))
     for first in range(0, len(queries), at_once):
         q = queries[first : first + at_once]
         m = len(q)
         seen = np.zeros(m * n, bool)
-        place, distance, open_ = np.full((m, beam), -1), np.full((m, beam), np.inf), np.zeros((m, beam), bool)
+        place, distance, open_ = np.full((m, beam), -1), np.full((m, beam), np.inf, x.dtype), np.zeros((m, beam), bool)
         fresh = (np.arange(m)[:, None] * n + np.arange(min(STARTS, n))[None, :]).ravel()
         count = np.zeros(m, np.int64)
         while len(fresh):
             seen[fresh] = True
             row, node = np.divmod(fresh, n)
-            new = np.concatenate([((q[row[i : i + 8192]] - x[node[i : i + 8192]]) ** 2).sum(axis=1) for i in range(0, len(row), 8192)])
+            new = apart(q, row, x, node)
             by = np.bincount(row, minlength=m)
             count += by
             column = np.arange(len(row)) - np.repeat(np.cumsum(by) - by, by)
@@ -67,7 +87,8 @@ def walk(x: np.ndarray, links: np.ndarray, queries: np.ndarray, beam: int) -> tu
             open_[row, column] = False
             around = links[place[row, column]]
             keys = (row[:, None] * n + around)[around >= 0]
-            fresh = np.unique(keys[~seen[keys]])
+            keys = np.sort(keys[~seen[keys]])
+            fresh = keys[np.diff(keys, prepend=-1) > 0]
         found.append(place)
         far.append(distance)
         compared.append(count)
@@ -78,14 +99,22 @@ def spread(x: np.ndarray, near: np.ndarray, distance: np.ndarray, most: int) ->
     """Of each row's near places (ascending by distance, -1: none) up to most, none of which is closer to a chosen one than to the row's own vector; the nearest others fill up."""
     rows, width = near.shape
     chosen, picked = np.zeros((rows, width), bool), np.zeros(rows, np.int64)
-    vectors = x[np.maximum(near, 0)]
+    between = np.empty((rows, width, width), np.float32)
+    for i in range(0, rows, 32):
+        vectors = x[np.maximum(near[i : i + 32], 0)].astype(np.float64)
+        square = np.einsum("ijk,ijk->ij", vectors, vectors)
+        sums = square[:, :, None] + square[:, None, :]
+        product = np.matmul(vectors, vectors.transpose(0, 2, 1))
+        product *= -2
+        product += sums
+        product *= product > 1e-12 * sums  # copies are at 0, but for rounding
+        between[i : i + 32] = product
     least = np.full((rows, width), np.inf)  # squared distance to the nearest chosen one
     for j in range(width):
         take = (near[:, j] >= 0) & (picked < most) & (least[:, j] > distance[:, j])
         chosen[take, j] = True
         picked += take
-        if take.any() and j + 1 < width:
-            least[take, j + 1 :] = np.minimum(least[take, j + 1 :], ((vectors[take, j + 1 :] - vectors[take, j : j + 1]) ** 2).sum(axis=2))
+        np.minimum(least, between[:, j], out=least, where=take[:, None])
     order = np.argsort(np.where(near >= 0, np.where(chosen, 0, 1), 2), axis=1, kind="stable")[:, :most]
     return np.take_along_axis(near, order, axis=1)
 
@@ -118,9 +147,11 @@ def build(x: np.ndarray, links: int = LINKS, beam: int = BUILD_BEAM) -> np.ndarr
             column = np.arange(len(which)) - np.repeat(np.cumsum(c) - c, c)
             added[which, column] = new[np.repeat(first[a : a + 512], c) + column]
             both = np.concatenate([table[t], added], axis=1)
-            apart = np.where(both >= 0, ((x[np.maximum(both, 0)] - x[t][:, None, :]) ** 2).sum(axis=2), np.inf)
-            order = np.argsort(apart, axis=1, kind="stable")[:, : 2 * wide]
-            table[t] = spread(x, np.take_along_axis(both, order, axis=1), np.take_along_axis(apart, order, axis=1), wide)
+            row, column = np.nonzero(both >= 0)
+            away = np.full(both.shape, np.inf)
+            away[row, column] = apart(x, t[row], x, both[row, column])
+            order = np.argsort(away, axis=1, kind="stable")[:, : 2 * wide]
+            table[t] = spread(x, np.take_along_axis(both, order, axis=1), np.take_along_axis(away, order, axis=1), wide)
         done = stop
     return table
 
@@ -139,14 +170,14 @@ def graph_index(references: DataFrame, metric: str = "l2", links: int = LINKS, s
     scaled(np.zeros((0, 1)), metric)
     r = references.select("cas_cell_index", "embedding").where(F.col("embedding").isNotNull())
     n, width = r.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
-    shards = max(1, -(-8 * n * width // shard_bytes))
+    shards = max(1, -(-8 * n * width // shard_bytes), min(SHARDS, 8 * n * width // (shard_bytes // 4)))
     schema = "shard int, place int, cas_cell_index long, embedding array<double>, links array<int>"
 
     def link(t: pa.Table) -> pa.Table:
         t = t.sort_by("cas_cell_index")
         shuffled = t.take(pa.array(np.random.default_rng(len(t)).permutation(len(t))))  # the first ones are those that a walk starts from
         x = _matrix(shuffled.column("embedding"))
-        table = build(scaled(x, metric), links)
+        table = build(compact(scaled(x, metric)), links)
         kept = table >= 0
         return pa.table({
             "shard": shuffled.column("shard"), "place": pa.array(np.arange(len(x), dtype=np.int32)), "cas_cell_index": shuffled.column("cas_cell_index"),
@@ -166,8 +197,9 @@ def graph_search(queries: DataFrame, index: DataFrame, k: int = 10, metric: str
     scaled(np.zeros((0, 1)), metric)
     q = queries.select("cell_id", "embedding").where(F.col("embedding").isNotNull())
     n, width = q.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
-    parts = max(1, -(-8 * n * width // QUERY_BYTES))
     shards = index.select("shard").distinct()
+    # more parts only as far as the index is sent to some TASKS tasks
+    parts = max(1, -(-8 * n * width // QUERY_BYTES), min(n // PART_ROWS, TASKS // max(1, shards.count())))
     schema = "cell_id long, cas_cell_index long, distance double, compared long"
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -178,7 +210,13 @@ def graph_search(queries: DataFrame, index: DataFrame, k: int = 10, metric: str
         counts = b.column("links").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         table = np.full((len(x), max(1, int(counts.max()))), -1)
         table[np.repeat(np.arange(len(x)), counts), np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)] = b.column("links").combine_chunks().flatten().to_numpy()
-        place, square, compared = walk(x, table, y, max(beam, k))
+        place, square, compared = walk(compact(x), table, y, max(beam, k))
+        # what single precision put in order is measured again
+        row, column = np.nonzero(place >= 0)
+        square = np.full(place.shape, np.inf)
+        square[row, column] = apart(y, row, x, place[row, column])
+        order = np.argsort(square, axis=1, kind="stable")
+        place, square = np.take_along_axis(place, order, axis=1), np.take_along_axis(square, order, axis=1)
         want = min(k, len(x))
         for i in np.flatnonzero((place[:, :want] < 0).any(axis=1)):
             every = ((x - y[i]) ** 2).sum(axis=1)

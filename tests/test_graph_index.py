@@ -73,3 +73,24 @@ def test_links_are_places_of_their_shard_and_bounded(spark):
     assert index.count() == r.count() and index.where(F.size("links") > 8).isEmpty()
     ends = index.select("shard", F.explode("links").alias("place"))
     assert ends.join(index, ["shard", "place"], "left_anti").isEmpty()
+
+
+def test_one_shards_bytes_are_dealt_to_several_tasks_and_distances_are_double(spark, monkeypatch):
+    """References of one shard's bytes are cut into four, queries into parts; what is walked in single precision is measured in double."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 8)).astype(np.float32)
+    x[300:] = x[:100]
+    r = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cas_cell_index long, embedding array<float>")
+    q = spark.createDataFrame([(i, (v.astype(float) + 1e-9).tolist()) for i, v in enumerate(x[:40])], "cell_id long, embedding array<double>")
+    index = gi.graph_index(r, shard_bytes=8 * 400 * 8).cache()
+    assert index.select("shard").distinct().count() == 4 and index.count() == 400
+    monkeypatch.setattr(gi, "PART_ROWS", 10)
+    found = {(n["cell_id"], n["rank"]): (n["cas_cell_index"], n["distance"]) for n in gi.graph_search(q, index, 5, beam=110).collect()}
+    exact = {(n["cell_id"], n["rank"]): (n["cas_cell_index"], n["distance"]) for n in nb.knn_search(q, r, 5).collect()}
+    assert found.keys() == exact.keys() and all(v[0] == exact[key][0] and v[1] == pytest.approx(exact[key][1], rel=1e-12) for key, v in found.items())
+
+
+def test_single_precision_only_where_it_loses_nothing():
+    assert gi.compact(np.array([[0.5, 3.0]])).dtype == np.float32
+    for wide in ([[0.1, 3.0]], [[1e30, 1.0]]):
+        assert gi.compact(np.array(wide)).dtype == np.float64
