@@ -32,63 +32,149 @@ from pyspark.sql import functions as F
 from cellscore.llm import mixing
 from cellscore.llm.arrays import bounded, cut_binary, give_back, plain, steps
 from cellscore.llm.op7_pack import public_tokenizer
-from cellscore.llm.tokens import encoder
+from cellscore.llm.tokens import Encoder, encoder
 from cellscore.plans import small_enough
 from cellscore.plans.lineage import checkpoint_folder
 
-MAGIC, VERSION = b"IDCM", 3
-HEAD = struct.Struct("<4sBxHQIIII")
+MAGIC, VERSION = b"IDCM", 4
+HEAD = struct.Struct("<4sBxHQQIIIII")
 #: Stands for a null doc_id in a file.
 NULL_ID = -(1 << 63)
-#: Ids of a block, and those after which a file is closed at the end of a document.
-BLOCK, FILE_IDS = 2048, 1 << 22
+#: Words of a block: where each id is a word, and where words are parts of texts (fewer, so that more blocks go in step).
+BLOCK, PARTS_BLOCK = 2048, 512
+#: Times that a pair of parts must occur to be in the tables, and ids by which words are put in order.
+PARTS_LEAST, HEADS = 6, 4
+#: Ids after which a file is closed at the end of a document.
+FILE_IDS = 1 << 22
 #: Parts whose offsets are broadcast; more are joined by a shuffle.
 MOST_FILES = 500_000
 
 
-def pack_file(ids: np.ndarray, names: np.ndarray | None = None, lengths: np.ndarray | None = None) -> bytes:
-    """A file of ids below 65,536, of documents with the given doc_ids and numbers of ids."""
-    if len(ids) and int(ids.max()) > 0xFFFF:
-        raise ValueError(f"id {int(ids.max())} does not fit the format")
-    names, lengths = (np.zeros(0, "<i8") if x is None else x.astype("<i8") for x in (names, lengths))
-    learnt = mixing.Tables.learn(ids)
-    tables = learnt.dump()
-    payload, sizes = mixing.encode(ids, learnt, BLOCK)
-    little = ids.astype("<u4")
-    sums = [zlib.crc32(little[i : i + BLOCK].tobytes()) for i in range(0, len(ids), BLOCK)]
+class Words:
+    """The distinct words of a file: runs of ids, numbered in the order in which they came."""
+
+    def __init__(self):
+        self.ids, self.lengths, self.n = [], [], 0
+        self._numbers, self._renewed = np.zeros(0, np.int32), -1
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of further words."""
+        if len(ids) and int(ids.max()) > 0xFFFF:
+            raise ValueError(f"id {int(ids.max())} does not fit the format")
+        self.ids.append(ids.astype("<u2"))
+        self.lengths.append(lengths.astype("<u4"))
+        self.n += len(lengths)
+        return np.arange(self.n - len(lengths), self.n, dtype=np.int32)
+
+    def of(self, coder: Encoder, code: np.ndarray) -> np.ndarray:
+        """Numbers of parts of an encoder; after it has numbered its parts anew, one may come as a further word."""
+        if self._renewed != coder.renewed:
+            self._numbers, self._renewed = np.full(len(coder.codes), -1, np.int32), coder.renewed
+        self._numbers = np.append(self._numbers, np.full(len(coder.codes) - len(self._numbers), -1, np.int32))
+        numbers = self._numbers[code]
+        new = np.unique(code[numbers < 0])
+        if len(new):
+            self._numbers[new] = self.add(*coder.ids_of(new))
+            numbers = self._numbers[code]
+        return numbers
+
+    def dump(self) -> tuple[bytes, np.ndarray]:
+        """The words as bytes, in the order of their first ids, and each word's place there."""
+        lengths, flat = np.concatenate([np.zeros(0, "<u4"), *self.lengths]).astype(np.int64), np.concatenate([np.zeros(0, "<u2"), *self.ids])
+        starts = np.cumsum(lengths) - lengths
+        columns = [np.where(lengths > k, np.append(flat, 0)[np.minimum(starts + k, len(flat))], 0).astype(np.uint64) for k in range(HEADS)]
+        order = np.argsort(sum(c << np.uint64(16 * (HEADS - 1 - k)) for k, c in enumerate(columns)), kind="stable")
+        places = np.empty(len(order), np.int32)
+        places[order] = np.arange(len(order))
+        lengths, starts = lengths[order], starts[order]
+        parts, turn = [lengths.astype("<u4")], np.arange(len(order)) == 0
+        for column in columns:
+            column = column[order].astype(np.int64)
+            parts.append(np.where(turn, column, np.diff(column, prepend=0)).astype("<u2"))
+            turn = turn | (parts[-1] != 0)
+        more = np.maximum(lengths - HEADS, 0)
+        parts.append(flat[np.repeat(starts + HEADS - (np.cumsum(more) - more), more) + np.arange(int(more.sum()))])
+        raw = b"".join(p.view(np.uint8).reshape(-1, p.itemsize).T.tobytes() for p in parts)
+        return struct.pack("<II", self.n, int(more.sum())) + zlib.compress(raw, 1), places
+
+    @staticmethod
+    def load(data: bytes) -> pa.LargeBinaryArray:
+        """The ids of each word, of four bytes."""
+        n, more = struct.unpack_from("<II", data)
+        raw, at, parts = zlib.decompress(data[8:]), 0, []
+        for size, t in ((n, "<u4"), *[(n, "<u2")] * HEADS, (more, "<u2")):
+            wide = np.dtype(t).itemsize
+            parts.append(np.frombuffer(raw, np.uint8, size * wide, at).reshape(wide, size).T.copy().view(t).ravel())
+            at += size * wide
+        lengths, turn = parts[0].astype(np.int64), np.arange(n) == 0
+        offsets = np.append(0, np.cumsum(lengths))
+        flat, rest = np.zeros(int(offsets[-1]), "<u4"), np.ones(int(offsets[-1]), bool)
+        for k, gaps in enumerate(parts[1:-1]):
+            ends = np.cumsum(gaps, dtype=np.int64)
+            column = ends - (ends - gaps)[np.maximum.accumulate(np.where(turn, np.arange(n), 0))]
+            turn = turn | (gaps != 0)
+            here = lengths > k
+            to = offsets[:-1][here] + k
+            flat[to], rest[to] = column[here], False
+        flat[rest] = parts[-1]
+        return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(4 * offsets), pa.py_buffer(flat)])
+
+
+def pack_words(symbols: np.ndarray, words: Words, n: int, names: np.ndarray, lengths: np.ndarray, block: int, least: int = mixing.LEAST_PAIR) -> bytes:
+    """A file of n ids, given as numbers of words, of documents with the given doc_ids and numbers of ids."""
+    listed, places = words.dump()
+    symbols = places[symbols]
+    learnt, pairs = mixing.Tables.learn_pairs(symbols, least)
+    tables = struct.pack("<I", len(listed)) + listed + learnt.dump()
+    payload, sizes = mixing.encode(symbols, learnt, block, pairs)
+    little = memoryview(symbols.astype("<u4").tobytes())
+    sums = [zlib.crc32(little[4 * i : 4 * (i + block)]) for i in range(0, len(symbols), block)]
     table = np.array([sizes, sums], dtype="<u4").T.tobytes()
-    return HEAD.pack(MAGIC, VERSION, BLOCK, len(ids), len(sizes), len(names), len(tables), zlib.crc32(tables)) + table + names.tobytes() + lengths.tobytes() + tables + payload
+    head = HEAD.pack(MAGIC, VERSION, block, n, len(symbols), len(sizes), len(names), len(tables), zlib.crc32(tables), zlib.crc32(table))
+    return b"".join([head, table, names.astype("<i8").tobytes(), lengths.astype("<i8").tobytes(), tables, payload])
+
+
+def pack_file(ids: np.ndarray, names: np.ndarray | None = None, lengths: np.ndarray | None = None) -> bytes:
+    """A file of ids below 65,536, each a word, of documents with the given doc_ids and numbers of ids."""
+    distinct, symbols = np.unique(ids, return_inverse=True)
+    words = Words()
+    words.add(distinct, np.ones(len(distinct), np.int64))
+    names, lengths = (np.zeros(0, "<i8") if x is None else x for x in (names, lengths))
+    return pack_words(symbols.astype(np.int32), words, len(ids), names, lengths, BLOCK)
 
 
 class _File:
     """The parts of a file."""
 
     def __init__(self, content: bytes):
-        magic, version, self.block, self.n, blocks, self.documents, size, total = HEAD.unpack_from(content)
+        magic, version, self.block, self.n, self.symbols, blocks, self.documents, size, self._total, total = HEAD.unpack_from(content)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a file of ids")
         self.content = content
+        self.index_at = HEAD.size + 8 * blocks
+        if zlib.crc32(content[HEAD.size : self.index_at]) != total:
+            raise ValueError("the list of blocks is damaged")
         sized = np.frombuffer(content, "<u4", 2 * blocks, HEAD.size).reshape(blocks, 2)
         self.sizes, self.sums = sized[:, 0].astype(np.int64), sized[:, 1]
-        self.index_at = HEAD.size + 8 * blocks
         self.tables_at = self.index_at + 16 * self.documents
         self.blocks_at = self.tables_at + size
-        self._total = total
 
-    @property
-    def tables(self) -> mixing.Tables:
+    def ids(self, first: int, last: int) -> np.ndarray:
+        """The ids of some blocks, if the checksums of the tables and of each block hold."""
         data = self.content[self.tables_at : self.blocks_at]
         if zlib.crc32(data) != self._total:
             raise ValueError("the tables are damaged")
-        return mixing.Tables.load(data)
-
-    def checked(self, ids: np.ndarray, first: int = 0) -> np.ndarray:
-        """ids of the blocks from the first-th on, if their checksums hold."""
-        little = ids.astype("<u4")
-        for i in range(-(-len(ids) // self.block)):
-            if zlib.crc32(little[i * self.block : (i + 1) * self.block].tobytes()) != self.sums[first + i]:
-                raise ValueError(f"block {first + i} is damaged")
-        return ids
+        (size,) = struct.unpack_from("<I", data)
+        tables = mixing.Tables.load(data[4 + size :])
+        sizes, at = self.sizes[first:last], self.blocks_at + int(self.sizes[:first].sum())
+        n = min(self.symbols, last * self.block) - first * self.block if last > first else 0
+        symbols = mixing.decode(self.content[at : at + int(sizes.sum())], sizes.tolist(), n, tables, self.block)
+        little = memoryview(symbols.astype("<u4").tobytes())
+        for i in range(first, last):
+            if zlib.crc32(little[4 * (i - first) * self.block : 4 * (i - first + 1) * self.block]) != self.sums[i]:
+                raise ValueError(f"block {i} is damaged")
+        found = Words.load(data[4 : 4 + size]).take(pa.array(symbols))
+        return np.frombuffer(found.buffers()[2] or b"", "<u4")
 
 
 def index(content: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -101,15 +187,12 @@ def index(content: bytes) -> tuple[np.ndarray, np.ndarray]:
 def unpack_file(content: bytes) -> np.ndarray:
     """The ids of a file; a broken header or checksum is an error."""
     file = _File(content)
-    return file.checked(mixing.decode(content[file.blocks_at :], file.sizes.tolist(), file.n, file.tables, file.block))
+    return file.ids(0, len(file.sizes))
 
 
 def unpack_block(content: bytes, i: int) -> np.ndarray:
     """The ids of one block of a file; a broken checksum is an error."""
-    file = _File(content)
-    at = file.blocks_at + int(file.sizes[:i].sum())
-    size = int(file.sizes[i])
-    return file.checked(mixing.decode(content[at : at + size], [size], min(file.block, file.n - i * file.block), file.tables, file.block), i)
+    return _File(content).ids(i, i + 1)
 
 
 def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, file_ids: int = FILE_IDS) -> None:
@@ -121,22 +204,26 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         coder = encoder(source)
         task = TaskContext.get()
         part = task.partitionId() if task else 0
-        names, lengths, held, size, number = [], [], [], 0, 0
+        names, lengths, held, words, size, number = [], [], [], Words(), 0, 0
+        end = words.add(np.array([end_id]), np.array([1]))
 
         def close() -> pa.RecordBatch:
-            content = pack_file(np.concatenate(held), np.concatenate(names), np.concatenate(lengths))
+            content = pack_words(np.concatenate(held), words, size, np.concatenate(names), np.concatenate(lengths), PARTS_BLOCK, PARTS_LEAST)
             row = [pa.array([v], k) for v, k in ((part, pa.int64()), (number, pa.int64()), (size, pa.int64()), (content, pa.binary()))]
             return pa.RecordBatch.from_arrays(row, names=["part", "number", "size", "content"])
 
-        for batch in steps(batches, size=2 << 20):
-            ids, offsets = coder.encode(plain(batch.column("text")))
-            held.append(np.insert(ids, offsets[1:], end_id))
+        for batch in steps(batches, size=4 << 20):
+            code, counts = coder.parts(plain(batch.column("text")))
+            ends = np.cumsum(counts)
+            held.append(np.insert(words.of(coder, code), ends, end))
             names.append(pc.fill_null(batch.column("doc_id").cast(pa.int64()), NULL_ID).to_numpy())
-            lengths.append(np.diff(offsets) + 1)
-            size += len(held[-1])
+            upto = np.append(0, np.cumsum(coder.lengths[code]))[ends]
+            lengths.append(np.diff(upto, prepend=0) + 1)
+            size += int(upto[-1]) + len(counts)
             if size >= file_ids:
                 yield close()
-                names, lengths, held, size, number = [], [], [], 0, number + 1
+                names, lengths, held, words, size, number = [], [], [], Words(), 0, number + 1
+                end = words.add(np.array([end_id]), np.array([1]))
         if held:
             yield close()
         give_back()
@@ -154,11 +241,11 @@ def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
         for batch in batches:
             for i in range(batch.num_rows):
                 part, number, content = (batch.column(c)[i] for c in ("part", "number", "content"))
-                raw = unpack_file(content.as_py()).astype("<u4").tobytes()
-                names, n = index(content.as_py())
+                data = content.as_py()
+                raw = unpack_file(data).data.cast("B")
+                names, n = index(data)
                 ends = np.cumsum(n)
-                whole = memoryview(raw)
-                sums = [zlib.crc32(whole[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
+                sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
                 columns = [pa.repeat(part, len(n)), pa.repeat(number, len(n)), pa.array(names, mask=names == NULL_ID), pa.array(ends - n), pa.array(n), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, *[cut_binary(raw, 4 * ends)] * with_ids], names=columns_of)
 

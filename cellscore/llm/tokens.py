@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,7 @@ class Encoder:
             self.sizes[i], self.closing[i] = len(token), bool(suffix) and token.endswith(suffix)
         self.by_end, self.by_size = bool(suffix), not suffix and self.tokenizer.normalizer is None
         self.codes: dict[str, int] = {}
+        self.renewed = 0
         self.ids, self.starts, self.lengths, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _append(self, parts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -72,6 +73,10 @@ class Encoder:
         at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[code] - (ends - n), n)
         return self.ids[at], ends
 
+    def ids_of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts in a row, and how many each has."""
+        return self._gather(code)[0], self.lengths[code]
+
     def _shrink(self) -> None:
         order = np.argsort(-self.uses, kind="stable")[: self.most_parts // 2]
         kept = np.zeros(len(self.uses), bool)
@@ -83,6 +88,7 @@ class Encoder:
         self.codes, self.ids, self.starts, self.lengths, self.uses = {}, ids[:0], code[:0], lengths[:0], uses[:0]
         self._append(parts, ids, lengths)
         self.uses = uses
+        self.renewed += 1
         give_back()
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,19 +114,24 @@ class Encoder:
         return ids, np.diff(ends, prepend=0)
 
     def _codes(self, parts: list[str]) -> np.ndarray:
-        missing = [p for p in parts if p not in self.codes]
-        if missing:
-            missing = list(dict.fromkeys(missing))
+        code = np.fromiter(map(self.codes.get, parts, repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(code < 0).tolist()
+        if unknown:
+            missing = list(dict.fromkeys([parts[i] for i in unknown]))
             words = [p for p in missing if p[:1] == " " and p[1:].isalpha()]
             coded = self._words(words)
             if coded is not None:
                 self._append(words, *coded)
                 missing = [p for p in missing if p not in self.codes]
             self._append(missing, *self._library(missing))
-        return np.array([self.codes[p] for p in parts], np.int64)
+            code[unknown] = [self.codes[parts[i]] for i in unknown]
+        return code
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts (large strings without null) in a row, and the offsets of each text."""
+    def parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The cached parts that make up all texts (large strings without null) in a row, and how many each text has.
+
+        Part i's ids are ids[starts[i] : starts[i] + lengths[i]]. Numbers hold until renewed changes.
+        """
         if len(self.codes) > self.most_parts:
             self._shrink()
         unusual = pc.match_substring_regex(texts, UNUSUAL)
@@ -143,6 +154,11 @@ class Encoder:
             counts = np.array([len(p) for p in pieces], np.int64)
             code = np.concatenate(pieces)
         self.uses += np.bincount(code, minlength=len(self.uses))
+        return code, counts
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (large strings without null) in a row, and the offsets of each text."""
+        code, counts = self.parts(texts)
         ids, ends = self._gather(code)
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
 
