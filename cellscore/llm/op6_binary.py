@@ -46,6 +46,8 @@ BLOCK, PARTS_BLOCK = 2048, 512
 PARTS_LEAST, HEADS = 6, 4
 #: Ids after which a file is closed at the end of a document.
 FILE_IDS = 1 << 22
+#: Parts of texts whose ids a Python worker keeps (some 250 bytes each).
+MOST_PARTS = 1_200_000
 #: Parts whose offsets are broadcast; more are joined by a shuffle.
 MOST_FILES = 500_000
 
@@ -201,7 +203,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     schema = "part long, number long, size long, content binary"
 
     def run(batches):
-        coder = encoder(source)
+        coder = encoder(source, MOST_PARTS)
         task = TaskContext.get()
         part = task.partitionId() if task else 0
         names, lengths, held, words, size, number = [], [], [], Words(), 0, 0

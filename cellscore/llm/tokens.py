@@ -18,18 +18,65 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from cellscore.llm.arrays import give_back
+from cellscore.llm.arrays import LOWER, give_back, utf8
 
 #: A cut: a space with something other than white space behind it.
 CUT = re.compile(r" (?=\S)")
-#: The sign put at cuts.
-SIGN = "\x01"
-#: Texts (in RE2) that need the slower cut: white space next to white space or at an end, or the sign itself.
+#: Texts (in RE2) that need the slower cut: white space next to white space or at an end.
 UNUSUAL = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}][\s\p{Z}\x{1C}-\x{1F}\x{85}]|^\n|[ \n]$|\x{01}"
-#: Pieces also end between a small letter and a full stop or comma: many words share their letters.
-STOP = r"(\p{Ll})([.,])"
+#: White space of one byte, and the first two bytes of other white space (and of much else).
+BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+WIDE_BLANK = [(0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)]
+#: Pieces also end between a small letter and a mark of one byte, but for an apostrophe: many words share their letters. Letters of two bytes are the Latin,
+#: Greek and Cyrillic ones here, by their first byte.
+MARK = np.isin(np.arange(256), [i for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'"])
+SMALL = np.isin(np.arange(256), range(97, 123))
+SMALL_TWO = {0xC3: (0x9F, 0xBF), 0xCE: (0xB1, 0xBF), 0xCF: (0x80, 0x8E), 0xD0: (0xB0, 0xBF), 0xD1: (0x80, 0x9F)}
 #: Words that go to the library as one text.
-TOGETHER = 256
+TOGETHER = 64
+
+
+def _unusual(texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The texts, whose bytes and offsets are given too, that UNUSUAL finds."""
+    blank = BLANK[data]
+    maybe = blank.copy()  # bytes of white space next to white space or at a text's end, or that may be other white space
+    maybe[:-1] &= blank[1:]
+    for one, two in WIDE_BLANK:
+        at = np.flatnonzero(data == one)
+        maybe[at[data[np.minimum(at + 1, len(data) - 1)] == two]] = True
+    maybe |= data == 1
+    full = offsets[1:] > offsets[:-1]
+    for ends in (offsets[:-1][full], offsets[1:][full] - 1):
+        maybe[ends] |= blank[ends]
+    rows = np.unique(np.searchsorted(offsets, np.flatnonzero(maybe), side="right") - 1)
+    return rows[pc.match_substring_regex(texts.take(pa.array(rows)), UNUSUAL).to_numpy(zero_copy_only=False)] if len(rows) else rows
+
+
+def _cuts(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Where parts of the texts start: at texts, spaces, both sides of line ends, and marks behind small letters."""
+    cut = data == 32
+    lines = np.flatnonzero(data == 10)
+    cut[lines] = True
+    cut[lines[lines + 1 < len(data)] + 1] = True
+    stops = np.flatnonzero(marks[data])
+    stops = stops[stops > 0]
+    before = data[stops - 1]
+    small = SMALL[before]
+    first = data[np.maximum(stops - 2, 0)]
+    for one, (least, most) in SMALL_TWO.items():
+        small |= (first == one) & (before >= least) & (before <= most) & ~((first == 0xC3) & (before == 0xB7))
+    cut[stops[small]] = True
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return np.flatnonzero(cut)
+
+
+def _lower(data: np.ndarray) -> np.ndarray:
+    """Latin letters of one or two bytes in lower case."""
+    low = LOWER[data]
+    at = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = data[at]
+    low[at[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] += 0x20
+    return low
 
 
 class Encoder:
@@ -54,6 +101,12 @@ class Encoder:
         for token, i in self.vocabulary.items():
             self.sizes[i], self.closing[i] = len(token), bool(suffix) and token.endswith(suffix)
         self.by_end, self.by_size = bool(suffix), not suffix and self.tokenizer.normalizer is None
+        #: a tokenizer that puts letters in lower case itself gives both cases the same ids, but in special tokens, which it looks for before
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and all(normalizer.normalize_str(chr(i)) == chr(i).lower() for i in [*range(65, 91), *range(0xC0, 0xDF)])
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = MARK.copy()  # no cut inside of a special token
+        self.marks[list(b"".join(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()))] = False
         self.codes: dict[str, int] = {}
         self.renewed = 0
         self.ids, self.starts, self.lengths, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -134,23 +187,33 @@ class Encoder:
         """
         if len(self.codes) > self.most_parts:
             self._shrink()
-        unusual = pc.match_substring_regex(texts, UNUSUAL)
-        marked = pc.if_else(unusual, pa.scalar("", pa.large_string()), texts)
-        marked = pc.replace_substring(marked, " ", SIGN + " ")
-        marked = pc.replace_substring(marked, "\n", SIGN + "\n" + SIGN)
-        marked = pc.replace_substring_regex(marked, STOP, "\\1" + SIGN + "\\2")
-        lists = pc.split_pattern(marked, SIGN)
-        coded = pc.dictionary_encode(lists.flatten())
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        code = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        data, offsets = utf8(texts)
+        if self.lowers:
+            low = _lower(data)
+            whole = low.tobytes()
+            if not any(t in whole for t in self.special):
+                data = low
+        starts = _cuts(data, offsets, self.marks)
+        counts = np.diff(np.searchsorted(starts, offsets))
         slow = {}
-        for i in np.flatnonzero(unusual.to_numpy(zero_copy_only=False)).tolist():
-            text = texts[i].as_py()
-            at = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
-            slow[i] = self._codes([text[a:b] for a, b in zip(at, at[1:]) if a < b])
+        if len(data):
+            for i in _unusual(texts, data, offsets).tolist():
+                text = texts[i].as_py()
+                at = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
+                slow[i] = [text[a:b] for a, b in zip(at, at[1:]) if a < b]
+        ends = np.append(starts[1:], len(data))
+        if slow:  # their parts are those of the slower cut
+            kept = ~np.repeat(np.isin(np.arange(len(counts)), list(slow)), counts)
+            sizes = ends - starts
+            data = data[np.repeat(kept, sizes)]
+            ends = np.cumsum(sizes[kept])
+        cut = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.append(0, ends)), pa.py_buffer(np.ascontiguousarray(data)))
+        coded = pc.dictionary_encode(cut)
+        code = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         if slow:
-            pieces = np.split(code, (np.cumsum(counts) - counts)[1:])
-            pieces = [slow.get(i, p) for i, p in enumerate(pieces)]
+            counts[list(slow)] = 0
+            pieces = np.split(code, np.cumsum(counts)[:-1])
+            pieces = [self._codes(slow[i]) if i in slow else p for i, p in enumerate(pieces)]
             counts = np.array([len(p) for p in pieces], np.int64)
             code = np.concatenate(pieces)
         self.uses += np.bincount(code, minlength=len(self.uses))
@@ -166,8 +229,9 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker for a file; it keeps its cache from task to task."""
+def encoder(path: str, most_parts: int = 400_000) -> Encoder:
+    """The encoder of this Python worker for a file; it keeps its cache from task to task, and the larger of the bounds asked for."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, most_parts)
+    _ENCODERS[path].most_parts = max(_ENCODERS[path].most_parts, most_parts)
     return _ENCODERS[path]

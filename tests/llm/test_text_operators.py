@@ -357,6 +357,37 @@ def test_encoder_gives_the_library_s_ids():
                 assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected[i : i + step]
 
 
+def test_encoder_gives_the_library_s_ids_of_both_cases():
+    rng = random.Random(2)
+    marks = ["A", "b", "Z", "À", "ß", "Þ", "×", "÷", "Ñ", "ο", "Ж", "ж", "É", "É", "İ", "İ", "Ầ", "###", "%", ".", ",", "'S", "'s", "-", "K", " ", " ", "\n", "ǅ", "1", "\u3000", "\u2028"]
+    marks += [c + chr(m) for c in "AEIKUÀ" for m in range(0x300, 0x330)]
+    plain = ["".join(rng.choices(marks, k=rng.randint(0, 12))) for _ in range(3000)]
+    for texts in (plain, [*plain[:50], "a<|ENDOFTEXT|>", "B<|endoftext|> C"]):
+        for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+            coder = Encoder(op7_pack.public_tokenizer(name), most_parts=500)
+            ids, offsets = coder.encode(pa.array(texts, pa.large_string()))
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_files_of_parts():
+    """The query's form: symbols are parts of texts, fewer than ids."""
+    texts = pa.array(["Words that come again. " * 50, "", "words once in " + " ".join(f"x{i}y" for i in range(900)), "a" * 3000 + "\n"] * 3, pa.large_string())
+    coder = Encoder(op7_pack.public_tokenizer("word_bpe_49k.json"), most_parts=20)
+    words, held, expected = op6_binary.Words(), [], []
+    end = words.add(np.array([2]), np.array([1]))
+    for i in range(len(texts)):
+        code, counts = coder.parts(texts.slice(i, 1))
+        held.append(np.insert(words.of(coder, code), np.cumsum(counts), end))
+        expected += [*coder.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, 2]
+    symbols = np.concatenate(held)
+    assert coder.renewed > 0 and len(symbols) < len(expected)
+    for least in (2, 6):
+        content = op6_binary.pack_words(symbols, words, len(expected), np.arange(3), np.arange(3), 512, least)
+        assert op6_binary.unpack_file(content).tolist() == expected
+        blocks = -(-len(symbols) // 512)
+        assert np.concatenate([op6_binary.unpack_block(content, i) for i in range(blocks)]).tolist() == expected
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 2047, 2048, 2049, 9000])
 def test_mixing_round_trips(n):
     rng = np.random.default_rng(n)
