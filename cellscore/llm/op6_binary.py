@@ -1,11 +1,12 @@
 """Token ids in binary files, compressed by adaptive context mixing.
 
-A file holds some four million ids of documents in ascending order of doc_id, in
-blocks of 2,048 ids that are coded without regard to one another, each with a
-checksum of its ids. It is a header (magic, version, ids of a block, number of
-ids, of blocks and of documents, bytes and checksum of the tables), then the bytes and the checksum of
-each block, then the index (the doc_id and the number of ids of each document), then the tables
-(counts of ids, of pairs and of what follows them, from which each block starts), then the blocks. So a file
+A file holds some four million ids of documents in ascending order of doc_id, as
+words: runs of ids that a tokenizer gave for the same part of a text (or single ids). Its words are in blocks of 512
+(2,048 of single ids), which are coded without regard to one another, each with a checksum of its words' numbers. It is a
+header (magic, version, words of a block, number of ids, of words, of blocks and of documents, bytes and checksum of the tables,
+checksum of the list of blocks), then the bytes and the checksum of each block, then the index (the doc_id and the number of ids
+of each document), then the tables (the distinct words, and counts of words, of pairs of them and of what follows these, from
+which each block starts), then the blocks. So a file
 can be read by document by itself, and a block decoded by itself, given its file's tables. Files lie in the rows
 (part, number, size, content) of a Parquet table, so Spark's writer commits them. Reading
 checks every checksum.
