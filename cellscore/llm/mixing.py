@@ -134,7 +134,7 @@ class Tables:
         gaps = np.where(turn, self.second, np.diff(self.second, prepend=0))
         parts = [np.diff(self.names, prepend=0), self.level0, self.rare, per, gaps, self.level1, np.diff(self.slots, prepend=0), self.heads]
         raw = b"".join(p.astype(t).tobytes() for p, t in zip(parts, ("<u4", "u1", "u1", "<u4", "<u4", "u1", "<u2", "<u4")))
-        return COUNTS.pack(len(self.names), len(self.first), len(self.slots)) + zlib.compress(raw, 1)
+        return COUNTS.pack(len(self.names), len(self.first), len(self.slots)) + zlib.compress(raw, 5)
 
     @classmethod
     def load(cls, data: bytes) -> Tables:
