@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,17 @@ def give_back() -> None:
         trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """run, a function of mapInArrow, with a give_back() once its last batch is out and what it held is freed."""
+
+    @wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """Texts with null as the empty string, with 64-bit offsets from 0 (some kernels misread others)."""
     return recoded(pc.fill_null(texts.cast(pa.large_string()), ""))

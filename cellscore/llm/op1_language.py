@@ -17,6 +17,7 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import bounded, plain, steps, sums, utf8
+from cellscore.llm.arrays import bounded, plain, steps, sums, tidy, utf8
 
 UND = "und"
 #: Lengths in UTF-8 bytes of the n-grams; lower case, runs of ASCII non-letters as one space.
 LENGTHS = (3, 5)
+#: Bytes of text at a time: an n-gram takes some hundred bytes on its way, and there are two for each byte.
+GRAM_STEP = 1 << 17
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +81,7 @@ class Filters:
     table: np.ndarray
     hashes: int
 
-    @property
+    @cached_property
     def false_rates(self) -> np.ndarray:
         """Chance that an n-gram that a language lacks is found in its filter."""
         fill = np.array([np.count_nonzero(self.table >> self.table.dtype.type(i) & self.table.dtype.type(1)) for i in range(len(self.languages))])
@@ -116,19 +119,19 @@ def fit(labelled: DataFrame, per_language: int = 3000, least: int = 3, share: fl
     table = np.zeros(size, dtype=width)
     if not names:
         return Filters([], counts, table, hashes)
-    spark = labelled.sparkSession
-    shares = spark.createDataFrame([(n, i, float(min(1.0, per_language / c))) for i, (n, c) in enumerate(zip(names, counts))], "lang string, k int, part double")
+    # looked up in literals: rows sent from the driver would start a second set of Python workers
+    number, part = (F.create_map(*[F.lit(x) for pair in zip(names, values) for x in pair])[F.col("lang")] for values in (range(len(names)), np.minimum(1.0, per_language / counts).tolist()))
     even = (F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20)))
-    sample = labelled.join(F.broadcast(shares), "lang").where(even < F.col("part")).select("k", "text")
+    sample = labelled.where(even < part).select(number.alias("k"), "text")
 
     def tally(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, size=GRAM_STEP):
             keys, owner = grams(plain(batch.column("text")))
             language = batch.column("k").to_numpy().astype(np.uint64)[owner]
             both, n = np.unique(keys | (language << np.uint64(48)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array((both >> np.uint64(48)).astype(np.int32)), pa.array((both & np.uint64((1 << 48) - 1)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["k", "gram", "n"])
 
-    found = bounded(sample).mapInArrow(tally, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n"))
+    found = bounded(sample).mapInArrow(tidy(tally), "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n"))
     found = found.groupBy("gram").agg(F.collect_list(F.struct("k", "n")).alias("by"))
     totals = {r["k"]: r["n"] for r in sample.mapInArrow(_lengths, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
     rate = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, float(max(n, 1)))]) if totals else F.create_map(F.lit(0), F.lit(1.0))
@@ -144,7 +147,7 @@ def fit(labelled: DataFrame, per_language: int = 3000, least: int = 3, share: fl
             for place in positions(keys, size, hashes):
                 yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask)], names=["place", "mask"])
 
-    filled = typical.mapInArrow(places, "place long, mask long").groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    filled = typical.mapInArrow(tidy(places), "place long, mask long").groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
     table[filled.column("place").to_numpy()] = filled.column("mask").to_numpy().astype(width)
     return Filters(names, counts / counts.sum(), table, hashes)
 
@@ -167,7 +170,7 @@ def identify(docs: DataFrame, filters: Filters, keep: list[str] | None = None) -
     def score(batches):
         model = shared.value
         names = pa.array([*model.languages, UND])
-        for batch in steps(batches):
+        for batch in steps(batches, size=GRAM_STEP):
             texts = plain(batch.column("text"))
             n = len(texts)
             if model.languages:
@@ -185,7 +188,7 @@ def identify(docs: DataFrame, filters: Filters, keep: list[str] | None = None) -
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score", "coverage"])
 
     columns = keep if "text" in keep else [*keep, "text"]
-    return bounded(docs).select(*columns).mapInArrow(score, schema)
+    return bounded(docs).select(*columns).mapInArrow(tidy(score), schema)
 
 
 def held_out(mod: int, rest: int):

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscore.llm.arrays import bounded, cut_binary, give_back, plain, steps
+from cellscore.llm.arrays import bounded, cut_binary, plain, steps, tidy
 from cellscore.llm.tokens import encoder
 
 #: Ids that are taken up at once.
@@ -149,12 +149,14 @@ def agreed(length: int, documents: np.ndarray, sentences: np.ndarray, window: in
     return way(ends, back, j)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = 1024, penalties: tuple[float, float] = (2.0, 32.0), with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = 1024, penalties: tuple[float, float] = (2.0, 32.0), with_ids: bool = True, most_parts: int = 400_000, step_bytes: int = 2 << 20) -> DataFrame:
     """Pieces of docs (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with_ids, ids (uint32, little-endian).
 
     tokenizer is a file of the tokenizers library that executors can read (by
     default the public byte-level one). A sentence ends after an id whose text
-    ends in a full stop, exclamation or question mark, or holds a line end.
+    ends in a full stop, exclamation or question mark, or holds a line end. most_parts
+    bounds the encoder's cache and step_bytes the text that it takes at once: less
+    memory for more time, and the same pieces.
     """
     path = tokenizer or public_tokenizer("byte_bpe_50k.json")
     schema = docs.select("doc_id").schema
@@ -163,7 +165,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
     schema = schema.add("ids", "binary") if with_ids else schema
 
     def run(batches):
-        coder = encoder(path)
+        coder = encoder(path, most_parts)
         closing = np.zeros(max(coder.vocabulary.values()) + 1, dtype=bool)
         for token, i in coder.vocabulary.items():
             closing[i] = token[-1:] in (".", "!", "?") or "Ċ" in token  # the byte-level sign of a line end
@@ -209,7 +211,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
             return out, [(names.slice(left), sizes[left:] - used, skipped[left:] + used, whole[left:], flat[upto:])]
 
         held, room = [], SPAN
-        for batch in steps(batches, size=2 << 20):
+        for batch in steps(batches, size=step_bytes):
             ids, offsets = coder.encode(plain(batch.column("text")))
             n = batch.num_rows
             ids = np.insert(ids, offsets[1:], end_id)
@@ -230,9 +232,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
                         yield out
         if held:
             yield close(held, True)[0]
-        give_back()
 
-    return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

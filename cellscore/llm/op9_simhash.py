@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscore.llm.arrays import LOWER, bounded, plain, recoded, steps, words
+from cellscore.llm.arrays import LOWER, bounded, plain, recoded, steps, tidy, words
 from cellscore.plans import cut_lineage, small_enough
 
 SEED = 42
@@ -58,6 +58,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 MOST_GONE = 500_000
 #: Pairs of query and node that one search step looks at.
 FRONTIER = 1 << 20
+#: Bytes of text whose MinHash values are made at once: each shingle has BANDS * ROWS values.
+MARKED = 1 << 18
 #: Hashes whose bits are counted at once.
 FOLDED = 1 << 16
 
@@ -323,7 +325,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
                 task.join(x[apart], y[apart])
         yield pa.RecordBatch.from_pydict(task.edges())
 
-    return bounded(together).mapInArrow(run, "a long, b long").distinct()
+    return bounded(together).mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def paired(cell: np.ndarray, a: np.ndarray, b: np.ndarray):
@@ -398,7 +400,7 @@ def likely_links(together: DataFrame, least: float) -> DataFrame:
                 task.join(x[agree], y[agree])
         yield pa.RecordBatch.from_pydict(task.edges())
 
-    return bounded(together).mapInArrow(run, "a long, b long").distinct()
+    return bounded(together).mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def exact_links(table: pa.Table, similarity: float, least: float) -> dict[str, np.ndarray]:
@@ -490,14 +492,14 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
     """
 
     def mark(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, size=MARKED):
             hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
             found = band_keys(minhashes(hashes, offsets))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(found) + 1, BANDS, dtype=np.int32)), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "_same", "_size")), pa.array(majority(hashes, offsets).view(np.int64)), keys], names=["doc_id", "_same", "_size", "fp", "keys"])
 
     keyed = identified(docs.select("doc_id", "text"))
-    marked = cut_lineage(bounded(keyed).mapInArrow(mark, keyed.select("doc_id", "_same", "_size").schema.add("fp", "long").add("keys", T.ArrayType(T.LongType()))))
+    marked = cut_lineage(bounded(keyed).mapInArrow(tidy(mark), keyed.select("doc_id", "_same", "_size").schema.add("fp", "long").add("keys", T.ArrayType(T.LongType()))))
     texts = cut_lineage(marked.groupBy("_same", "_size").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()))
     prints = cut_lineage(texts.groupBy("fp").agg(F.min("id").alias("id")))
     equal = texts.select("id", "fp").join(prints.select("fp", F.col("id").alias("b")), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
@@ -507,7 +509,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
     members = cut_lineage(texts.select("id", "doc", "_same", "_size").join(candidates, "id", "left_semi"))
 
     def outline(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, size=MARKED):
             hashes, offsets = shingle_rows(plain(batch.column("text")), shingle)
             marks = minhashes(hashes, offsets).astype(np.uint8)
             grams = [np.unique(hashes[a:b]).tobytes() for a, b in zip(offsets, offsets[1:])]
@@ -516,7 +518,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, m
     some = small_enough(members.select("id", "doc", F.col("_same").alias("s"), F.col("_size").alias("z")), MOST_GONE)
     here = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_same") == F.col("s")) & (F.col("_size") == F.col("z"))
     chosen = keyed.join(some, here).select("id", "text")
-    outlined = cut_lineage(bounded(chosen).mapInArrow(outline, "id long, marks binary, grams binary").dropDuplicates(["id"]))
+    outlined = cut_lineage(bounded(chosen).mapInArrow(tidy(outline), "id long, marks binary, grams binary").dropDuplicates(["id"]))
     likely = components(likely_links(shared.join(outlined.select("id", "marks"), "id").repartition("shard", "tree", "part"), similarity - margin).unionByName(by_trees))
     weighed = likely.join(outlined.select("id", F.octet_length("grams").alias("weight")), "id").select("id", F.col("label").alias("shard"), "weight")
     cells = deal(weighed).join(outlined, "id").groupBy("shard", "tree", "part")

@@ -18,6 +18,8 @@ from cellscore.plans.lineage import checkpoint_folder
 
 #: Share of a text's n-grams that its language's filter must hold.
 LEAST_COVERAGE = 0.1
+#: Parts that a worker's encoder keeps, and bytes of text that it takes at once: workers go on from stage to stage, so that little memory is better than speed.
+MOST_PARTS, ENCODED_BYTES = 100_000, 1 << 19
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 1024 ids, with the ids and their checksum."""
-    pieces = op7_pack.pack(docs)
+    pieces = op7_pack.pack(docs, most_parts=MOST_PARTS, step_bytes=ENCODED_BYTES)
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 

@@ -79,3 +79,42 @@ def test_odd_rows_go_through_all_stages(spark, folder, tmp_path):
     pieces = cp.STAGES[-1][1](spark, docs, folder)
     assert pieces.where("doc_id = 40").agg({"length": "sum"}).first()[0] == pieces.where("doc_id = 40").first()["doc_tokens"] > 20_000
     assert pieces.select("doc_id").distinct().count() == 32
+
+
+def test_memory_of_a_worker(spark, folder, monkeypatch):
+    """Two megabytes of text in one batch are worked off in steps of little memory, freed memory goes back, and no rows come from the driver."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cellscore.llm import arrays
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kind, found = type(docs), {}
+    mapped = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *a, **b: (found.setdefault(getattr(f, "__wrapped__", f).__name__, f), mapped(self, f, *a, **b))[1])
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    cp.language(spark, docs, folder)
+    score, tally = found["score"], found["tally"]
+    cp.near_duplicates(spark, docs, folder)
+    mark = found["mark"]
+    found.clear()
+    cp.packing(spark, docs, folder)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(VOCABULARY) + rng.choice("aeiou") for _ in range(300)) for _ in range(1000)]
+    n = len(texts)
+    columns = {"doc_id": range(n), "text": texts, "lang": ["en"] * n, "source": ["s"] * n, "n_chars": map(len, texts), "k": pa.array([0] * n, pa.int32()), "_same": [b"x"] * n, "_size": [1] * n}
+    batch = pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else list(v) for k, v in columns.items()})
+    returned = []
+    monkeypatch.setattr(arrays, "give_back", lambda: returned.append(1))
+    peaks = {}
+    for name, run in (("score", score), ("tally", tally), ("mark", mark), ("run", found["run"])):
+        for _ in run(iter([batch.slice(0, 1)])):  # what a worker loads once
+            pass
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        peaks[name] = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+    assert len(returned) == 8
+    assert all(peaks[k] <= most for k, most in {"score": 20, "tally": 30, "mark": 35, "run": 12}.items()), peaks
